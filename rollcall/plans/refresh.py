@@ -70,7 +70,7 @@ def rebuild_layers(
     marts["dq_summary"] = dq_summary(raw, staged, cleaned)
     for name, mart in marts.items():
         folder = wh.folder(wh.marts, MART_TABLES[name])
-        publish(spark, mart.coalesce(1), wh.mart_table(name), folder)
+        publish(spark, mart, wh.mart_table(name), folder)
 
 
 def run_refresh(

@@ -88,6 +88,9 @@ def ensure_tables(spark: SparkSession, wh: Warehouse, buckets: int | None = None
         layout = f"PARTITIONED BY (source_file_hash) CLUSTERED BY (id) INTO {buckets} BUCKETS"
         folder = wh.folder(wh.raw, "voters")
         _create(spark, wh.raw_table, _columns(RAW_SCHEMA), folder, layout)
+        # Appending nothing makes the folder exist; partitions already in it are attached.
+        nothing = spark.createDataFrame([], RAW_SCHEMA)
+        nothing.write.mode("append").partitionBy("source_file_hash").parquet(folder)
         spark.sql(f"ALTER TABLE {wh.raw_table} RECOVER PARTITIONS")
     folder = wh.folder(wh.metadata, "voter_ingestion_audit")
     _create(spark, wh.ledger_table, _columns(LEDGER_SCHEMA), folder)
