@@ -31,17 +31,24 @@ NEW_SINCE = "2020-01-01"
 AGE_BANDS = {"age_18_29": (18, 29), "age_30_44": (30, 44), "age_45_64": (45, 64)}
 SENIOR_AGE = 65
 
+# Sort columns of each mart; a leading minus means descending.
 MART_ORDER = {
-    "state_summary": [descending("total_voters")],
-    "party_distribution": [descending("total_voters")],
-    "engagement_metrics": [descending("engagement_score"), descending("voter_count")],
-    "demographic_crosstab": [ascending("generation"), ascending("gender"), ascending("party")],
-    "registration_trends": [descending("registration_month")],
+    "state_summary": ("-total_voters",),
+    "party_distribution": ("-total_voters",),
+    "engagement_metrics": ("-engagement_score", "-voter_count"),
+    "demographic_crosstab": ("generation", "gender", "party"),
+    "registration_trends": ("-registration_month",),
 }
 
 
+def mart_order(name: str) -> list[Column]:
+    return [
+        descending(c[1:]) if c.startswith("-") else ascending(c) for c in MART_ORDER[name]
+    ]
+
+
 def ordered_output(mart: DataFrame, name: str) -> DataFrame:
-    return mart.orderBy(*MART_ORDER[name])
+    return mart.orderBy(*mart_order(name))
 
 
 def _per_gender(suffix: str) -> list[Column]:

@@ -61,3 +61,14 @@ def csv_stream(
 def source_row_count(extract: DataFrame) -> DataFrame:
     """Records, not lines: a quoted line end does not count twice."""
     return extract.agg(F.count("*").alias("file_row_count"))
+
+
+def write_extract(extract: DataFrame, path: str, mode: str = "append") -> None:
+    """An extract as CSV files that ``csv_scan`` reads back unchanged."""
+    options = {
+        "header": "true",
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+    extract.select(*RAW_COLUMNS).write.mode(mode).options(**options).csv(path)

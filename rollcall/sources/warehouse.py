@@ -82,7 +82,10 @@ def ensure_tables(spark: SparkSession, wh: Warehouse, buckets: int | None = None
     session; size it for the table, at roughly a gigabyte of keys per bucket.
     """
     for namespace in (wh.raw, wh.metadata, wh.intermediate, wh.marts):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {wh.namespace(namespace)}")
+        spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS {wh.namespace(namespace)} "
+            f"LOCATION '{wh.root}/{namespace}'"
+        )
     if not spark.catalog.tableExists(wh.raw_table):
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         layout = f"PARTITIONED BY (source_file_hash) CLUSTERED BY (id) INTO {buckets} BUCKETS"
