@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rollcall.functions.dates import as_date
-from rollcall.functions.text import col
+from rollcall.functions.text import col, constant_map
 
 # Band starts (newest first), labels, scores.
 COHORTS = (
@@ -55,8 +54,8 @@ def recency_status(last_vote: Column | str) -> Column:
 
 
 def engagement_score(status: Column | str, scores: dict[str, int] = SCORES) -> Column:
-    pairs = F.create_map(*(F.lit(v) for v in chain.from_iterable(scores.items())))
-    return F.coalesce(F.try_element_at(pairs, col(status)), F.lit(scores[INACTIVE]))
+    known = F.try_element_at(constant_map(scores), col(status))
+    return F.coalesce(known, F.lit(scores[INACTIVE]))
 
 
 def age_generation(age: Column | str) -> Column:

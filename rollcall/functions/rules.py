@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rollcall.functions.states import STATE_LOOKUP
-from rollcall.functions.text import col, trim_upper
+from rollcall.functions.text import col, constant_map, trim_upper
 from rollcall.schema import DEFAULT_NAME, MAX_AGE, MIN_AGE
 
 # Accepted spellings per category, and the shortest plausible address.
@@ -48,8 +47,7 @@ def standardize_state(c: Column | str, lookup: dict[str, str] = STATE_LOOKUP) ->
 
     The lookup is a constant map that the optimizer folds into one literal.
     """
-    entries = F.create_map(*(F.lit(v) for v in chain.from_iterable(lookup.items())))
-    return F.try_element_at(entries, trim_upper(c))
+    return F.try_element_at(constant_map(lookup), trim_upper(c))
 
 
 def email_plausible(c: Column | str, shortest: int = SHORTEST_EMAIL) -> Column:

@@ -21,6 +21,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def constant_map(entries: dict[str, str | int]) -> Column:
+    """A map literal, written as one expression because each single literal costs a call."""
+    return F.expr("map(" + ", ".join(f"{k!r}, {v!r}" for k, v in entries.items()) + ")")
+
+
 def trim_text(c: Column | str) -> Column:
     """Strip space separators from both ends; NULL stays NULL, blank becomes ''.
 

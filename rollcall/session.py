@@ -14,6 +14,8 @@ SCALE_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording the call site of every column expression costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
