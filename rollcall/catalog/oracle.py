@@ -47,12 +47,9 @@ def per_gender(suffix: str) -> str:
 def prints(table: str) -> str:
     """The content fingerprint of a relation with the raw columns."""
     fields = ", ".join(f"coalesce({c}, chr(30))" for c in RAW_COLUMNS)
-    lanes = ", ".join(
-        f"CAST(coalesce(sum(CAST('0x' || substr(d, {start}, 15) AS BIGINT)), 0) AS VARCHAR)"
-        for start in (1, 16)
-    )
+    total = "coalesce(sum(CAST('0x' || substr(d, 1, 15) AS BIGINT)), 0)"
     return (
-        f"SELECT sha256(concat_ws(':', CAST(count(*) AS VARCHAR), {lanes})) AS file_hash, "
+        f"SELECT sha256(CAST(count(*) AS VARCHAR) || ':' || CAST({total} AS VARCHAR)) AS file_hash, "
         f"count(*) AS file_row_count "
         f"FROM (SELECT sha256(concat_ws(chr(31), {fields})) AS d FROM {table})"
     )

@@ -11,8 +11,8 @@ from rollcall.functions.text import col
 
 # The four accepted shapes, two with an optional time of day.
 # \A and \z, because $ would also match before a trailing newline.
-YEAR_FIRST = r"\A\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2})?\z"
-MONTH_FIRST = r"\A(\d{1,2})/(\d{1,2})/(\d{4})( \d{1,2}:\d{2}:\d{2})?\z"
+YEAR_FIRST = r"\A\d{4}-\d\d-\d\d(?:[ T]\d\d:\d\d:\d\d)?\z"
+MONTH_FIRST = r"\A\d\d?/\d\d?/\d{4}(?: \d\d?:\d\d:\d\d)?\z"
 
 
 def as_date(value: Column | str | dt.date) -> Column:
@@ -30,8 +30,11 @@ def parse_flexible_date(c: Column | str) -> Column:
     The value is matched as it stands, so padding makes it unreadable on purpose.
     """
     c = col(c)
+    day = F.substring_index(c, " ", 1)
+    month_and_day = F.replace(F.substring_index(day, "/", 2), F.lit("/"), F.lit("-"))
+    turned = F.concat(F.substring_index(day, "/", -1), F.lit("-"), month_and_day)
     return F.when(c.rlike(YEAR_FIRST), F.left(c, F.lit(10)).try_cast("date")).when(
-        c.rlike(MONTH_FIRST), F.regexp_replace(c, MONTH_FIRST, "$3-$1-$2").try_cast("date")
+        c.rlike(MONTH_FIRST), turned.try_cast("date")
     )
 
 

@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+RECORDS = "_records"
+
+
 def weighted_median(value: str, weight: str) -> Column:
     """Interpolated median of ``value`` repeated ``weight`` times; NULL values ignored."""
     return F.percentile(F.col(value), 0.5, F.col(weight))
@@ -31,15 +34,15 @@ def weighted_mode(value: str, weight: str) -> Column:
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return df.groupBy(*keys, value).agg(F.count("*").alias("n"))
+    return df.groupBy(*keys, value).agg(F.count("*").alias(RECORDS))
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    return value_counts(df, keys, value).groupBy(*keys).agg(weighted_median(value, "n").alias(name))
+    return value_counts(df, keys, value).groupBy(*keys).agg(weighted_median(value, RECORDS).alias(name))
 
 
 def ordered_mode(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    return value_counts(df, keys, value).groupBy(*keys).agg(weighted_mode(value, "n").alias(name))
+    return value_counts(df, keys, value).groupBy(*keys).agg(weighted_mode(value, RECORDS).alias(name))
 
 
 def count_distinct(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

@@ -22,40 +22,29 @@ def load_unseen_keys(batch: DataFrame, target: DataFrame, key: str = "id") -> Da
     return unseen.select(*batch.columns).unionByName(batch.where(~has_key))
 
 
-def one_per_key(batch: DataFrame, key: str = "id") -> DataFrame:
-    """One row per key with the number of rows it stands for in ``n_records``.
-
-    The map-side part shrinks a key repeated over a third of the batch to one row per
-    task before the shuffle. The least row is kept, so a retry keeps the same one.
-    """
-    rest = [c for c in batch.columns if c != key]
-    reduced = batch.groupBy(key).agg(
-        F.min(F.struct(*rest)).alias("kept"), F.count("*").alias("n_records")
-    )
-    return reduced.select(key, "kept.*", "n_records")
-
-
 def key_violations(batch: DataFrame, key: str = "id") -> DataFrame:
     """Keys that break the rule, with their number of rows. Counted map-side first."""
     counted = batch.groupBy(key).agg(F.count("*").alias("n_records"))
     return counted.where((F.col("n_records") > 1) | F.col(key).isNull())
 
 
-def key_guard(counted: DataFrame, key: str = "id") -> int:
-    """Number of rows of a sound batch; raises before anything is written otherwise.
+def key_guard(batch: DataFrame, target: DataFrame, key: str = "id") -> DataFrame:
+    """The rows of ``batch`` that may be loaded, each key at most once and none NULL.
 
-    ``counted`` has one row per key, as ``one_per_key`` gives it, so this is a single
-    pass that returns one row.
+    Raises before anything is written when an unseen key is NULL or repeated. A repeated
+    key that the target already holds does no harm; its rows are taken out here, so that
+    a key repeated over a third of the batch never meets in one task of the load.
     """
-    broken = (F.col("n_records") > 1) | F.col(key).isNull()
-    totals = counted.agg(
-        F.coalesce(F.sum("n_records"), F.lit(0)).alias("n_records"),
-        F.count_if(broken).alias("n_broken"),
-        F.min(F.when(broken, F.col(key))).alias("example"),
-    ).first()
-    if totals["n_broken"]:
+    broken = key_violations(batch, key)
+    if broken.isEmpty():
+        return batch
+    offenders = load_unseen_keys(broken, target, key).agg(
+        F.count("*").alias("n"), F.min(key).alias("example")
+    )
+    found = offenders.first()
+    if found["n"]:
         raise KeyViolation(
-            f"{totals['n_broken']} value(s) of {key!r} are NULL or repeated, "
-            f"for example {totals['example']!r}"
+            f"{found['n']} value(s) of {key!r} are NULL or repeated, "
+            f"for example {found['example']!r}"
         )
-    return totals["n_records"]
+    return batch.join(broken.select(key), key, "left_anti").select(*batch.columns)

@@ -9,11 +9,10 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.operators.keys import key_guard, load_unseen_keys, one_per_key
+from rollcall.operators.keys import key_guard
 from rollcall.plans.layers import clean, stage
 from rollcall.plans.marts import MARTS, dq_summary
 from rollcall.schema import MAX_AGE, MIN_AGE
-from rollcall.session import scratch_root
 from rollcall.sources.csv import csv_scan
 from rollcall.sources.fingerprint import content_fingerprint
 from rollcall.sources.ledger import audit_record, last_hash, stamp_batch
@@ -21,6 +20,7 @@ from rollcall.sources.warehouse import (
     MART_TABLES,
     Warehouse,
     append_rows,
+    bucket_count,
     ensure_tables,
     publish,
 )
@@ -31,24 +31,20 @@ class RunResult:
     file_hash: str
     file_row_count: int
     loaded: bool
-    inserted: int = 0
 
 
-def load_batch(spark: SparkSession, wh: Warehouse, stamped: DataFrame) -> int:
-    """Append the rows with unseen keys and return their number.
+def load_batch(spark: SparkSession, wh: Warehouse, stamped: DataFrame) -> None:
+    """Append the rows of the batch whose keys the raw table does not hold yet.
 
-    The batch is reduced to one row per key and only then shuffled, joined with the keys
-    of the raw table, and written aside. Guard and append read what was written, so the
-    join runs once and both see the same rows even when executors are lost in between.
+    The guard counts keys only. Then the batch is shuffled once, by key into the buckets
+    of the raw table: the join finds its partner bucket in place, and each task writes
+    the file of one bucket. The table itself is never shuffled.
     """
-    unseen = load_unseen_keys(one_per_key(stamped), spark.table(wh.raw_table))
-    pending = f"{scratch_root(spark)}/rollcall/pending-{wh.prefix}{wh.raw}"
-    unseen.write.mode("overwrite").parquet(pending)
-    rows = spark.read.schema(unseen.schema).parquet(pending)
-    inserted = key_guard(rows)
-    if inserted:
-        append_rows(spark, rows, wh.raw_table)
-    return inserted
+    raw = spark.table(wh.raw_table)
+    loadable = key_guard(stamped, raw)
+    placed = loadable.repartition(bucket_count(spark, wh.raw_table), "id")
+    unseen = placed.join(raw.select("id"), "id", "left_anti")
+    append_rows(spark, unseen, wh.raw_table)
 
 
 def rebuild_layers(
@@ -106,8 +102,8 @@ def run_refresh(
     ensure_tables(spark, wh)
     if last_hash(spark, wh.ledger_table) == file_hash:
         return RunResult(file_hash, rows, loaded=False)
-    inserted = load_batch(spark, wh, stamp_batch(extract, run_ts, file_hash))
+    load_batch(spark, wh, stamp_batch(extract, run_ts, file_hash))
     rebuild_layers(spark, wh, run_ts, min_age, max_age)
     record = audit_record(spark.table(wh.raw_table), file_hash, source, rows, run_ts, run_id)
     append_rows(spark, record, wh.ledger_table)
-    return RunResult(file_hash, rows, loaded=True, inserted=inserted)
+    return RunResult(file_hash, rows, loaded=True)

@@ -105,11 +105,11 @@ def table_detail(spark: SparkSession, table: str, field: str) -> str | None:
     return row["data_type"] if row else None
 
 
+def bucket_count(spark: SparkSession, table: str) -> int:
+    return int(table_detail(spark, table, "Num Buckets"))
+
+
 def append_rows(spark: SparkSession, rows: DataFrame, table: str) -> None:
-    """Append; into a bucketed table with one file per bucket and partition."""
-    buckets = table_detail(spark, table, "Num Buckets")
-    if buckets:
-        rows = rows.repartition(int(buckets), "id")
     rows.select(*spark.table(table).columns).write.insertInto(table)
 
 
