@@ -97,9 +97,9 @@ class RowCheck:
     severity: str = "warn"
 
 
-def row_check_totals(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
-    """Failing rows of every check in one pass, one column per check."""
-    return df.agg(*(F.count_if(c.fails).alias(c.name) for c in checks))
+def row_check_totals(df: DataFrame, checks: Sequence[RowCheck], rows: str) -> DataFrame:
+    """Failing rows of every check in one pass, one column per check, and all rows."""
+    return df.agg(*(F.count_if(c.fails).alias(c.name) for c in checks), F.count("*").alias(rows))
 
 
 def staged_checks() -> list[RowCheck]:
@@ -128,24 +128,23 @@ def check_report(
 ) -> DataFrame:
     """Every configured check as ``(check_name, severity, failures, status)``.
 
-    Checks on the rows of one layer share a single pass; only the two key checks shuffle,
-    and they shuffle per-key counts.
+    Checks on the rows of one layer and its row count share a single pass; only the two
+    key checks shuffle, and they shuffle per-key counts.
     """
     on_staged, on_cleaned = staged_checks(), cleaned_checks(as_of)
     severity = {c.name: c.severity for c in on_staged + on_cleaned}
-    others = {
+    keyed = {
         "staged_unique_voter_id": unique_failures(staged, "voter_id"),
         "cleaned_unique_voter_id": unique_failures(cleaned, "voter_id"),
         "trends_recency_registration_month": recency_failures(trends, as_of),
     }
-    severity |= dict.fromkeys([*others, "cleaned_equal_rowcount"], "warn")
+    severity |= dict.fromkeys([*keyed, "cleaned_equal_rowcount"], "warn")
     totals = one_row(
-        row_check_totals(staged, on_staged),
-        row_check_totals(cleaned, on_cleaned),
-        *(rows.agg(F.count("*").alias(name)) for name, rows in others.items()),
-        equal_rowcount(cleaned, staged).select(F.col("diff_count").alias("cleaned_equal_rowcount")),
-    )
-    lines = totals.unpivot([], list(severity), "check_name", "failures")
+        row_check_totals(staged, on_staged, "staged_rows"),
+        row_check_totals(cleaned, on_cleaned, "cleaned_rows"),
+        *(rows.agg(F.count("*").alias(name)) for name, rows in keyed.items()),
+    ).withColumn("cleaned_equal_rowcount", F.abs(F.col("cleaned_rows") - F.col("staged_rows")))
+    lines = totals.select(*severity).unpivot([], list(severity), "check_name", "failures")
     level = F.coalesce(
         *(F.when(F.col("check_name") == name, F.lit(s)) for name, s in severity.items())
     )
