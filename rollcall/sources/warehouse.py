@@ -123,7 +123,7 @@ def publish(spark: SparkSession, df: DataFrame, table: str, folder: str) -> Data
     live = table_detail(spark, table, "Location") if exists else ""
     path = f"{folder}/{'b' if live.endswith('/a') else 'a'}"
     df.write.mode("overwrite").parquet(path)
-    if exists and spark.table(table).schema == df.schema:
+    if exists and spark.table(table).dtypes == df.dtypes:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {table}")

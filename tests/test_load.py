@@ -196,8 +196,11 @@ def test_gate_on_an_empty_ledger(spark, wh):
 def test_publish_switches_between_two_folders(spark, wh):
     folder, table = wh.folder(wh.marts, "x"), wh.table(wh.marts, "x")
     places = []
+    created = None
     for n in range(1, 5):
         got = warehouse.publish(spark, spark.range(n).toDF("n"), table, folder)
+        created = created or warehouse.table_detail(spark, table, "Created Time")
+        assert warehouse.table_detail(spark, table, "Created Time") == created  # never dropped
         places.append(warehouse.table_detail(spark, table, "Location")[-1])
         assert got.count() == n
     assert places == ["a", "b", "a", "b"]
