@@ -1,7 +1,80 @@
-"""placeholder while the stages are written"""
-STAGES = []
+"""A corpus from documents to token files, in five stages of Spark jobs.
+
+Every stage reads what its predecessor kept. All but the last return the columns of
+``documents``; mixing adds ``mix_position``, by which the token files are ordered.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from rollcall.llm import decontaminate, mixing, near_duplicates, quality, token_files
+from rollcall.llm.common import ship_package, table
+from rollcall.session import new_scratch_path
+
+TOKENIZER = "byte_bpe_50k.json"
+POSITION = "mix_position"
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    ship_package(spark)
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document of the smallest id stays.
+
+    Rows without words or without id are in no group and stay. Rows that share an id are one
+    document; the smallest of their texts stays.
+    """
+    ship_package(spark)
+    groups = near_duplicates.near_duplicates(docs.select("doc_id", "text"))
+    kept = groups.where("n_shingles = 0 or doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    first = Window.partitionBy("doc_id").orderBy("text")
+    named = named.withColumn("copy_number", F.row_number().over(first)).where("copy_number = 1").drop("copy_number")
+    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    ship_package(spark)
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document gets its place in a mix of the sources by the square root of their sizes."""
+    return mixing.mix_sources(docs).select(*[c for c in docs.columns if c not in mixing.ADDED], POSITION)
+
+
+def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files in the order of the mix, and per document what they hold."""
+    ship_package(spark)
+    path = new_scratch_path(spark, "corpus-tokens")
+    order = (POSITION,) if POSITION in docs.columns else ("doc_id",)
+    token_files.write_token_files(docs, public_tokenizers.path(TOKENIZER), path, order=order)
+    return token_files.read_token_files(spark, path)
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", keep_one_copy),
+    ("benchmark decontamination", drop_benchmark),
+    ("mixing sources", mix),
+    ("token files", to_tokens),
+]
+
+#: The classifier's and the tokenizer's results are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        path = new_scratch_path(spark, "corpus-" + name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -107,7 +107,7 @@ _BASE = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2^64
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, 0 to n - 1."""
     if len(_POWERS.get("up", ())) < n:
         size = max(n, STEP_BYTES + 1)
@@ -115,7 +115,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             made = np.full(size, base, dtype=np.uint64)
             made[0] = 1
             made = np.multiply.accumulate(made)
-            if size > 8 * STEP_BYTES:
+            if size > 2 * STEP_BYTES:
                 return _powers_of(size)
             _POWERS[name] = made
     return _POWERS["up"][:n], _POWERS["down"][:n]
@@ -133,18 +133,21 @@ def _powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each ``data[start:end]``, lower-cased, that does not depend on its place."""
-    up, down = _powers(len(data) + 1)
+    up, down = powers(len(data) + 1)
     sums = np.empty(len(data) + 1, dtype=np.uint64)
     sums[0] = 0
     np.cumsum(BYTE_VALUE[data] * up[: len(data)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the number of the first word of each row (and the end)."""
+def word_bounds(data: np.ndarray, at: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the number of the first word of each row (and the end).
+
+    ``space`` tells which bytes are outside words.
+    """
     inside = np.empty(len(data) + 2, dtype=bool)
     inside[0] = inside[-1] = False
-    np.logical_not(SPACE[data], out=inside[1:-1])
+    np.logical_not(space[data], out=inside[1:-1])
     # A row's first byte begins a word even where the row before ended inside one.
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[at] = True
@@ -153,12 +156,21 @@ def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, at)
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, at: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and the number of the first word of each row (and the end)."""
-    starts, ends, first = word_bounds(data, at)
+    starts, ends, first = word_bounds(data, at, space)
     return span_hashes(data, starts, ends), first
 
 
+def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash of every n words in a row; a gram that begins at word i is at place i."""
+    count = max(0, len(words) - n + 1)
+    total = np.zeros(count, dtype=np.uint64)
+    for k, factor in enumerate(numbered(n, 100 + n) | np.uint64(1)):
+        total += words[k : k + count] * factor
+    return mix(total)
+
+
 def gather_spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions start, start + 1, ... of every span, one span after another."""
     total = int(lengths.sum())

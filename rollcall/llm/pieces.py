@@ -7,11 +7,15 @@ within a piece only, so encoding pieces one by one gives what encoding the text
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 from itertools import chain, repeat
 
 import numpy as np
+import regex
+
+from rollcall.llm.common import gather_spans
 
 # Fixed value: the characters of Unicode's White_Space, as a regular expression's set.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -20,39 +24,106 @@ PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 ASCII_PIECE = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 
 
+# Fixed value: the splitting pattern of byte-level BPE, with its white space spelled out.
+PARTS = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
+    rf"| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
+)
+
+
+def byte_symbols() -> list[str]:
+    """The printable character that stands for each byte in byte-level BPE files: the byte's
+    own where it is printable, else the next one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (chr(256 + i) for i in range(256))
+    return [chr(b) if b in shown else next(others) for b in range(256)]
+
+
 def cut(text: str) -> list[str]:
     return (ASCII_PIECE if text.isascii() else PIECE).findall(text)
 
 
 class PieceCache:
-    """Arrays of numbers by piece, kept over batches up to ``max_chars`` characters of pieces."""
+    """Arrays of numbers by piece, kept over batches.
+
+    When the pieces kept exceed ``max_pieces``, those found but once since the last time go.
+    """
 
-    def __init__(self, make: Callable[[list[str]], list], max_chars: int = 6_000_000):
-        self.make, self.max_chars = make, max_chars
-        self.clear()
+    def __init__(self, make: Callable[[list], list], max_pieces: int = 600_000):
+        self.make, self.max_pieces = make, max_pieces
+        self.keep([])
 
-    def clear(self) -> None:
-        self.places: dict[str, int] = {}
-        self.chars = 0
-        self.starts = np.zeros(1, dtype=np.int64)  # of each piece's numbers, then the end
-        self.numbers = np.zeros(0, dtype=np.int32)
+    def keep(self, places: list[int]) -> None:
+        names = list(self.places) if places else []
+        if places:
+            kept = np.array(places, dtype=np.int64)
+            sizes = np.diff(self.starts)[kept]
+            self.numbers = self.numbers[gather_spans(self.starts[kept], sizes)]
+            self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        else:
+            self.starts = np.zeros(1, dtype=np.int64)  # of each piece's numbers, then the end
+            self.numbers = np.zeros(0, dtype=np.int32)
+        self.places: dict = {names[p]: i for i, p in enumerate(places)}
+        self.hits = np.zeros(len(places), dtype=np.int64)
 
-    def find(self, pieces: list[str]) -> np.ndarray:
+    def find(self, pieces: list) -> np.ndarray:
         """The place of each piece; valid until the next call."""
-        if self.chars > self.max_chars:
-            self.clear()
+        if len(self.places) > self.max_pieces:
+            often = np.flatnonzero(self.hits > 1)
+            self.keep(often.tolist() if len(often) <= self.max_pieces // 2 else np.sort(np.argsort(-self.hits)[: self.max_pieces // 2]).tolist())
         found = np.fromiter(map(self.places.get, pieces, repeat(-1)), np.int64, len(pieces))
         missing = np.flatnonzero(found < 0)
         if len(missing):
-            new = list(dict.fromkeys(pieces[i] for i in missing))
+            new = list(dict.fromkeys(pieces[i] for i in missing.tolist()))
             made = self.make(new)
             first = len(self.starts) - 1
             self.places.update(zip(new, range(first, first + len(new)), strict=True))
-            self.chars += sum(map(len, new)) + 8 * len(new)
             sizes = np.fromiter(map(len, made), np.int64, len(made))
             flat = np.fromiter(chain.from_iterable(made), np.int32, int(sizes.sum()))
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
             self.numbers = np.concatenate([self.numbers, flat])
+            self.hits = np.concatenate([self.hits, np.zeros(len(new), np.int64)])
             get = self.places.get
-            found[missing] = [get(pieces[i]) for i in missing]
+            found[missing] = [get(pieces[i]) for i in missing.tolist()]
+        self.hits += np.bincount(found, minlength=len(self.hits))
         return found
+
+
+class PieceEncoder:
+    """Ids of pieces by the tokenizers library's model, part by part of the splitting pattern.
+
+    A piece that holds an added token, and every piece if the tokenizer is no byte-level BPE of
+    this pattern, goes through the library's whole encoder.
+    """
+
+    def __init__(self, path: str, added_as_text: bool = False, max_parts: int = 400_000):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        spec = json.loads(self.tokenizer.to_str())
+        before = spec.get("pre_tokenizer") or {}
+        self.plain = (
+            spec["model"]["type"] == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not spec.get("normalizer")
+        )
+        added = [] if added_as_text else [re.escape(t["content"]) for t in spec["added_tokens"]]
+        self.tokenizer.encode_special_tokens = added_as_text
+        self.added = re.compile("|".join(added)) if added else None
+        self.model, self.symbols = self.tokenizer.model, dict(enumerate(byte_symbols()))
+        self.parts: dict[str, list[int]] = {}
+        self.max_parts = max_parts
+
+    def encode(self, piece: str) -> list[int]:
+        if not self.plain or (self.added and self.added.search(piece)):
+            return self.tokenizer.encode(piece, add_special_tokens=False).ids
+        out: list[int] = []
+        for part in PARTS.findall(piece):
+            ids = self.parts.get(part)
+            if ids is None:
+                name = part.encode("utf-8").decode("latin-1").translate(self.symbols)
+                ids = [t.id for t in self.model.tokenize(name)]
+                if len(self.parts) > self.max_parts:
+                    self.parts.clear()
+                if len(part) <= 64:
+                    self.parts[part] = ids
+            out += ids
+        return out

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, mixing, token_counts, token_files, topk
+from rollcall.llm import chat, decontaminate, language_model, mixing, near_duplicates, quality, substrings, token_counts, token_files, topk
 from rollcall.llm.common import ship_package, table
 from rollcall.session import new_scratch_path
 
@@ -55,3 +55,28 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated_runs(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))

@@ -22,22 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from rollcall.llm.common import spans
-from rollcall.llm.pieces import WHITE, PieceCache, cut
-
-# Fixed value: the splitting pattern of byte-level BPE, with its white space spelled out.
-PARTS = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
-    rf"| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-)
-
-
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in byte-level BPE files: the byte's
-    own where it is printable, else the next one from 256 on."""
-    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = (chr(256 + i) for i in range(256))
-    return [chr(b) if b in shown else next(others) for b in range(256)]
-
+from rollcall.llm.pieces import PARTS, PieceCache, byte_symbols, cut
 
 class BytePairCounter:
     """Counts the tokens of a byte-level BPE given as a tokenizer's JSON file."""

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import gather_spans, spans
-from rollcall.llm.pieces import PieceCache, cut
+from rollcall.llm.pieces import PieceCache, PieceEncoder, cut
 
 BLOCK_BYTES = 1 << 18
 BLOCKS = "part int, start long, bits int, ids array<{id}>, offsets array<int>, packed binary"
@@ -62,14 +62,8 @@ def unpack(packed: bytes, bits: int, low: int, high: int) -> np.ndarray:
 
 @lru_cache(maxsize=2)
 def cached_encoder(path: str) -> tuple[PieceCache, int]:
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-
-    def encode(pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch(pieces, add_special_tokens=False)]
-
-    return PieceCache(encode), tokenizer.get_vocab_size(with_added_tokens=True)
+    encoder = PieceEncoder(path)
+    return PieceCache(lambda pieces: list(map(encoder.encode, pieces))), encoder.tokenizer.get_vocab_size(with_added_tokens=True)
 
 
 def encode_texts(texts: list[str], cache: PieceCache, end: int | None) -> tuple[np.ndarray, np.ndarray]:
