@@ -188,6 +188,15 @@ JOINED = (
     "USING (voter_id))"
 )
 ISSUE_SHARE = "if(raw_count = 0, 0.0, {0} / raw_count * 100.0) AS issue_pct"
+
+
+def repeated_keys(source: str) -> str:
+    return (
+        f"SELECT count(*) FROM (SELECT voter_id FROM {source} WHERE voter_id IS NOT NULL "
+        "GROUP BY voter_id HAVING count(*) > 1)"
+    )
+
+
 CHECKS = {
     "staged_not_null_voter_id": "SELECT count(*) FROM stg WHERE voter_id IS NULL",
     "staged_accepted_values_party": f"SELECT count(*) FROM stg WHERE party NOT IN ({PARTY_LIST})",
@@ -199,8 +208,8 @@ CHECKS = {
     "cleaned_not_future_registered_date": (
         f"SELECT count(*) FROM cln WHERE registered_date > DATE '{AS_OF}' + INTERVAL 30 DAY"
     ),
-    "staged_unique_voter_id": "SELECT count(voter_id) - count(DISTINCT voter_id) FROM stg",
-    "cleaned_unique_voter_id": "SELECT count(voter_id) - count(DISTINCT voter_id) FROM cln",
+    "staged_unique_voter_id": repeated_keys("stg"),
+    "cleaned_unique_voter_id": repeated_keys("cln"),
     "trends_recency_registration_month": (
         "SELECT count(*) FROM (SELECT max(registration_month) AS newest FROM trends) "
         f"WHERE newest < DATE '{AS_OF}' - INTERVAL 1 MONTH"
@@ -210,6 +219,19 @@ CHECKS = {
     ),
 }
 
+
+
+def report(checks: dict[str, str]) -> str:
+    lines = " UNION ALL ".join(f"SELECT '{n}' AS check_name, ({q}) AS failures" for n, q in checks.items())
+    return f"""
+SELECT check_name, 'warn' AS severity, failures, if(failures > 0, 'warn', 'pass') AS status
+FROM ({lines})"""
+
+
+CHECKS_REPEATED = {
+    n: q.replace("FROM stg", "FROM stg2").replace("FROM cln", "FROM cln2") for n, q in CHECKS.items()
+}
+
 STATEMENTS = {
     "a1_csv_scan": f"SELECT {AS_READ} FROM registry",
     "a2_content_fingerprint": prints("registry"),
@@ -225,6 +247,7 @@ FROM ledger, (SELECT arg_max(file_hash, ingested_at) AS last_hash FROM ledger)""
         "SELECT id, count(*) AS n_records FROM doubled GROUP BY id "
         "HAVING count(*) > 1 OR id IS NULL"
     ),
+    "a7_key_guard_dedupe": "SELECT DISTINCT * FROM registry WHERE id IS NOT NULL",
     "a8_append_sink": f"""
 SELECT {ALL_RAW}, TIMESTAMP '{RUN_TS}' AS load_timestamp,
  if(CAST(trim(id) AS BIGINT) % 4 <> 0, 'first', 'second') AS source_file_hash FROM registry""",
@@ -336,6 +359,7 @@ SELECT CAST(sum(if(gender = 'M', 1, 0)) AS BIGINT) AS male_voters FROM cln WHERE
         "SELECT party, count(DISTINCT state_code) AS states_represented FROM cln GROUP BY party"
     ),
     "e7_exact_median": "SELECT party, quantile_cont(age, 0.5) AS median_age FROM cln GROUP BY party",
+    "e7_approximate_median": "SELECT party, quantile_disc(age, 0.5) AS median_age FROM cln GROUP BY party",
     "e8_ordered_mode": """
 SELECT gender, mode() WITHIN GROUP (ORDER BY state_code) AS most_common_state
 FROM cln GROUP BY gender""",
@@ -364,6 +388,7 @@ SELECT * FROM (SELECT count(*) AS raw_count FROM raw), (SELECT count(*) AS stage
     "s3_last_months": """
 SELECT registration_month, new_registrations, moving_avg_registrations FROM trends
 ORDER BY registration_month DESC LIMIT 6""",
+    "s4_limit_preview": "SELECT * FROM cln ORDER BY voter_id, email LIMIT 5",
     "s4_state_preview": """
 SELECT state_code, total_voters, democrat_pct, republican_pct FROM states
 ORDER BY total_voters DESC""",
@@ -393,10 +418,8 @@ FROM (SELECT (SELECT count(*) FROM cln) AS count_a, (SELECT count(*) FROM stg2)
 SELECT * FROM (SELECT max(registration_month) AS most_recent,
  CAST(DATE '{AS_OF}' - INTERVAL 1 MONTH AS DATE) AS threshold FROM trends)
 WHERE most_recent < threshold""",
-    "j8_check_report": """
-SELECT check_name, 'warn' AS severity, failures, if(failures > 0, 'warn', 'pass') AS status FROM ("""
-    + " UNION ALL ".join(f"SELECT '{n}' AS check_name, ({q}) AS failures" for n, q in CHECKS.items())
-    + ")",
+    "j8_check_report": report(CHECKS),
+    "j8_check_report_repeated": report(CHECKS_REPEATED),
     "j9_threshold_rules": """
 SELECT rule, level FROM (
  SELECT 'missing_data' AS rule,
@@ -406,8 +429,9 @@ SELECT rule, level FROM (
 WHERE level IS NOT NULL""",
     "k1_overview_kpis": f"""
 SELECT total_voters, active_voters_2024, {pct("active_voters_2024", "total_voters")} AS active_pct,
- states_represented, avg_age
-FROM (SELECT CAST(sum(total_voters) AS BIGINT) AS total_voters, round(avg(avg_age), 1) AS avg_age
+ states_represented, avg_age, avg_age_weighted
+FROM (SELECT CAST(sum(total_voters) AS BIGINT) AS total_voters, round(avg(avg_age), 1) AS avg_age,
+ round(sum(total_voters * avg_age) / sum(if(avg_age IS NULL, 0, total_voters)), 1) AS avg_age_weighted
  FROM parties), (SELECT CAST(sum(voter_count) FILTER (WHERE voter_status = 'active_2024') AS BIGINT)
  AS active_voters_2024 FROM engagement),
  (SELECT count(DISTINCT state_code) AS states_represented FROM states)""",

@@ -126,6 +126,11 @@ def _(r):
     return keys.key_violations(r.base.unionByName(r.extract))
 
 
+@query("a7_key_guard_dedupe")
+def _(r):
+    return keys.key_guard(r.base.unionByName(r.extract), r.base, mode="dedupe")
+
+
 @query("a8_append_sink")
 def _(r):
     wh = r.warehouse()
@@ -167,10 +172,11 @@ def _(r):
 @query("a14_materialize_layer")
 def _(r):
     wh = r.warehouse()
-    folder = wh.folder(wh.intermediate, "voters_cleaned")
     for version in (layers.clean(layers.stage(fixture.base_batch(r.raw)), RUN_TS), r.cleaned):
-        warehouse.publish(r.spark, version, wh.cleaned_table, folder)
-    return r.spark.table(wh.cleaned_table)
+        warehouse.publish(r.spark, wh, version, wh.intermediate, warehouse.CLEANED)
+    later = warehouse.Warehouse(wh.root, prefix=f"later_{wh.prefix}")
+    warehouse.ensure_tables(r.spark, later)
+    return r.spark.table(later.cleaned_table)
 
 
 @query("a15_raw_count")
@@ -479,6 +485,11 @@ def _(r):
     return aggregates.exact_median(r.cleaned, ["party"], "age", "median_age")
 
 
+@query("e7_approximate_median")
+def _(r):
+    return aggregates.approximate_median(r.cleaned, ["party"], "age", "median_age")
+
+
 @query("e8_ordered_mode")
 def _(r):
     return aggregates.ordered_mode(r.cleaned, ["gender"], "state_code", "most_common_state")
@@ -669,6 +680,12 @@ def _(r):
     return quality.check_report(r.staged, r.cleaned, r.mart("registration_trends"), AS_OF)
 
 
+@query("j8_check_report_repeated")
+def _(r):
+    again = layers.clean(r.doubled, RUN_TS)
+    return quality.check_report(r.doubled, again, r.mart("registration_trends"), AS_OF)
+
+
 @query("j9_threshold_rules")
 def _(r):
     return quality.threshold_rules(r.dq)
@@ -738,9 +755,10 @@ def _(r):
 def _(r):
     wh = r.warehouse()
     name = "engagement_metrics"
-    folder = wh.folder(wh.marts, warehouse.MART_TABLES[name])
-    warehouse.publish(r.spark, r.mart(name), wh.mart_table(name), folder)
-    return warehouse.read_mart(r.spark, wh, name, order=marts.mart_order(name))
+    warehouse.publish(r.spark, wh, r.mart(name), wh.marts, warehouse.MART_TABLES[name])
+    later = warehouse.Warehouse(wh.root, prefix=f"later_{wh.prefix}")
+    warehouse.ensure_tables(r.spark, later)
+    return warehouse.read_mart(r.spark, later, name, order=marts.mart_order(name))
 
 
 # --- stream -------------------------------------------------------------------------

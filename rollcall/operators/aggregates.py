@@ -37,7 +37,19 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(*keys, value).agg(F.count("*").alias(RECORDS))
 
 
+def approximate_median(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, accuracy: int = 10_000
+) -> DataFrame:
+    """An element near the median, of relative error 1 / accuracy, in memory of that size.
+
+    For values of a wide domain, where the exact median would hold them all. It is never
+    chosen by size; the caller asks for it.
+    """
+    return df.groupBy(*keys).agg(F.percentile_approx(value, 0.5, accuracy).alias(name))
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """Holds the distinct values of a group in one task: for short domains such as ages."""
     return value_counts(df, keys, value).groupBy(*keys).agg(weighted_median(value, RECORDS).alias(name))
 
 

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall import functions as R
+from rollcall.operators.predicates import filter_null_key
 from rollcall.schema import MAX_AGE, MIN_AGE
 
 
 def stage(raw: DataFrame) -> DataFrame:
     """Drop rows without a key, trim the text, cast the age; dates stay text."""
-    return raw.where(F.col("id").isNotNull()).select(
+    return filter_null_key(raw).select(
         R.trim_text("id").alias("voter_id"),
         R.trim_text("first_name").alias("first_name"),
         R.trim_text("last_name").alias("last_name"),

@@ -97,11 +97,6 @@ class RowCheck:
     severity: str = "warn"
 
 
-def row_check_totals(df: DataFrame, checks: Sequence[RowCheck], rows: str) -> DataFrame:
-    """Failing rows of every check in one pass, one column per check, and all rows."""
-    return df.agg(*(F.count_if(c.fails).alias(c.name) for c in checks), F.count("*").alias(rows))
-
-
 def staged_checks() -> list[RowCheck]:
     return [
         RowCheck("staged_not_null_voter_id", F.col("voter_id").isNull()),
@@ -123,26 +118,39 @@ def cleaned_checks(as_of: Column | str | dt.date) -> list[RowCheck]:
     ]
 
 
+def layer_totals(df: DataFrame, checks: Sequence[RowCheck], layer: str) -> DataFrame:
+    """One row: failing rows of every check, repeated keys and all rows of a layer.
+
+    Counters are added up per key, map-side first, and then over the keys: one scan and one
+    shuffle for the row checks and the key check together.
+    """
+    by_key = df.groupBy("voter_id").agg(
+        *(F.count_if(c.fails).alias(c.name) for c in checks), F.count("*").alias("n_records")
+    )
+    repeated = F.col("voter_id").isNotNull() & (F.col("n_records") > 1)
+    return by_key.agg(
+        *(F.coalesce(F.sum(c.name), F.lit(0)).alias(c.name) for c in checks),
+        F.count_if(repeated).alias(f"{layer}_unique_voter_id"),
+        F.coalesce(F.sum("n_records"), F.lit(0)).alias(f"{layer}_rows"),
+    )
+
+
 def check_report(
     staged: DataFrame, cleaned: DataFrame, trends: DataFrame, as_of: Column | str | dt.date
 ) -> DataFrame:
     """Every configured check as ``(check_name, severity, failures, status)``.
 
-    Checks on the rows of one layer and its row count share a single pass; only the two
-    key checks shuffle, and they shuffle per-key counts.
+    Each layer is scanned once; its only shuffle carries counters per key.
     """
     on_staged, on_cleaned = staged_checks(), cleaned_checks(as_of)
     severity = {c.name: c.severity for c in on_staged + on_cleaned}
-    keyed = {
-        "staged_unique_voter_id": unique_failures(staged, "voter_id"),
-        "cleaned_unique_voter_id": unique_failures(cleaned, "voter_id"),
-        "trends_recency_registration_month": recency_failures(trends, as_of),
-    }
+    recency = "trends_recency_registration_month"
+    keyed = ["staged_unique_voter_id", "cleaned_unique_voter_id", recency]
     severity |= dict.fromkeys([*keyed, "cleaned_equal_rowcount"], "warn")
     totals = one_row(
-        row_check_totals(staged, on_staged, "staged_rows"),
-        row_check_totals(cleaned, on_cleaned, "cleaned_rows"),
-        *(rows.agg(F.count("*").alias(name)) for name, rows in keyed.items()),
+        layer_totals(staged, on_staged, "staged"),
+        layer_totals(cleaned, on_cleaned, "cleaned"),
+        recency_failures(trends, as_of).agg(F.count("*").alias(recency)),
     ).withColumn("cleaned_equal_rowcount", F.abs(F.col("cleaned_rows") - F.col("staged_rows")))
     lines = totals.select(*severity).unpivot([], list(severity), "check_name", "failures")
     level = F.coalesce(

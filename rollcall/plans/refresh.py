@@ -9,20 +9,24 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.operators.keys import key_guard
+from rollcall.operators.keys import key_guard, load_unseen_keys
 from rollcall.plans.layers import clean, stage
 from rollcall.plans.marts import MARTS, dq_summary
+from rollcall.plans.quality import check_report
 from rollcall.schema import MAX_AGE, MIN_AGE
+from rollcall.session import new_scratch_path
 from rollcall.sources.csv import csv_scan
 from rollcall.sources.fingerprint import content_fingerprint
-from rollcall.sources.ledger import audit_record, last_hash, stamp_batch
+from rollcall.sources.ledger import audit_record, change_gate, stamp_batch
 from rollcall.sources.warehouse import (
+    CLEANED,
     MART_TABLES,
     Warehouse,
     append_rows,
     bucket_count,
     ensure_tables,
     publish,
+    read_mart,
 )
 
 
@@ -43,10 +47,15 @@ def load_batch(spark: SparkSession, wh: Warehouse, stamped: DataFrame) -> None:
     raw = spark.table(wh.raw_table)
     loadable = key_guard(stamped, raw)
     placed = loadable.repartition(bucket_count(spark, wh.raw_table), "id")
-    unseen = placed.join(raw.select("id"), "id", "left_anti")
+    unseen = load_unseen_keys(placed, raw, nullable=False)
     append_rows(spark, unseen, wh.raw_table)
 
 
+def read_staged(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """The staged layer over the raw table. It is not stored, so any session can read it."""
+    return stage(spark.table(wh.raw_table))
+
+
 def rebuild_layers(
     spark: SparkSession,
     wh: Warehouse,
@@ -60,17 +69,19 @@ def rebuild_layers(
     uses the cores that another leaves idle at the end of a stage.
     """
     raw = spark.table(wh.raw_table)
-    staged = stage(raw)
+    staged = read_staged(spark, wh)
     staged.createOrReplaceTempView(f"{wh.prefix}staging_voters")
     cleaned = publish(
         spark,
+        wh,
         clean(staged, run_ts, min_age, max_age),
-        wh.cleaned_table,
-        wh.folder(wh.intermediate, "voters_cleaned"),
+        wh.intermediate,
+        CLEANED,
     )
+
     def publish_mart(name: str) -> None:
         mart = MARTS[name](cleaned) if name in MARTS else dq_summary(raw, staged, cleaned)
-        publish(spark, mart, wh.mart_table(name), wh.folder(wh.marts, MART_TABLES[name]))
+        publish(spark, wh, mart, wh.marts, MART_TABLES[name])
 
     with ThreadPoolExecutor(len(MART_TABLES)) as pool:
         for done in [
@@ -89,21 +100,37 @@ def run_refresh(
     multi_line: bool | None = None,
     min_age: int = MIN_AGE,
     max_age: int = MAX_AGE,
+    buckets: int | None = None,
 ) -> RunResult:
-    """One run over an extract.
+    """One run over an extract, which is parsed once, into scratch parquet.
+
+    Fingerprint and record count read that copy; the guard reads its keys, and the load
+    its rows. ``buckets`` is the raw table's, for the run that creates it.
 
     An extract equal to the latest recorded one is skipped and leaves no ledger row. The
     ledger row is written last: a run that fails before it leaves the gate open, and the
     next one loads nothing twice. One run at a time per warehouse.
     """
-    extract = csv_scan(spark, source, multi_line)
-    profile = content_fingerprint(extract).first()
-    file_hash, rows = profile["file_hash"], profile["file_row_count"]
-    ensure_tables(spark, wh)
-    if last_hash(spark, wh.ledger_table) == file_hash:
+    ensure_tables(spark, wh, buckets)
+    parsed = new_scratch_path(spark, "parsed")
+    csv_scan(spark, source, multi_line).write.parquet(parsed)
+    extract = spark.read.parquet(parsed)
+    profile = content_fingerprint(extract)
+    gate = change_gate(profile, spark.table(wh.ledger_table)).first()
+    file_hash, rows = gate["file_hash"], gate["file_row_count"]
+    if not gate["is_new"]:
         return RunResult(file_hash, rows, loaded=False)
     load_batch(spark, wh, stamp_batch(extract, run_ts, file_hash))
     rebuild_layers(spark, wh, run_ts, min_age, max_age)
     record = audit_record(spark.table(wh.raw_table), file_hash, source, rows, run_ts, run_id)
     append_rows(spark, record, wh.ledger_table)
     return RunResult(file_hash, rows, loaded=True)
+
+
+def run_checks(
+    spark: SparkSession, wh: Warehouse, as_of: dt.date | str
+) -> DataFrame:
+    """The check report over the published tables of a warehouse, in this or a later session."""
+    ensure_tables(spark, wh)
+    trends = read_mart(spark, wh, "registration_trends")
+    return check_report(read_staged(spark, wh), spark.table(wh.cleaned_table), trends, as_of)

@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall import functions as R
@@ -66,17 +66,25 @@ def last_months(trends: DataFrame, n: int = LAST_MONTHS) -> DataFrame:
     return top_rows(trends.select(*MONTH_COLUMNS), n, descending("registration_month"))
 
 
-def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
-    return df.limit(n)
+def preview(
+    df: DataFrame, n: int = PREVIEW_ROWS, key: str = "voter_id", tie: Sequence[str] = ("email",)
+) -> DataFrame:
+    """The first rows by key, so that a repeated look shows the same rows."""
+    return top_rows(df, n, ascending(key), *(ascending(c) for c in tie))
 
 
 def overview_kpis(parties: DataFrame, engagement: DataFrame, states: DataFrame) -> DataFrame:
-    """Headline numbers, to one decimal. The average age is the mean of the party means."""
+    """Headline numbers, to one decimal. ``avg_age`` is the mean of the party means,
+    ``avg_age_weighted`` weighs them by the parties' people."""
     active = F.when(F.col("voter_status") == "active_2024", F.col("voter_count"))
+    people = F.when(F.col("avg_age").isNotNull(), F.col("total_voters"))
     totals = one_row(
         parties.agg(
             F.sum("total_voters").alias("total_voters"),
             R.round_half_away(F.avg("avg_age"), 1).alias("avg_age"),
+            R.round_half_away(F.sum(people * F.col("avg_age")) / F.sum(people), 1).alias(
+                "avg_age_weighted"
+            ),
         ),
         engagement.agg(F.coalesce(F.sum(active), F.lit(0)).alias("active_voters_2024")),
         states.agg(F.count_distinct("state_code").alias("states_represented")),
@@ -87,13 +95,15 @@ def overview_kpis(parties: DataFrame, engagement: DataFrame, states: DataFrame)
         R.pct_of("active_voters_2024", "total_voters").alias("active_pct"),
         "states_represented",
         "avg_age",
+        "avg_age_weighted",
     )
 
 
 def party_share(parties: DataFrame) -> DataFrame:
-    total = parties.agg(F.sum("total_voters")).scalar()
-    return parties.select(
-        "party", "total_voters", R.pct_of(F.col("total_voters"), total).alias("share_pct")
+    """The window runs over the party rows, so a mart that is not stored is built once."""
+    total = F.sum("total_voters").over(Window.partitionBy())
+    return parties.select("party", "total_voters", total.alias("total")).select(
+        "party", "total_voters", R.pct_of("total_voters", "total").alias("share_pct")
     )
 
 

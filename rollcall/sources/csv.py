@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,17 +18,29 @@ CSV_OPTIONS = {
     "enforceSchema": "false",
     "mode": "FAILFAST",
     "encoding": "UTF-8",
+    # Every record is parsed whole, so a count refuses what reading the rows would refuse.
+    "columnPruning": "false",
 }
 
+# A line whose last field opens with a quote that is not closed in it. The quantifiers are
+# possessive, so a line is read once.
+OPEN_QUOTE = r'^(?:(?:"(?:[^"]|"")*+"|[^",][^,]*+)?+,)*+"(?:[^"]|"")*+$'
+
+
+def _plain(uri: str) -> str:
+    """A file's name as readers take it: not encoded, and one spelling of local files."""
+    return re.sub("^file:/+", "file:/", unquote(uri))
+
 
-def spans_lines(spark: SparkSession, path: str | list[str]) -> bool:
-    """Whether any record runs over a line end.
+def files_spanning_lines(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files in which some record runs over a line end.
 
-    Such a record leaves a quote open on its first line, so that line holds an odd number
-    of quotes. The lines are counted in parallel; the first hit ends the search.
+    The first line of such a record leaves a quoted field open. Quotes inside a field that
+    does not open with one, such as 5' 6", do not count. Lines are matched in parallel, and
+    each file is named once.
     """
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    lines = spark.read.text(path).where(F.col("value").rlike(OPEN_QUOTE))
+    return sorted(_plain(r[0]) for r in lines.select(F.col("_metadata.file_path")).distinct().collect())
 
 
 def csv_scan(
@@ -34,13 +49,21 @@ def csv_scan(
     """The 11 columns as text, taken by header name; empty fields are NULL.
 
     Nothing is inferred: '007' and '01/02/2024' stay as they are. A file is divided over
-    many tasks unless a record spans lines, which is looked up when ``multi_line`` is not
-    given; then each file is one task, so large extracts should come as many files.
+    many tasks unless a record in it spans lines, which is looked up file by file when
+    ``multi_line`` is not given; such a file is one task, so deliver them in moderate sizes.
     """
-    if multi_line is None:
-        multi_line = spans_lines(spark, path)
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
-    return reader.csv(path).select(*RAW_COLUMNS)
+    def read(files: str | list[str], whole: bool) -> DataFrame:
+        reader = spark.read.options(**CSV_OPTIONS).option("multiLine", whole)
+        return reader.csv(files).select(*RAW_COLUMNS)
+
+    if multi_line is not None:
+        return read(path, multi_line)
+    spanning = files_spanning_lines(spark, path)
+    if not spanning:
+        return read(path, False)
+    others = sorted(set(map(_plain, spark.read.text(path).inputFiles())) - set(spanning))
+    whole = read(spanning, True)
+    return whole.unionByName(read(others, False)) if others else whole
 
 
 def csv_stream(
@@ -48,9 +71,13 @@ def csv_stream(
     folder: str,
     columns: list[str] | None = None,
     max_files: int | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """New files of a drop folder as a stream. ``columns`` is their header order."""
+    """New files of a drop folder as a stream. ``columns`` is their header order.
+
+    With ``multi_line`` records may span lines and each file is one task; without it a
+    record that does is refused.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns or RAW_COLUMNS])
     reader = spark.readStream.options(**CSV_OPTIONS).option("multiLine", multi_line).schema(schema)
     if max_files:

@@ -25,9 +25,10 @@ def content_fingerprint(
 
     Sixty bits of every row digest are summed, so each task contributes a partial sum and
     neither the order of the records nor their division into files matters. Repeated
-    records do count. The sum is a DECIMAL: BIGINT would overflow after a few rows.
+    records do count. The sum is a DECIMAL(38,0): BIGINT would overflow after a few rows, and
+    sixty bits leave room for 10^19 records.
     """
-    number = F.conv(F.substring(row_digest(columns), 1, DIGITS), 16, 10).cast("decimal(20,0)")
+    number = F.conv(F.substring(row_digest(columns), 1, DIGITS), 16, 10).cast("decimal(28,0)")
     summed = extract.select(number.alias("number")).agg(
         F.count("*").alias("file_row_count"),
         F.coalesce(F.sum("number"), F.lit(0)).cast("string").alias("total"),

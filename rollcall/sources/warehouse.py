@@ -1,13 +1,15 @@
 """Where the layers live, and how tables are created, published and read.
 
-All tables are parquet at known folders and registered in the session catalog, so a later
-session (or one without a shared catalog) finds the data again.
+All tables are parquet at known folders and registered in the session catalog. What a later
+session needs to find them again, without a shared catalog, is kept under the warehouse root:
+the bucket count of the raw table, and which version of a published table is live.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from rollcall.schema import LEDGER_SCHEMA, RAW_SCHEMA
@@ -43,13 +45,22 @@ class Warehouse:
 
     @property
     def cleaned_table(self) -> str:
-        return self.table(self.intermediate, "voters_cleaned")
+        return self.table(self.intermediate, CLEANED)
+
+    @property
+    def layout_folder(self) -> str:
+        return self.folder(self.metadata, "raw_layout")
+
+    @property
+    def versions_folder(self) -> str:
+        return self.folder(self.metadata, "published_versions")
 
     def mart_table(self, name: str) -> str:
         return self.table(self.marts, MART_TABLES[name])
 
 
-# Table names of the marts.
+# Table names of the cleaned layer and of the marts.
+CLEANED = "voters_cleaned"
 MART_TABLES = {
     "state_summary": "voter_state_summary",
     "party_distribution": "voter_party_distribution",
@@ -60,15 +71,67 @@ MART_TABLES = {
 }
 
 
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _create(
     spark: SparkSession, table: str, columns: str, folder: str, layout: str = ""
 ) -> None:
+    listed = f"({columns})" if columns else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {layout} "
-        f"LOCATION '{folder}'"
+        f"CREATE TABLE IF NOT EXISTS {table} {listed} USING parquet {layout} "
+        f"LOCATION '{_quoted(folder)}'"
     )
 
 
+def _stored(spark: SparkSession, folder: str, schema: str) -> list:
+    """Rows of a small table under the warehouse root; none where it is not written yet."""
+    try:
+        return spark.read.schema(schema).parquet(folder).collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def raw_buckets(spark: SparkSession, wh: Warehouse, wanted: int | None) -> int:
+    """The bucket count of the raw table, fixed by the first session and kept under the root.
+
+    Files of one count read with another would put keys in the wrong bucket, so a table
+    found without its count, or wanted with another, is refused.
+    """
+    stored = _stored(spark, wh.layout_folder, LAYOUT)
+    if stored:
+        kept = stored[0]["buckets"]
+        if wanted not in (None, kept):
+            raise ValueError(f"the raw table has {kept} buckets, not {wanted}")
+        return kept
+    if spark.catalog.tableExists(wh.raw_table):
+        kept = bucket_count(spark, wh.raw_table)
+        if wanted not in (None, kept):
+            raise ValueError(f"the raw table has {kept} buckets, not {wanted}")
+    elif wanted is None and _holds_rows(spark, wh.folder(wh.raw, "voters")):
+        raise ValueError("the raw table's bucket count is not known: give buckets")
+    else:
+        kept = wanted or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.createDataFrame([(kept,)], LAYOUT).coalesce(1).write.parquet(wh.layout_folder)
+    return kept
+
+
+def _holds_rows(spark: SparkSession, folder: str) -> bool:
+    try:
+        return not spark.read.schema(RAW_SCHEMA).parquet(folder).select("id").isEmpty()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
+LAYOUT = "buckets int"
+VERSIONS = "namespace string, name string, version int, folder string"
+
+
 def _columns(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -78,16 +141,17 @@ def ensure_tables(spark: SparkSession, wh: Warehouse, buckets: int | None = None
 
     The raw table is partitioned by batch, so counting a batch reads one partition, and
     bucketed by the key, so the search for unseen keys shuffles the batch and never the
-    table. ``buckets`` is fixed at creation and defaults to the shuffle partitions of the
-    session; size it for the table, at roughly a gigabyte of keys per bucket.
+    table. ``buckets`` is fixed at creation, kept under the root, and defaults to the
+    shuffle partitions of the first session; size it for the table, at roughly a gigabyte
+    of keys per bucket. Published tables are attached at their live versions.
     """
     for namespace in (wh.raw, wh.metadata, wh.intermediate, wh.marts):
         spark.sql(
             f"CREATE DATABASE IF NOT EXISTS {wh.namespace(namespace)} "
-            f"LOCATION '{wh.root}/{namespace}'"
+            f"LOCATION '{_quoted(wh.root)}/{namespace}'"
         )
+    buckets = raw_buckets(spark, wh, buckets)
     if not spark.catalog.tableExists(wh.raw_table):
-        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         layout = f"PARTITIONED BY (source_file_hash) CLUSTERED BY (id) INTO {buckets} BUCKETS"
         folder = wh.folder(wh.raw, "voters")
         _create(spark, wh.raw_table, _columns(RAW_SCHEMA), folder, layout)
@@ -97,6 +161,11 @@ def ensure_tables(spark: SparkSession, wh: Warehouse, buckets: int | None = None
         spark.sql(f"ALTER TABLE {wh.raw_table} RECOVER PARTITIONS")
     folder = wh.folder(wh.metadata, "voter_ingestion_audit")
     _create(spark, wh.ledger_table, _columns(LEDGER_SCHEMA), folder)
+    for namespace, name, _, place in live_versions(spark, wh).values():
+        table = wh.table(namespace, name)
+        if spark.catalog.tableExists(table) and table_detail(spark, table, "Location") != place:
+            spark.sql(f"DROP TABLE {table}")  # another session has published since
+        _create(spark, table, "", place)
 
 
 def table_detail(spark: SparkSession, table: str, field: str) -> str | None:
@@ -113,18 +182,33 @@ def append_rows(spark: SparkSession, rows: DataFrame, table: str) -> None:
     rows.select(*spark.table(table).columns).write.insertInto(table)
 
 
-def publish(spark: SparkSession, df: DataFrame, table: str, folder: str) -> DataFrame:
+def live_versions(spark: SparkSession, wh: Warehouse) -> dict[tuple[str, str], tuple]:
+    """The newest recorded version of every published table."""
+    newest: dict[tuple[str, str], tuple] = {}
+    for row in sorted(_stored(spark, wh.versions_folder, VERSIONS), key=lambda r: r["version"]):
+        newest[row["namespace"], row["name"]] = tuple(row)[:4]
+    return newest
+
+
+def publish(
+    spark: SparkSession, wh: Warehouse, df: DataFrame, namespace: str, name: str
+) -> DataFrame:
     """Full refresh of a table: write beside the live version, then switch to it.
 
-    Two folders take turns, so readers keep a whole version, a failed write changes
-    nothing, and at most one old version stays on disk.
+    Two folders take turns and a record under the root says which is live, so readers keep
+    a whole version, a failed write changes nothing in this session or a later one, and at
+    most one old version stays on disk. One writer at a time per table.
     """
-    exists = spark.catalog.tableExists(table)
-    live = table_detail(spark, table, "Location") if exists else ""
-    path = f"{folder}/{'b' if live.endswith('/a') else 'a'}"
+    table = wh.table(namespace, name)
+    # Records are in a folder per table, so tables are published at the same time.
+    records = f"{wh.versions_folder}/of={namespace}.{name}"
+    version = 1 + max((r["version"] for r in _stored(spark, records, VERSIONS)), default=0)
+    path = f"{wh.folder(namespace, name)}/{'ba'[version % 2]}"
     df.write.mode("overwrite").parquet(path)
-    if exists and spark.table(table).dtypes == df.dtypes:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    record = spark.createDataFrame([(namespace, name, version, path)], VERSIONS).coalesce(1)
+    record.write.mode("append").parquet(records)
+    if spark.catalog.tableExists(table) and spark.table(table).dtypes == df.dtypes:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(path)}'")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         _create(spark, table, _columns(df.schema), path)

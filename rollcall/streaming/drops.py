@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rollcall.plans.refresh import load_batch
+from rollcall.session import new_scratch_path
 from rollcall.sources.csv import csv_stream
 from rollcall.sources.fingerprint import content_fingerprint
 from rollcall.sources.ledger import audit_record, stamp_batch
@@ -49,19 +50,26 @@ def stream_load_unseen(
     run_ts: str,
     columns: list[str] | None = None,
     max_files: int | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Load every file dropped since the last run, then stop.
 
+    A micro-batch is parsed once, into scratch parquet, which the fingerprint, the guard
+    and the load read.
+
     A file that is rewritten under its old name is not seen again by a file stream; that
     case belongs to ``run_refresh``.
     """
-    ensure_tables(spark, wh)
+    ensure_tables(spark, wh, buckets)
     stream_id = uuid.uuid5(uuid.NAMESPACE_URL, f"{checkpoint}|{folder}")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         ingestion_id = str(uuid.uuid5(stream_id, str(batch_id)))
-        load_micro_batch(batch.sparkSession, wh, batch, run_ts, folder, ingestion_id)
+        session = batch.sparkSession
+        parsed = new_scratch_path(session, "parsed")
+        batch.write.parquet(parsed)
+        load_micro_batch(session, wh, session.read.parquet(parsed), run_ts, folder, ingestion_id)
 
     source = csv_stream(spark, folder, columns, max_files, multi_line)
     return (

@@ -49,7 +49,7 @@ def test_csv_is_read_as_written(spark, tmp_path):
         + ' 8 ,"two\nlines",Roe,,,,,,,,\n'
     )
     path = write_csv(tmp_path, lines)
-    assert csv.spans_lines(spark, path)
+    assert [f.rpartition("/")[2] for f in csv.files_spanning_lines(spark, path)] == ["x.csv"]
     rows = {r.id: r for r in csv.csv_scan(spark, path).collect()}
     assert set(rows) == {"007", " 8 "}
     first = rows["007"]
@@ -62,7 +62,7 @@ def test_csv_is_read_as_written(spark, tmp_path):
 def test_columns_are_taken_by_name(spark, tmp_path):
     names = [*reversed(RAW_COLUMNS), "extra"]
     path = write_csv(tmp_path, ",".join(names) + "\n" + ",".join(names) + "\n")
-    assert not csv.spans_lines(spark, path)
+    assert not csv.files_spanning_lines(spark, path)
     assert list(csv.csv_scan(spark, path).first()) == list(RAW_COLUMNS)
 
 
@@ -72,6 +72,27 @@ def test_a_record_with_missing_fields_is_refused(spark, tmp_path):
         csv.csv_scan(spark, path).collect()
 
 
+def test_a_count_refuses_what_reading_the_rows_refuses(spark, tmp_path):
+    path = write_csv(tmp_path, HEADER + "1" + "," * 10 + "\n" + "2,a,b\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv.source_row_count(csv.csv_scan(spark, path)).collect()
+    good = write_csv(tmp_path, HEADER + ("1" + "," * 10 + "\n") * 3, "y.csv")
+    assert csv.source_row_count(csv.csv_scan(spark, good)).first()[0] == csv.csv_scan(spark, good).count() == 3
+
+
+def test_only_files_with_records_over_lines_lose_splitting(spark, tmp_path):
+    folder = tmp_path / "drop"
+    folder.mkdir()
+    row = lambda i, name: f"{i},{name}" + "," * 9 + "\n"
+    write_csv(folder, HEADER + row(1, "5' 6\"") + row(2, '"quoted ""x"" y"'), "stray.csv")
+    # An even number of quotes on its first line, and still open there.
+    write_csv(folder, HEADER + row(3, '"two ""a"" and ""\nlines"'), "open.csv")
+    write_csv(folder, HEADER + row(4, "plain"), "plain.csv")
+    assert [f.rpartition("/")[2] for f in csv.files_spanning_lines(spark, str(folder))] == ["open.csv"]
+    rows = {r.id: r.first_name for r in csv.csv_scan(spark, str(folder)).collect()}
+    assert rows == {"1": "5' 6\"", "2": 'quoted "x" y', "3": 'two "a" and "\nlines', "4": "plain"}
+
+
 def test_a_missing_file_is_refused(spark):
     with pytest.raises(AnalysisException):
         csv.csv_scan(spark, "/no/such/extract.csv")
@@ -127,6 +148,54 @@ def test_a_repeated_known_key_is_harmless(spark, wh):
     assert loaded(spark, wh) == [("1", "A"), ("2", "A")]
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_another_shuffle_setting_loads_nothing_twice(spark, threshold):
+    """A later session without a shared catalog finds the bucket count under the root."""
+    root = new_scratch_path(spark, "wh")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    ids = list(map(str, range(200)))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for n, partitions in enumerate(("4", "7")):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            house = warehouse.Warehouse(root, prefix=f"s{n}{threshold.strip('-')}{root[-6:]}_")
+            warehouse.ensure_tables(spark, house)
+            load(spark, house, people(spark, *ids, name=f"run{n}"), f"h{n}")
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert warehouse.bucket_count(spark, house.raw_table) == 4
+    assert loaded(spark, house) == sorted((i, "run0") for i in ids)
+    with pytest.raises(ValueError, match="4 buckets"):
+        warehouse.ensure_tables(spark, house, buckets=9)
+
+
+def test_bucket_count_is_passed_on(spark, tmp_path):
+    root = new_scratch_path(spark, "wh")
+    house = warehouse.Warehouse(root, prefix=f"b{root[-8:]}_")
+    path = str(tmp_path / "x")
+    csv.write_extract(people(spark, "1"), path)
+    refresh.run_refresh(spark, house, path, TIMES[0], buckets=3)
+    assert warehouse.bucket_count(spark, house.raw_table) == 3
+
+
+def test_files_without_their_bucket_count_are_refused(spark):
+    root = new_scratch_path(spark, "wh")
+    house = warehouse.Warehouse(root, prefix=f"n{root[-8:]}_")
+    rows = ledger.stamp_batch(people(spark, "1"), TIMES[0], "h1")
+    rows.write.partitionBy("source_file_hash").parquet(house.folder(house.raw, "voters"))
+    with pytest.raises(ValueError, match="bucket count"):
+        warehouse.ensure_tables(spark, house)
+
+
+def test_a_batch_can_be_deduped(spark, wh):
+    rows = people(spark, "1", "2", None, name="B").unionByName(people(spark, "1", "3", None))
+    got = sorted((r.id, r.first_name) for r in keys.key_guard(rows, people(spark), mode="dedupe").collect())
+    assert got == [("1", "A"), ("2", "B"), ("3", "A")]
+    with pytest.raises(ValueError, match="unknown mode"):
+        keys.key_guard(rows, people(spark), mode="x")
+
+
 def test_raw_layout(spark, wh):
     load(spark, wh, people(spark, *map(str, range(200))), "h1")
     files = glob.glob(f"{wh.folder(wh.raw, 'voters')}/source_file_hash=h1/*.parquet")
@@ -194,27 +263,54 @@ def test_gate_on_an_empty_ledger(spark, wh):
 
 
 def test_publish_switches_between_two_folders(spark, wh):
-    folder, table = wh.folder(wh.marts, "x"), wh.table(wh.marts, "x")
+    table = wh.table(wh.marts, "x")
     places = []
     created = None
     for n in range(1, 5):
-        got = warehouse.publish(spark, spark.range(n).toDF("n"), table, folder)
+        got = warehouse.publish(spark, wh, spark.range(n).toDF("n"), wh.marts, "x")
         created = created or warehouse.table_detail(spark, table, "Created Time")
         assert warehouse.table_detail(spark, table, "Created Time") == created  # never dropped
         places.append(warehouse.table_detail(spark, table, "Location")[-1])
         assert got.count() == n
     assert places == ["a", "b", "a", "b"]
-    wider = warehouse.publish(spark, spark.range(2).selectExpr("id", "id AS m"), table, folder)
+    wider = warehouse.publish(spark, wh, spark.range(2).selectExpr("id", "id AS m"), wh.marts, "x")
     assert wider.columns == ["id", "m"]
 
 
 def test_a_failed_publish_keeps_the_old_version(spark, wh):
-    folder, table = wh.folder(wh.marts, "y"), wh.table(wh.marts, "y")
-    warehouse.publish(spark, spark.range(3).toDF("n"), table, folder)
+    warehouse.publish(spark, wh, spark.range(3).toDF("n"), wh.marts, "y")
     broken = spark.range(3).select(F.raise_error(F.lit("lost")).cast("bigint").alias("n"))
-    with pytest.raises(Exception, match="lost"):
-        warehouse.publish(spark, broken, table, folder)
-    assert spark.table(table).count() == 3
+    later = warehouse.Warehouse(wh.root, prefix=f"later{wh.prefix}")
+    for house in (wh, later):  # in this session, and in one that only has the root
+        warehouse.ensure_tables(spark, house)
+        with pytest.raises(Exception, match="lost"):
+            warehouse.publish(spark, house, broken, wh.marts, "y")
+        assert spark.table(house.table(wh.marts, "y")).count() == 3
+    warehouse.publish(spark, later, spark.range(5).toDF("n"), wh.marts, "y")
+    warehouse.ensure_tables(spark, wh)
+    assert spark.table(wh.table(wh.marts, "y")).count() == 5
+
+
+def test_a_later_session_reads_every_layer_and_checks_it(spark, wh, tmp_path):
+    path = str(tmp_path / "all")
+    csv.write_extract(fixture.extract(spark, SF_DIR), path)
+    refresh.run_refresh(spark, wh, path, TIMES[0])
+    later = warehouse.Warehouse(wh.root, prefix=f"later{wh.prefix}")
+    report = {r.check_name: r.failures for r in refresh.run_checks(spark, later, fixture.AS_OF).collect()}
+    assert len(report) == 12 and report["staged_unique_voter_id"] == 0 and report["cleaned_equal_rowcount"] == 0
+    assert refresh.read_staged(spark, later).count() == spark.table(later.cleaned_table).count() == 150
+    for name in warehouse.MART_TABLES:
+        mine, theirs = (sorted(map(str, warehouse.read_mart(spark, w, name).collect())) for w in (wh, later))
+        assert mine == theirs and (mine or name == "demographic_crosstab")  # its small cells are left out
+
+
+def test_a_folder_with_a_quote_in_its_name(spark, tmp_path):
+    house = warehouse.Warehouse(f"{tmp_path}/it's", prefix=f"q{tmp_path.name[-6:].replace('-', '_')}_")
+    warehouse.ensure_tables(spark, house)
+    load(spark, house, people(spark, "1"), "h1")
+    warehouse.publish(spark, house, spark.range(2).toDF("n"), house.marts, "x")
+    warehouse.publish(spark, house, spark.range(3).toDF("n"), house.marts, "x")
+    assert loaded(spark, house) == [("1", "A")] and spark.table(house.table(house.marts, "x")).count() == 3
 
 
 def test_stream_equals_batch(spark, wh, tmp_path):
