@@ -4,9 +4,10 @@ What the corpus gives, from every training row: the count of every word, and fro
 count of every subword id. Subword ids (those of a public tokenizer, per lower-cased word) are
 put in classes: the most frequent ids have one of their own, the others share some by shape.
 The model predicts the next id's class from the ids before it, by one head of masked
-self-attention with a learned bias per distance; an id's chance within its class is its share
-of the corpus counts. Both together are a proper distribution over ids, and a document's score
-is the sum of log10 over its words' ids and the end mark.
+self-attention with a learned bias per distance, in two steps: a group of classes, then the
+class in the group; an id's chance within its class is its share of the corpus counts. Together
+they are a proper distribution over ids, and a document's score is the sum of log10 over its
+words' ids and the end mark.
 
 Scoring cuts a document's ids into windows of ``2 * HALF`` that overlap by half. A window's
 second half is scored, its first half is context, so each id is scored once, with HALF to
@@ -40,9 +41,11 @@ from rollcall.llm.common import gather_spans, held_out, ship_package, spans
 from rollcall.llm.pieces import PieceCache, PieceEncoder
 from rollcall.session import new_scratch_path
 
-HALF = 16
+HALF = 8
 WIDTH = 16
-HEAD, SHAPES, KNOWN = 96, 32, 1024
+GROUP = 16  # classes of a group, and groups
+SHAPES = 32
+HEAD, KNOWN = GROUP * GROUP - SHAPES, 1024
 SMOOTH = 0.1
 
 
@@ -113,19 +116,29 @@ class Classes:
         self.inp[by_count[:KNOWN]] = np.arange(min(KNOWN, len(counts)))
         whole = np.bincount(self.out, weights=counts + SMOOTH, minlength=HEAD + SHAPES)
         self.log_share = np.log((counts + SMOOTH) / whole[self.out]).astype(np.float32)
-        self.log_class = np.log(np.maximum(whole, 1e-300) / whole.sum())
+        self.weight = whole / whole.sum()
+
+
+def softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(axis=-1, keepdims=True))
+    return x / x.sum(axis=-1, keepdims=True)
+
+
+def flat(x: np.ndarray) -> np.ndarray:
+    return x.reshape(-1, x.shape[-1])
 
 
 class Attention:
-    """One head of causal self-attention over a window, and a softmax over classes."""
+    """One head of causal self-attention over a window, then a softmax over groups and one over a group's classes."""
 
-    def __init__(self, n_classes: int, log_class: np.ndarray, seed: int = 1):
+    def __init__(self, weight: np.ndarray, seed: int = 1):
         r = np.random.default_rng(seed)
         d = WIDTH
         self.p = {
             "E": r.normal(0, 0.5, (KNOWN + SHAPES, d)), "Wq": r.normal(0, 0.2, (d, d)), "Wk": r.normal(0, 0.2, (d, d)), "Wv": r.normal(0, 0.3, (d, d)),
             "R": np.linspace(0, -2, 2 * HALF), "Wx": r.normal(0, 0.3, (d, d)), "Wo": r.normal(0, 0.3, (d, d)), "b": np.zeros(d),
-            "C": r.normal(0, 0.1, (d, n_classes)), "c": np.maximum(log_class, -20),
+            "C": r.normal(0, 0.1, (d, GROUP * GROUP)), "c": np.maximum(np.log(weight + 1e-30), -20),
+            "G": r.normal(0, 0.1, (d, GROUP)), "g": np.maximum(np.log(weight.reshape(GROUP, GROUP).sum(axis=1) + 1e-30), -20),
         }
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
@@ -136,28 +149,25 @@ class Attention:
         lag = np.arange(t)[:, None] - np.arange(t)[None, :]
         X = p["E"][x]
         Q, K, V = X @ p["Wq"], X @ p["Wk"], X @ p["Wv"]
-        S = Q @ K.transpose(0, 2, 1) * root + np.where(lag >= 0, p["R"][np.abs(lag)], np.float32(-1e9))
-        A = np.exp(S - S.max(axis=2, keepdims=True))
-        A /= A.sum(axis=2, keepdims=True)
+        A = softmax(Q @ K.transpose(0, 2, 1) * root + np.where(lag >= 0, p["R"][np.abs(lag)], np.float32(-1e9)))
         Z = A @ V
         H = np.tanh(X @ p["Wx"] + Z @ p["Wo"] + p["b"])
-        L = H @ p["C"] + p["c"]
-        L -= L.max(axis=2, keepdims=True)
-        P = np.exp(L)
-        P /= P.sum(axis=2, keepdims=True)
-        at = np.arange(x.shape[0])[:, None], np.arange(t)[None, :], y
-        loss = float(-np.log(P[at] + 1e-30).mean())
-        P[at] -= 1
-        dL = P / n
-        flat = lambda a: a.reshape(-1, a.shape[-1])
-        g = {"C": flat(H).T @ flat(dL), "c": flat(dL).sum(axis=0)}
-        dU = (dL @ p["C"].T) * (1 - H * H)
+        h, every, group, inner = flat(H), np.arange(n), y.ravel() // GROUP, y.ravel() % GROUP
+        over = softmax(h @ p["G"] + p["g"])
+        within = softmax((h @ p["C"] + p["c"]).reshape(n, GROUP, GROUP)[every, group])
+        loss = -float((np.log(over[every, group] + 1e-30) + np.log(within[every, inner] + 1e-30)).mean())
+        over[every, group] -= 1
+        within[every, inner] -= 1
+        dG, dL = over / n, np.zeros((n, GROUP, GROUP), np.float32)
+        dL[every, group] = within / n
+        dL = dL.reshape(n, -1)
+        g = {"C": h.T @ dL, "c": dL.sum(axis=0), "G": h.T @ dG, "g": dG.sum(axis=0)}
+        dU = ((dL @ p["C"].T + dG @ p["G"].T) * (1 - h * h)).reshape(H.shape)
         g |= {"Wx": flat(X).T @ flat(dU), "Wo": flat(Z).T @ flat(dU), "b": flat(dU).sum(axis=0)}
         dZ = dU @ p["Wo"].T
         dA, dV = dZ @ V.transpose(0, 2, 1), A.transpose(0, 2, 1) @ dZ
         dS = A * (dA - (dA * A).sum(axis=2, keepdims=True))
-        over = dS.sum(axis=0)
-        g["R"] = np.bincount(np.maximum(lag, 0)[lag >= 0], weights=over[lag >= 0], minlength=2 * HALF)
+        g["R"] = np.bincount(lag[lag >= 0], weights=dS.sum(axis=0)[lag >= 0], minlength=2 * HALF)
         dQ, dK = dS @ K * root, dS.transpose(0, 2, 1) @ Q * root
         g |= {"Wq": flat(X).T @ flat(dQ), "Wk": flat(X).T @ flat(dK), "Wv": flat(X).T @ flat(dV)}
         dX = dU @ p["Wx"].T + dQ @ p["Wq"].T + dK @ p["Wk"].T + dV @ p["Wv"].T
@@ -185,13 +195,14 @@ class Attention:
         return losses
 
     def tables(self) -> dict:
-        """Vectors by input, so that scoring looks them up: queries, keys, values and what passes by the attention."""
+        """Vectors by input, so that scoring looks them up: queries, keys with values, and what passes by the attention."""
         p = self.p
         root = np.float32(WIDTH**-0.5)
         late = np.arange(HALF, 2 * HALF)[:, None] - np.arange(2 * HALF)[None, :]
-        bias = np.where(late >= 0, p["R"][np.maximum(late, 0)], np.float32(-1e9)).astype(np.float32)
-        bias -= p["R"].max()
-        return {"q": p["E"] @ p["Wq"] * root, "kv": np.concatenate([p["E"] @ p["Wk"], p["E"] @ p["Wv"] @ p["Wo"]], axis=1), "x": p["E"] @ p["Wx"] + p["b"], "bias": bias, "C": p["C"], "c": p["c"]}
+        bias = np.where(late >= 0, p["R"][np.maximum(late, 0)] - p["R"].max(), np.float32(-1e9)).astype(np.float32)
+        E = p["E"]
+        look = np.concatenate([E @ p["Wk"], E @ p["Wv"] @ p["Wo"], E @ p["Wq"] * root, E @ p["Wx"] + p["b"]], axis=1)
+        return {"look": look.astype(np.float32), "bias": bias, "C": np.concatenate([p["C"], p["G"]], axis=1), "c": np.concatenate([p["c"], p["g"]])}
 
 
 def log_probs(t: dict, ids: np.ndarray, edges: np.ndarray, end: int, classes: Classes) -> np.ndarray:
@@ -199,43 +210,43 @@ def log_probs(t: dict, ids: np.ndarray, edges: np.ndarray, end: int, classes: Cl
     sizes = np.diff(edges) + 1  # with the end mark
     blocks = -(-sizes // HALF)
     first = np.concatenate([[0], np.cumsum(blocks)])
-    n = int(first[-1])
+    n, w = int(first[-1]), WIDTH
     to = gather_spans(first[:-1] * HALF, sizes)
     goal = np.zeros(n * HALF, np.int64)
     goal[to] = np.insert(ids, edges[1:], end)
     told = np.zeros(n * HALF, np.int64)  # the id before each goal; a text begins after an end mark
     told[1:] = goal[:-1]
     told[first[:-1] * HALF] = end
-    real = np.zeros(n * HALF, bool)
-    real[to] = True
-    out = np.zeros(n * HALF)
+    told, aim = classes.inp[told], classes.out[goal]
+    out = classes.log_share[goal].astype(np.float64)
     begins = np.zeros(n, bool)
     begins[first[:-1]] = True
-    for low in range(0, n, 1024):
-        high = min(n, low + 1024)
-        reach = max(low - 1, 0)
-        x = classes.inp[told[reach * HALF : high * HALF]]
-        kv = t["kv"][x].reshape(-1, HALF, 2 * WIDTH)
-        lead = low - reach
-        now = kv[lead:]
-        past = kv[lead - 1 : -1] if lead else np.concatenate([np.zeros_like(kv[:1]), kv[:-1]])
+    for low in range(0, n, 128):
+        # A window is a block and the one before it, whose keys and values are context only.
+        high, reach = min(n, low + 128), max(low - 1, 0)
+        look = np.take(t["look"], told[reach * HALF : high * HALF], axis=0, mode="clip")
+        pair = look[:, : 2 * w].reshape(-1, HALF, 2 * w)
+        now = pair[low - reach :]
+        past = pair[:-1] if reach < low else np.concatenate([pair[:1], pair[:-1]])
         both = np.concatenate([past, now], axis=1)
-        q = t["q"][x[lead * HALF :]].reshape(-1, HALF, WIDTH)
-        s = q @ both[:, :, :WIDTH].transpose(0, 2, 1)
+        look = look[(low - reach) * HALF :]
+        s = look[:, 2 * w : 3 * w].reshape(-1, HALF, w) @ both[:, :, :w].transpose(0, 2, 1)
         s += t["bias"]
-        np.minimum(s, 60, out=s)
-        np.exp(s, out=s)
+        np.exp(np.minimum(s, 60, out=s), out=s)
         s[begins[low:high], :, :HALF] = 0
-        z = s @ both[:, :, WIDTH:]
+        z = s @ both[:, :, w:]
         z /= s.sum(axis=2, keepdims=True)
-        h = np.tanh(z.reshape(-1, WIDTH) + t["x"][x[lead * HALF :]])
+        h = np.tanh(z.reshape(-1, w) + look[:, 3 * w :])
         scores = h @ t["C"]
         scores += t["c"]
-        aim = goal[low * HALF : high * HALF]
-        chosen = scores[np.arange(len(aim)), classes.out[aim]]
-        np.minimum(scores, 60, out=scores)
-        np.exp(scores, out=scores)
-        out[low * HALF : high * HALF] = chosen - np.log(scores.sum(axis=1)) + classes.log_share[aim]
+        at, every = aim[low * HALF : high * HALF], np.arange((high - low) * HALF)
+        group, inner = at // GROUP, at % GROUP
+        over, within = scores[:, GROUP * GROUP :], scores[:, : GROUP * GROUP].reshape(-1, GROUP, GROUP)[every, group]
+        chosen = over[every, group] + within[every, inner]
+        both = np.exp(np.minimum(np.concatenate([over, within], axis=1), 60)).reshape(-1, 2, GROUP).sum(axis=2)
+        out[low * HALF : high * HALF] += chosen - np.log(both[:, 0]) - np.log(both[:, 1])
+    real = np.zeros(n * HALF, bool)
+    real[to] = True
     out[~real] = 0
     sums = np.concatenate([[0], np.cumsum(out)])
     return sums[first[1:] * HALF] - sums[first[:-1] * HALF]
@@ -284,7 +295,7 @@ def score_documents(
     classes = Classes(by_id, [encoder.id_to_token(i) or "" for i in range(len(by_id))])
     begin = F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1) + 1
     passages = training.where(F.length("text") > 0).select(F.xxhash64("id", "text").alias("h"), F.substr("text", begin.cast("int"), F.lit(sample_chars)).alias("part"))
-    model = Attention(HEAD + SHAPES, classes.log_class)
+    model = Attention(classes.weight)
     x, y = sample_windows([r["part"] for r in passages.orderBy("h", "part").limit(sample_docs).collect()], tokenizer, end, classes)
     model.train(x, y, rounds)
     fitted = spark.sparkContext.broadcast((model.tables(), classes))

@@ -1,8 +1,9 @@
 """Mixing sources to target weights by Pfair scheduling, with DataFrame functions only.
 
 The rows of each source are dealt into blocks of ``block_rows``. Time has one slot per block.
-Weights are rounded to shares c of a period of D slots. Block j of a source with share c may
-not run before its release floor(j D / c) and must end by its deadline ceil((j + 1) D / c).
+Weights are rounded to shares c of a period of about ``period`` slots. Block j of a source with share c may
+not run before its release floor(j D / c) and must end by its deadline ceil((j + 1) D / c), where
+D is the sum of all shares.
 In each slot the released block with the earliest deadline runs. As the shares add up to D,
 every deadline is met, so in any prefix of the schedule a source has had its weight to less
 than one block. The schedule repeats after D slots; one period is worked out over the shares
@@ -30,20 +31,14 @@ ADDED = ("mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position")
 
 
 def shares_of(weights: DataFrame, period: int) -> DataFrame:
-    """source and w -> source, n and whole shares of the period, at least one each, by largest remainder.
+    """mix_source and w -> mix_source, n and its whole share of a period of about ``period`` slots, at least one.
 
-    Windows run over sources, one row each.
+    The window runs over sources, one row each.
     """
-    whole = Window.partitionBy()
-    spare = F.greatest(F.lit(period) - F.count("*").over(whole), F.lit(0))
     w = F.when(F.col("w") > 0, F.col("w")).otherwise(0.0)
-    part = weights.withColumn("w", w).withColumn("all", F.sum("w").over(whole)).withColumn(
-        "exact", F.when(F.col("all") > 0, spare * F.col("w") / F.col("all")).otherwise(spare / F.count("*").over(whole))
-    )
-    part = part.withColumn("base", F.floor("exact")).withColumn("left", spare - F.sum("base").over(whole))
-    by_rest = Window.partitionBy().orderBy(F.round(F.col("exact") - F.col("base"), 9).desc(), F.col("mix_source").asc_nulls_first())
-    extra = F.row_number().over(by_rest) <= F.col("left")
-    return part.select("mix_source", "n", (F.lit(1) + F.col("base") + F.when(extra, 1).otherwise(0)).cast("int").alias("share"))
+    part = weights.withColumn("w", w).withColumn("whole", F.sum("w").over(Window.partitionBy()))
+    share = F.when(F.col("whole") > 0, F.round(period * F.col("w") / F.col("whole"))).otherwise(0)
+    return part.select("mix_source", "n", F.greatest(share, F.lit(1)).cast("int").alias("share"))
 
 
 def period_slots(shares: DataFrame) -> DataFrame:

@@ -1,3 +1,97 @@
 """SQL over the same tables, where SQL can express an operator's result."""
 
-ORACLE_SQL: dict[str, str] = {}
+OP3 = r"""
+WITH parts AS (
+  SELECT vec_id, generate_subscripts(embedding, 1) AS k, unnest(embedding) AS x, len(embedding) AS dim
+  FROM embeddings WHERE vec_id IS NOT NULL
+), good AS (
+  SELECT vec_id FROM parts GROUP BY vec_id HAVING count(*) = count(x) AND bool_and(isfinite(x))
+), ints AS (
+  SELECT vec_id, k, dim, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS c FROM parts SEMI JOIN good USING (vec_id)
+), scores AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(sum(q.c * v.c) AS BIGINT) AS score
+  FROM ints q JOIN ints v ON q.k = v.k AND q.dim = v.dim AND q.vec_id <> v.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL
+)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM scores
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5
+"""
+
+OP5 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, words[i : i + 4] AS g
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id
+  JOIN sizes s ON s.doc_id = x.doc_id JOIN sizes t ON t.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, s.n, t.n HAVING 100 * count(*) >= 75 * (s.n + t.n - count(*))
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM w LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+OP7 = r"""
+WITH RECURSIVE n AS (
+  SELECT source, power(CAST(count(*) AS DOUBLE), 0.5) AS w FROM documents GROUP BY source
+), c AS (
+  SELECT source, CAST(greatest(round(1000 * w / sum(w) OVER ()), 1) AS BIGINT) AS share,
+    row_number() OVER (ORDER BY source NULLS FIRST) AS i
+  FROM n
+), s AS (
+  SELECT list(share ORDER BY i) AS shares, CAST(sum(share) AS BIGINT) AS d FROM c
+), run AS (
+  SELECT CAST(-1 AS BIGINT) AS slot, list_transform(shares, lambda x: CAST(0 AS BIGINT)) AS done, CAST(0 AS BIGINT) AS chosen FROM s
+  UNION ALL
+  SELECT slot + 1, list_transform(done, lambda x, i: x + CASE WHEN i = pick THEN 1 ELSE 0 END), pick
+  FROM (
+    SELECT slot, done, CAST(list_min(list_transform(range(1, len(shares) + 1), lambda i:
+      CASE WHEN done[i] < shares[i] AND (done[i] * d) // shares[i] <= slot + 1
+      THEN ((done[i] + 1) * d + shares[i] - 1) // shares[i] * 1000000 + i END)) % 1000000 AS BIGINT) AS pick
+    FROM run, s WHERE slot + 1 < d
+  )
+), turns AS (
+  SELECT chosen AS i, slot AS at, row_number() OVER (PARTITION BY chosen ORDER BY slot) - 1 AS turn FROM run WHERE slot >= 0
+), ranked AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), ''))) - 1 AS r
+  FROM documents
+), placed AS (
+  SELECT doc_id, r.source, r, r // 8 AS j, share, i, d FROM ranked r JOIN c ON r.source IS NOT DISTINCT FROM c.source, s
+)
+SELECT doc_id, source, j AS mix_block, (j * d) // share AS mix_release, ((j + 1) * d + share - 1) // share AS mix_deadline,
+  (j // share) * d + at AS mix_slot, ((j // share) * d + at) * 8 + r % 8 AS mix_position
+FROM placed p JOIN turns t ON p.i = t.i AND t.turn = j % share
+"""
+
+OP10 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text, CAST(coalesce(floor(turn / 64), -1) AS BIGINT) AS chunk
+  FROM conversations
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, chunk ORDER BY turn NULLS FIRST, role, text) - 1 AS place FROM t
+), people AS (
+  SELECT DISTINCT conv_id AS c, role AS perspective FROM t
+), shown AS (
+  SELECT conv_id, perspective, chunk, place // 64 AS piece, place, role = perspective AS own,
+    CASE WHEN role = perspective THEN '<|im_start|>assistant' ELSE '<|im_start|>user name=' || role END || chr(10) AS head,
+    text || '<|im_end|>' AS body
+  FROM placed JOIN people ON conv_id IS NOT DISTINCT FROM c
+), spans AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
+    PARTITION BY conv_id, perspective, chunk, piece ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS at
+  FROM shown
+)
+SELECT conv_id, perspective, chunk, piece, CAST(count(*) AS INTEGER) AS n_turns, CAST(count(*) FILTER (own) AS INTEGER) AS n_assistant,
+  string_agg(head || body || chr(10), '' ORDER BY place) AS text,
+  coalesce(string_agg(CASE WHEN own THEN CAST(at AS BIGINT) || '-' || CAST(at + length(body) AS BIGINT) END, ',' ORDER BY place), '') AS mask
+FROM spans GROUP BY conv_id, perspective, chunk, piece
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_topk_search": OP3, "op5_ngram_join": OP5, "op7_mixing": OP7, "op10_chat_formatting": OP10}

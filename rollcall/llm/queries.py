@@ -54,7 +54,9 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+    rendered = chat.rotate_perspectives(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string")))
+    return rendered.withColumn("mask", F.concat_ws(",", spans))
 
 
 @query

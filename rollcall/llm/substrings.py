@@ -1,8 +1,10 @@
 """Removing repeated runs of sentences.
 
-A sentence ends after ``.``, ``!`` or ``?`` before white space, or at a line's end; one without
-words belongs to the sentence before it. At every sentence begins a run: the shortest with at
-least ``run`` sentences and ``min_words`` words. Runs are compared by a 64-bit hash of their
+A sentence ends after ``.``, ``!`` or ``?`` before white space, or at a line's end. Long
+sentences would hide a passage that begins or ends inside one, so they are taken clause by
+clause, a clause ending after ``,``, ``;`` or ``:`` too; one without words belongs to the one
+before it. "Sentence" means such a part below. At every sentence begins a run: the shortest
+with at least ``run`` sentences and ``min_words`` words. Runs are compared by a 64-bit hash of their
 words, so letter case A-Z and white space do not matter. The first occurrence of a run is the
 one in the smallest id, and there the first place. Sentences covered by any other occurrence
 are removed; everything else stays byte for byte.
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from rollcall.llm.common import mix, powers, span_hashes, steps, word_bounds
 
 ENDS = np.zeros(256, dtype=bool)
-ENDS[[ord(c) for c in ".!?"]] = True
+ENDS[[ord(c) for c in ".!?,;:"]] = True
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -118,7 +120,7 @@ def repeated_runs(docs: DataFrame, run: int, min_words: int, id_col: str, text_c
 
 
 def remove_repeated_runs(
-    docs: DataFrame, run: int = 2, min_words: int = 8, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, run: int = 2, min_words: int = 16, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """id, n_sentences, n_removed and the text that is left, for every row of ``docs``."""
     known = repeated_runs(docs, run, min_words, id_col, text_col)
