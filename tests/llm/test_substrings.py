@@ -20,7 +20,7 @@ def parts(text):
         if k == 0 or any(words[k - 1][0] < c <= at for c in cuts if c):
             out.append([at, 0, []])
         out[-1][2].append(w)
-    for s, following in zip(out, [*out[1:], None], strict=True):
+    for s, following in zip(out, [*out[1:], None], strict=False):
         s[1] = following[0] if following else len(raw)
     return out
 
