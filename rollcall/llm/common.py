@@ -101,8 +101,9 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-#: A value for each lower-cased byte.
-BYTE_VALUE = numbered(256, 1)[LOWER]
+#: A value for each byte, and for each lower-cased byte.
+BYTE_VALUE = numbered(256, 1)
+LOWER_VALUE = BYTE_VALUE[LOWER]
 _BASE = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2^64
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -131,12 +132,12 @@ def _powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
     return made[0], made[1]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each ``data[start:end]``, lower-cased, that does not depend on its place."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = LOWER_VALUE) -> np.ndarray:
+    """A hash of each ``data[start:end]``, lower-cased by default, that does not depend on its place."""
     up, down = powers(len(data) + 1)
     sums = np.empty(len(data) + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum(BYTE_VALUE[data] * up[: len(data)], out=sums[1:])
+    np.cumsum(values[data] * up[: len(data)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 

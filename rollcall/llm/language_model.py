@@ -28,7 +28,6 @@ gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import gather_spans, held_out, ship_package, spans
-from rollcall.llm.pieces import PieceCache, PieceEncoder
+from rollcall.llm.common import LOWER, LOWER_VALUE, gather_spans, held_out, ship_package, steps, word_bounds
+from rollcall.llm.pieces import PieceEncoder, SpanCache
 from rollcall.session import new_scratch_path
 
 HALF = 8
@@ -58,27 +57,34 @@ def cached_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path, added_as_text=True)
 
 
-def encode_words(path: str, words: list[bytes]) -> list[list[int]]:
+def encode_words(path: str, words: list[bytes]) -> list:
     """Ids of each word with a space before it; a special token's name in a word is ordinary text."""
     encode = cached_encoder(path).encode
-    return [encode(" " + w.decode("utf-8")) for w in words]
+    return [encode(b" " + w) for w in words]
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """word, c over all rows of the column ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        words: list[bytes] = []
+
+        def note(new: list[bytes]) -> list:
+            words.extend(w.lower() for w in new)
+            return [()] * len(new)
 
         def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(cache.hits[: cache.n])], names=["word", "c"])
 
+        cache = SpanCache(note, LOWER_VALUE)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(words_of(text))
-                if len(counts) > 400_000:
+            for _, _, data, at in steps(batch.column(0)):
+                starts, ends, _ = word_bounds(data, at)
+                cache.find(data, starts, ends)
+                if cache.n > 400_000:
                     yield rows()
-                    counts.clear()
+                    words.clear()
+                    cache = SpanCache(note, LOWER_VALUE)
         yield rows()
 
     return docs.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
@@ -280,18 +286,18 @@ def score_documents(
     training = slim.where("not held_out")
     word_counts(training.select("text")).write.parquet(f"{scratch}/counts")
     counts = spark.read.parquet(f"{scratch}/counts")
-    ends = training.count()
+    ends_ = training.count()  # every row has one end mark
     totals = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    n_train, distinct = (totals["n"] or 0) + ends, totals["v"] + (ends > 0)
+    n_train, distinct = (totals["n"] or 0) + ends_, totals["v"] + (ends_ > 0)
     rest = float(np.log10(n_train + SMOOTH * (distinct + 1)))
 
     top = [(bytes(r["word"]), r["c"]) for r in counts.orderBy(F.col("c").desc(), "word").limit(top_words).collect()]
-    known = spark.sparkContext.broadcast(({w: i for i, (w, _) in enumerate(top)}, np.log10(np.array([c for _, c in top] + [ends]) + SMOOTH)))
+    known = spark.sparkContext.broadcast(({w: i for i, (w, _) in enumerate(top)}, np.log10(np.array([c for _, c in top] + [ends_]) + SMOOTH)))
 
     encoder = cached_encoder(tokenizer).tokenizer
     end = encoder.token_to_id(end_token)
     by_id = id_counts(counts, tokenizer)
-    by_id[end] += ends
+    by_id[end] += ends_
     classes = Classes(by_id, [encoder.id_to_token(i) or "" for i in range(len(by_id))])
     begin = F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1) + 1
     passages = training.where(F.length("text") > 0).select(F.xxhash64("id", "text").alias("h"), F.substr("text", begin.cast("int"), F.lit(sample_chars)).alias("part"))
@@ -302,29 +308,32 @@ def score_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (places, logs), (tables, classes_) = known.value, fitted.value
-        # The first number of a word is its place among the top words, or -1; its ids follow.
-        cache = PieceCache(lambda words: [[places.get(w, -1), *ids] for w, ids in zip(words, encode_words(tokenizer, words), strict=True)])
+
+        def make(words: list[bytes]) -> list:
+            """A word's place among the top words, or -1, then its ids."""
+            words = [w.lower() for w in words]
+            return [(places.get(w, -1), *ids) for w, ids in zip(words, encode_words(tokenizer, words), strict=True)]
+
+        cache = SpanCache(make, LOWER_VALUE)
         for batch in batches:
-            texts = batch.column(3).to_pylist()
-            sizes = np.fromiter((len(s or "") for s in texts), np.int64, len(texts))
-            for low, high in spans(sizes, 1 << 19):
-                cuts = [words_of(s) for s in texts[low:high]]
-                per_row = np.fromiter(map(len, cuts), np.int64, len(cuts))
-                flat = [w for c in cuts for w in c]
-                spot = cache.find(flat)
-                starts = cache.starts[spot] + 1
-                lengths = cache.starts[spot + 1] - starts
-                at = np.concatenate([[0], np.cumsum(per_row)])
-                edges = np.concatenate([[0], np.cumsum(lengths)])[at]
-                score = log_probs(tables, cache.numbers[gather_spans(starts, lengths)], edges, end, classes_) / np.log(10)
-                place = cache.numbers[starts - 1]
+            for low, high, data, at in steps(batch.column(3), 1 << 19):
+                starts, ends, first = word_bounds(data, at)
+                numbers, sizes = cache.gather(cache.find(data, starts, ends))
+                begin = np.cumsum(sizes) - sizes
+                place = numbers[begin]
+                ids = np.delete(numbers, begin)
+                edges = np.concatenate([[0], np.cumsum(sizes - 1)])[first]
+                score = log_probs(tables, ids, edges, end, classes_) / np.log(10)
                 value = np.concatenate([[0], np.cumsum(np.where(place >= 0, logs[place], 0))])
                 seen = np.concatenate([[0], np.cumsum(place >= 0)])
                 rare = np.flatnonzero(place < 0)
+                lengths = (ends - starts)[rare]
+                whole = LOWER[data[gather_spans(starts[rare], lengths)]]
+                words = pa.Array.from_buffers(pa.binary(), len(rare), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.py_buffer(whole)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(batch.column(i).slice(low, high - low) for i in range(3)), pa.array(per_row + 1), pa.array(np.diff(seen[at]) + (ends > 0)), pa.array(np.diff(value[at]) + logs[-1]), pa.array(score),
-                        pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, at), pa.int32()), pa.array([flat[i] for i in rare.tolist()], pa.binary())),
+                        *(batch.column(i).slice(low, high - low) for i in range(3)), pa.array(np.diff(first) + 1), pa.array(np.diff(seen[first]) + (ends_ > 0)), pa.array(np.diff(value[first]) + logs[-1]), pa.array(score),
+                        pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, first), pa.int32()), words),
                     ],
                     names=["row", "id", "held_out", "n_tokens", "n_known", "base", "score", "rare"],
                 )

@@ -2,7 +2,8 @@
 
 A piece is a run of white space with the run of other characters after it. The splitting
 pattern of byte-level BPE never matches across the end of such a piece, and it looks ahead
-within a piece only, so encoding pieces one by one gives what encoding the text gives.
+within a piece only, so encoding pieces one by one gives what encoding the text gives. Pieces
+are cut at ASCII white space; a row with other white space is taken whole.
 """
 
 from __future__ import annotations
@@ -10,20 +11,16 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import regex
 
-from rollcall.llm.common import gather_spans
+from rollcall.llm.common import gather_spans, span_hashes
 
 # Fixed value: the characters of Unicode's White_Space, as a regular expression's set.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-ASCII_PIECE = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
-
-
 # Fixed value: the splitting pattern of byte-level BPE, with its white space spelled out.
 PARTS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
@@ -31,6 +28,10 @@ PARTS = regex.compile(
 )
 
 
+#: Pieces of ASCII letters and marks after them: the pattern has one part for each.
+SIMPLE = re.compile(rb"( ?)([A-Za-z]*)([!-/:-@\[-`{-~]*)")
+
+
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level BPE files: the byte's
     own where it is printable, else the next one from 256 on."""
@@ -39,54 +40,134 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in shown else next(others) for b in range(256)]
 
 
-def cut(text: str) -> list[str]:
-    return (ASCII_PIECE if text.isascii() else PIECE).findall(text)
+def parts_of(piece: str) -> list[str]:
+    """The parts of the pattern; a run of letters, with or without one space before it, is one part."""
+    word = piece[1:] if piece[:1] == " " else piece
+    if word.isalpha():
+        return [piece]
+    if word[:-1].isalpha() and word[-1] in ".,;:!?":
+        return [piece[:-1], piece[-1]]
+    return PARTS.findall(piece)
+
 
+_ASCII_WHITE = np.zeros(256, dtype=bool)
+_ASCII_WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-class PieceCache:
-    """Arrays of numbers by piece, kept over batches.
 
-    When the pieces kept exceed ``max_pieces``, those found but once since the last time go.
+def other_white(data: np.ndarray) -> np.ndarray:
+    """Where white space begins that takes more than one byte."""
+    lead = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    tail = np.concatenate([data, np.zeros(2, np.uint8)]).astype(np.int32)
+    first, second, third = tail[lead], tail[lead + 1], tail[lead + 2]
+    code = (first << 16) | (second << 8) | np.where(first == 0xC2, 0, third)
+    wide = [c.encode("utf-8").ljust(3, b"\0") for c in "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))]
+    return lead[np.isin(code, [int.from_bytes(w, "big") for w in wide])]
+
+
+def pieces(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces of all rows, and the number of the first piece of each row (and the end).
+
+    A row with white space beyond ASCII is one piece.
+    """
+    white = _ASCII_WHITE[data]
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    edge[1:-1] = white[1:] & ~white[:-1]
+    for row in np.unique(np.searchsorted(at, other_white(data), side="right") - 1).tolist():
+        edge[at[row] : at[row + 1]] = False
+    edge[at[:-1][np.diff(at) > 0]] = True
+    edge[len(data)] = True
+    cuts = np.flatnonzero(edge)
+    return cuts[:-1], cuts[1:], np.searchsorted(cuts, at)
+
+
+class SpanCache:
+    """Arrays of numbers by the bytes of a span, kept over batches.
+
+    Spans are looked up by a 64-bit hash, their length and their first 8 bytes, all in numpy;
+    only unknown ones become Python objects. When the spans kept exceed ``max_spans``, those
+    found but once since the last time go. Spans of over ``LONG`` bytes are not kept.
     """
 
-    def __init__(self, make: Callable[[list], list], max_pieces: int = 600_000):
-        self.make, self.max_pieces = make, max_pieces
-        self.keep([])
-
-    def keep(self, places: list[int]) -> None:
-        names = list(self.places) if places else []
-        if places:
-            kept = np.array(places, dtype=np.int64)
-            sizes = np.diff(self.starts)[kept]
-            self.numbers = self.numbers[gather_spans(self.starts[kept], sizes)]
-            self.starts = np.concatenate([[0], np.cumsum(sizes)])
-        else:
-            self.starts = np.zeros(1, dtype=np.int64)  # of each piece's numbers, then the end
-            self.numbers = np.zeros(0, dtype=np.int32)
-        self.places: dict = {names[p]: i for i, p in enumerate(places)}
-        self.hits = np.zeros(len(places), dtype=np.int64)
-
-    def find(self, pieces: list) -> np.ndarray:
-        """The place of each piece; valid until the next call."""
-        if len(self.places) > self.max_pieces:
-            often = np.flatnonzero(self.hits > 1)
-            self.keep(often.tolist() if len(often) <= self.max_pieces // 2 else np.sort(np.argsort(-self.hits)[: self.max_pieces // 2]).tolist())
-        found = np.fromiter(map(self.places.get, pieces, repeat(-1)), np.int64, len(pieces))
-        missing = np.flatnonzero(found < 0)
-        if len(missing):
-            new = list(dict.fromkeys(pieces[i] for i in missing.tolist()))
-            made = self.make(new)
-            first = len(self.starts) - 1
-            self.places.update(zip(new, range(first, first + len(new)), strict=True))
-            sizes = np.fromiter(map(len, made), np.int64, len(made))
-            flat = np.fromiter(chain.from_iterable(made), np.int32, int(sizes.sum()))
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-            self.numbers = np.concatenate([self.numbers, flat])
-            self.hits = np.concatenate([self.hits, np.zeros(len(new), np.int64)])
-            get = self.places.get
-            found[missing] = [get(pieces[i]) for i in missing.tolist()]
-        self.hits += np.bincount(found, minlength=len(self.hits))
-        return found
+    LONG = 256
+
+    def __init__(self, make: Callable[[list[bytes]], list], values: np.ndarray, max_spans: int = 1_500_000):
+        self.make, self.values, self.max_spans = make, values, max_spans
+        self.n = 0  # places in use
+        self.starts, self.hits, self.numbers = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32)
+        self.heads, self.sizes = np.zeros(1024, np.uint64), np.zeros(1024, np.int64)
+        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # in order of hash
+
+    def thin(self) -> None:
+        kept = self.places[self.hits[self.places] > 1]
+        if len(kept) > self.max_spans // 2:
+            kept = kept[np.argsort(-self.hits[kept], kind="stable")[: self.max_spans // 2]]
+        kept = np.sort(kept)
+        new = np.full(self.n, -1)
+        new[kept] = np.arange(len(kept))
+        sizes = np.diff(self.starts[: self.n + 1])[kept]
+        self.numbers = self.numbers[gather_spans(self.starts[kept], sizes)]
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.heads, self.sizes, self.hits, self.n = self.heads[kept], self.sizes[kept], np.zeros(len(kept), np.int64), len(kept)
+        stay = new[self.places] >= 0
+        self.hashes, self.places = self.hashes[stay], new[self.places[stay]]
+
+    def add(self, spans: list[bytes], heads: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The new places of spans."""
+        made, n, end = self.make(spans), self.n, int(self.starts[self.n])
+        counts = np.fromiter(map(len, made), np.int64, len(made))
+        total, self.n = int(counts.sum()), n + len(spans)
+        self.starts, self.numbers = room(self.starts, self.n + 1), room(self.numbers, end + total)
+        self.hits, self.heads, self.sizes = room(self.hits, self.n), room(self.heads, self.n), room(self.sizes, self.n)
+        self.starts[n + 1 : self.n + 1] = end + np.cumsum(counts)
+        self.numbers[end : end + total] = np.fromiter(chain.from_iterable(made), np.int32, total)
+        self.heads[n : self.n], self.sizes[n : self.n], self.hits[n : self.n] = heads, sizes, 0
+        return np.arange(n, self.n)
+
+    def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The place of each span; valid until the next call."""
+        if self.n > self.max_spans:
+            self.thin()
+        if not len(starts):
+            return np.zeros(0, np.int64)
+        names, first, back, count = np.unique(
+            span_hashes(data, starts, ends, self.values), return_index=True, return_inverse=True, return_counts=True
+        )
+        low, size = starts[first], (ends - starts)[first]
+        head = np.zeros(len(names), np.uint64)
+        for k in range(8):
+            here = np.flatnonzero(size > k)
+            byte = self.values[data[low[here] + k]] & np.uint64(0xFF)
+            head[here] |= byte << np.uint64(8 * k)
+        at = np.searchsorted(self.hashes, names)
+        at[at == len(self.hashes)] = 0
+        place = self.places[at] if len(self.places) else np.zeros(len(names), np.int64)
+        same = self.hashes[at] == names if len(self.hashes) else np.zeros(len(names), bool)
+        hit = same & (self.sizes[place] == size) & (self.heads[place] == head)
+        new = np.flatnonzero(~hit)
+        if len(new):
+            whole = data.tobytes()
+            spans = [whole[a:b] for a, b in zip(low[new].tolist(), (low + size)[new].tolist(), strict=True)]
+            place[new] = self.add(spans, head[new], size[new])
+            # Long ones, and one whose hash another has, serve this batch only.
+            kept = new[~same[new] & (size[new] <= self.LONG)]
+            where = np.searchsorted(self.hashes, names[kept])
+            self.hashes, self.places = np.insert(self.hashes, where, names[kept]), np.insert(self.places, where, place[kept])
+        self.hits[place] += count
+        return place[back]
+
+    def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the spans at ``places``, one after another, and how many each has."""
+        sizes = self.starts[places + 1] - self.starts[places]
+        return self.numbers[gather_spans(self.starts[places], sizes)], sizes
+
+
+def room(x: np.ndarray, size: int) -> np.ndarray:
+    """The array with space for ``size`` values, doubled when it is short; new values are 0."""
+    if size <= len(x):
+        return x
+    grown = np.zeros(max(size, 2 * len(x)), x.dtype)
+    grown[: len(x)] = x
+    return grown
 
 
 class PieceEncoder:
@@ -96,7 +177,7 @@ class PieceEncoder:
     this pattern, goes through the library's whole encoder.
     """
 
-    def __init__(self, path: str, added_as_text: bool = False, max_parts: int = 400_000):
+    def __init__(self, path: str, added_as_text: bool = False, max_parts: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -106,24 +187,34 @@ class PieceEncoder:
             spec["model"]["type"] == "BPE" and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not spec.get("normalizer")
         )
         added = [] if added_as_text else [re.escape(t["content"]) for t in spec["added_tokens"]]
+        # An added token of this form could be inside a simple piece.
+        self.simple = self.plain and not any(SIMPLE.fullmatch(t["content"].encode("utf-8")) for t in spec["added_tokens"])
         self.tokenizer.encode_special_tokens = added_as_text
         self.added = re.compile("|".join(added)) if added else None
         self.model, self.symbols = self.tokenizer.model, dict(enumerate(byte_symbols()))
-        self.parts: dict[str, list[int]] = {}
+        self.space = self.symbols[0x20]
+        self.parts: dict[str, tuple[int, ...]] = {}
         self.max_parts = max_parts
 
-    def encode(self, piece: str) -> list[int]:
-        if not self.plain or (self.added and self.added.search(piece)):
-            return self.tokenizer.encode(piece, add_special_tokens=False).ids
-        out: list[int] = []
-        for part in PARTS.findall(piece):
-            ids = self.parts.get(part)
-            if ids is None:
-                name = part.encode("utf-8").decode("latin-1").translate(self.symbols)
-                ids = [t.id for t in self.model.tokenize(name)]
-                if len(self.parts) > self.max_parts:
-                    self.parts.clear()
-                if len(part) <= 64:
-                    self.parts[part] = ids
-            out += ids
-        return out
+    def part(self, name: str) -> tuple[int, ...]:
+        """Ids of one part, named in the symbols of byte-level BPE files."""
+        ids = self.parts.get(name)
+        if ids is None:
+            ids = tuple([t.id for t in self.model.tokenize(name)])
+            if len(self.parts) > self.max_parts:
+                self.parts.clear()
+            if len(name) <= 64:
+                self.parts[name] = ids
+        return ids
+
+    def encode(self, piece: bytes) -> tuple[int, ...] | list[int]:
+        if self.simple and (found := SIMPLE.fullmatch(piece)):
+            space, word, marks = (g.decode("ascii") for g in found.groups())
+            space = self.space if space else ""
+            if word:
+                return self.part(space + word) + self.part(marks) if marks else self.part(space + word)
+            return self.part(space + marks)
+        text = piece.decode("utf-8")
+        if not self.plain or (self.added and self.added.search(text)):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return [i for part in parts_of(text) for i in self.part(part.encode("utf-8").decode("latin-1").translate(self.symbols))]

@@ -21,8 +21,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from rollcall.llm.common import spans
-from rollcall.llm.pieces import PARTS, PieceCache, byte_symbols, cut
+from rollcall.llm.common import BYTE_VALUE, steps, text_parts
+from rollcall.llm.pieces import SpanCache, byte_symbols, parts_of, pieces
 
 class BytePairCounter:
     """Counts the tokens of a byte-level BPE given as a tokenizer's JSON file."""
@@ -71,7 +71,9 @@ class BytePairCounter:
 
     def plain(self, text: str) -> int:
         total = 0
-        for part in PARTS.findall(text):
+        if not text:
+            return total
+        for part in parts_of(text):
             if (n := self.parts.get(part)) is None:
                 n = self.part(part)
                 if len(part) <= 64:
@@ -89,26 +91,24 @@ class BytePairCounter:
 
 
 @lru_cache(maxsize=2)
-def cached_counter(path: str) -> tuple[BytePairCounter, PieceCache]:
+def cached_counter(path: str) -> SpanCache:
     counter = BytePairCounter(path)
-    return counter, PieceCache(lambda pieces: [[counter.count(p)] for p in pieces])
+    return SpanCache(lambda pieces: [[counter.count(p.decode("utf-8"))] for p in pieces], BYTE_VALUE)
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, n_tokens and over_limit (n_tokens > limit) of every row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, cache = cached_counter(tokenizer)
+        cache = cached_counter(tokenizer)
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            sizes = np.fromiter((len(t.encode("utf-8")) for t in texts), np.int64, len(texts))
-            totals = np.zeros(len(texts), dtype=np.int64)
-            for low, high in spans(sizes, 1 << 21):
-                cuts = [cut(t) for t in texts[low:high]]
-                first = np.cumsum([0, *map(len, cuts)])
-                places = cache.find([p for c in cuts for p in c])
-                sums = np.concatenate([[0], np.cumsum(cache.numbers[places])])
-                totals[low:high] = np.diff(sums[first])
+            totals = np.zeros(batch.num_rows, dtype=np.int64)
+            for low, high, data, at in steps(batch.column(1)):
+                starts, ends, first = pieces(data, at)
+                places = cache.find(data, starts, ends)
+                counts = cache.numbers[cache.starts[places]]
+                totals[low:high] = np.diff(np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[first])
+            sizes = np.diff(text_parts(batch.column(1))[1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes), pa.array(totals), pa.array(totals > limit)],
                 names=["id", "n_bytes", "n_tokens", "over_limit"],

@@ -29,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import gather_spans, spans
-from rollcall.llm.pieces import PieceCache, PieceEncoder, cut
+from rollcall.llm.common import BYTE_VALUE, steps
+from rollcall.llm.pieces import PieceEncoder, SpanCache, pieces
 
-BLOCK_BYTES = 1 << 18
+#: Bytes of text in a block; a longer text is a block of its own.
+BLOCK_BYTES = 1 << 20
 BLOCKS = "part int, start long, bits int, ids array<{id}>, offsets array<int>, packed binary"
 
 
@@ -61,22 +62,16 @@ def unpack(packed: bytes, bits: int, low: int, high: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def cached_encoder(path: str) -> tuple[PieceCache, int]:
+def cached_encoder(path: str) -> tuple[SpanCache, int]:
     encoder = PieceEncoder(path)
-    return PieceCache(lambda pieces: list(map(encoder.encode, pieces))), encoder.tokenizer.get_vocab_size(with_added_tokens=True)
-
-
-def encode_texts(texts: list[str], cache: PieceCache, end: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of the texts, each text followed by ``end``, and the first place of each."""
-    cuts = [cut(t) for t in texts]
-    counts = np.fromiter(map(len, cuts), np.int64, len(cuts))
-    places = cache.find([p for c in cuts for p in c])
-    sizes = cache.starts[places + 1] - cache.starts[places]
-    before = np.concatenate([[0], np.cumsum(sizes)])
-    edges = before[np.concatenate([[0], np.cumsum(counts)])]
-    ids = cache.numbers[gather_spans(cache.starts[places], sizes)]
-    if end is None:
-        return ids, edges
+    return SpanCache(lambda pieces: list(map(encoder.encode, pieces)), BYTE_VALUE), encoder.tokenizer.get_vocab_size(with_added_tokens=True)
+
+
+def encode_texts(data: np.ndarray, at: np.ndarray, cache: SpanCache, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the rows, each row followed by ``end``, and the first place of each row (and the last one's end)."""
+    starts, ends, first = pieces(data, at)
+    ids, sizes = cache.gather(cache.find(data, starts, ends))
+    edges = np.concatenate([[0], np.cumsum(sizes)])[first]
     return np.insert(ids, edges[1:], end), edges + np.arange(len(edges))
 
 
@@ -100,16 +95,13 @@ def write_token_files(
         cache, vocabulary = cached_encoder(tokenizer)
         bits, start = width(vocabulary), 0
         for batch in batches:
-            column = batch.column(2)
-            texts = ["" if t is None else t for t in column.to_pylist()]
-            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-            for low, high in spans(sizes, BLOCK_BYTES):
-                ids, edges = encode_texts(texts[low:high], cache, end)
+            for low, high, data, at in steps(batch.column(2), BLOCK_BYTES):
+                ids, edges = encode_texts(data, at, cache, end)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(low, 1), pa.array([start], pa.int64()), pa.array([bits], pa.int32()),
                         pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), batch.column(1).slice(low, high - low)),
-                        pa.array([edges], pa.list_(pa.int32())), pa.array([pack(ids, bits)], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array([0, len(edges)], pa.int32()), pa.array(edges, pa.int32())), pa.array([pack(ids, bits)], pa.binary()),
                     ],
                     names=["part", "start", "bits", "ids", "offsets", "packed"],
                 )

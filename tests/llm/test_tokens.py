@@ -9,7 +9,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from rollcall.llm.pieces import PieceCache, cut
+from rollcall.llm.common import BYTE_VALUE
+from rollcall.llm.pieces import SpanCache, pieces
 from rollcall.llm.token_counts import BytePairCounter, token_counts
 from rollcall.llm.token_files import pack, read_ids, read_token_files, unpack, width, write_token_files
 
@@ -30,9 +31,18 @@ def ids_of(library, text):
     return library.encode(text or "", add_special_tokens=False).ids
 
 
+def rows(texts):
+    raw = [(t or "").encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+
+
 def test_pieces_make_up_the_text():
-    for t in TEXTS:
-        assert "".join(cut(t or "")) == (t or "")
+    data, at = rows(TEXTS)
+    starts, ends, first = pieces(data, at)
+    for i, t in enumerate(TEXTS):
+        parts = [data[a:b].tobytes().decode() for a, b in zip(starts[first[i] : first[i + 1]], ends[first[i] : first[i + 1]], strict=True)]
+        assert "".join(parts) == (t or "") and all(parts)
+    assert len(starts) > 5_000
 
 
 def test_counter_alone(library):
@@ -41,12 +51,23 @@ def test_counter_alone(library):
         assert counter.count(t or "") == len(ids_of(library, t))
 
 
-def test_cache_forgets_rare_pieces_only():
-    cache = PieceCache(lambda new: [[len(p), 7] for p in new], max_pieces=3)
-    for pieces in (["a", "bb", "a"], ["ccc", "dddd", "a"], ["a", "eeeee", "bb"], ["a"]):
-        places = cache.find(pieces)
-        assert [cache.numbers[cache.starts[p]] for p in places] == [len(p) for p in pieces]
-    assert "a" in cache.places and "ccc" not in cache.places
+def test_cache_forgets_rare_spans_only():
+    made = []
+    cache = SpanCache(lambda new: made.extend(new) or [[len(p), *p] for p in new], BYTE_VALUE, max_spans=3)
+    for words in (["a", "bb", "a"], ["ccc", "dddd", "a"], ["a", "eeeee", "bb"], ["a"], [], ["x" * 300], ["a", "x" * 300]):
+        data, at = rows(words)
+        numbers, sizes = cache.gather(cache.find(data, at[:-1], at[1:]))
+        assert numbers.tolist() == [n for w in words for n in (len(w), *w.encode())] and sizes.tolist() == [len(w) + 1 for w in words]
+    assert made.count(b"a") == 1 and made.count(b"bb") == 2 and made.count(b"x" * 300) == 2
+
+
+def test_spans_of_one_hash_are_told_apart():
+    cache = SpanCache(lambda new: [list(p) for p in new], np.zeros(256, np.uint64))  # equal lengths collide
+    data, at = rows(["abc", "abd"])
+    for i in (0, 1, 0):
+        cache.values = np.arange(256, dtype=np.uint64) << np.uint64(8 * i)  # other hashes and heads
+        numbers, _ = cache.gather(cache.find(data, at[i : i + 1], at[i + 1 : i + 2]))
+        assert bytes(numbers.tolist()) == (b"abc", b"abd")[i]
 
 
 def test_counts(docs_of, library):
