@@ -58,7 +58,7 @@ WITH RECURSIVE n AS (
     FROM run, s WHERE slot + 1 < d
   )
 ), turns AS (
-  SELECT chosen AS i, slot AS at, row_number() OVER (PARTITION BY chosen ORDER BY slot) - 1 AS turn FROM run WHERE slot >= 0
+  SELECT chosen AS i, slot AS spot, row_number() OVER (PARTITION BY chosen ORDER BY slot) - 1 AS turn FROM run WHERE slot >= 0
 ), ranked AS (
   SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), ''))) - 1 AS r
   FROM documents
@@ -66,7 +66,7 @@ WITH RECURSIVE n AS (
   SELECT doc_id, r.source, r, r // 8 AS j, share, i, d FROM ranked r JOIN c ON r.source IS NOT DISTINCT FROM c.source, s
 )
 SELECT doc_id, source, j AS mix_block, (j * d) // share AS mix_release, ((j + 1) * d + share - 1) // share AS mix_deadline,
-  (j // share) * d + at AS mix_slot, ((j // share) * d + at) * 8 + r % 8 AS mix_position
+  (j // share) * d + spot AS mix_slot, ((j // share) * d + spot) * 8 + r % 8 AS mix_position
 FROM placed p JOIN turns t ON p.i = t.i AND t.turn = j % share
 """
 
@@ -85,12 +85,12 @@ WITH t AS (
   FROM placed JOIN people ON conv_id IS NOT DISTINCT FROM c
 ), spans AS (
   SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
-    PARTITION BY conv_id, perspective, chunk, piece ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS at
+    PARTITION BY conv_id, perspective, chunk, piece ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS spot
   FROM shown
 )
 SELECT conv_id, perspective, chunk, piece, CAST(count(*) AS INTEGER) AS n_turns, CAST(count(*) FILTER (own) AS INTEGER) AS n_assistant,
   string_agg(head || body || chr(10), '' ORDER BY place) AS text,
-  coalesce(string_agg(CASE WHEN own THEN CAST(at AS BIGINT) || '-' || CAST(at + length(body) AS BIGINT) END, ',' ORDER BY place), '') AS mask
+  coalesce(string_agg(CASE WHEN own THEN CAST(spot AS BIGINT) || '-' || CAST(spot + length(body) AS BIGINT) END, ',' ORDER BY place), '') AS mask
 FROM spans GROUP BY conv_id, perspective, chunk, piece
 """
 
