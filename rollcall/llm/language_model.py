@@ -208,7 +208,50 @@ class Attention:
         bias = np.where(late >= 0, p["R"][np.maximum(late, 0)] - p["R"].max(), np.float32(-1e9)).astype(np.float32)
         E = p["E"]
         look = np.concatenate([E @ p["Wk"], E @ p["Wv"] @ p["Wo"], E @ p["Wq"] * root, E @ p["Wx"] + p["b"]], axis=1)
-        return {"look": look.astype(np.float32), "bias": bias, "C": np.concatenate([p["C"], p["G"]], axis=1), "c": np.concatenate([p["c"], p["g"]])}
+        return {"look": look.astype(np.float32), "bias": bias, "C": p["C"], "c": p["c"], "G": p["G"], "g": p["g"]}
+
+
+def attend(t: dict, told: np.ndarray, begins: np.ndarray, low: int, high: int) -> np.ndarray:
+    """What the model knows before each id of the blocks ``low`` to ``high - 1``.
+
+    A window is a block and the one before it, whose keys and values are context only.
+    """
+    w, reach = WIDTH, max(low - 1, 0)
+    look = np.take(t["look"], told[reach * HALF : high * HALF], axis=0, mode="clip")
+    pair = look[:, : 2 * w].reshape(-1, HALF, 2 * w)
+    now = pair[low - reach :]
+    past = pair[:-1] if reach < low else np.concatenate([pair[:1], pair[:-1]])
+    both = np.concatenate([past, now], axis=1)
+    look = look[(low - reach) * HALF :]
+    s = look[:, 2 * w : 3 * w].reshape(-1, HALF, w) @ both[:, :, :w].transpose(0, 2, 1)
+    s += t["bias"]
+    np.exp(np.minimum(s, 60, out=s), out=s)
+    s[begins[low:high], :, :HALF] = 0
+    z = s @ both[:, :, w:]
+    z /= s.sum(axis=2, keepdims=True)
+    return np.tanh(z.reshape(-1, w) + look[:, 3 * w :])
+
+
+def class_log_probs(t: dict, hidden: np.ndarray, aim: np.ndarray) -> np.ndarray:
+    """Natural log of each class's probability: of its group, and within it, group by group."""
+    group, inner = aim // GROUP, aim % GROUP
+
+    def chosen(rows: np.ndarray, weights: np.ndarray, add: np.ndarray, at: np.ndarray) -> np.ndarray:
+        scores = rows @ weights
+        scores += add
+        picked = scores[np.arange(len(at)), at]
+        np.exp(np.minimum(scores, 60, out=scores), out=scores)
+        return picked - np.log(scores @ np.ones(GROUP, np.float32))
+
+    out = chosen(hidden, t["G"], t["g"], group)
+    order = np.argsort(group.astype(np.int8), kind="stable")
+    edges = np.searchsorted(group[order], np.arange(GROUP + 1))
+    for k in range(GROUP):
+        rows = order[edges[k] : edges[k + 1]]
+        if len(rows):
+            here = slice(k * GROUP, (k + 1) * GROUP)
+            out[rows] += chosen(hidden[rows], t["C"][:, here], t["c"][here], inner[rows])
+    return out
 
 
 def log_probs(t: dict, ids: np.ndarray, edges: np.ndarray, end: int, classes: Classes) -> np.ndarray:
@@ -216,7 +259,7 @@ def log_probs(t: dict, ids: np.ndarray, edges: np.ndarray, end: int, classes: Cl
     sizes = np.diff(edges) + 1  # with the end mark
     blocks = -(-sizes // HALF)
     first = np.concatenate([[0], np.cumsum(blocks)])
-    n, w = int(first[-1]), WIDTH
+    n = int(first[-1])
     to = gather_spans(first[:-1] * HALF, sizes)
     goal = np.zeros(n * HALF, np.int64)
     goal[to] = np.insert(ids, edges[1:], end)
@@ -227,30 +270,10 @@ def log_probs(t: dict, ids: np.ndarray, edges: np.ndarray, end: int, classes: Cl
     out = classes.log_share[goal].astype(np.float64)
     begins = np.zeros(n, bool)
     begins[first[:-1]] = True
-    for low in range(0, n, 128):
-        # A window is a block and the one before it, whose keys and values are context only.
-        high, reach = min(n, low + 128), max(low - 1, 0)
-        look = np.take(t["look"], told[reach * HALF : high * HALF], axis=0, mode="clip")
-        pair = look[:, : 2 * w].reshape(-1, HALF, 2 * w)
-        now = pair[low - reach :]
-        past = pair[:-1] if reach < low else np.concatenate([pair[:1], pair[:-1]])
-        both = np.concatenate([past, now], axis=1)
-        look = look[(low - reach) * HALF :]
-        s = look[:, 2 * w : 3 * w].reshape(-1, HALF, w) @ both[:, :, :w].transpose(0, 2, 1)
-        s += t["bias"]
-        np.exp(np.minimum(s, 60, out=s), out=s)
-        s[begins[low:high], :, :HALF] = 0
-        z = s @ both[:, :, w:]
-        z /= s.sum(axis=2, keepdims=True)
-        h = np.tanh(z.reshape(-1, w) + look[:, 3 * w :])
-        scores = h @ t["C"]
-        scores += t["c"]
-        at, every = aim[low * HALF : high * HALF], np.arange((high - low) * HALF)
-        group, inner = at // GROUP, at % GROUP
-        over, within = scores[:, GROUP * GROUP :], scores[:, : GROUP * GROUP].reshape(-1, GROUP, GROUP)[every, group]
-        chosen = over[every, group] + within[every, inner]
-        both = np.exp(np.minimum(np.concatenate([over, within], axis=1), 60)).reshape(-1, 2, GROUP).sum(axis=2)
-        out[low * HALF : high * HALF] += chosen - np.log(both[:, 0]) - np.log(both[:, 1])
+    for low in range(0, n, 4096):
+        high = min(n, low + 4096)
+        hidden = np.concatenate([attend(t, told, begins, a, min(high, a + 128)) for a in range(low, high, 128)])
+        out[low * HALF : high * HALF] += class_log_probs(t, hidden, aim[low * HALF : high * HALF])
     real = np.zeros(n * HALF, bool)
     real[to] = True
     out[~real] = 0
