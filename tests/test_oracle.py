@@ -15,6 +15,7 @@ QUERIES, ORACLE = SUBJECT, {k: v for k, v in entry_module.oracle_sql().items() i
 # Queries whose row order is part of the result, by their sort columns; descending ones with a minus.
 ORDERED = {
     "s1_ordered_state_summary": ["-total_voters"],
+    "s1_ordered_party_distribution": ["-total_voters"],
     "s1_ordered_engagement_metrics": ["-engagement_score", "-voter_count"],
     "s1_ordered_demographic_crosstab": ["generation", "gender", "party"],
     "s1_ordered_registration_trends": ["-registration_month"],
