@@ -16,7 +16,7 @@ with masks for the future, for padding and for what precedes a document.
 
 The attention weights are fitted in numpy on a sample bounded by ``sample_docs`` passages of
 ``sample_chars`` characters; every count is over all training rows. The driver receives the
-sample, one row per subword id, and the ``top_words`` most frequent words, which are broadcast;
+sample, one row per subword id, and at most ``top_words`` of the most frequent words, which are broadcast;
 the counts of all other words stay in a table and are joined to the words of the documents.
 Word counts are added up per task before they are shuffled, so a frequent word is a few rows.
 
@@ -90,6 +90,19 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words above some count that are ``most`` at the most, of which no task sends more than its share."""
+    step = F.floor(F.log2(F.col("c")) * 8)
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()  # a few hundred rows
+    total, least = 0, None
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        total += row["words"]
+        if total > most:
+            break
+        least = row["step"]
+    return counts.where(step >= least) if least is not None else counts.where(F.lit(False))
+
+
 def id_counts(counts: DataFrame, tokenizer: str) -> np.ndarray:
     """The count of every subword id in the training words."""
 
@@ -314,7 +327,7 @@ def score_documents(
     n_train, distinct = (totals["n"] or 0) + ends_, totals["v"] + (ends_ > 0)
     rest = float(np.log10(n_train + SMOOTH * (distinct + 1)))
 
-    top = [(bytes(r["word"]), r["c"]) for r in counts.orderBy(F.col("c").desc(), "word").limit(top_words).collect()]
+    top = [(bytes(r["word"]), r["c"]) for r in frequent(counts, top_words).collect()]
     known = spark.sparkContext.broadcast(({w: i for i, (w, _) in enumerate(top)}, np.log10(np.array([c for _, c in top] + [ends_]) + SMOOTH)))
 
     encoder = cached_encoder(tokenizer).tokenizer
@@ -325,7 +338,9 @@ def score_documents(
     begin = F.pmod(F.xxhash64("id"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1) + 1
     passages = training.where(F.length("text") > 0).select(F.xxhash64("id", "text").alias("h"), F.substr("text", begin.cast("int"), F.lit(sample_chars)).alias("part"))
     model = Attention(classes.weight)
-    x, y = sample_windows([r["part"] for r in passages.orderBy("h", "part").limit(sample_docs).collect()], tokenizer, end, classes)
+    # About twice the sample by hash, and the smallest hashes of it: what reaches the driver has the sample's size.
+    near = passages.where(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * sample_docs / max(ends_, 1))))
+    x, y = sample_windows([r["part"] for r in near.orderBy("h", "part").limit(sample_docs).collect()], tokenizer, end, classes)
     model.train(x, y, rounds)
     fitted = spark.sparkContext.broadcast((model.tables(), classes))
 
