@@ -4,9 +4,10 @@ Every test item is cut in units of up to ``unit_words`` words, and an inverted i
 BM25 impact of each word on each unit. Every training document is cut in overlapping passages,
 each of which is a query. A passage finds all units whose score is at least ``reach`` of the
 unit's score against itself. Units are in blocks, and the index keeps a word's largest impact
-in each block (block-max): words of a passage whose largest impacts together stay below every
-threshold open no block, a block is looked at only if its words' block maxima reach the least
-threshold in it, and only there are units scored.
+in each block (block-max). The words of a unit whose impacts together stay below its threshold
+do not open its block, as a passage that reaches the threshold holds one of the others; an
+opened block is looked at only if the passage's block maxima reach the least threshold in it,
+and only there are units scored.
 
 A found item counts as leaked if the document holds at least ``overlap`` of the distinct
 ``gram`` word grams of its question, and as much of those of its answer. The answer is the
@@ -38,7 +39,8 @@ from rollcall.llm.common import gather_spans, gram_hashes, steps, word_bounds, s
 OUTSIDE = np.ones(256, dtype=bool)
 OUTSIDE[48:58] = OUTSIDE[65:91] = OUTSIDE[97:123] = OUTSIDE[128:] = False
 K1, B = 1.2, 0.75
-BLOCK = 64
+BLOCK = 16
+SIEVE = 1 << 18
 
 
 def grams_of(words: np.ndarray, gram: int) -> np.ndarray:
@@ -67,11 +69,13 @@ class Index:
             question, answer = (words[:cut], words[cut:]) if cut else (words, words)
             self.ids.append(item)
             self.parts.append(tuple((min(gram, len(w)), grams_of(w, gram)) for w in (question, answer)))
-            for low in range(0, max(1, len(words) - unit_words // 4), unit_words):
-                high = low + unit_words
-                units.append(words[low : len(words) if len(words) - high <= unit_words // 4 else high])
+            # Units of about equal length: short ones say little.
+            for part in np.array_split(words, -(-len(words) // unit_words)):
+                units.append(part)
                 unit_item.append(len(self.ids) - 1)
-        self.item = np.array(unit_item, dtype=np.int64)
+        # Long units first, so that a block's units have similar thresholds.
+        by = sorted(range(len(units)), key=lambda u: -len(units[u]))
+        units, self.item = [units[u] for u in by], np.array([unit_item[u] for u in by], dtype=np.int64)
         n = len(units)
         size = np.array([len(u) for u in units], dtype=np.float64)
         of = np.repeat(np.arange(n), size.astype(np.int64))
@@ -90,35 +94,47 @@ class Index:
         self.begin = np.append(begin, len(key))
         self.unit, self.impact = unit, impact
         self.peak = np.maximum.reduceat(impact, begin) if len(key) else impact
-        self.entry = np.searchsorted(self.keys, np.arange(len(self.words) + 1) * max(self.n_blocks, 1))
-        self.best = np.maximum.reduceat(impact, np.searchsorted(term, np.arange(len(self.words)))) if len(key) else impact
+        cells = len(self.words) * self.n_blocks
+        #: The same by word and block, where that is a small table.
+        self.peaks = np.zeros(cells, np.float32) if cells <= 1 << 22 else None
+        if self.peaks is not None:
+            self.peaks[self.keys] = np.nextafter(self.peak.astype(np.float32), np.float32(np.inf))
         self.need = reach * np.bincount(unit, weights=impact, minlength=n) - 1e-9
         self.block_need = np.minimum.reduceat(self.need, np.arange(0, n, BLOCK)) if n else self.need
+        # A unit's words of smallest impact that together stay below its threshold are not needed to
+        # open it: a passage that reaches the threshold holds one of the others.
+        by = np.lexsort((impact, unit))
+        upto = np.cumsum(impact[by])
+        begin = np.searchsorted(unit[by], unit[by])
+        upto -= (upto - impact[by])[begin] if n else upto
+        opening = by[upto >= self.need[unit[by]]]
+        #: The blocks that each word opens, in order of word.
+        self.open_keys = np.unique(key[opening])
+        self.open_entry = np.searchsorted(self.open_keys, np.arange(len(self.words) + 1) * max(self.n_blocks, 1))
+        self.opens = np.diff(self.open_entry) > 0
+        self.sieve = np.zeros(SIEVE, dtype=bool)
+        self.sieve[(self.words[self.opens] % np.uint64(SIEVE)).astype(np.int64)] = True
+
+    def dense_peak(self, term: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """The largest impact of words in blocks, 0 where they do not occur."""
+        key = term * self.n_blocks + block
+        if self.peaks is not None:
+            return self.peaks[key]
+        entry = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[entry] == key, self.peak[entry], 0)
 
     def search(self, passage: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(passage, item) of every unit found; the input pairs are distinct and in order of passage."""
-        nothing = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if not len(passage) or not len(self.need):
-            return nothing
-        least = self.need.min()
-        total = np.bincount(passage, weights=self.best[term])
-        kept = total[passage] >= least
-        passage, term = passage[kept], term[kept]
-        # Words by rising impact: those that together stay below every threshold open no block.
-        order = np.lexsort((self.best[term], passage))
-        passage, term = passage[order], term[order]
-        if not len(passage):
-            return nothing
-        sums = np.cumsum(self.best[term])
-        first = np.searchsorted(passage, passage)
-        upto = sums - (sums[first] - self.best[term[first]])
-        opens = upto >= least
-        closed = np.bincount(passage, weights=np.where(opens, 0, self.best[term]), minlength=len(total))
-        low, high = self.entry[term[opens]], self.entry[term[opens] + 1]
-        entry = gather_spans(low, high - low)
-        spot = np.repeat(passage[opens], high - low) * self.n_blocks + self.keys[entry] % self.n_blocks
-        spot, back = np.unique(spot, return_inverse=True)
-        bound = np.bincount(back, weights=self.peak[entry]) + closed[spot // self.n_blocks]
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        low, high = self.open_entry[term], self.open_entry[term + 1]
+        block = self.open_keys[gather_spans(low, high - low)] % self.n_blocks
+        spot = np.unique(np.repeat(passage, high - low) * self.n_blocks + block)
+        # The largest score a passage can have in a block that one of its words opens.
+        low, high = np.searchsorted(passage, spot // self.n_blocks), np.searchsorted(passage, spot // self.n_blocks, side="right")
+        pick = gather_spans(low, high - low)
+        of = np.repeat(np.arange(len(spot)), high - low)
+        bound = np.bincount(of, weights=self.dense_peak(term[pick], spot[of] % self.n_blocks), minlength=len(spot))
         spot = spot[bound >= self.block_need[spot % self.n_blocks]]
         # Every word of the passages that remain, in the blocks that remain.
         low, high = np.searchsorted(passage, spot // self.n_blocks), np.searchsorted(passage, spot // self.n_blocks, side="right")
@@ -144,18 +160,26 @@ class Index:
             words = span_hashes(data, starts, ends)
             if not len(words) or not len(self.words):
                 continue
-            place = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-            known = np.flatnonzero(self.words[place] == words)
-            row = np.searchsorted(first, known, side="right") - 1
+            # Only passages with a word that can open a unit are queries.
+            near = np.flatnonzero(self.sieve[(words % np.uint64(SIEVE)).astype(np.int64)])
+            place = np.minimum(np.searchsorted(self.words, words[near]), len(self.words) - 1)
+            near = near[(self.words[place] == words[near]) & self.opens[place]]
+            row = np.searchsorted(first, near, side="right") - 1
             # Passages of twice a unit's words, one beginning at every unit_words words: a run of unit_words words is whole in one of them.
-            slot = (known - first[row]) // unit_words
-            most = int(np.diff(first).max()) // unit_words + 2
-            passage = np.concatenate([row * most + slot + 1, row * most + slot])
-            pairs = np.unique(passage * len(self.words) + np.tile(place[known], 2))
-            passage, term = pairs // len(self.words), pairs % len(self.words)
-            names, passage = np.unique(passage, return_inverse=True)
-            passage, item = self.search(passage, term)
-            candidates = np.unique((names[passage] // most) * len(self.ids) + item)
+            slots = np.diff(first) // unit_words + 2
+            base = np.cumsum(slots) - slots
+            slot = base[row] + (near - first[row]) // unit_words
+            names = np.unique(np.concatenate([slot, slot + 1]))
+            row = np.searchsorted(base, names, side="right") - 1
+            middle = first[row] + (names - base[row]) * unit_words
+            low_word, high_word = np.maximum(middle - unit_words, first[row]), np.minimum(middle + unit_words, first[row + 1])
+            spot = gather_spans(low_word, high_word - low_word)
+            passage = np.repeat(np.arange(len(names)), high_word - low_word)
+            place = np.minimum(np.searchsorted(self.words, words[spot]), len(self.words) - 1)
+            known = self.words[place] == words[spot]
+            pairs = np.unique(passage[known] * len(self.words) + place[known])
+            passage, item = self.search(pairs // len(self.words), pairs % len(self.words))
+            candidates = np.unique(row[passage] * len(self.ids) + item)
             grams: dict[tuple[int, int], np.ndarray] = {}
             for r, i in zip((candidates // len(self.ids)).tolist(), (candidates % len(self.ids)).tolist(), strict=True):
                 shares = []
