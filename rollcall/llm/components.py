@@ -65,16 +65,24 @@ def star(links: DataFrame, small: bool) -> DataFrame:
     return out.where("x != m").select(F.greatest("x", "m").alias("a"), F.least("x", "m").alias("b")).distinct()
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+#: Links that one task contracts in memory.
+TASK_LINKS = 500_000
+
+
+def connected_components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """node, root (the smallest node of the component) of all nodes but the roots; links are longs ``a``, ``b``."""
     use_checkpoints(links.sparkSession)
     links = reduce_links(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct().checkpoint()
-    before = None
     while True:
+        # Few links need few tasks, and what one task holds is contracted at once.
+        tasks = -(-links.count() // task_links)
+        if tasks <= 1:
+            return reduce_links(links.repartition(1)).checkpoint().select(F.col("a").alias("node"), F.col("b").alias("root"))
+        if 2 * tasks < links.rdd.getNumPartitions():
+            links = reduce_links(links.repartition(tasks)).distinct().checkpoint()
         stars = links.groupBy("a").agg(F.count("*").alias("n"), F.max("b").alias("m"))
         # Done when every node has one link and no node that is linked to has a link itself.
         busy = stars.where("n > 1").limit(1).count() or links.join(links.select(F.col("a").alias("c")), F.col("b") == F.col("c"), "left_semi").limit(1).count()
         if not busy:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before, links = links, star(star(links, small=False), small=True).checkpoint()
-        del before
+        links = star(star(links, small=False), small=True).checkpoint()

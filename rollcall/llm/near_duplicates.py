@@ -12,13 +12,16 @@ its component of links; pairs are never listed for copies.
    every column adds one to the overlap of each pair of classes in it. Counts of all blocks
    are added up by pair, and a pair is discarded when its count, the columns not multiplied
    and the shingles beyond the prefixes together are below the bound that its sizes set.
-4. A column of more than ``wide`` classes is not multiplied. Its classes are first compared
-   with one pivot, which is linear; after that only classes of different components remain to
-   be compared, in pairs of bounded sub-blocks of the column, and only where their places in
-   the order leave room for the bound. So no link is lost, and a large group of near copies
-   costs a few comparisons per member. Columns that the sketch finds very frequent never meet
-   in one task: their entries are spread, and only counts and pivots are aggregated.
-5. What remains is compared exactly, set against set.
+4. A column of more than ``wide`` classes is not multiplied with the others. Its classes are
+   first compared with the column's pivot, which is linear. After that only classes of
+   different components remain to be compared, and only those whose places in the order leave
+   room for the bound. They are gathered by pivot; those outside a group's largest component
+   meet the others in parts of bounded size, where a product of the parts' incidence matrices
+   gives all overlaps at once and only links come out. So no link is lost, and pairs of a
+   large group are never listed. Columns that the sketch finds
+   very frequent never meet in one task: their entries are spread, and only counts and
+   pivots are aggregated.
+5. Pairs of step 3 and of pivots are compared exactly, set against set.
 
 Defined results: a null or empty text, or one without words, has an empty set, no link and its
 own id as component; with fewer words than n the whole sequence is the one shingle. Rows that
@@ -35,11 +38,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import gather_spans, gram_hashes, mix, ship_package, steps, use_checkpoints, word_hashes
-from rollcall.llm.components import connected_components
+from rollcall.llm.common import gather_spans, gram_hashes, mix, ship_package, spans, steps, text_parts, use_checkpoints, word_hashes
+from rollcall.llm.components import connected_components, forest
 from rollcall.session import new_scratch_path
 
 CHUNK = 1 << 12
+PORTION = 1 << 23
 
 
 def gram_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -54,6 +58,13 @@ def gram_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
                 yield low + row, gram_hashes(words[a:b], b - a)
 
 
+def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``PORTION`` bytes of text, whose shingles are held at a time."""
+    for batch in batches:
+        for low, high in spans(np.diff(text_parts(batch.column(0))[1]), PORTION):
+            yield batch.slice(low, high - low)
+
+
 def signature(grams: np.ndarray) -> int:
     with np.errstate(over="ignore"):
         total = mix(grams + np.uint64(7)).sum(dtype=np.uint64) + np.uint64(len(grams))
@@ -130,7 +141,7 @@ def prefix_blocks(docs: DataFrame, order, n: int, percent: int, n_blocks: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = order.value
-        for batch in batches:
+        for batch in portions(batches):
             seen: set[int] = set()
             sigs, sizes, keys = [], [], []
             for _, grams in gram_sets(batch.column(0), n):
@@ -240,109 +251,185 @@ def bitmap(values: DataFrame, bits: int) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def exact_links(docs: DataFrame, pairs: DataFrame, n: int, percent: int, bits: int) -> DataFrame:
-    """The pairs a, b that link, by comparing their whole sets.
+def class_sets(docs: DataFrame, classes: DataFrame, n: int, bits: int, width: int) -> DataFrame:
+    """sig, grams (``width`` bytes of each hash, in order) of the classes ``v``, and of some others.
 
-    Sets are made again from the texts, for the classes that a bitmap of the pairs' classes lets pass.
+    Sets are made again from the texts, for the classes that a bitmap of fixed size lets pass.
     """
-    spark = docs.sparkSession
-    sides = {}
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(classes.distinct(), bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for batch in portions(batches):
+            sigs, sets, seen = [], [], set()
+            for _, grams in gram_sets(batch.column(0), n):
+                sig = signature(grams)
+                low = sig & ((1 << bits) - 1)
+                if (int(words[low >> 6]) >> (low & 63)) & 1 and sig not in seen:
+                    seen.add(sig)
+                    sigs.append(sig)
+                    sets.append((grams if width == 8 else grams >> np.uint64(32)).astype(f"<u{width}").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(sets, pa.binary())], names=["sig", "grams"])
+
+    # A class that several batches hold comes from each; one of its equal sets is kept.
+    return docs.mapInArrow(run, "sig long, grams binary").dropDuplicates(["sig"])
+
+
+def compared(docs: DataFrame, pairs: DataFrame, n: int, percent: int, bits: int, width: int) -> DataFrame:
+    """The pairs a, b whose sets may link, by ``width`` bytes of each hash; ``sure`` where they do.
+
+    Shortened hashes of different shingles may be equal, so an overlap found is never too
+    small; a pair is sure when it is above the bound by more than chance can add.
+    """
+    kind, sides = f"<u{width}", {}
     for side in ("a", "b"):
-        shared = spark.sparkContext.broadcast(bitmap(pairs.select(F.col(side).alias("v")).distinct(), bits))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            words = shared.value
-            for batch in batches:
-                sigs, sets, seen = [], [], set()
-                for _, grams in gram_sets(batch.column(0), n):
-                    sig = signature(grams)
-                    low = sig & ((1 << bits) - 1)
-                    if (int(words[low >> 6]) >> (low & 63)) & 1 and sig not in seen:
-                        seen.add(sig)
-                        sigs.append(sig)
-                        sets.append(grams.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(sets, pa.binary())], names=["sig", "grams"])
-
-        # A class that several batches hold comes from each; one of its equal sets is kept.
-        sides[side] = docs.mapInArrow(run, "sig long, grams binary").dropDuplicates(["sig"]).select(F.col("sig").alias(f"s{side}"), F.col("grams").alias(f"g{side}"))
+        sets = class_sets(docs, pairs.select(F.col(side).alias("v")), n, bits, width)
+        sides[side] = sets.select(F.col("sig").alias(f"s{side}"), F.col("grams").alias(f"g{side}"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            keep, sure = [], []
             for ga, gb in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(ga.as_buffer(), np.uint64), np.frombuffer(gb.as_buffer(), np.uint64)
+                x, y = np.frombuffer(ga.as_buffer(), kind), np.frombuffer(gb.as_buffer(), kind)
                 if len(x) > len(y):
                     x, y = y, x
                 need = -(-percent * (len(x) + len(y)) // (100 + percent))
-                if need > len(x):
-                    keep.append(False)
-                    continue
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                keep.append(int((y[at] == x).sum()) >= need)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                overlap = 0
+                if need <= len(x):
+                    overlap = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                # Equal by chance: a Poisson number of this mean, above the slack with a chance below 1e-12.
+                mean = len(x) * len(y) / 2.0 ** (8 * width)
+                keep.append(overlap >= need)
+                sure.append(width == 8 or overlap >= need + 4 + int(4 * mean + 12 * mean**0.5))
+            rows = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sure, pa.bool_())], names=["a", "b", "sure"])
+            yield rows.filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.select("a", "b").join(sides["b"], F.col("b") == F.col("sb")).join(sides["a"], F.col("a") == F.col("sa"))
-    return joined.select("a", "b", "ga", "gb").mapInArrow(compare, "a long, b long")
+    return joined.select("a", "b", "ga", "gb").mapInArrow(compare, "a long, b long, sure boolean")
 
 
-def pivot_pairs(columns: DataFrame) -> DataFrame:
-    """Every class of a wide column with the column's pivot: the least signature after one of two masks."""
-    mask = F.when(F.col("a") % 2 == 0, F.lit(0)).otherwise(F.lit(0x5DEECE66D5DEECE6))
-    masked = F.col("b").bitwiseXOR(mask)
-    pivots = columns.groupBy(F.col("a").alias("k")).agg(F.min(masked).alias("p"))
-    met = columns.join(pivots, F.col("a") == F.col("k")).select(F.col("p").bitwiseXOR(mask).alias("a2"), "b")
-    return met.where("a2 != b").select(F.col("a2").alias("a"), "b").distinct()
+def exact_links(docs: DataFrame, pairs: DataFrame, n: int, percent: int, bits: int) -> DataFrame:
+    """The pairs a, b that link: by half of each hash, and the few left open by the whole of it."""
+    rough = compared(docs, pairs, n, percent, bits, 4).checkpoint()
+    left = rough.where("not sure").select("a", "b")
+    links = rough.where("sure").select("a", "b")
+    return links if left.isEmpty() else links.unionByName(compared(docs, left, n, percent, bits, 8).select("a", "b")).checkpoint()
 
 
-def remaining_pairs(columns: DataFrame, roots: DataFrame, percent: int, sub: int) -> DataFrame:
-    """Pairs of classes of different components that share a wide column and may still link.
+def with_pivots(columns: DataFrame) -> DataFrame:
+    """Every entry of the wide columns with p, the column's pivot.
 
-    A column of m entries is dealt into ceil(m / sub) parts, and each pair of parts is a group of its own.
+    The pivot is the least signature after one of two masks, so columns of the same classes
+    mostly share it, and a pivot stands for many columns.
     """
-    named = columns.join(roots, F.col("b") == F.col("node"), "left").select("a", "b", "x", "y", F.coalesce("root", "b").alias("root"))
-    mixed = named.groupBy(F.col("a").alias("k")).agg(F.count("*").alias("m"), F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("k", F.ceil(F.col("m") / sub).cast("int").alias("parts"))
+    mask = F.when(F.col("a") % 2 == 0, F.lit(0)).otherwise(F.lit(0x5DEECE66D5DEECE6))
+    pivots = columns.groupBy(F.col("a").alias("k")).agg(F.min(F.col("b").bitwiseXOR(mask)).alias("m"))
+    return columns.join(pivots, F.col("a") == F.col("k")).select("a", "b", "x", "y", F.col("m").bitwiseXOR(mask).alias("p"))
+
+
+def in_parts(batches: Iterator[pa.RecordBatch], keys: int, meet) -> Iterator[pa.RecordBatch]:
+    """What ``meet`` makes of each run of rows that agree in the first ``keys`` columns."""
+    group, held = None, []
+    for batch in batches:
+        spot = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(keys)])
+        edges = np.flatnonzero((np.diff(spot, axis=1) != 0).any(axis=0)) + 1
+        for low, high in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
+            if low == high:
+                continue
+            here = tuple(spot[:, low].tolist())
+            if held and here != group:
+                yield meet(held)
+                held = []
+            group = here
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield meet(held)
+
+
+def open_groups(entries: DataFrame, roots: DataFrame, percent: int, part_rows: int) -> DataFrame:
+    """p, b, root: the classes that may still link to one of another component in a column of pivot p.
+
+    In a column two sets can reach the bound only if what follows their places, and the column
+    itself, is enough. A column is dealt into parts, and each pair of parts is a unit of work
+    that names the classes with such a partner, not the pairs.
+    """
+    named = entries.join(roots, F.col("b") == F.col("node"), "left").select("a", "p", "b", "x", "y", F.coalesce("root", "b").alias("root"))
+    # The smaller set of a pair has the column early in its order.
+    early = F.col("y") - 1 <= F.col("x") * F.lit((100 - percent) / (100 + percent))
+    mixed = named.groupBy(F.col("a").alias("k")).agg(F.count("*").alias("m"), F.min("root").alias("r"), F.max("root").alias("s"), F.max(early).alias("early"))
+    mixed = mixed.where((F.col("r") != F.col("s")) & F.col("early")).select("k", F.ceil(F.col("m") / part_rows).cast("int").alias("parts"))
     rows = named.join(mixed, F.col("a") == F.col("k")).withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("a", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "b", "x", "y", "root").distinct()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        group = None
-        for batch in batches:
-            spot = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)])
-            edges = np.flatnonzero((np.diff(spot, axis=1) != 0).any(axis=0)) + 1
-            for low, high in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows], strict=True):
-                if low == high:
-                    continue
-                here = tuple(spot[:, low].tolist())
-                if held and here != group:
-                    yield from meet(held)
-                    held = []
-                group = here
-                held.append(batch.slice(low, high - low))
-        if held:
-            yield from meet(held)
-
-    def meet(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, q, part, sig, size, place, root = (np.concatenate([h.column(i).to_numpy().astype(np.int64) for h in held]) for i in range(1, 8))
-        if (root == root[0]).all():
-            return
-        one = np.flatnonzero(part == p)
-        for low in range(0, len(one), 64):
-            i = one[low : low + 64][:, None]
-            j = np.flatnonzero(part == q)[None, :]
+    rows = rows.select("a", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "p", "b", "x", "y", "root").distinct()
+
+    def meet(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        low, high, part, pivot, sig, size, place, root = (np.concatenate([h.column(i).to_numpy().astype(np.int64) for h in held]) for i in range(1, 9))
+        found = np.zeros(len(sig), bool)
+        one, two = np.flatnonzero(part == low), np.flatnonzero(part == high)
+        for at in range(0, len(one), 256):
+            i, j = one[at : at + 256][:, None], two[None, :]
             need = -(-percent * (size[i] + size[j]) // (100 + percent))
-            room = 1 + np.minimum(size[i] - place[i], size[j] - place[j])
-            left, right = np.nonzero((room >= need) & (root[i] != root[j]) & ((part[i] != part[j]) | (sig[i] < sig[j])))
-            a, b = sig[i[left, 0]], sig[j[0, right]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            near = (1 + np.minimum(size[i] - place[i], size[j] - place[j]) >= need) & (root[i] != root[j])
+            found[i[near.any(axis=1), 0]] = True
+            found[j[0, near.any(axis=0)]] = True
+        return pa.RecordBatch.from_arrays([pa.array(pivot[found]), pa.array(sig[found]), pa.array(root[found])], names=["p", "b", "root"])
+
+    dealt = rows.repartition("a", "low", "high").sortWithinPartitions("a", "low", "high")
+    return dealt.mapInArrow(lambda batches: in_parts(batches, 3, meet), "p long, b long, root long").distinct()
+
 
-    dealt = rows.repartition("a", "p", "q").sortWithinPartitions("a", "p", "q")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+def block_links(sets: list[np.ndarray], sigs: np.ndarray, roots: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between rows ``left`` and ``right`` of different components, as a forest.
+
+    The product of their incidence matrices is added up over blocks of shingles.
+    """
+    size = np.array([len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets)), size)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(count[column] > 1)
+    shared = shared[np.argsort(column[shared], kind="stable")]
+    row, column = row[shared], (np.cumsum(count > 1) - 1)[column[shared]]
+    overlap = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, [low, low + 4096])
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[row[a:b], column[a:b] - low] = 1
+        overlap += part[left] @ part[right].T
+    need = -(-percent * (size[left][:, None] + size[right][None, :]) // (100 + percent))
+    i, j = np.nonzero((overlap >= need) & (roots[left][:, None] != roots[right][None, :]))
+    return forest(sigs[left[i]], sigs[right[j]])
+
+
+def remaining_links(docs: DataFrame, named: DataFrame, n: int, percent: int, part_rows: int, bits: int) -> DataFrame:
+    """Links between classes of different components within the pivots' groups.
+
+    A group's classes outside its largest component meet all others, part by part; parts hold
+    about ``part_rows`` classes, and a pair of parts is one task's unit of work. Groups of one
+    component are left out before any set is made.
+    """
+    by_root = named.groupBy(F.col("p").alias("k"), "root").agg(F.count("*").alias("m"))
+    mixed = by_root.groupBy("k").agg(F.max(F.struct("m", "root")).alias("most"), F.sum("m").alias("all")).where(F.col("all") > F.col("most.m"))
+    parts = lambda m: F.ceil(m / F.lit(part_rows)).cast("int")
+    mixed = mixed.select("k", F.col("most.root").alias("main"), parts(F.col("most.m")).alias("g"), parts(F.col("all") - F.col("most.m")).alias("s"))
+    rows = named.join(mixed, F.col("p") == F.col("k")).withColumn("in_main", F.col("root") == F.col("main"))
+    spread = F.xxhash64("b", "p")
+    rows = rows.withColumn("part", F.when(F.col("in_main"), F.pmod(spread, F.col("g"))).otherwise(F.col("g") + F.pmod(spread, F.col("s"))).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.when(F.col("in_main"), F.col("g")).otherwise(F.lit(0)), F.col("g") + F.col("s") - 1)))
+    rows = rows.select("p", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "b", "root").checkpoint()
+    sets = class_sets(docs, rows.select(F.col("b").alias("v")), n, bits, 8)
+    full = rows.join(sets, F.col("b") == F.col("sig")).select("p", "low", "high", "part", "b", "root", "grams")
+
+    def meet(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        low, high, part, sigs, roots_ = (np.concatenate([h.column(i).to_numpy().astype(np.int64) for h in held]) for i in range(1, 6))
+        grams = [np.frombuffer(g.as_buffer(), "<u8") for h in held for g in h.column(6)]
+        a, b = block_links(grams, sigs, roots_, np.flatnonzero(part == low), np.flatnonzero(part == high), percent)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return full.repartition("p", "low", "high").sortWithinPartitions("p", "low", "high").mapInArrow(lambda batches: in_parts(batches, 3, meet), "a long, b long").distinct()
 
 
 def near_duplicates(
-    docs: DataFrame, n: int = 5, percent: int = 75, wide: int = 16, sub: int = 256, sketch_bits: int = 18, bitmap_bits: int = 24, block_docs: int = 8192,
+    docs: DataFrame, n: int = 5, percent: int = 75, wide: int = 16, part_rows: int = 256, sketch_bits: int = 18, bitmap_bits: int = 24, block_docs: int = 4096,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """id, n_shingles and component_id of every row of ``docs``."""
@@ -377,14 +464,14 @@ def near_duplicates(
     most = F.col("c") + F.least(F.coalesce("skipped_a", F.lit(0)), F.coalesce("skipped_b", F.lit(0))) + F.greatest(beyond(F.col("x"), percent), beyond(F.col("y"), percent))
     pairs = pairs.where(most >= required(F.col("x"), F.col("y"), percent)).select("a", "b")
 
-    first = pairs.unionByName(pivot_pairs(columns).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct().checkpoint()
-    links = exact_links(texts, first, n, percent, bitmap_bits).checkpoint()
+    entries = with_pivots(columns)
+    pivoted = entries.where("p != b").select(F.least("p", "b").alias("a"), F.greatest("p", "b").alias("b"))
+    links = exact_links(texts, pairs.unionByName(pivoted).distinct().checkpoint(), n, percent, bitmap_bits)
     roots = connected_components(links)
-    rest = remaining_pairs(columns, roots, percent, sub).join(first.withColumnRenamed("a", "fa").withColumnRenamed("b", "fb"), (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb")), "left_anti").checkpoint()
-    if rest.limit(1).count():
-        more = exact_links(texts, rest, n, percent, bitmap_bits).checkpoint()
-        if more.limit(1).count():
-            roots = connected_components(links.unionByName(more))
+    left = open_groups(entries, roots, percent, part_rows).checkpoint()
+    if not left.isEmpty():
+        more = remaining_links(texts, left, n, percent, part_rows, bitmap_bits).checkpoint()
+        roots = connected_components(links.unionByName(more))
 
     classes = nodes.where("n_shingles > 0").groupBy("sig").agg(F.min("id").alias("least"))
     rooted = classes.join(roots, F.col("sig") == F.col("node"), "left").select("sig", "least", F.coalesce("root", "sig").alias("root"))

@@ -64,8 +64,8 @@ def test_edge_rows(docs_of):
                     (None, a), (None, "text without id and alone in the world"), (10, "one two three four five"), (11, "Éa ÉA x y z"), (12, "éa éA x y z")])
 
 
-@pytest.mark.parametrize(("wide", "sub"), [(16, 256), (2, 3), (0, 2)])
-def test_groups_of_near_copies(docs_of, wide, sub):
+@pytest.mark.parametrize(("wide", "part_rows"), [(16, 256), (2, 3), (0, 2)])
+def test_groups_of_near_copies(docs_of, wide, part_rows):
     r = random.Random(wide)
     rows, passage = [], prose(r, 60)
     for g in range(6):
@@ -79,7 +79,7 @@ def test_groups_of_near_copies(docs_of, wide, sub):
         words = words[4:] + prose(r, 4)
         rows.append(" ".join(words))
     r.shuffle(rows)
-    check(docs_of, list(enumerate(rows)), wide=wide, sub=sub)
+    check(docs_of, list(enumerate(rows)), wide=wide, part_rows=part_rows)
 
 
 def test_empty(docs_of):
@@ -92,11 +92,12 @@ def test_a_very_long_text(docs_of):
     check(docs_of, [(1, " ".join(words)), (2, " ".join(edited(r, words, 0.01))), (3, " ".join(words[:20_000])), (4, "x" * 50_000)])
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task_links", [20, 500_000])
+def test_components(spark, task_links):
     r = random.Random(1)
     for n, m in ((1, 0), (50, 30), (200, 220)):
         links = [(r.randrange(n), r.randrange(n)) for _ in range(m)] + [(i, i + 1) for i in range(n // 2, n - 1)]
-        got = dict(map(tuple, connected_components(spark.createDataFrame(links, "a long, b long").repartition(4)).collect()))
+        got = dict(map(tuple, connected_components(spark.createDataFrame(links, "a long, b long").repartition(4), task_links).collect()))
         assert got == {i: x for i, x in enumerate(roots_of(n, links)) if i != x}
 
 
