@@ -14,9 +14,12 @@ second half is scored, its first half is context, so each id is scored once, wit
 2 HALF - 1 ids before it (fewer at the beginning). Windows of many documents run as one batch
 with masks for the future, for padding and for what precedes a document.
 
-The attention weights are fitted in numpy on a sample bounded by ``sample_docs`` passages of
-``sample_chars`` characters; every count is over all training rows. The driver receives the
-sample, one row per subword id, and at most ``top_words`` of the most frequent words, which are broadcast;
+The attention weights are fitted in numpy on every window of every training row. They begin from
+weights fitted on a sample of ``sample_docs`` passages of ``sample_chars`` characters. Then each task
+goes on from them over all windows of its rows, and the tasks' weights are averaged, each by the
+ids it has seen; so the scores depend a little on how rows are dealt over tasks. Every count is
+over all training rows too. The driver receives the sample, sums of weights from ``SUMS`` tasks,
+one row per subword id, and at most ``top_words`` of the most frequent words, which are broadcast;
 the counts of all other words stay in a table and are joined to the words of the documents.
 Word counts are added up per task before they are shuffled, so a frequent word is a few rows.
 
@@ -28,7 +31,7 @@ gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -42,10 +45,11 @@ from rollcall.session import new_scratch_path
 
 HALF = 8
 WIDTH = 16
-GROUP = 16  # classes of a group, and groups
+GROUP = 32  # classes of a group, and groups
 SHAPES = 32
-HEAD, KNOWN = GROUP * GROUP - SHAPES, 1024
+HEAD, KNOWN = GROUP * GROUP - SHAPES, 4096
 SMOOTH = 0.1
+SUMS = 16  # tasks that add up the weights of the others
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -161,9 +165,9 @@ class Attention:
         }
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
-    def slopes(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
-        """Mean loss over windows of inputs x and classes y (windows by 2 HALF), and its gradient."""
-        p, n, t = self.p, x.size, x.shape[1]
+    def slopes(self, x: np.ndarray, y: np.ndarray, real: np.ndarray | None = None) -> tuple[float, dict]:
+        """Mean loss over windows of inputs x and classes y (windows by 2 HALF), and its gradient; only places in ``real`` count."""
+        p, t = self.p, x.shape[1]
         root = np.float32(WIDTH**-0.5)
         lag = np.arange(t)[:, None] - np.arange(t)[None, :]
         X = p["E"][x]
@@ -171,17 +175,29 @@ class Attention:
         A = softmax(Q @ K.transpose(0, 2, 1) * root + np.where(lag >= 0, p["R"][np.abs(lag)], np.float32(-1e9)))
         Z = A @ V
         H = np.tanh(X @ p["Wx"] + Z @ p["Wo"] + p["b"])
-        h, every, group, inner = flat(H), np.arange(n), y.ravel() // GROUP, y.ravel() % GROUP
+        places = np.arange(x.size) if real is None else np.flatnonzero(real)
+        places = places[np.argsort((y.ravel()[places] // GROUP).astype(np.int8), kind="stable")]  # group by group
+        h, goals, every, n = flat(H)[places], y.ravel()[places], np.arange(len(places)), max(1, len(places))
+        group, inner = goals // GROUP, goals % GROUP
+        edges = np.searchsorted(group, np.arange(GROUP + 1))
         over = softmax(h @ p["G"] + p["g"])
-        within = softmax((h @ p["C"] + p["c"]).reshape(n, GROUP, GROUP)[every, group])
-        loss = -float((np.log(over[every, group] + 1e-30) + np.log(within[every, inner] + 1e-30)).mean())
+        loss = -float(np.log(over[every, group] + 1e-30).sum())
         over[every, group] -= 1
-        within[every, inner] -= 1
-        dG, dL = over / n, np.zeros((n, GROUP, GROUP), np.float32)
-        dL[every, group] = within / n
-        dL = dL.reshape(n, -1)
-        g = {"C": h.T @ dL, "c": dL.sum(axis=0), "G": h.T @ dG, "g": dG.sum(axis=0)}
-        dU = ((dL @ p["C"].T + dG @ p["G"].T) * (1 - h * h)).reshape(H.shape)
+        dG = over / n
+        g = {"C": np.zeros_like(p["C"]), "c": np.zeros_like(p["c"]), "G": h.T @ dG, "g": dG.sum(axis=0)}
+        dh = dG @ p["G"].T
+        for k in np.flatnonzero(np.diff(edges)):
+            rows, here = slice(edges[k], edges[k + 1]), slice(k * GROUP, (k + 1) * GROUP)
+            within = softmax(h[rows] @ p["C"][:, here] + p["c"][here])
+            at = (np.arange(len(within)), inner[rows])
+            loss -= float(np.log(within[at] + 1e-30).sum())
+            within[at] -= 1
+            within /= n
+            g["C"][:, here], g["c"][here] = h[rows].T @ within, within.sum(axis=0)
+            dh[rows] += within @ p["C"][:, here].T
+        dU = np.zeros_like(flat(H))
+        dU[places] = dh * (1 - h * h)
+        dU = dU.reshape(H.shape)
         g |= {"Wx": flat(X).T @ flat(dU), "Wo": flat(Z).T @ flat(dU), "b": flat(dU).sum(axis=0)}
         dZ = dU @ p["Wo"].T
         dA, dV = dZ @ V.transpose(0, 2, 1), A.transpose(0, 2, 1) @ dZ
@@ -189,28 +205,39 @@ class Attention:
         g["R"] = np.bincount(lag[lag >= 0], weights=dS.sum(axis=0)[lag >= 0], minlength=2 * HALF)
         dQ, dK = dS @ K * root, dS.transpose(0, 2, 1) @ Q * root
         g |= {"Wq": flat(X).T @ flat(dQ), "Wk": flat(X).T @ flat(dK), "Wv": flat(X).T @ flat(dV)}
-        dX = dU @ p["Wx"].T + dQ @ p["Wq"].T + dK @ p["Wk"].T + dV @ p["Wv"].T
+        dX = flat(dU @ p["Wx"].T + dQ @ p["Wq"].T + dK @ p["Wk"].T + dV @ p["Wv"].T)
+        order = np.argsort(x.ravel().astype(np.int16), kind="stable")
+        inputs, begins = np.unique(x.ravel()[order], return_index=True)
         g["E"] = np.zeros_like(p["E"])
-        np.add.at(g["E"], x.ravel(), flat(dX))
-        return loss, g
+        g["E"][inputs] = np.add.reduceat(dX[order], begins, axis=0)
+        return loss / n, g
+
+    def adam(self) -> Callable[[dict, float], None]:
+        """A function that takes a step against a gradient at a rate."""
+        m, v = ({k: np.zeros_like(a) for k, a in self.p.items()} for _ in range(2))
+        step = 0
+
+        def go(g: dict, rate: float) -> None:
+            nonlocal step
+            step += 1
+            for k, a in self.p.items():
+                m[k] += 0.1 * (g[k] - m[k])
+                v[k] += 0.01 * (g[k] ** 2 - v[k])
+                a -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+
+        return go
 
     def train(self, x: np.ndarray, y: np.ndarray, rounds: int, batch: int = 256, rate: float = 0.01, seed: int = 2) -> list[float]:
         """Adam over windows in random order; the rate falls to 0 over all rounds."""
         r = np.random.default_rng(seed)
-        m, v = ({k: np.zeros_like(a) for k, a in self.p.items()} for _ in range(2))
-        losses, step, last = [], 0, max(1, rounds * (len(x) // batch))
+        go, losses, last = self.adam(), [], max(1, rounds * (len(x) // batch))
         for _ in range(rounds):
             order = r.permutation(len(x))
             for low in range(0, len(x) - batch + 1, batch):
                 pick = order[low : low + batch]
                 loss, g = self.slopes(x[pick], y[pick])
                 losses.append(loss)
-                step += 1
-                now = rate * (1 - step / (last + 1))
-                for k, a in self.p.items():
-                    m[k] += 0.1 * (g[k] - m[k])
-                    v[k] += 0.01 * (g[k] ** 2 - v[k])
-                    a -= (now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+                go(g, rate * (1 - len(losses) / (last + 1)))
         return losses
 
     def tables(self) -> dict:
@@ -309,6 +336,81 @@ def sample_windows(texts: list[str], tokenizer: str, end: int, classes: Classes)
     return np.stack(inputs), np.stack(goals)
 
 
+def windows_of(ids: np.ndarray, edges: np.ndarray, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of inputs and classes of every text of ids, each with the end mark after it, and which places are not padding."""
+    sizes = np.diff(edges) + 1
+    first = np.concatenate([[0], np.cumsum(-(-sizes // (2 * HALF)))]) * 2 * HALF
+    to = gather_spans(first[:-1], sizes)
+    goal = np.zeros(int(first[-1]), np.int64)
+    goal[to] = np.insert(ids, edges[1:], end)
+    told = np.zeros_like(goal)
+    told[1:] = goal[:-1]
+    told[first[:-1]] = end
+    real = np.zeros(len(goal), bool)
+    real[to] = True
+    return classes.inp[told].reshape(-1, 2 * HALF), classes.out[goal].reshape(-1, 2 * HALF), real.reshape(-1, 2 * HALF)
+
+
+def fit_on_all(texts: DataFrame, tokenizer: str, end: int, classes: Classes, model: Attention, batch: int = 512, rate: float = 0.005) -> int:
+    """Go on with the fit over every window of the column ``text``, each task by itself, and average; the number of ids seen."""
+    start = texts.sparkSession.sparkContext.broadcast((model.p, classes))
+    names, shapes = list(model.p), [a.shape for a in model.p.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, classes_ = start.value
+        own = Attention(classes_.weight)
+        own.p = {k: a.copy() for k, a in weights.items()}
+        go, done, seen = own.adam(), 0, 0
+
+        def learn(parts: list) -> None:
+            nonlocal done, seen
+            x, y, real = (np.concatenate(c) for c in zip(*parts, strict=True))
+            order = np.random.default_rng(seen).permutation(len(x))
+            for low in range(0, len(x), batch):
+                pick = order[low : low + batch]
+                share = len(pick) / batch  # a batch that is not full steps less far
+                go(own.slopes(x[pick], y[pick], real[pick])[1], rate * share / (1 + done / 200) ** 0.5)
+                done += 1
+            seen += int(real.sum())
+
+        def make(words: list[bytes]) -> list:
+            return [(len(i), *i) for i in encode_words(tokenizer, [w.lower() for w in words])]
+
+        cache, parts, held = SpanCache(make, LOWER_VALUE), [], 0
+        for rows in batches:
+            for _, _, data, at in steps(rows.column(0), 1 << 19):
+                starts, ends, first = word_bounds(data, at)
+                numbers, sizes = cache.gather(cache.find(data, starts, ends))
+                ids = np.delete(numbers, np.cumsum(sizes) - sizes)
+                edges = np.concatenate([[0], np.cumsum(sizes - 1)])[first]
+                parts.append(windows_of(ids, edges, end, classes_))
+                held += len(parts[-1][0])
+                if held >= 16 * batch:
+                    learn(parts)
+                    parts, held = [], 0
+        if held:
+            learn(parts)
+        whole = np.concatenate([own.p[k].ravel() for k in names]).astype(np.float64) * seen
+        yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([whole.tobytes()], pa.binary())], names=["n", "sum"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, whole = 0, np.zeros(sum(int(np.prod(s)) for s in shapes))
+        for rows in batches:
+            for r in rows.to_pylist():
+                n += r["n"]
+                whole += np.frombuffer(r["sum"])
+        yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([whole.tobytes()], pa.binary())], names=["n", "sum"])
+
+    rows = texts.mapInArrow(run, "n long, sum binary").where("n > 0").repartition(SUMS).mapInArrow(add, "n long, sum binary").collect()
+    seen = sum(r["n"] for r in rows)
+    if seen:
+        whole = np.add.reduce([np.frombuffer(bytes(r["sum"])) for r in rows]) / seen
+        at = np.cumsum([0, *(int(np.prod(s)) for s in shapes)])
+        model.p = {k: whole[at[i] : at[i + 1]].reshape(shapes[i]).astype(np.float32) for i, k in enumerate(names)}
+    start.unpersist()
+    return seen
+
+
 def score_documents(
     docs: DataFrame, tokenizer: str, end_token: str = "<|endoftext|>", folds: int = 10, top_words: int = 100_000, sample_docs: int = 1000, sample_chars: int = 2000, rounds: int = 3,
     id_col: str = "doc_id", text_col: str = "text",
@@ -342,6 +444,7 @@ def score_documents(
     near = passages.where(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * sample_docs / max(ends_, 1))))
     x, y = sample_windows([r["part"] for r in near.orderBy("h", "part").limit(sample_docs).collect()], tokenizer, end, classes)
     model.train(x, y, rounds)
+    fit_on_all(training.select("text"), tokenizer, end, classes, model)
     fitted = spark.sparkContext.broadcast((model.tables(), classes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -135,3 +135,42 @@ def test_training_lowers_the_loss():
     x = np.tile(np.arange(2 * L.HALF), (512, 1)) + np.random.default_rng(0).integers(0, 20, (512, 1))
     losses = model.train(x, (x * 7 + 3) % 256, rounds=20, batch=64, rate=0.02)
     assert np.mean(losses[-5:]) < 0.3 * np.mean(losses[:5])
+
+
+def test_every_window_of_every_row_is_learned_from(docs_of):
+    rows = [(i, f"shared words number{i} " * (i % 9)) for i in range(60)] + [(90, None), (91, ""), (92, "x")]
+    end = L.cached_encoder(PATH).tokenizer.token_to_id("<|endoftext|>")
+    vocab = L.cached_encoder(PATH).tokenizer.get_vocab_size()
+    classes = L.Classes(np.ones(vocab, np.int64), ["x"] * vocab)
+    goals = lambda some: sum(1 + sum(map(len, L.encode_words(PATH, L.words_of(t)))) for _, t in some)
+    for some in (rows, rows[:20]):
+        model = L.Attention(classes.weight)
+        before = {k: a.copy() for k, a in model.p.items()}
+        assert L.fit_on_all(docs_of(some).select("text"), PATH, end, classes, model) == goals(some)
+        assert all(np.isfinite(a).all() and a.shape == before[k].shape for k, a in model.p.items())
+        told = {int(classes.inp[i]) for _, t in some for ids in L.encode_words(PATH, L.words_of(t)) for i in ids}
+        moved = set(np.flatnonzero((np.abs(model.p["E"] - before["E"]) > 1e-6).any(axis=1)).tolist())
+        assert told <= moved  # every input that a row has, also a short one
+
+
+def test_padding_has_no_slope(small):
+    classes, model = small
+    ids = np.random.default_rng(6).integers(0, 2999, 21)
+    x, y, real = L.windows_of(ids, np.array([0, 0, 21]), 2999, classes)
+    assert real.sum() == 23 and len(x) == 3
+    loss, g = model.slopes(x, y, real)
+    x[~real], y[~real] = 5, 7
+    again, h = model.slopes(x, y, real)
+    assert np.isclose(loss, again) and all(np.allclose(g[k], h[k], atol=1e-6) for k in g)
+
+
+def test_context_reaches_more_ids(docs_of):
+    """An id beyond the 224 most frequent is foreseen from the id before it."""
+    r = np.random.default_rng(8)
+    counts = np.concatenate([np.full(400, 100), np.ones(600, np.int64)])
+    classes = L.Classes(counts, ["x"] * 1000)
+    assert len(set(classes.out[:400].tolist())) == 400
+    model = L.Attention(classes.weight)
+    told = r.integers(300, 400, (2000, 2 * L.HALF))
+    losses = model.train(classes.inp[told], classes.out[told - 50], rounds=30, batch=100, rate=0.03)
+    assert np.mean(losses[-5:]) < 0.5 * np.mean(losses[:5])
