@@ -3,8 +3,13 @@
 A sentence ends after ``.``, ``!`` or ``?`` before white space, or at a line's end. Long
 sentences would hide a passage that begins or ends inside one, so they are taken clause by
 clause, a clause ending after ``,``, ``;`` or ``:`` too; one without words belongs to the one
-before it. "Sentence" means such a part below. At every sentence begins a run: the shortest
-with at least ``run`` sentences and ``min_words`` words. Runs are compared by a 64-bit hash of their
+before it. A clause of more than ``REACH`` words is cut further, before the word of the smallest
+hash (the last of equal ones) of every ``REACH`` words in a row of it; so a part has ``REACH`` words
+at most, and where it is cut depends on fewer than ``REACH`` words to either side. "Sentence" means
+such a part below. At every sentence begins a run: the shortest with at least ``run`` sentences and
+``min_words`` words; a text with fewer sentences but enough words is one run. With the default
+parameters every repeated passage of more than 50 words, each followed by the same kind of white
+space, holds a whole run, whatever its clauses. Runs are compared by a 64-bit hash of their
 words, so letter case A-Z and white space do not matter. The first occurrence of a run is the
 one in the smallest id, and there the first place. Sentences covered by any other occurrence
 are removed; everything else stays byte for byte.
@@ -37,6 +42,18 @@ BLANK = np.zeros(256, dtype=bool)
 BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+REACH = 12
+
+
+def long_cuts(words: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The words at which clauses of more than ``REACH`` words, beginning at the words ``begins``, are cut further."""
+    sizes = np.diff(begins, append=len(words))
+    clause = np.repeat(np.where(sizes > REACH, np.arange(len(begins)), -1), sizes)
+    low = np.flatnonzero((clause[: 1 - REACH] >= 0) & (clause[: 1 - REACH] == clause[REACH - 1 :])) if len(words) >= REACH else begins[:0]
+    back = np.arange(REACH)[::-1]
+    return np.unique(low + back[np.argmin(words[low[:, None] + back], axis=1)])
+
+
 class Sentences:
     """The sentences of the rows of one step, and the runs that begin at them."""
 
@@ -52,6 +69,8 @@ class Sentences:
         # A sentence begins at the first word after a cut.
         cuts = np.cumsum(cut)[starts] if len(starts) else starts
         begins = np.flatnonzero(np.diff(cuts, prepend=-1) > 0)
+        words = span_hashes(data, starts, ends)
+        begins = np.union1d(begins, long_cuts(words, begins))
         self.first_word = np.append(begins, len(starts))
         self.row = np.searchsorted(at, starts[begins], side="right") - 1
         self.of_row = np.searchsorted(begins, first)  # first sentence of each row, then the end
@@ -60,8 +79,9 @@ class Sentences:
         # Where the run that begins at each sentence ends.
         enough = np.searchsorted(self.first_word, self.first_word[:-1] + min_words)
         self.end = np.maximum(np.arange(len(begins)) + run, enough)
+        few = (np.arange(len(begins)) == self.of_row[self.row]) & (self.last - self.of_row[self.row] < run) & (enough <= self.last)
+        self.end[few] = self.last[few]
         self.whole = np.flatnonzero(self.end <= self.last)
-        words = span_hashes(data, starts, ends)
         up, down = powers(len(words) + 1)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * up[: len(words)])])
         low, high = self.first_word[self.whole], self.first_word[self.end[self.whole]]

@@ -80,3 +80,32 @@ def test_a_passage_in_most_documents_stays_once(docs_of):
     got = remove_repeated_runs(docs_of(rows, 7)).collect()
     assert [r["doc_id"] for r in got if passage in r["text"]] == [0]
     assert all(f"number{r['doc_id']}" in r["text"] and f"Closing{r['doc_id']}" in r["text"] for r in got)
+
+
+def test_a_copy_of_one_long_clause_goes(docs_of):
+    r = random.Random(11)
+    clause = " ".join(f"w{r.randrange(500)}" for _ in range(120))
+    got = remove_repeated_runs(docs_of([(1, clause), (2, clause.upper()), (3, " ".join(["same"] * 40)), (4, " ".join(["same"] * 40))])).collect()
+    assert {r["doc_id"]: r["text"] for r in got if r["doc_id"] in (1, 2)} == {1: clause, 2: ""}
+    assert {r["doc_id"]: r["text"] for r in got}[4] == ""
+
+
+def test_a_text_of_fewer_sentences_than_a_run(docs_of):
+    text = "Only two sentences are here. No third one follows."
+    got = remove_repeated_runs(docs_of([(1, text), (2, text), (3, "Too short."), (4, "Too short.")]), run=3, min_words=5).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == {1: text, 2: "", 3: "Too short.", 4: "Too short."}
+
+
+@pytest.mark.parametrize("ends", ["", ",", ",......"])
+def test_every_passage_of_over_fifty_words_holds_a_run(docs_of, ends):
+    """Clauses of any length; the passage begins and ends anywhere in them."""
+    r = random.Random(len(ends))
+    step = {"": 10**9, ",": 30, ",......": 9}[ends]
+    word = lambda: f"w{r.randrange(3000)}" + ("," if r.randrange(step) == 0 else "")
+    other = lambda: " ".join(word() for _ in range(r.randrange(40)))
+    rows = []
+    for i in range(300):
+        passage = " ".join(word() for _ in range(51))
+        rows += [(2 * i, f"{other()} {passage} {other()}"), (2 * i + 1, f"{other()} {passage} {other()}")]
+    got = {r["doc_id"]: r["n_removed"] for r in remove_repeated_runs(docs_of(rows)).collect()}
+    assert all(got[2 * i + 1] >= 2 for i in range(300))
