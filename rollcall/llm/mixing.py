@@ -1,13 +1,17 @@
 """Mixing sources to target weights by Pfair scheduling, with DataFrame functions only.
 
-The rows of each source are dealt into blocks of ``block_rows``. Time has one slot per block.
-Weights are rounded to shares c of a period of about ``period`` slots. Block j of a source with share c may
-not run before its release floor(j D / c) and must end by its deadline ceil((j + 1) D / c), where
-D is the sum of all shares.
-In each slot the released block with the earliest deadline runs. As the shares add up to D,
-every deadline is met, so in any prefix of the schedule a source has had its weight to less
-than one block. The schedule repeats after D slots; one period is worked out over the shares
-alone, on one small row, and every block's slot follows from it by arithmetic.
+The rows of each source are dealt into blocks of ``block_rows``. Time has one slot per block and
+is cut into periods of ``period`` slots. A source of weight w among weights of sum W has had, by
+the end of period k, floor or ceil of k * period * w / W blocks: earliest deadline first over whole
+periods, on one small row, where block j may not be counted before floor(j W / w) nor after
+ceil((j + 1) W / w). So what is rounded in one period is made up for in the next, and no
+error adds up. Within a period, where a source has c blocks of D slots, its block j may not run before
+its release floor(j D / c) and must end by its deadline ceil((j + 1) D / c), and in each slot the
+released block with the earliest deadline runs. As the shares add up to D, every deadline is met.
+In any prefix of the schedule a source has had its weight to less than two blocks (less than one
+at the end of a period, and less than one within it), however long the input. Periods are worked
+out beside one another, up to where the first source runs out and every source had a block; from
+there on the schedule repeats.
 
 No row is dropped or repeated. When a source runs out its slots stay empty, and the others go
 on in proportion to their weights.
@@ -18,18 +22,29 @@ within it. So a source with a third of all rows is dealt over many tasks. Rows w
 none) that occurs often share a digest, so their text and then a spread number extend it.
 
 Defined results: a null source is a source of its own; a weight of 0, a negative or missing
-weight counts as the smallest share; an empty table gives an empty result; columns of the input
+weight, or one under a quarter of a block in the whole mix, counts as that quarter; an empty table gives an empty result; columns of the input
 called like those added are replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ADDED = ("mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once: transform over a one-element array names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def whole(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
+
+
 def shares_of(weights: DataFrame, period: int) -> DataFrame:
     """mix_source and w -> mix_source, n and its whole share of a period of about ``period`` slots, at least one.
 
@@ -48,7 +63,11 @@ def period_slots(shares: DataFrame) -> DataFrame:
     """
     row = shares.agg(F.array_sort(F.collect_list(F.struct(F.col("mix_source").isNotNull().alias("named"), "mix_source", "share"))).alias("s"))
     row = row.select(F.col("s.mix_source").alias("sources"), F.col("s.share").alias("shares"))
-    row = row.withColumn("d", F.aggregate("shares", F.lit(0), lambda a, x: a + x))
+    return with_slots(row.withColumn("d", F.aggregate("shares", F.lit(0), lambda a, x: a + x)))
+
+
+def with_slots(rows: DataFrame) -> DataFrame:
+    """Add ``slots``, the schedule of ``d`` slots by the shares in ``shares``, which add up to ``d``."""
 
     def release(done: Column, share: Column) -> Column:
         return F.floor(done * F.col("d") / share)
@@ -67,18 +86,75 @@ def period_slots(shares: DataFrame) -> DataFrame:
         return F.array_min(F.filter(ready, lambda x: x.isNotNull()))["i"]
 
     def step(state: Column, slot: Column) -> Column:
-        # The chosen source is worked out once: transform over a one-element array names it.
-        return F.transform(
-            F.array(pick(state["done"], slot)),
+        return let(
+            pick(state["done"], slot),
             lambda chosen: F.struct(
                 F.transform(state["done"], lambda x, i: x + F.when(i == chosen, 1).otherwise(0)).alias("done"),
                 F.concat(state["slots"], F.array(chosen)).alias("slots"),
             ),
-        )[0]
+        )
 
     start = F.struct(F.transform("shares", lambda _: F.lit(0)).alias("done"), F.array().cast("array<int>").alias("slots"))
     every = F.when(F.col("d") > 0, F.sequence(F.lit(0), F.col("d") - 1)).otherwise(F.array().cast("array<int>"))
-    return row.withColumn("slots", F.aggregate(every, start, step, lambda s: s["slots"]))
+    return rows.withColumn("slots", F.aggregate(every, start, step, lambda s: s["slots"]))
+
+
+def whole_weights(counts: DataFrame, period: int, block_rows: int) -> DataFrame:
+    """One row from mix_source, n and w: ``s``, the sources with whole weights v of about 2^30 in all, their sum ``v`` and ``periods``."""
+    every = Window.partitionBy()  # over sources, one row each
+    rows = counts.withColumn("blocks", F.ceil(F.col("n") / block_rows))
+    rows = rows.withColumn("w", F.when(F.col("w") > 0, F.col("w")).otherwise(0.0)).withColumn("sum", F.sum("w").over(every))
+    part = F.when(F.col("sum") > 0, F.col("w") / F.col("sum")).otherwise(0.0)
+    least = 0.25 / F.greatest(F.sum("blocks").over(every), F.lit(period))
+    rows = rows.withColumn("v", F.greatest(F.round(F.greatest(part, least) * 2**30), F.lit(1)).cast("long"))
+    rows = rows.withColumn("all", F.sum("v").over(every))
+    ends, first = F.min(F.col("blocks") * F.col("all") / F.col("v")), F.max(F.col("all") / F.col("v"))
+    row = rows.agg(
+        F.array_sort(F.collect_list(F.struct(F.col("mix_source").isNotNull().alias("named"), "mix_source", "v"))).alias("s"),
+        F.sum("v").alias("v"), F.ceil(F.greatest(ends, first) / period).cast("long").alias("periods"),
+    )
+    return row.where(F.size("s") > 0)
+
+
+def period_ends(row: DataFrame, period: int) -> DataFrame:
+    """Add ``ends``: for every period, how many blocks of each source have run by its end."""
+
+    def step(state: Column, number: Column) -> Column:
+        slot = number * period
+        full = F.transform("s", lambda x: whole(slot * x["v"], F.col("v")))
+
+        def chosen(full: Column) -> Column:
+            base = F.transform(full, lambda n, i: F.greatest(n, F.get(state["done"], i)))
+            # A source's next block, released by now, by its deadline.
+            more = F.transform("s", lambda x, i: let(F.get(full, i), lambda n: F.when(
+                (F.get(state["done"], i) <= n) & (slot * x["v"] > n * F.col("v")),
+                F.struct(whole((n + 1) * F.col("v") + x["v"] - 1, x["v"]).alias("by"), i.alias("i")),
+            )))
+            left = slot - F.aggregate(base, F.lit(0).cast("long"), lambda a, x: a + x)
+            by_deadline = F.array_sort(F.filter(more, lambda x: x.isNotNull()))
+            last = let(by_deadline, lambda x: F.when(left > 0, F.get(x, (left - 1).cast("int"))))
+            return let(more, lambda m: let(last, lambda e: F.transform(base, lambda n, i: n + F.when(F.get(m, i) <= e, 1).otherwise(0))))
+
+        return let(let(full, chosen), lambda done: F.struct(done.alias("done"), F.concat(state["ends"], F.array(done)).alias("ends")))
+
+    start = F.struct(F.transform("s", lambda _: F.lit(0).cast("long")).alias("done"), F.array().cast("array<array<bigint>>").alias("ends"))
+    return row.withColumn("ends", F.aggregate(F.sequence(F.lit(1).cast("long"), F.col("periods")), start, step, lambda x: x["ends"]))
+
+
+def schedule_of(ends: DataFrame, period: int, parts: int) -> DataFrame:
+    """i, block, release, deadline and slot of every block of the periods; i is the source's place in ``s``."""
+    rows = ends.select(F.posexplode(F.transform("ends", lambda e, k: F.struct(e.alias("now"), F.get("ends", k - 1).alias("past")))).alias("k", "e"))
+    runs = F.transform("e.now", lambda n, i: let(F.coalesce(F.get(F.col("e.past"), i), F.lit(0)), lambda p: F.struct(i.alias("i"), p.alias("past"), (n - p).cast("int").alias("share"))))
+    rows = rows.select("k", F.filter(runs, lambda x: x["share"] > 0).alias("x")).repartition(parts, "k")
+    rows = with_slots(rows.select("k", "x", F.col("x.share").alias("shares"), F.lit(period).alias("d")))
+    rows = rows.select("k", "x", F.posexplode("slots").alias("at", "place")).select("k", "at", F.get("x", F.col("place")).alias("x"))
+    rows = rows.select(F.col("k").cast("long").alias("k"), "at", F.col("x.i").alias("i"), F.col("x.past").alias("past"), F.col("x.share").alias("share"))
+    turn = F.row_number().over(Window.partitionBy("k", "i").orderBy("at")) - 1
+    begin = F.col("k") * period
+    return rows.withColumn("turn", turn).select(
+        F.col("i").alias("t_i"), (F.col("past") + F.col("turn")).alias("t_block"), (begin + F.col("at")).alias("t_slot"),
+        (begin + F.floor(F.col("turn") * period / F.col("share"))).alias("t_release"), (begin + F.ceil((F.col("turn") + 1) * period / F.col("share"))).alias("t_deadline"),
+    )
 
 
 def ranked(rows: DataFrame, digest: Column, tie: list[Column], total: int, bucket_rows: int) -> DataFrame:
@@ -118,28 +194,21 @@ def mix_sources(
     else:
         given = weights.groupBy(F.col("source").alias("given")).agg(F.max("weight").cast("double").alias("w"))
         counts = counts.join(given, counts["mix_source"].eqNullSafe(given["given"]), "left").drop("given")
-    schedule = period_slots(shares_of(counts, period))
-    # One row per slot of the period: the k-th turn of a source.
-    turns = schedule.select("sources", "shares", "d", F.posexplode("slots").alias("at", "i"))
-    turns = turns.select(F.get("sources", F.col("i")).alias("t_source"), F.get("shares", F.col("i")).alias("share"), "d", "at")
-    turns = turns.withColumn("turn", F.row_number().over(Window.partitionBy("t_source").orderBy("at")) - 1)
+    ends = period_ends(whole_weights(counts, period, block_rows), period)
 
     total = rows.count()
     text_like = [F.col(c) for c, t in docs.dtypes if t in ("string", "bigint", "int") and c not in clash]
     doc_key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     out = ranked(rows, F.concat(F.md5(doc_key.cast("binary"))), [F.xxhash64(*text_like)], total, bucket_rows)
     out = out.withColumn("mix_block", F.floor(F.col("mix_rank") / block_rows).cast("long"))
-    share = schedule.select(F.explode(F.arrays_zip("sources", "shares")).alias("x"), "d").select(
-        F.col("x.sources").alias("c_source"), F.col("x.shares").alias("c"), F.col("d").alias("period")
-    )
-    out = out.join(share, out["mix_source"].eqNullSafe(share["c_source"]))
-    out = out.withColumn("mix_turn", (F.col("mix_block") % F.col("c")).cast("int"))
-    out = out.join(turns.drop("share", "d"), F.col("mix_source").eqNullSafe(F.col("t_source")) & (F.col("mix_turn") == F.col("turn")))
-    j = F.col("mix_block")
-    out = out.withColumns({
-        "mix_release": F.floor(j * F.col("period") / F.col("c")).cast("long"),
-        "mix_deadline": F.ceil((j + 1) * F.col("period") / F.col("c")).cast("long"),
-        "mix_slot": (F.floor(j / F.col("c")) * F.col("period") + F.col("at")).cast("long"),
-    }).withColumn("mix_position", F.col("mix_slot") * block_rows + F.col("mix_rank") % block_rows)
+    # What the schedule has of each source before it repeats.
+    held = ends.select("s", "periods", F.posexplode(F.get("ends", (F.col("periods") - 1).cast("int"))).alias("c_i", "c"))
+    held = held.select(F.get("s", F.col("c_i"))["mix_source"].alias("c_source"), "c_i", "c", (F.col("periods") * period).alias("length"))
+    out = out.join(held, out["mix_source"].eqNullSafe(held["c_source"]))
+    out = out.withColumn("mix_turn", F.col("mix_block") % F.col("c")).withColumn("begin", whole(F.col("mix_block"), F.col("c")) * F.col("length"))
+    parts = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + total // (block_rows * period))
+    out = out.join(schedule_of(ends, period, parts), (F.col("c_i") == F.col("t_i")) & (F.col("mix_turn") == F.col("t_block")))
+    out = out.withColumns({f"mix_{c}": (F.col("begin") + F.col(f"t_{c}")).cast("long") for c in ("release", "deadline", "slot")})
+    out = out.withColumn("mix_position", F.col("mix_slot") * block_rows + F.col("mix_rank") % block_rows)
     kept = [c for c in docs.columns if c.lower() not in ADDED]
     return out.select(*kept, *ADDED)

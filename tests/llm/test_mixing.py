@@ -82,3 +82,43 @@ def test_given_weights(spark):
 
 def test_empty(spark):
     assert mix_sources(documents(spark).where(F.lit(False))).count() == 0
+
+
+def worst(spark, sizes, weights=None, **more):
+    """The largest deviation in blocks from the true weights before a source runs out, and the slots until then."""
+    docs = spark.range(sum(sizes.values())).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("source"))
+    low, name = 0, F.lit(None).cast("string")
+    for s, n in sizes.items():
+        name = F.when((F.col("doc_id") >= low) & (F.col("doc_id") < low + n), s).otherwise(name)
+        low += n
+    given = weights and spark.createDataFrame(list(weights.items()), "source string, weight double")
+    rows = mix_sources(docs.withColumn("source", name), given, **more).select("source", "mix_block", "mix_slot", "mix_release", "mix_deadline").distinct().collect()
+    assert all(r["mix_release"] <= r["mix_slot"] < r["mix_deadline"] for r in rows)
+    blocks, w = Counter(r["source"] for r in rows), weights or {s: n**0.5 for s, n in sizes.items()}
+    order, left, done, most = {r["mix_slot"]: r["source"] for r in rows}, dict(blocks), dict.fromkeys(sizes, 0), 0
+    assert len(order) == len(rows)
+    for t in range(len(rows)):
+        if t not in order:
+            break
+        done[order[t]] += 1
+        most = max(most, max(abs(done[s] - (t + 1) * x / sum(w.values())) for s, x in w.items()))
+    assert t >= min(left.values())
+    return most, t
+
+
+def test_a_hot_source_over_many_periods(spark):
+    sizes = {"hot": 40_000} | {f"s{i}": 80_000 // 19 for i in range(19)}
+    most, slots = worst(spark, sizes, block_rows=1)
+    assert slots > 50_000 and most < 2
+
+
+def test_many_sources_keep_their_weights(spark):
+    sizes = {"hot": 6000} | {f"s{i}": 30 for i in range(80)}
+    most, slots = worst(spark, sizes, block_rows=1, period=40)  # fewer slots in a period than sources
+    assert slots > 2000 and most < 2
+
+
+def test_weights_that_no_period_holds(spark):
+    sizes = {"a": 3000, "b": 3000, "c": 3000}
+    most, slots = worst(spark, sizes, {"a": 0.6180339887, "b": 0.3819, "c": 0.0123}, block_rows=1, period=25)
+    assert slots > 4000 and most < 2
