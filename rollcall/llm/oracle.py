@@ -94,4 +94,83 @@ SELECT conv_id, perspective, chunk, piece, CAST(count(*) AS INTEGER) AS n_turns,
 FROM spans GROUP BY conv_id, perspective, chunk, piece
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_topk_search": OP3, "op5_ngram_join": OP5, "op7_mixing": OP7, "op10_chat_formatting": OP10}
+OP12 = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), marked AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN t.doc_id > min(t.doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+  FROM t LEFT JOIN marked USING (doc_id)
+), cells AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM d GROUP BY part, mask
+), letters AS (
+  SELECT substr('ABCDE', i, 1) AS f, 1 << (i - 1) AS b FROM (SELECT unnest([1, 2, 3, 4, 5]) AS i)
+), orders AS (
+  SELECT v.f || w.f || x.f || y.f || z.f AS filter_order, [v.b, w.b, x.b, y.b, z.b] AS bits
+  FROM letters v, letters w, letters x, letters y, letters z WHERE v.b + w.b + x.b + y.b + z.b = 31 AND v.b | w.b | x.b | y.b | z.b = 31
+), steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS b, coalesce(list_sum(bits[1 : step - 1]), 0) AS earlier
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), counted AS (
+  SELECT part, filter_order, step, b,
+    CAST(coalesce(sum(n) FILTER (mask & (earlier + b)::INTEGER = 0), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (mask & b <> 0 AND mask & earlier::INTEGER = 0), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (mask & b <> 0 AND mask & earlier::INTEGER <> 0), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (mask = b), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (mask & b <> 0 AND mask & earlier::INTEGER = 0), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (mask & b <> 0 AND mask & earlier::INTEGER = 0), 0) AS BIGINT) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, b
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, b) AS BIGINT) AS shapley
+FROM counted
+"""
+
+OP13_ASSIGNED = r"""assigned{n} AS (
+  SELECT vec_id, p, split_part(best, ':', 2)::INTEGER AS e, split_part(best, ':', 1)::BIGINT AS d
+  FROM (
+    SELECT vec_id, p, min(lpad(d::VARCHAR, 18, '0') || ':' || lpad(e::VARCHAR, 2, '0')) AS best
+    FROM (SELECT vec_id, p, e, sum((x - c) * (x - c)) AS d FROM ints JOIN book{n} USING (p, i) GROUP BY vec_id, p, e)
+    GROUP BY vec_id, p
+  )
+)"""
+OP13_MOVED = r"""book{m} AS (
+  SELECT p, e, i, coalesce((s - ((s % n) + n) % n) // n, c)::BIGINT AS c
+  FROM book{n} LEFT JOIN (
+    SELECT p, e, i, sum(x) AS s, count(*) AS n FROM ints JOIN assigned{n} USING (vec_id, p) GROUP BY p, e, i
+  ) USING (p, e, i)
+)"""
+OP13 = (
+    r"""
+WITH flat AS (
+  SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS k, unnest(embedding) AS x, len(embedding) AS dim FROM embeddings
+), good AS (
+  SELECT vec_id FROM flat GROUP BY vec_id HAVING count(*) = count(x) AND bool_and(isfinite(x))
+), ints AS (
+  SELECT vec_id, label, k // (dim // 16) AS p, k % (dim // 16) AS i, floor(256 * x::DOUBLE)::BIGINT AS x FROM flat SEMI JOIN good USING (vec_id)
+), firsts AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM good QUALIFY e < 64
+), book0 AS (
+  SELECT p, e, i, x AS c FROM ints JOIN firsts USING (vec_id)
+), """
+    + ", ".join(
+        [OP13_ASSIGNED.format(n=0), OP13_MOVED.format(n=0, m=1), OP13_ASSIGNED.format(n=1), OP13_MOVED.format(n=1, m=2), OP13_ASSIGNED.format(n=2)]
+    )
+    + r""", coded AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+  FROM assigned2 JOIN (SELECT vec_id, any_value(label) AS label FROM ints GROUP BY vec_id) USING (vec_id) GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, i)) FROM book2) AS codebooks_sha256
+FROM coded
+"""
+)
+
+ORACLE_SQL: dict[str, str] = {"op12_filter_audit": OP12, "op13_vector_codes": OP13, "op3_topk_search": OP3, "op5_ngram_join": OP5, "op7_mixing": OP7, "op10_chat_formatting": OP10}

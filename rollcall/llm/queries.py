@@ -9,11 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, decontaminate, language_model, mixing, near_duplicates, quality, substrings, token_counts, token_files, topk
+from rollcall.llm import (
+    chat, decontaminate, filter_audit, language_model, mixing, near_duplicates, packing, quality, substrings, token_counts, token_files, topk,
+    vector_codes,
+)
 from rollcall.llm.common import ship_package, table
 from rollcall.session import new_scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
+PACKING_TOKENIZER = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -82,3 +86,21 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_scratch_path(spark, "packed")
+    packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER), path)
+    return packing.read_pieces(spark, path)
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, _ = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return coded
