@@ -5,7 +5,7 @@ The statements share only the fixture and the fixed lookup values with the Spark
 
 from __future__ import annotations
 
-from rollcall.catalog.queries import EARLY_DAY, LATER_RUNS
+from rollcall.catalog.queries import CHILDREN, EARLY_DAY, LATER_RUNS, LEAF
 from rollcall.fixture import AS_OF, FIXTURE_HASH, REGISTRY_SQL, RUN_TS
 from rollcall.functions.states import STATE_LOOKUP
 from rollcall.schema import GENERATIONS, PARTIES, RAW_COLUMNS
@@ -55,6 +55,20 @@ def prints(table: str) -> str:
     )
 
 
+def tree(text: str) -> str:
+    """The hash tree over the bytes of ``text``, a relation with one ASCII value ``t``."""
+    # The only node of a level is the top, and carried up.
+    ups = "".join(
+        f", l{k} AS (SELECT i // {CHILDREN} AS i, if((SELECT count(*) FROM l{k - 1}) = 1, any_value(h), "
+        f"sha256(string_agg(h, '' ORDER BY i))) AS h FROM l{k - 1} GROUP BY i // {CHILDREN})"
+        for k in range(1, 9)
+    )
+    return f"""
+WITH file AS (SELECT t FROM {text}), l0 AS (
+ SELECT k AS i, sha256(substr(t, CAST(k * {LEAF} + 1 AS BIGINT), {LEAF})) AS h FROM (SELECT t, unnest(range(0, (length(t) + {LEAF - 1}) // {LEAF})) AS k FROM file)){ups}
+SELECT (SELECT length(t) FROM file) AS n_bytes, sha256((SELECT length(t) FROM file) || ':' || (SELECT h FROM l8)) AS digest"""
+
+
 def staged(source: str) -> str:
     return f"""
 SELECT trim(id) AS voter_id, trim(first_name) AS first_name, trim(last_name) AS last_name,
@@ -234,7 +248,10 @@ CHECKS_REPEATED = {
 
 STATEMENTS = {
     "a1_csv_scan": f"SELECT {AS_READ} FROM registry",
+    "a1_csv_scan_spanning": f"""
+SELECT * REPLACE ('a "b",' || chr(10) || first_name || chr(10) || '"c"' AS first_name) FROM (SELECT {AS_READ} FROM registry)""",
     "a2_content_fingerprint": prints("registry"),
+    "a2_byte_fingerprint": tree("(SELECT string_agg(trim(id) || chr(10), '' ORDER BY CAST(trim(id) AS BIGINT)) AS t FROM registry)"),
     "a3_source_row_count": "SELECT count(*) AS file_row_count FROM registry",
     "a4_change_gate": """
 SELECT file_hash, last_hash, last_hash IS NULL OR file_hash <> last_hash AS is_new
@@ -248,6 +265,14 @@ FROM ledger, (SELECT arg_max(file_hash, ingested_at) AS last_hash FROM ledger)""
         "HAVING count(*) > 1 OR id IS NULL"
     ),
     "a7_key_guard_dedupe": "SELECT DISTINCT * FROM registry WHERE id IS NOT NULL",
+    "a7_key_guard_dedupe_unequal": f"""
+SELECT {ALL_RAW} FROM (
+ SELECT * FROM registry UNION ALL
+ SELECT * REPLACE (if(CAST(trim(id) AS BIGINT) % 2 = 0, 'Z', 'A') AS first_name) FROM registry)
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY {", ".join(f"{c} NULLS FIRST" for c in RAW_COLUMNS[1:])}) = 1""",
+    "a8_merged_batches": """
+SELECT unnest(['first', 'second', 'third']) AS source_file_hash, unnest([b, n - b, n]) AS n_records, unnest([b, n - b, n]) AS n_ids
+FROM (SELECT (SELECT count(*) FROM base) AS b, (SELECT count(*) FROM registry) AS n)""",
     "a8_append_sink": f"""
 SELECT {ALL_RAW}, TIMESTAMP '{RUN_TS}' AS load_timestamp,
  if(CAST(trim(id) AS BIGINT) % 4 <> 0, 'first', 'second') AS source_file_hash FROM registry""",
@@ -266,6 +291,10 @@ SELECT file_hash, file_row_count, file_row_count AS inserted_row_count, 'success
 UNION ALL
 SELECT file_hash, file_row_count, file_row_count - (SELECT count(*) FROM base), 'success',
  TIMESTAMP '{LATER_RUNS[0]}' FROM ({prints(f"(SELECT {AS_READ} FROM registry)")})""",
+    "a13_second_day_by_batch": "SELECT * FROM engagement",
+    "a14_named_run": """
+SELECT count(*) AS raw_count, count(*) FILTER (has_missing_data) AS missing_data_count, count(*) AS n_cleaned
+FROM cln WHERE CAST(voter_id AS BIGINT) % 4 <> 0""",
     "a14_materialize_layer": "SELECT * FROM cln",
     "a15_raw_count": "SELECT count(*) AS raw_voter_rows FROM raw",
     "b1_filter_null_key": "SELECT id, first_name, last_name FROM raw WHERE id IS NOT NULL",
@@ -352,9 +381,13 @@ SELECT state_code, {counted("gender = 'M'")} AS male_voters,
     "e1_conditional_count_empty": """
 SELECT CAST(sum(if(gender = 'M', 1, 0)) AS BIGINT) AS male_voters FROM cln WHERE age > 120""",
     "e2_state_summary": "SELECT * FROM states",
+    "e2_state_summary_from_batches": "SELECT * FROM states",
     "e3_party_distribution": "SELECT * FROM parties",
+    "e3_party_distribution_from_batches": "SELECT * FROM parties",
     "e4_engagement_metrics": "SELECT * FROM engagement",
+    "e4_engagement_metrics_from_batches": "SELECT * FROM engagement",
     "e5_demographic_crosstab": "SELECT * FROM cells",
+    "e5_demographic_crosstab_from_batches": "SELECT * FROM cells",
     "e6_count_distinct": (
         "SELECT party, count(DISTINCT state_code) AS states_represented FROM cln GROUP BY party"
     ),
@@ -368,8 +401,10 @@ SELECT gender, avg(age) AS avg_age, avg(if(is_valid_email, 1.0, 0.0)) AS email_q
 FROM cln GROUP BY gender""",
     "e10_monthly_registrations": "SELECT * FROM months",
     "e11_dq_summary": "SELECT * FROM dq",
+    "e11_dq_summary_from_batches": "SELECT * FROM dq",
     "f1_running_total": "SELECT registration_month, cumulative_registrations FROM trends",
     "f2_centered_moving_avg": "SELECT registration_month, moving_avg_registrations FROM trends",
+    "f3_registration_trends_from_batches": "SELECT * FROM trends",
     "f3_registration_trends": "SELECT * FROM trends ORDER BY registration_month DESC",
     "g1_anti_join_unseen": "SELECT voter_id, party FROM stg WHERE CAST(voter_id AS BIGINT) % 4 = 0",
     "g2_derived_key_self_join": crosstab(JOINED.format("cln"), "count(*) >= 5"),

@@ -16,12 +16,15 @@ from rollcall.operators import aggregates, keys, predicates, windows
 from rollcall.plans import layers, marts, quality, refresh, reports
 from rollcall.schema import RAW_COLUMNS
 from rollcall.session import new_scratch_path
-from rollcall.sources import csv, fingerprint, ledger, warehouse
+from rollcall.sources import csv, fingerprint, ledger, merging, splits, warehouse
 from rollcall.streaming import drops
 
 EARLY_DAY = "2016-06-01"
 LATER_RUNS = ("2025-09-02 00:00:00", "2025-09-03 00:00:00")
 
+# Bytes of a leaf and children of a node of the hashed ids, small so that the tree has levels.
+LEAF, CHILDREN = 1000, 4
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -101,6 +104,31 @@ def _(r):
     return fingerprint.content_fingerprint(r.extract)
 
 
+@query("a1_csv_scan_spanning")
+def _(r):
+    """Names that hold line ends, quotes and commas, in files that are read in small splits."""
+    spark, key = r.spark, "spark.sql.files.maxPartitionBytes"
+    name = F.concat(F.lit('a "b",\n'), "first_name", F.lit('\n"c"'))
+    path = r.csv_folder(r.extract.withColumn("first_name", name))
+    # The splits of a plan are made when its files are listed, so it is written before the setting goes back.
+    kept, out = spark.conf.get(key), new_scratch_path(spark, "spanning")
+    spark.conf.set(key, "16k")
+    try:
+        csv.csv_scan(spark, path).write.parquet(out)
+    finally:
+        spark.conf.set(key, kept)
+    return spark.read.parquet(out)
+
+
+@query("a2_byte_fingerprint")
+def _(r):
+    """The ids in ascending order, a line each, hashed by leaves of 1,000 bytes."""
+    path = new_scratch_path(r.spark, "lines")
+    ids = r.extract.select(F.trim("id").alias("value")).repartition(1).sortWithinPartitions(F.col("value").cast("bigint"))
+    ids.write.option("lineSep", "\n").text(path)
+    return splits.file_hashes(r.spark, path, leaf=LEAF, children=CHILDREN).select("n_bytes", "digest")
+
+
 @query("a3_source_row_count")
 def _(r):
     return csv.source_row_count(csv.csv_scan(r.spark, r.csv_folder(r.extract)))
@@ -131,6 +159,13 @@ def _(r):
     return keys.key_guard(r.base.unionByName(r.extract), r.base, mode="dedupe")
 
 
+@query("a7_key_guard_dedupe_unequal")
+def _(r):
+    """Keys with two records that differ: the smaller record by all columns stays."""
+    other = r.extract.withColumn("first_name", F.when(F.trim("id").cast("bigint") % 2 == 0, F.lit("Z")).otherwise(F.lit("A")))
+    return keys.key_guard(r.extract.unionByName(other), r.base, mode="dedupe")
+
+
 @query("a8_append_sink")
 def _(r):
     wh = r.warehouse()
@@ -139,6 +174,18 @@ def _(r):
     return r.spark.table(wh.raw_table)
 
 
+@query("a8_merged_batches")
+def _(r):
+    wh = r.warehouse()
+    third = r.extract.withColumn("id", F.concat("id", F.lit("-3")))
+    for rows, name in ((r.base, "first"), (r.extract, "second"), (third, "third")):
+        refresh.load_batch(r.spark, wh, ledger.stamp_batch(rows, RUN_TS, name))
+        if name != "third":
+            merging.merge_batches(r.spark, wh)
+    counted = warehouse.read_raw(r.spark, wh).groupBy("source_file_hash")
+    return counted.agg(F.count("*").alias("n_records"), F.countDistinct("id").alias("n_ids"))
+
+
 @query("a9_audit_record")
 def _(r):
     first = ledger.stamp_batch(r.base, RUN_TS, "first")
@@ -169,6 +216,69 @@ def _(r):
     return r.spark.table(wh.ledger_table).select(*columns)
 
 
+def _two_days(r) -> warehouse.Warehouse:
+    wh = r.warehouse()
+    for rows, at, name in ((r.base, RUN_TS, "first"), (r.extract, LATER_RUNS[0], "second")):
+        refresh.load_batch(r.spark, wh, ledger.stamp_batch(rows, at, name))
+        refresh.rebuild_layers(r.spark, wh, at, batch=name)
+    return wh
+
+
+@query("a13_second_day_by_batch")
+def _(r):
+    return warehouse.read_mart(r.spark, _two_days(r), "engagement_metrics")
+
+
+@query("a14_named_run")
+def _(r):
+    """Totals of the first of two runs, read after the second."""
+    wh = _two_days(r)
+    first = warehouse.read_cleaned(r.spark, wh, run=1)
+    dq = warehouse.read_mart(r.spark, wh, "dq_summary", run=1).select("raw_count", "missing_data_count")
+    return aggregates.one_row(dq, first.agg(F.count("*").alias("n_cleaned")))
+
+
+def _from_batches(r, name: str) -> DataFrame:
+    """A mart from the cells of three batches."""
+    batch = (F.trim("voter_id").cast("bigint") % 3).cast("string")
+    plan = marts.CELL_MARTS[name]
+    cells = plan.cells(r.cleaned.withColumn("source_file_hash", batch), ("source_file_hash",))
+    return plan.made_of(marts.merged_cells(cells, plan.keys))
+
+
+@query("e2_state_summary_from_batches")
+def _(r):
+    return _from_batches(r, "state_summary")
+
+
+@query("e3_party_distribution_from_batches")
+def _(r):
+    return _from_batches(r, "party_distribution")
+
+
+@query("e4_engagement_metrics_from_batches")
+def _(r):
+    return _from_batches(r, "engagement_metrics")
+
+
+@query("e5_demographic_crosstab_from_batches")
+def _(r):
+    return _from_batches(r, "demographic_crosstab")
+
+
+@query("f3_registration_trends_from_batches")
+def _(r):
+    return _from_batches(r, "registration_trends")
+
+
+@query("e11_dq_summary_from_batches")
+def _(r):
+    batch = (F.trim("id").cast("bigint") % 3).cast("string")
+    raw = r.raw.withColumn("source_file_hash", batch)
+    cleaned = layers.clean(layers.stage(raw), RUN_TS)
+    return marts.dq_summary_of_cells(marts.total_cells(raw, cleaned, ("source_file_hash",)))
+
+
 @query("a14_materialize_layer")
 def _(r):
     wh = r.warehouse()

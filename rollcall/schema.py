@@ -27,6 +27,29 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
+CLEANED_SCHEMA = T.StructType(
+    [
+        T.StructField("voter_id", T.StringType()),
+        T.StructField("first_name", T.StringType()),
+        T.StructField("last_name", T.StringType()),
+        T.StructField("age", T.IntegerType()),
+        T.StructField("has_invalid_age", T.BooleanType()),
+        T.StructField("gender", T.StringType()),
+        T.StructField("state_code", T.StringType()),
+        T.StructField("state_raw", T.StringType()),
+        T.StructField("party", T.StringType()),
+        T.StructField("email", T.StringType()),
+        T.StructField("is_valid_email", T.BooleanType()),
+        T.StructField("registered_date", T.DateType()),
+        T.StructField("last_voted_date", T.DateType()),
+        T.StructField("updated_at", T.DateType()),
+        T.StructField("has_missing_data", T.BooleanType()),
+        T.StructField("load_timestamp", T.TimestampType()),
+        T.StructField("source_file_hash", T.StringType()),
+        T.StructField("processed_at", T.TimestampType()),
+    ]
+)
+
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("ingestion_id", T.StringType(), False),

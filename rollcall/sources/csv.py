@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.schema import RAW_COLUMNS
+from rollcall.sources.splits import scan_spanning
 
 # Quotes are doubled inside quoted fields and a backslash is an ordinary character.
 CSV_OPTIONS = {
@@ -48,9 +49,10 @@ def csv_scan(
 ) -> DataFrame:
     """The 11 columns as text, taken by header name; empty fields are NULL.
 
-    Nothing is inferred: '007' and '01/02/2024' stay as they are. A file is divided over
-    many tasks unless a record in it spans lines, which is looked up file by file when
-    ``multi_line`` is not given; such a file is one task, so deliver them in moderate sizes.
+    Nothing is inferred: '007' and '01/02/2024' stay as they are. Files in which records span
+    lines are looked up when ``multi_line`` is not given, and their records are put together
+    over the borders of splits, so that every file is divided over many tasks. With
+    ``multi_line`` each file is one task instead.
     """
     def read(files: str | list[str], whole: bool) -> DataFrame:
         reader = spark.read.options(**CSV_OPTIONS).option("multiLine", whole)
@@ -62,7 +64,7 @@ def csv_scan(
     if not spanning:
         return read(path, False)
     others = sorted(set(map(_plain, spark.read.text(path).inputFiles())) - set(spanning))
-    whole = read(spanning, True)
+    whole = scan_spanning(spark, spanning, CSV_OPTIONS)
     return whole.unionByName(read(others, False)) if others else whole
 
 

@@ -2,17 +2,25 @@
 
 All tables are parquet at known folders and registered in the session catalog. What a later
 session needs to find them again, without a shared catalog, is kept under the warehouse root:
-the bucket count of the raw table, and which version of a published table is live.
+the bucket count of the raw table and what was merged of it, and the manifests of the last runs.
+
+A manifest names the folders of all published tables of a run. It is written last, as one file,
+so the tables of a run become visible together or not at all; readers that go by the manifest
+never see tables of two runs. The catalog follows it. The last ``KEPT_RUNS`` runs stay readable.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rollcall.schema import LEDGER_SCHEMA, RAW_SCHEMA
+from rollcall.schema import CLEANED_SCHEMA, LEDGER_SCHEMA, RAW_SCHEMA
 
 
 @dataclass(frozen=True)
@@ -52,8 +60,16 @@ class Warehouse:
         return self.folder(self.metadata, "raw_layout")
 
     @property
-    def versions_folder(self) -> str:
-        return self.folder(self.metadata, "published_versions")
+    def runs_folder(self) -> str:
+        return self.folder(self.metadata, "runs")
+
+    @property
+    def merges_folder(self) -> str:
+        return self.folder(self.metadata, "raw_merges")
+
+    @property
+    def cleaned_folder(self) -> str:
+        return self.folder(self.intermediate, CLEANED)
 
     def mart_table(self, name: str) -> str:
         return self.table(self.marts, MART_TABLES[name])
@@ -129,7 +145,15 @@ def _holds_rows(spark: SparkSession, folder: str) -> bool:
 
 
 LAYOUT = "buckets int"
-VERSIONS = "namespace string, name string, version int, folder string"
+# A row per table, and per batch for tables that are kept by batch (``written`` is the run
+# whose folder holds the batch); ``settings`` says how the run cleaned.
+RUNS = "run long, at string, settings string, namespace string, name string, batch string, written long, folder string"
+# A row per merged segment of the raw table; ``generation`` names the folder of later batches.
+MERGES = "number long, generation int, segment string, n_rows long, batches array<string>"
+#: Runs whose tables are never overwritten, the newest among them.
+KEPT_RUNS = 3
+#: Records are kept in that many folders that take turns.
+SLOTS = KEPT_RUNS + 3
 
 
 def _columns(schema) -> str:
@@ -152,20 +176,83 @@ def ensure_tables(spark: SparkSession, wh: Warehouse, buckets: int | None = None
         )
     buckets = raw_buckets(spark, wh, buckets)
     if not spark.catalog.tableExists(wh.raw_table):
-        layout = f"PARTITIONED BY (source_file_hash) CLUSTERED BY (id) INTO {buckets} BUCKETS"
-        folder = wh.folder(wh.raw, "voters")
-        _create(spark, wh.raw_table, _columns(RAW_SCHEMA), folder, layout)
-        # Appending nothing makes the folder exist; partitions already in it are attached.
-        nothing = spark.createDataFrame([], RAW_SCHEMA)
-        nothing.write.mode("append").partitionBy("source_file_hash").parquet(folder)
-        spark.sql(f"ALTER TABLE {wh.raw_table} RECOVER PARTITIONS")
+        attach_raw(spark, wh, buckets)
+    elif not table_detail(spark, wh.raw_table, "Location").endswith(raw_folder(wh, last_merge(spark, wh).generation)):
+        attach_raw(spark, wh, buckets)  # another session has merged since
     folder = wh.folder(wh.metadata, "voter_ingestion_audit")
     _create(spark, wh.ledger_table, _columns(LEDGER_SCHEMA), folder)
-    for namespace, name, _, place in live_versions(spark, wh).values():
-        table = wh.table(namespace, name)
-        if spark.catalog.tableExists(table) and table_detail(spark, table, "Location") != place:
-            spark.sql(f"DROP TABLE {table}")  # another session has published since
-        _create(spark, table, "", place)
+    attach_run(spark, wh, last_run(spark, wh))
+
+
+def raw_folder(wh: Warehouse, generation: int) -> str:
+    """Where the batches loaded since the last merge are; two folders take turns after the first."""
+    return wh.folder(wh.raw, "voters" + ("" if not generation else f"_{generation % 2}"))
+
+
+def attach_raw(spark: SparkSession, wh: Warehouse, buckets: int) -> None:
+    """Register the raw table's batches, and its merged segments, as bucketed tables."""
+    merge = last_merge(spark, wh)
+    bucketed = f"CLUSTERED BY (id) INTO {buckets} BUCKETS"
+    folder = raw_folder(wh, merge.generation)
+    spark.sql(f"DROP TABLE IF EXISTS {wh.raw_table}")
+    _create(spark, wh.raw_table, _columns(RAW_SCHEMA), folder, f"PARTITIONED BY (source_file_hash) {bucketed}")
+    # Appending nothing makes the folder exist; partitions already in it are attached.
+    nothing = spark.createDataFrame([], RAW_SCHEMA)
+    nothing.write.mode("append").partitionBy("source_file_hash").parquet(folder)
+    spark.sql(f"ALTER TABLE {wh.raw_table} RECOVER PARTITIONS")
+    for segment in merge.segments:
+        _create(spark, wh.table(wh.raw, segment), _columns(RAW_SCHEMA), wh.folder(wh.raw, segment), bucketed)
+
+
+@dataclass(frozen=True)
+class Merge:
+    """What was merged of the raw table: {segment: (rows, batches)}."""
+
+    number: int = 0
+    generation: int = 0
+    segments: dict[str, tuple[int, list[str]]] = field(default_factory=dict)
+
+
+def last_merge(spark: SparkSession, wh: Warehouse) -> Merge:
+    rows = _stored(spark, wh.merges_folder, MERGES)
+    if not rows:
+        return Merge()
+    newest = max(r["number"] for r in rows)
+    mine = [r for r in rows if r["number"] == newest]
+    return Merge(newest, mine[0]["generation"], {r["segment"]: (r["n_rows"], list(r["batches"])) for r in mine})
+
+
+def raw_tables(spark: SparkSession, wh: Warehouse) -> list[str]:
+    """The raw table's parts: batches loaded since the last merge, and merged segments."""
+    return [wh.raw_table, *(wh.table(wh.raw, s) for s in last_merge(spark, wh).segments)]
+
+
+def read_raw(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """All rows of the raw table, whether their files were merged or not."""
+    parts = [spark.table(t).select(*RAW_SCHEMA.fieldNames()) for t in raw_tables(spark, wh)]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def raw_batches(spark: SparkSession, wh: Warehouse) -> set[str]:
+    """The batches that have rows in the raw table."""
+    merged = {b for _, batches in last_merge(spark, wh).segments.values() for b in batches}
+    listed = spark.sql(f"SHOW PARTITIONS {wh.raw_table}").collect()
+    return merged | {unescaped(r[0].partition("=")[2]) for r in listed}
+
+
+# Characters that Spark writes as %XX in the name of a partition's folder.
+ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
+
+
+def escaped(value: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in value)
+
+
+def unescaped(name: str) -> str:
+    return re.sub("%([0-9A-Fa-f]{2})", lambda m: chr(int(m[1], 16)), name)
 
 
 def table_detail(spark: SparkSession, table: str, field: str) -> str | None:
@@ -182,38 +269,172 @@ def append_rows(spark: SparkSession, rows: DataFrame, table: str) -> None:
     rows.select(*spark.table(table).columns).write.insertInto(table)
 
 
-def live_versions(spark: SparkSession, wh: Warehouse) -> dict[tuple[str, str], tuple]:
-    """The newest recorded version of every published table."""
-    newest: dict[tuple[str, str], tuple] = {}
-    for row in sorted(_stored(spark, wh.versions_folder, VERSIONS), key=lambda r: r["version"]):
-        newest[row["namespace"], row["name"]] = tuple(row)[:4]
-    return newest
+@dataclass
+class Run:
+    """A published run: the folder of every table, and for the layers kept by batch the run whose
+    folder holds each batch."""
+
+    number: int = 0
+    at: str = ""
+    settings: str = ""
+    tables: dict[tuple[str, str], str] = field(default_factory=dict)
+    batches: dict[str, dict[str, int]] = field(default_factory=dict)
+    schemas: dict[tuple[str, str], T.StructType] = field(default_factory=dict)
+
+    def folders(self) -> set[str]:
+        return set(self.tables.values())
+
+    def follow(self, at: str = "") -> Run:
+        """The run after this one, with the same tables until others are put in."""
+        return Run(self.number + 1, at, self.settings, dict(self.tables), {k: dict(v) for k, v in self.batches.items()})
+
+
+def kept_runs(spark: SparkSession, wh: Warehouse) -> dict[int, Run]:
+    """The recorded runs by number, oldest first."""
+    found: dict[int, Run] = {}
+    for r in sorted(_stored(spark, wh.runs_folder, RUNS), key=lambda r: r["run"]):
+        run = found.setdefault(r["run"], Run(r["run"], r["at"], r["settings"]))
+        if r["batch"] is None:
+            run.tables[r["namespace"], r["name"]] = r["folder"]
+        else:
+            run.batches.setdefault(r["name"], {})[r["batch"]] = r["written"]
+    return found
+
+
+def last_run(spark: SparkSession, wh: Warehouse) -> Run:
+    return next(reversed(kept_runs(spark, wh).values()), Run())
+
+
+def named_run(spark: SparkSession, wh: Warehouse, number: int | None = None) -> Run:
+    """The newest run, or one of the last ``KEPT_RUNS`` by its number."""
+    runs = kept_runs(spark, wh)
+    newest = max(runs, default=0)
+    if number is None:
+        return runs.get(newest, Run())
+    if number not in runs or number <= newest - KEPT_RUNS:
+        raise ValueError(f"run {number} is not kept; the last ones are {sorted(runs)[-KEPT_RUNS:]}")
+    return runs[number]
+
+
+def free_folder(runs: Sequence[Run], wh: Warehouse, namespace: str, name: str) -> str:
+    """A folder of the table that none of the kept runs reads."""
+    used = {folder for run in runs for folder in run.folders()}
+    places = (f"{wh.folder(namespace, name)}/v{i}" for i in range(KEPT_RUNS + 1))
+    return next(p for p in places if p not in used)
+
+
+def write_version(spark: SparkSession, wh: Warehouse, run: Run, df: DataFrame, namespace: str, name: str, kept: Sequence[Run]) -> None:
+    """Write a table of a run that is not visible yet."""
+    folder = free_folder(kept, wh, namespace, name)
+    df.write.mode("overwrite").parquet(folder)
+    run.tables[namespace, name] = folder
+    run.schemas[namespace, name] = df.schema
+
+
+def commit_run(spark: SparkSession, wh: Warehouse, run: Run) -> None:
+    """Make all tables of a run visible, by one file; then let the catalog follow."""
+    rows = [(run.number, run.at, run.settings, ns, name, None, None, folder) for (ns, name), folder in run.tables.items()]
+    rows += [
+        (run.number, run.at, run.settings, "", name, batch, written, None)
+        for name, batches in run.batches.items()
+        for batch, written in batches.items()
+    ]
+    slot = f"{wh.runs_folder}/slot={run.number % SLOTS}"
+    spark.createDataFrame(rows, RUNS).coalesce(1).write.mode("overwrite").parquet(slot)
+    attach_run(spark, wh, run)
+
+
+def attach_run(spark: SparkSession, wh: Warehouse, run: Run) -> None:
+    """Point the session's catalog to the tables of a run."""
+    for (namespace, name), folder in run.tables.items():
+        _attach(spark, wh.table(namespace, name), folder, run.schemas.get((namespace, name)))
+    if run.batches.get(CLEANED):
+        _attach_batches(spark, wh, run.number, run.batches[CLEANED])
+
+
+def _attach(spark: SparkSession, table: str, folder: str, schema: T.StructType | None) -> None:
+    if spark.catalog.tableExists(table):
+        if (table_detail(spark, table, "Location") or "").endswith(folder):
+            spark.catalog.refreshTable(table)
+            return
+        kinds = [(f.name, f.dataType.simpleString()) for f in (schema or spark.read.parquet(folder).schema)]
+        if spark.table(table).dtypes == kinds:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(folder)}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")
+    _create(spark, table, _columns(schema) if schema else "", folder)
+
+
+def batched(spark: SparkSession, folder: str, written: dict[str, int], schema: T.StructType) -> DataFrame:
+    """The folders of the runs that wrote these batches, with ``source_file_hash`` and ``run``."""
+    fields = [f for f in schema.fields if f.name != "source_file_hash"]
+    places = [T.StructField("run", T.LongType()), T.StructField("source_file_hash", T.StringType())]
+    paths = [f"{folder}/run={n}" for n in sorted(set(written.values()))]
+    return spark.read.option("basePath", folder).schema(T.StructType(fields + places)).parquet(*paths)
+
+
+def _attach_batches(spark: SparkSession, wh: Warehouse, number: int, written: dict[str, int]) -> None:
+    """The cleaned layer as a table partitioned by batch, each partition at its own run's folder."""
+    table, known = wh.cleaned_table, 0
+    if spark.catalog.tableExists(table):
+        property = spark.sql(f"SHOW TBLPROPERTIES {table}").where("key = 'attached_run'").first()
+        known = int(property["value"]) if property else 0
+        if not known:
+            spark.sql(f"DROP TABLE {table}")
+    if not known:
+        columns = _columns(batched(spark, wh.cleaned_folder, written, CLEANED_SCHEMA).drop("run").schema)
+        layout = "PARTITIONED BY (source_file_hash) TBLPROPERTIES ('attached_run' = '0')"
+        _create(spark, table, columns, f"{wh.cleaned_folder}/batches", layout)
+    for batch, run in written.items():
+        if run > known:
+            place = _quoted(f"{wh.cleaned_folder}/run={run}/source_file_hash={escaped(batch)}")
+            part = f"PARTITION (source_file_hash = '{_quoted(batch)}')"
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {part}")
+            spark.sql(f"ALTER TABLE {table} ADD {part} LOCATION '{place}'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('attached_run' = '{number}')")
+    spark.catalog.refreshTable(table)
+
+
+def by_batch(spark: SparkSession, folder: str, written: dict[str, int], schema: T.StructType) -> DataFrame:
+    """Rows of a layer kept by batch: of every batch those of the run that wrote it last.
+
+    The batch and the run are folders, so what a later run replaced is not read.
+    """
+    if not written:
+        return spark.createDataFrame([], schema)
+    pairs = [F.lit(f"{n}/{b}") for b, n in written.items()]
+    named = F.concat_ws("/", F.col("run").cast("string"), "source_file_hash")
+    return batched(spark, folder, written, schema).where(named.isin(*pairs)).drop("run")
+
+
+def read_cleaned(spark: SparkSession, wh: Warehouse, run: int | None = None) -> DataFrame:
+    """The cleaned layer of the newest run, or of a named one."""
+    found = named_run(spark, wh, run)
+    written = found.batches.get(CLEANED)
+    whole = found.tables.get((wh.intermediate, CLEANED))
+    rows = spark.read.parquet(whole) if whole else by_batch(spark, wh.cleaned_folder, written or {}, CLEANED_SCHEMA)
+    return rows.select(*CLEANED_SCHEMA.fieldNames())
 
 
 def publish(
     spark: SparkSession, wh: Warehouse, df: DataFrame, namespace: str, name: str
 ) -> DataFrame:
-    """Full refresh of a table: write beside the live version, then switch to it.
+    """Full refresh of one table, as a run of its own: write beside the live version, then switch.
 
-    Two folders take turns and a record under the root says which is live, so readers keep
-    a whole version, a failed write changes nothing in this session or a later one, and at
-    most one old version stays on disk. One writer at a time per table.
+    Folders take turns and the run's manifest says which is live, so readers keep a whole
+    version, a failed write changes nothing in this session or a later one, and the versions
+    of the last ``KEPT_RUNS`` runs stay on disk. One writer at a time per warehouse.
     """
-    table = wh.table(namespace, name)
-    # Records are in a folder per table, so tables are published at the same time.
-    records = f"{wh.versions_folder}/of={namespace}.{name}"
-    version = 1 + max((r["version"] for r in _stored(spark, records, VERSIONS)), default=0)
-    path = f"{wh.folder(namespace, name)}/{'ba'[version % 2]}"
-    df.write.mode("overwrite").parquet(path)
-    record = spark.createDataFrame([(namespace, name, version, path)], VERSIONS).coalesce(1)
-    record.write.mode("append").parquet(records)
-    if spark.catalog.tableExists(table) and spark.table(table).dtypes == df.dtypes:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(path)}'")
-    else:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        _create(spark, table, _columns(df.schema), path)
-    spark.catalog.refreshTable(table)
-    return spark.table(table)
+    runs = kept_runs(spark, wh)
+    newest = next(reversed(runs.values()), Run())
+    run = newest.follow(newest.at)
+    write_version(spark, wh, run, df, namespace, name, list(runs.values())[-KEPT_RUNS:])
+    if (namespace, name) == (wh.intermediate, CLEANED):
+        run.batches.pop(CLEANED, None)
+        run.settings = ""
+    commit_run(spark, wh, run)
+    return spark.table(wh.table(namespace, name))
 
 
 def read_mart(
@@ -222,8 +443,15 @@ def read_mart(
     name: str,
     namespace: str | None = None,
     order: list[Column] | None = None,
+    run: int | None = None,
 ) -> DataFrame:
-    """A published mart, from another namespace and sorted if wanted."""
-    table = f"{namespace}.{MART_TABLES[name]}" if namespace else wh.mart_table(name)
-    mart = spark.table(table)
+    """A published mart of the newest run or of a named one, or from another namespace; sorted if wanted.
+
+    It goes by the manifest, not by the session's catalog, so several marts read with one
+    ``run`` belong together, also while a later run is being written.
+    """
+    if namespace:
+        mart = spark.table(f"{namespace}.{MART_TABLES[name]}")
+    else:
+        mart = spark.read.parquet(named_run(spark, wh, run).tables[wh.marts, MART_TABLES[name]])
     return mart.orderBy(*order) if order else mart

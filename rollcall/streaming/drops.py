@@ -13,11 +13,12 @@ from rollcall.session import new_scratch_path
 from rollcall.sources.csv import csv_stream
 from rollcall.sources.fingerprint import content_fingerprint
 from rollcall.sources.ledger import audit_record, stamp_batch
-from rollcall.sources.warehouse import Warehouse, append_rows, ensure_tables
+from rollcall.sources.warehouse import Warehouse, append_rows, ensure_tables, read_raw
 
 
 def load_micro_batch(
-    spark: SparkSession, wh: Warehouse, batch: DataFrame, run_ts: str, source: str, ingestion_id: str
+    spark: SparkSession, wh: Warehouse, batch: DataFrame, run_ts: str, source: str, ingestion_id: str,
+    key_mode: str = "abort",
 ) -> None:
     """Load one micro-batch and record it.
 
@@ -27,12 +28,12 @@ def load_micro_batch(
     profile = content_fingerprint(batch).first()
     if not profile["file_row_count"]:
         return
-    load_batch(spark, wh, stamp_batch(batch, run_ts, profile["file_hash"]))
+    load_batch(spark, wh, stamp_batch(batch, run_ts, profile["file_hash"]), key_mode)
     ledger = spark.table(wh.ledger_table)
     if not ledger.where(F.col("ingestion_id") == ingestion_id).isEmpty():
         return
     record = audit_record(
-        spark.table(wh.raw_table),
+        read_raw(spark, wh),
         profile["file_hash"],
         source,
         profile["file_row_count"],
@@ -52,8 +53,9 @@ def stream_load_unseen(
     max_files: int | None = None,
     multi_line: bool = False,
     buckets: int | None = None,
+    key_mode: str = "abort",
 ) -> StreamingQuery:
-    """Load every file dropped since the last run, then stop.
+    """Load every file dropped since the last run, then stop. ``key_mode`` is the key guard's.
 
     A micro-batch is parsed once, into scratch parquet, which the fingerprint, the guard
     and the load read.
@@ -69,7 +71,7 @@ def stream_load_unseen(
         session = batch.sparkSession
         parsed = new_scratch_path(session, "parsed")
         batch.write.parquet(parsed)
-        load_micro_batch(session, wh, session.read.parquet(parsed), run_ts, folder, ingestion_id)
+        load_micro_batch(session, wh, session.read.parquet(parsed), run_ts, folder, ingestion_id, key_mode)
 
     source = csv_stream(spark, folder, columns, max_files, multi_line)
     return (
