@@ -8,10 +8,8 @@ cost follows the new batch and the number of cells, not the number of records.
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +46,7 @@ from rollcall.sources.warehouse import (
     read_cleaned,
     read_mart,
     read_raw,
+    together,
     write_version,
 )
 
@@ -79,13 +78,6 @@ def read_staged(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return stage(read_raw(spark, wh))
 
 
-def _together(spark: SparkSession, jobs: list) -> None:
-    """Independent jobs are submitted together: one uses cores that another leaves idle."""
-    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
-            done.result()
-
-
 def cells_folder(wh: Warehouse, name: str) -> str:
     return wh.folder(wh.metadata, f"cells_{name}")
 
@@ -151,7 +143,7 @@ def rebuild_layers(
             # A few thousand cells for each batch at most.
             write_batches(cells.coalesce(1), cells_folder(wh, name))
 
-        _together(spark, [lambda n=n: count(n) for n in names])
+        together(spark, [lambda n=n: count(n) for n in names])
         for name in (CLEANED, *names):
             run.batches[name] |= mine
 
@@ -164,7 +156,7 @@ def rebuild_layers(
         mart = plan.made_of(merged_cells(cells, plan.keys)) if plan else dq_summary_of_cells(cells)
         write_version(spark, wh, run, mart, wh.marts, MART_TABLES[name], runs)
 
-    _together(spark, [lambda n=n: make_mart(n) for n in MART_TABLES])
+    together(spark, [lambda n=n: make_mart(n) for n in MART_TABLES])
     commit_run(spark, wh, run)
 
 

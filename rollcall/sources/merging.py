@@ -58,9 +58,8 @@ def merge_batches(spark: SparkSession, wh: Warehouse) -> str | None:
     record = [(last.number + 1, generation, s, n, b) for s, (n, b) in segments.items()]
     slot = f"{wh.merges_folder}/slot={(last.number + 1) % SLOTS}"
     spark.createDataFrame(record, MERGES).coalesce(1).write.mode("overwrite").parquet(slot)
-    attach_raw(spark, wh, buckets)
+    attach_raw(spark, wh, buckets, last_merge(spark, wh))
     for old in taken:
-        spark.sql(f"DROP TABLE IF EXISTS {wh.table(wh.raw, old)}")
         nothing.write.mode("overwrite").parquet(wh.folder(wh.raw, old))
     return name
 

@@ -12,9 +12,11 @@ never see tables of two runs. The catalog follows it. The last ``KEPT_RUNS`` run
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,9 +178,9 @@ def ensure_tables(spark: SparkSession, wh: Warehouse, buckets: int | None = None
         )
     buckets = raw_buckets(spark, wh, buckets)
     if not spark.catalog.tableExists(wh.raw_table):
-        attach_raw(spark, wh, buckets)
-    elif not table_detail(spark, wh.raw_table, "Location").endswith(raw_folder(wh, last_merge(spark, wh).generation)):
-        attach_raw(spark, wh, buckets)  # another session has merged since
+        attach_raw(spark, wh, buckets, last_merge(spark, wh))
+    elif not table_detail(spark, wh.raw_table, "Location").endswith(raw_folder(wh, (merge := last_merge(spark, wh)).generation)):
+        attach_raw(spark, wh, buckets, merge)  # another session has merged since
     folder = wh.folder(wh.metadata, "voter_ingestion_audit")
     _create(spark, wh.ledger_table, _columns(LEDGER_SCHEMA), folder)
     attach_run(spark, wh, last_run(spark, wh))
@@ -189,9 +191,8 @@ def raw_folder(wh: Warehouse, generation: int) -> str:
     return wh.folder(wh.raw, "voters" + ("" if not generation else f"_{generation % 2}"))
 
 
-def attach_raw(spark: SparkSession, wh: Warehouse, buckets: int) -> None:
+def attach_raw(spark: SparkSession, wh: Warehouse, buckets: int, merge: Merge) -> None:
     """Register the raw table's batches, and its merged segments, as bucketed tables."""
-    merge = last_merge(spark, wh)
     bucketed = f"CLUSTERED BY (id) INTO {buckets} BUCKETS"
     folder = raw_folder(wh, merge.generation)
     spark.sql(f"DROP TABLE IF EXISTS {wh.raw_table}")
@@ -200,10 +201,18 @@ def attach_raw(spark: SparkSession, wh: Warehouse, buckets: int) -> None:
     nothing = spark.createDataFrame([], RAW_SCHEMA)
     nothing.write.mode("append").partitionBy("source_file_hash").parquet(folder)
     spark.sql(f"ALTER TABLE {wh.raw_table} RECOVER PARTITIONS")
+    for name in _segments(spark, wh):
+        if name not in merge.segments:
+            spark.sql(f"DROP TABLE {wh.table(wh.raw, name)}")
     for segment in merge.segments:
         _create(spark, wh.table(wh.raw, segment), _columns(RAW_SCHEMA), wh.folder(wh.raw, segment), bucketed)
 
 
+def _segments(spark: SparkSession, wh: Warehouse) -> list[str]:
+    found = spark.sql(f"SHOW TABLES IN {wh.namespace(wh.raw)} LIKE 'voters_segment_*'").collect()
+    return sorted(r["tableName"] for r in found)
+
+
 @dataclass(frozen=True)
 class Merge:
     """What was merged of the raw table: {segment: (rows, batches)}."""
@@ -223,8 +232,9 @@ def last_merge(spark: SparkSession, wh: Warehouse) -> Merge:
 
 
 def raw_tables(spark: SparkSession, wh: Warehouse) -> list[str]:
-    """The raw table's parts: batches loaded since the last merge, and merged segments."""
-    return [wh.raw_table, *(wh.table(wh.raw, s) for s in last_merge(spark, wh).segments)]
+    """The raw table's parts, as ``ensure_tables`` has registered them: batches loaded since the
+    last merge, and merged segments."""
+    return [wh.raw_table, *(wh.table(wh.raw, s) for s in _segments(spark, wh))]
 
 
 def read_raw(spark: SparkSession, wh: Warehouse) -> DataFrame:
@@ -238,7 +248,8 @@ def read_raw(spark: SparkSession, wh: Warehouse) -> DataFrame:
 
 def raw_batches(spark: SparkSession, wh: Warehouse) -> set[str]:
     """The batches that have rows in the raw table."""
-    merged = {b for _, batches in last_merge(spark, wh).segments.values() for b in batches}
+    merge = last_merge(spark, wh) if _segments(spark, wh) else Merge()
+    merged = {b for _, batches in merge.segments.values() for b in batches}
     listed = spark.sql(f"SHOW PARTITIONS {wh.raw_table}").collect()
     return merged | {unescaped(r[0].partition("=")[2]) for r in listed}
 
@@ -346,10 +357,21 @@ def commit_run(spark: SparkSession, wh: Warehouse, run: Run) -> None:
 
 def attach_run(spark: SparkSession, wh: Warehouse, run: Run) -> None:
     """Point the session's catalog to the tables of a run."""
-    for (namespace, name), folder in run.tables.items():
-        _attach(spark, wh.table(namespace, name), folder, run.schemas.get((namespace, name)))
+
+    def one(namespace: str, name: str) -> None:
+        _attach(spark, wh.table(namespace, name), run.tables[namespace, name], run.schemas.get((namespace, name)))
+
+    jobs = [lambda key=key: one(*key) for key in run.tables]
     if run.batches.get(CLEANED):
-        _attach_batches(spark, wh, run.number, run.batches[CLEANED])
+        jobs.append(lambda: _attach_batches(spark, wh, run.number, run.batches[CLEANED]))
+    together(spark, jobs)
+
+
+def together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
+    """Independent jobs are submitted together: one uses cores that another leaves idle."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            done.result()
 
 
 def _attach(spark: SparkSession, table: str, folder: str, schema: T.StructType | None) -> None:
