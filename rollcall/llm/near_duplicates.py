@@ -43,6 +43,8 @@ from rollcall.llm.components import connected_components, forest
 from rollcall.session import new_scratch_path
 
 CHUNK = 1 << 12
+#: Columns that are known as frequent; 8 bytes each reach the driver and every task.
+MOST_FREQUENT = 1 << 22
 PORTION = 1 << 23
 
 
@@ -81,16 +83,34 @@ def beyond(x: Column, percent: int) -> Column:
     return F.ceil(x * F.lit(percent) / F.lit(100) - 1e-9) - 1
 
 
+LAST = np.uint64(63) << np.uint64(58)
+
+
 class Order:
-    """Shingle hashes to keys whose order is rough frequency, then hash."""
+    """Shingle hashes to keys whose order is rough frequency, then hash; known frequent ones come last.
+
+    ``frequent`` holds names of columns, in order; a column's name is its place in the blocks.
+    """
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: np.ndarray, n_blocks: int):
         self.level = np.floor(np.log2(np.maximum(counts, 1))).astype(np.uint64)
         self.heavy = max(6, int(np.ceil(np.log2(4 * counts.mean() + 64))))
         self.mask = np.uint64(len(counts) - 1)
+        self.n_blocks = np.uint64(n_blocks)
+        self.frequent = np.zeros(0, np.uint64)
 
     def keys(self, grams: np.ndarray) -> np.ndarray:
-        return (self.level[(grams & self.mask).astype(np.int64)] << np.uint64(58)) | (grams >> np.uint64(6))
+        key = (self.level[(grams & self.mask).astype(np.int64)] << np.uint64(58)) | (grams >> np.uint64(6))
+        if len(self.frequent):
+            name = self.names(key)
+            at = np.minimum(np.searchsorted(self.frequent, name), len(self.frequent) - 1)
+            key[self.frequent[at] == name] |= LAST
+        return key
+
+    def names(self, key: np.ndarray) -> np.ndarray:
+        """Block and a half hash of a column."""
+        h = mix(key)
+        return ((h & np.uint64(0xFFFFFFFF)) % self.n_blocks) << np.uint64(32) | h >> np.uint64(32)
 
 
 def frequency_sketch(docs: DataFrame, n: int, bits: int) -> np.ndarray:
@@ -158,10 +178,8 @@ def prefix_blocks(docs: DataFrame, order, n: int, percent: int, n_blocks: int) -
             doc = np.repeat(np.arange(len(keys)), lengths)
             place = gather_spans(np.ones(len(keys), np.int64), lengths)  # 1, 2, ... in each prefix
             heavy = (key >> np.uint64(58)) >= np.uint64(rank.heavy)
-            h = mix(key)
-            block = ((h & np.uint64(0xFFFFFFFF)) % np.uint64(n_blocks)).astype(np.int64)
-            short = h >> np.uint64(32)
-            whole = (block.astype(np.uint64) << np.uint64(32)) | short
+            whole = rank.names(key)
+            block, short = (whole >> np.uint64(32)).astype(np.int64), whole & np.uint64(0xFFFFFFFF)
             sig_, size_ = np.array(sigs, np.int64), np.array(sizes, np.int64)
             light = ~heavy
             rows = pack(block[light], short[light], doc[light], place[light], sig_, size_, False)
@@ -175,6 +193,43 @@ def prefix_blocks(docs: DataFrame, order, n: int, percent: int, n_blocks: int) -
     return docs.mapInArrow(run, "block int, spread boolean, few boolean, near boolean, sigs binary, sizes binary, keys binary, docs binary, places binary")
 
 
+def frequent_columns(slices: DataFrame, n_blocks: int, wide: int) -> np.ndarray:
+    """Names of the columns with more than ``wide`` classes, in order.
+
+    Their number is bounded by ``MOST_FREQUENT``: should there be more, those of the most classes.
+    A shingle left out keeps its place in the order, which costs time and loses nothing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, list] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                key, sig, _, _ = unpack_slice(row)
+                blocks.setdefault(row["block"], []).append((key, sig))
+        for block, parts in blocks.items():
+            key, sig = (np.concatenate(c) for c in zip(*parts, strict=True))
+            by = np.lexsort((sig, key))
+            key, sig = key[by], sig[by]
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = (np.diff(key) != 0) | (np.diff(sig) != 0)
+            names, count = np.unique(key[new], return_counts=True)
+            many = count > wide
+            yield pa.RecordBatch.from_arrays([pa.array((block << 32) + names[many]), pa.array(count[many])], names=["name", "classes"])
+
+    dealt = slices.where("not spread").repartitionById(n_blocks, "block")
+    found = dealt.mapInArrow(run, "name long, classes long").checkpoint()
+    # Level by level of the number of classes, as many as the bound lets in.
+    levels = found.groupBy(F.floor(F.log2("classes")).alias("level")).agg(F.count("*").alias("n")).collect()
+    room, least = MOST_FREQUENT, 64
+    for row in sorted(levels, reverse=True):
+        room -= row["n"]
+        if room < 0:
+            break
+        least = row["level"]
+    names = found.where(F.log2("classes") >= least).select("name").toPandas()["name"].to_numpy(np.int64)
+    return np.sort(names).view(np.uint64)
+
+
 def unpack_slice(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(key, signature, size, place) of every entry of a packed row."""
     doc = np.frombuffer(row["docs"], "<u2" if row["few"] else "<u4").astype(np.int64)
@@ -429,7 +484,7 @@ def remaining_links(docs: DataFrame, named: DataFrame, n: int, percent: int, par
 
 
 def near_duplicates(
-    docs: DataFrame, n: int = 5, percent: int = 75, wide: int = 16, part_rows: int = 256, sketch_bits: int = 18, bitmap_bits: int = 24, block_docs: int = 4096,
+    docs: DataFrame, n: int = 5, percent: int = 75, wide: int = 16, part_rows: int = 256, sketch_bits: int = 18, frequent_rounds: int = 2, bitmap_bits: int = 24, block_docs: int = 4096,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """id, n_shingles and component_id of every row of ``docs``."""
@@ -451,8 +506,15 @@ def near_duplicates(
     slim.mapInArrow(sizes, f"id {kind}, n_shingles long, sig long").write.parquet(f"{scratch}/nodes")
     nodes = spark.read.parquet(f"{scratch}/nodes")
 
-    order = spark.sparkContext.broadcast(Order(frequency_sketch(texts, n, sketch_bits)))
     n_blocks = max(8, -(-nodes.count() // block_docs))
+    rank = Order(frequency_sketch(texts, n, sketch_bits), n_blocks)
+    for _ in range(frequent_rounds):
+        order = spark.sparkContext.broadcast(rank)
+        more = frequent_columns(prefix_blocks(texts, order, n, percent, n_blocks), n_blocks, wide)
+        rank.frequent = np.union1d(rank.frequent, more)
+        if not len(more):
+            break
+    order = spark.sparkContext.broadcast(rank)
     block_products(prefix_blocks(texts, order, n, percent, n_blocks), n_blocks, percent, wide).write.parquet(f"{scratch}/products")
     products = spark.read.parquet(f"{scratch}/products")
     columns = products.where("kind = 1").select("a", "b", "x", "y")
