@@ -7,7 +7,7 @@ Every stage reads what its predecessor kept. All but the last return the columns
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import decontaminate, mixing, near_duplicates, quality, token_files
@@ -25,18 +25,24 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the smallest id stays.
+    """Of each group of near duplicates one row stays, that of the smallest id.
 
-    Rows without words or without id are in no group and stay. Rows that share an id are one
-    document; the smallest of their texts stays.
+    Rows are told apart by a number that is written with them, so rows that share an id, or have
+    none, are compared by their texts like any others. Among equal ids the text's hash and then
+    the number decide; a row without id stays only where no row of its group has one. Rows
+    without words are in no group and stay.
     """
     ship_package(spark)
-    groups = near_duplicates.near_duplicates(docs.select("doc_id", "text"))
-    kept = groups.where("n_shingles = 0 or doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    named = named.withColumn("copy_number", F.row_number().over(first)).where("copy_number = 1").drop("copy_number")
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    path = new_scratch_path(spark, "numbered")
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document")
+    docs.select(whole, F.monotonically_increasing_id().alias("row")).write.parquet(path)
+    numbered = spark.read.parquet(path)
+    id_ = F.col("document.doc_id")
+    name = F.struct(id_.isNull().alias("nameless"), id_.alias("doc_id"), F.xxhash64("document.text").alias("tie"), "row")
+    groups = near_duplicates.near_duplicates(numbered.select(name.alias("doc_id"), F.col("document.text").alias("text")))
+    kept = groups.where((F.col("n_shingles") == 0) | (F.col("doc_id") == F.col("component_id"))).select(F.col("doc_id.row").alias("row"))
+    left = numbered.join(kept, "row", "left_semi")
+    return left.select(*(F.col(f"document.`{c}`").alias(c) for c in docs.columns))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +52,14 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document gets its place in a mix of the sources by the square root of their sizes."""
-    return mixing.mix_sources(docs).select(*[c for c in docs.columns if c not in mixing.ADDED], POSITION)
+    """Every document gets its place in a mix of the sources by the square root of their sizes.
+
+    Documents travel as one column, so their columns may have any names; only one called
+    ``mix_position`` is replaced.
+    """
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document")
+    mixed = mixing.mix_sources(docs.select("doc_id", "source", whole))
+    return mixed.select(*(F.col(f"document.`{c}`").alias(c) for c in docs.columns if c != POSITION), POSITION)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
