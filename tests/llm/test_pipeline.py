@@ -9,12 +9,14 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from test_near_duplicates import brute
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from rollcall.llm.common import table
 from rollcall.llm.quality import quality_scores
+from rollcall.session import new_scratch_path
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -94,3 +96,45 @@ def test_stages_on_no_documents_and_on_odd_ones(spark):
             assert out.count() <= len(rows)
     one = corpus_pipeline.keep_one_copy(spark, spark.createDataFrame(odd, schema), SF)
     assert sorted(((r["doc_id"], r["text"]) for r in one.collect()), key=repr) == [(1, None), (2, "a b c d e f"), (None, ""), (None, None)]
+
+
+WORDS = [" ".join(f"{w}{k}" for k in range(60)) for w in "pqrs"]
+
+
+def one_copy(spark, rows):
+    docs = spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(rows)], table(spark, SF, "documents").schema)
+    out = corpus_pipeline.keep_one_copy(spark, docs.repartition(3), SF)
+    return sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+
+
+def test_rows_that_share_an_id_are_told_apart_by_their_texts(spark):
+    rows = [(1, WORDS[0]), (1, WORDS[1]), (2, WORDS[2])]
+    assert one_copy(spark, rows) == sorted(rows, key=repr)
+    assert one_copy(spark, [*rows, (1, WORDS[2]), (3, WORDS[1]), (1, WORDS[0])]) == sorted([(1, WORDS[0]), (1, WORDS[1]), (1, WORDS[2])], key=repr)
+    assert one_copy(spark, [(7, None), (7, WORDS[3]), (7, "")]) == sorted([(7, None), (7, WORDS[3]), (7, "")], key=repr)
+
+
+def test_copies_without_id_go_too(spark):
+    assert one_copy(spark, [(None, WORDS[0]), (None, WORDS[0] + " end"), (None, WORDS[1])]) in (
+        sorted([(None, WORDS[0]), (None, WORDS[1])], key=repr), sorted([(None, WORDS[0] + " end"), (None, WORDS[1])], key=repr)
+    )
+    assert one_copy(spark, [(None, WORDS[0]), (9, WORDS[0] + " end")]) == [(9, WORDS[0] + " end")]
+
+
+CLASHING = ["b", "s", "c", "before", "length", "c_i", "t_slot", "begin", "mix_source", "mix_rank", "kept_id", "copy_number", "row", "document", "sig", "n_shingles", "component_id", "part"]
+
+
+def test_extra_columns_of_any_name_pass_through_every_stage(spark):
+    base = table(spark, SF, "documents").where("doc_id < 60")
+    wide = base.select("*", *(F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in CLASHING))
+    docs = wide
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert set(docs.columns) <= set(out.columns)
+        path = new_scratch_path(spark, "stage-test")
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        for r in docs.collect():
+            assert [r[c] for c in CLASHING] == [f"{c}-{r['doc_id']}" for c in CLASHING]
+    assert docs.count() > 20
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
