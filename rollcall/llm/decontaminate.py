@@ -3,7 +3,10 @@
 Every test item is cut in units of up to ``unit_words`` words, and an inverted index holds the
 BM25 impact of each word on each unit. Every training document is cut in overlapping passages,
 each of which is a query. A passage finds all units whose score is at least ``reach`` of the
-unit's score against itself. Units are in blocks, and the index keeps a word's largest impact
+unit's score against itself, or less where that could miss a leak: of all stretches of an item
+that hold enough of its grams to count, the shortest are looked up, and in one unit at least the
+threshold is what such a stretch leaves there. So an item that stands in a document in one
+piece is found whenever the piece counts as a leak, also across a border of units. Units are in blocks, and the index keeps a word's largest impact
 in each block (block-max). The words of a unit whose impacts together stay below its threshold
 do not open its block, as a passage that reaches the threshold holds one of the others; an
 opened block is looked at only if the passage's block maxima reach the least threshold in it,
@@ -47,14 +50,43 @@ def grams_of(words: np.ndarray, gram: int) -> np.ndarray:
     return np.unique(gram_hashes(words, min(gram, len(words)))) if len(words) else np.zeros(0, np.uint64)
 
 
+def least_pieces(words: np.ndarray, cut: int, gram: int, overlap: float) -> list[tuple[int, int, int]]:
+    """(first word, word after the last, all words) of the stretches of an item that hold ``overlap``
+    of the distinct grams of its parts, none of which holds another."""
+    n, spots = len(words), []
+    for low, high in ((0, cut), (cut, n)) if cut else ((0, n),):
+        width = min(gram, high - low)
+        _, kind = np.unique(gram_hashes(words[low:high], width), return_inverse=True)
+        spots.append((low, width, kind, -(-round(overlap * (int(kind.max()) + 1) * 1e6) // 1_000_000)))
+    counts = [np.zeros(int(kind.max()) + 1, np.int64) for _, _, kind, _ in spots]
+    held, found, high = [0] * len(spots), [], 0
+    for begin in range(n):
+        while high < n and any(h < need for h, (_, _, _, need) in zip(held, spots, strict=True)):
+            high += 1
+            for p, (low, width, kind, _) in enumerate(spots):
+                at = high - width - low  # the gram that ends here
+                if 0 <= at < len(kind) and at + low >= begin:
+                    held[p] += int(counts[p][kind[at]] == 0)
+                    counts[p][kind[at]] += 1
+        if any(h < need for h, (_, _, _, need) in zip(held, spots, strict=True)):
+            break
+        found.append((begin, high, n))
+        for p, (low, width, kind, _) in enumerate(spots):
+            at = begin - low  # the gram that begins here goes
+            if 0 <= at < len(kind) and begin + width <= high:
+                counts[p][kind[at]] -= 1
+                held[p] -= int(counts[p][kind[at]] == 0)
+    return [f for k, f in enumerate(found) if k + 1 == len(found) or found[k + 1][1] > f[1]]
+
+
 class Index:
     """The impacts of words on units, with their maxima by block, and the items' grams."""
 
-    def __init__(self, items: list[tuple[int, str]], unit_words: int, gram: int, reach: float):
+    def __init__(self, items: list[tuple[int, str]], unit_words: int, gram: int, reach: float, overlap: float | None = None):
         self.gram = gram
         self.ids: list = []
         self.parts: list[tuple[tuple[int, np.ndarray], tuple[int, np.ndarray]]] = []
-        units, unit_item = [], []
+        units, unit_item, pieces = [], [], []
         for item, text in items:
             data = np.frombuffer((text or "").encode("utf-8"), np.uint8)
             starts, ends, _ = word_bounds(data, np.array([0, len(data)]), OUTSIDE)
@@ -69,12 +101,14 @@ class Index:
             question, answer = (words[:cut], words[cut:]) if cut else (words, words)
             self.ids.append(item)
             self.parts.append(tuple((min(gram, len(w)), grams_of(w, gram)) for w in (question, answer)))
+            pieces.append((len(units), least_pieces(words, cut, gram, overlap) if overlap else []))
             # Units of about equal length: short ones say little.
             for part in np.array_split(words, -(-len(words) // unit_words)):
                 units.append(part)
                 unit_item.append(len(self.ids) - 1)
         # Long units first, so that a block's units have similar thresholds.
         by = sorted(range(len(units)), key=lambda u: -len(units[u]))
+        cut_units, place_of = units, np.argsort(by)
         units, self.item = [units[u] for u in by], np.array([unit_item[u] for u in by], dtype=np.int64)
         n = len(units)
         size = np.array([len(u) for u in units], dtype=np.float64)
@@ -99,7 +133,26 @@ class Index:
         self.peaks = np.zeros(cells, np.float32) if cells <= 1 << 22 else None
         if self.peaks is not None:
             self.peaks[self.keys] = np.nextafter(self.peak.astype(np.float32), np.float32(np.inf))
-        self.need = reach * np.bincount(unit, weights=impact, minlength=n) - 1e-9
+        whole = np.bincount(unit, weights=impact, minlength=n)
+        self.need = reach * whole
+        worth = {(int(u), int(self.words[t])): w for u, t, w in zip(unit.tolist(), term.tolist(), impact.tolist(), strict=True)} if overlap else {}
+        for first_unit, found in pieces:
+            edges = [0]
+            while found and edges[-1] < found[-1][2]:
+                edges.append(edges[-1] + len(cut_units[first_unit + len(edges) - 1]))
+            known: dict[tuple[int, int, int], float] = {}
+            for low, high, _ in found:
+                best = (-1.0, 0, 0.0)
+                for k in range(len(edges) - 1):
+                    a, b = max(low, edges[k]), min(high, edges[k + 1])
+                    if a < b:
+                        at = int(place_of[first_unit + k])
+                        if (k, a, b) not in known:
+                            here = set(cut_units[first_unit + k][a - edges[k] : b - edges[k]].tolist())
+                            known[k, a, b] = sum(worth[at, w] for w in here)
+                        best = max(best, (known[k, a, b] / whole[at], at, known[k, a, b]))
+                self.need[best[1]] = min(self.need[best[1]], best[2])
+        self.need = self.need * (1 - 1e-9) - 1e-9
         self.block_need = np.minimum.reduceat(self.need, np.arange(0, n, BLOCK)) if n else self.need
         # A unit's words of smallest impact that together stay below its threshold are not needed to
         # open it: a passage that reaches the threshold holds one of the others.
@@ -192,14 +245,14 @@ class Index:
         return found
 
 
-def indexes(benchmark: DataFrame, unit_words: int, gram: int, reach: float, shard_bytes: int, item_col: str, text_col: str) -> Iterator[Index]:
+def indexes(benchmark: DataFrame, unit_words: int, gram: int, reach: float, overlap: float, shard_bytes: int, item_col: str, text_col: str) -> Iterator[Index]:
     """The items' index, or one index per shard where they are larger than ``shard_bytes``."""
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text"))
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     shards = -(-int(size) // shard_bytes)
     for k in range(shards):
         part = items if shards == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(shards)) == k)
-        yield Index(sorted(((r["item"], r["text"]) for r in part.collect()), key=repr), unit_words, gram, reach)
+        yield Index(sorted(((r["item"], r["text"]) for r in part.collect()), key=repr), unit_words, gram, reach, overlap)
 
 
 def find_leaks(
@@ -211,7 +264,7 @@ def find_leaks(
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = f"id {kind}, item_id long, question_overlap double, answer_overlap double"
     parts = []
-    for index in indexes(benchmark, unit_words, gram, reach, shard_bytes, item_col, item_text_col):
+    for index in indexes(benchmark, unit_words, gram, reach, overlap, shard_bytes, item_col, item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -236,7 +289,7 @@ def drop_leaks(
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no leaked item."""
     place = docs.columns.index(text_col)
-    for index in indexes(benchmark, unit_words, gram, reach, shard_bytes, item_col, item_text_col):
+    for index in indexes(benchmark, unit_words, gram, reach, overlap, shard_bytes, item_col, item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

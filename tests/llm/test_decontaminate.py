@@ -84,3 +84,26 @@ def test_search_finds_all_units_above_their_threshold(reach):
         for u in np.flatnonzero(dense[p].sum(axis=0) >= index.need):
             want.add((k, int(index.item[u])))
     assert got == want and len(want) >= n // 3
+
+
+def test_pieces_of_an_item_that_count_are_found(docs_of, items):
+    """Stretches of 40 to 100 % of items of one to five units, in one piece between other words."""
+    r = random.Random(11)
+    rows = []
+    for k in range(600):
+        item = words(ITEMS[k % len(ITEMS)][1])
+        size = max(1, round(len(item) * r.uniform(0.4, 1)))
+        begin = r.randrange(len(item) - size + 1)
+        other = [" ".join(f"x{r.randrange(5000)}" for _ in range(r.randrange(90))) for _ in range(2)]
+        rows.append((k, " ".join([other[0], *item[begin : begin + size], other[1]])))
+    want = sorted((d, i) for d, t in rows for i, item in [*ITEMS, (150, ITEMS[8][1])] if min(shares(t, item)) >= 0.5)
+    got = sorted((x["doc_id"], x["item_id"]) for x in find_leaks(docs_of(rows), items).collect())
+    assert got == want and len(want) > 200
+
+
+def test_one_sentence_of_32_words_half_present(spark, docs_of):
+    item = [f"v{i}" for i in range(32)]
+    other = spark.createDataFrame([(i, " ".join([*item[:16], *[f"z{i}.{k}" for k in range(16)]])) for i in range(1, 40)] + [(0, " ".join(item))], "item_id long, text string")
+    rows = [(k, "lead words " + " ".join(item[a : a + 18]) + " and more") for k, a in enumerate(range(15))]
+    found = {(x["doc_id"], x["item_id"]) for x in find_leaks(docs_of(rows), other).collect()}
+    assert {(k, 0) for k in range(15)} <= found
