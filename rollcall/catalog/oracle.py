@@ -247,6 +247,14 @@ CHECKS_REPEATED = {
 }
 
 STATEMENTS = {
+    "f1_running_total_by_range": """
+SELECT voter_id, registered_date,
+ CAST(count(*) OVER (ORDER BY registered_date NULLS FIRST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS registered_so_far FROM cln""",
+    "f2_moving_avg_by_range": """
+SELECT voter_id, registered_date, age,
+ avg(age) OVER (ORDER BY registered_date NULLS FIRST, voter_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS avg_age_nearby FROM cln""",
+    "e7_exact_median_by_range": """
+SELECT o_orderpriority, quantile_cont(CAST(round(o_totalprice * 100) AS BIGINT), 0.5) AS median_cents FROM orders GROUP BY 1""",
     "a1_csv_scan": f"SELECT {AS_READ} FROM registry",
     "a1_csv_scan_spanning": f"""
 SELECT * REPLACE ('a "b",' || chr(10) || first_name || chr(10) || '"c"' AS first_name) FROM (SELECT {AS_READ} FROM registry)""",

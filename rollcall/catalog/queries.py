@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rollcall import fixture
 from rollcall import functions as R
 from rollcall.fixture import AS_OF, FIXTURE_HASH, RUN_TS
-from rollcall.operators import aggregates, keys, predicates, windows
+from rollcall.operators import aggregates, keys, predicates, ranges, windows
 from rollcall.plans import layers, marts, quality, refresh, reports
 from rollcall.schema import RAW_COLUMNS
 from rollcall.session import new_scratch_path
@@ -883,3 +883,25 @@ def _(r):
         csv.write_extract(rows, folder)
         drops.stream_load_unseen(r.spark, wh, folder, progress, RUN_TS).awaitTermination()
     return r.spark.table(wh.raw_table).select(*RAW_COLUMNS)
+
+
+# --- whole tables in ranges -----------------------------------------------------------
+
+
+@query("f1_running_total_by_range")
+def _(r):
+    dated = r.cleaned.select("voter_id", "registered_date", F.lit(1).cast("bigint").alias("one"))
+    return ranges.running_total_by_range(dated, "one", "registered_date", "registered_so_far").drop("one")
+
+
+@query("f2_moving_avg_by_range")
+def _(r):
+    people = r.cleaned.select("voter_id", "registered_date", "age")
+    return ranges.centered_moving_avg_by_range(people, "age", ["registered_date", "voter_id"], "avg_age_nearby", piece_rows=100)
+
+
+@query("e7_exact_median_by_range")
+def _(r):
+    orders = r.spark.read.parquet(f"{r.sf_dir}/orders.parquet")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents")
+    return ranges.exact_median_by_range(orders.select("o_orderpriority", cents), ["o_orderpriority"], "cents", "median_cents")
