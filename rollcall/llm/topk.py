@@ -8,13 +8,16 @@ at most the product of the two remaining norms, so a row whose partial score plu
 is below the k-th best partial score less its bound, for every query of a group, is left out
 and the surviving columns are moved together. What survives all groups has its exact score.
 
-Queries and rows are both dealt in blocks, so neither side is ever whole in one place.
+Queries and rows are both dealt in blocks, so neither side is ever whole in one place. Blocks meet by
+the number of the block of rows and of a group of query blocks, and the queries, the smaller
+side, are sent to all blocks of rows.
 
 Defined results: vectors that are null or hold a null, NaN or infinite component take no part,
 neither do rows without id. Only vectors of equal length are compared. The query's own row is
 the row with its id; other rows with equal vectors count. Of rows that repeat an id, the one
-with the smallest vector takes part. Ties go to the smaller id. Integer components of 2^31 or
-more are refused, and products beyond 2^53 are added up in 64-bit integers.
+with the smallest vector takes part. Ties go to the smaller id. Products beyond 2^53 are added up
+in 64-bit integers, and beyond 2^62 in Python's. A component or a score outside 64 bits counts as
+the nearest number inside.
 """
 
 from __future__ import annotations
@@ -26,6 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+MOST = (1 << 63) - 1
+#: Query blocks that meet a block of rows under one key.
+TOGETHER = 16
 BLOCK = "dim int, block long, n int, ids binary, parts binary"
 
 
@@ -35,9 +41,9 @@ def to_integers(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = rows.where(F.col("id").isNotNull() & x.isNotNull() & finite)
-    fits = F.forall(x, lambda c: F.abs(c) < 2.0**23)
-    rows = rows.withColumn("v", F.when(fits, x).otherwise(F.raise_error(F.lit("components of 2^31 and more are not supported"))))
-    rows = rows.select("id", F.transform(x, lambda c: F.floor(c * 256).cast("long")).alias("v"))
+    # Within 64 bits, and so that the largest double below 2^63 is kept.
+    whole = lambda c: F.floor(F.least(F.greatest(c * 256, F.lit(-(2.0**63 - 1024))), F.lit(2.0**63 - 1024))).cast("long")
+    rows = rows.select("id", F.transform(x, whole).alias("v"))
     return rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
 
 
@@ -51,7 +57,9 @@ def blocks(rows: DataFrame, n_blocks: int) -> DataFrame:
             flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
             for dim, place in sorted(set(zip(dims.tolist(), places.tolist(), strict=True))):
                 rows = np.flatnonzero((dims == dim) & (places == place))
-                across = flat[at[rows][:, None] + np.arange(dim)].astype(np.int32).reshape(len(rows), dim)
+                across = flat[at[rows][:, None] + np.arange(dim)].reshape(len(rows), dim)
+                if not across.size or max(int(across.max()), -int(across.min())) < 1 << 31:
+                    across = across.astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([dim], pa.int32()), pa.array([place], pa.int64()), pa.array([len(rows)], pa.int32()), pa.array([ids[rows].tobytes()], pa.binary()), pa.array([np.ascontiguousarray(across.T).tobytes()], pa.binary())],
                     names=["dim", "block", "n", "ids", "parts"],
@@ -62,13 +70,25 @@ def blocks(rows: DataFrame, n_blocks: int) -> DataFrame:
     return dealt.mapInArrow(run, BLOCK)
 
 
+def unpacked(parts: bytes, dim: int, n: int) -> np.ndarray:
+    """A row per dimension, of 64-bit integers; they are stored in 4 or 8 bytes."""
+    return np.frombuffer(parts, np.int64 if len(parts) > 4 * dim * n else np.int32).reshape(dim, n).astype(np.int64)
+
+
+def arithmetic(q: np.ndarray, x: np.ndarray) -> type:
+    """What adds up the products of ``q`` and ``x`` without rounding."""
+    largest = [max(int(v.max()), -int(v.min())) if v.size else 0 for v in (q, x)]
+    most = largest[0] * largest[1] * len(q)
+    return np.float64 if most < 2**52 else np.int64 if most < 2**62 else object
+
+
 def bounded_top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, group: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query place, row place and score of each query's k best rows.
 
     ``q`` and ``x`` have a row per dimension.
     """
     dim, n = x.shape
-    exact = np.float64 if dim == 0 or float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * dim < 2**52 else np.int64
+    exact = arithmetic(q, x)
     q, x = q.astype(exact), x.astype(exact)
     own = q_ids[:, None] == ids[None, :]
     scores = np.zeros((len(q_ids), n), dtype=exact)
@@ -79,14 +99,20 @@ def bounded_top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray
         rest_x = np.sqrt((x[low + group :][:, alive].astype(np.float64) ** 2).sum(axis=0))
         slack = rest_q[:, None] * rest_x[None, :] * (1 + 1e-9) + 1
         others = ~own[:, alive]
-        floor = np.where(others, scores - slack, -np.inf)
+        # As doubles, whose rounding the bounds allow for.
+        rough = scores.astype(np.float64)
+        slack += np.abs(rough) * 1e-9
+        floor = np.where(others, rough - slack, -np.inf)
         if len(alive) > k:
             kth = np.partition(floor, len(alive) - k, axis=1)[:, len(alive) - k]
-            keep = ((scores + slack >= kth[:, None]) & others).any(axis=0)
+            kth = np.minimum(kth, 2.0**62)  # scores outside 64 bits are equal
+            keep = ((rough + slack >= kth[:, None]) & others).any(axis=0)
             if not keep.all():
                 alive, scores = alive[keep], scores[:, keep]
     others = ~own[:, alive]
-    shown = np.where(others, scores, -np.inf)
+    if exact is object:
+        scores = np.clip(scores, -MOST, MOST).astype(np.int64)
+    shown = np.where(others, scores.astype(np.float64), -np.inf)
     if len(alive) > k:
         kth = np.partition(shown, len(alive) - k, axis=1)[:, len(alive) - k]
         others &= shown >= kth[:, None]
@@ -105,9 +131,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
     row_blocks, ask_blocks = max(1, -(-n_rows // block_rows)), max(1, -(-n_asked // 512))
     left = blocks(rows, row_blocks)
     right = blocks(asked, ask_blocks).select(F.col("dim").alias("q_dim"), F.col("block").alias("q_block"), F.col("n").alias("q_n"), F.col("ids").alias("q_ids"), F.col("parts").alias("q_parts"))
-    # Every block of rows is sent to every block of queries, by their numbers; a pair of blocks is a task's unit of work.
-    sent = left.withColumn("meets", F.explode(F.sequence(F.lit(0), F.lit(ask_blocks - 1)))).withColumn("meets", F.col("meets").cast("long"))
-    pairs = sent.join(right, (F.col("dim") == F.col("q_dim")) & (F.col("meets") == F.col("q_block")))
+    # Query blocks are sent to all blocks of rows, those to each group of query blocks; a pair of blocks is a task's unit of work.
+    groups = -(-ask_blocks // TOGETHER)
+    left = left.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    right = right.withColumn("q_group", F.floor(F.col("q_block") / TOGETHER).cast("int"))
+    right = right.withColumn("meets", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1)).cast("array<long>")))
+    pairs = left.join(right, (F.col("dim") == F.col("q_dim")) & (F.col("block") == F.col("meets")) & (F.col("group") == F.col("q_group")))
     pairs = pairs.select("dim", "n", "ids", "parts", "q_n", "q_ids", "q_parts").repartition(max(1, min(row_blocks * ask_blocks, 4096)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,8 +144,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
             for r in range(batch.num_rows):
                 dim, n, ids, parts, q_n, q_ids, q_parts = (c[r].as_py() for c in batch.columns)
                 ids, q_ids = np.frombuffer(ids, np.int64), np.frombuffer(q_ids, np.int64)
-                x = np.frombuffer(parts, np.int32).reshape(dim, n).astype(np.int64)
-                q = np.frombuffer(q_parts, np.int32).reshape(dim, q_n).astype(np.int64)
+                x, q = unpacked(parts, dim, n), unpacked(q_parts, dim, q_n)
                 for low in range(0, q_n, 64):
                     at, row, score = bounded_top(q_ids[low : low + 64], q[:, low : low + 64], ids, x, k, group)
                     yield pa.RecordBatch.from_arrays([pa.array(q_ids[low + at]), pa.array(ids[row]), pa.array(score)], names=["query_id", "vec_id", "score"])

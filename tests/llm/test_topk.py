@@ -48,10 +48,28 @@ def test_empty(spark):
     assert top_k(df, df).count() == 0
 
 
-def test_too_large_components_are_refused(spark):
-    df = frame(spark, [(1, [1e9]), (2, [1.0])])
-    with pytest.raises(Exception, match="not supported"):
-        top_k(df, df).collect()
+@pytest.mark.parametrize("size", [2.0**22, 1e6, 1e12])
+def test_large_components(spark, size):
+    r = np.random.default_rng(5)
+    rows = {i: (r.normal(size=6) * r.choice([1, size])).astype(np.float32).tolist() for i in range(60)}
+    rows |= {100: [size, -size, 0.0, 0.0, 0.0, 0.0], 101: [-size, size, 0.0, 0.0, 0.0, 0.0], 102: [size, 0.0, 0.0, 0.0, 0.0, 1.0]}
+    most = 2**63 - 1
+    ints = {i: [int(np.floor(256 * float(np.float32(c)))) for c in v] for i, v in rows.items()}
+    want = []
+    for q in [i for i in rows if i % 2 == 0]:
+        scores = sorted((-max(-most, min(most, sum(a * b for a, b in zip(ints[q], v, strict=True)))), i) for i, v in ints.items() if i != q)
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:5], 1)]
+    df = frame(spark, rows.items())
+    got = top_k(df, df.where(F.col("vec_id") % 2 == 0), k=5, block_rows=16, group=2)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_a_block_of_rows_is_a_key_of_its_own(spark):
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(1200)]
+    df = frame(spark, rows)
+    got = top_k(df, df, k=2, block_rows=100)
+    assert sorted(map(tuple, got.collect())) == brute(dict(rows), range(1200), 2)
+    assert "meets" in got._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_bound_leaves_rows_out_and_keeps_the_best():
