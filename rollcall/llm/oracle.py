@@ -72,7 +72,8 @@ FROM placed p JOIN turns t ON p.i = t.i AND t.turn = j % share
 
 OP10 = r"""
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text, CAST(coalesce(floor(turn / 64), -1) AS BIGINT) AS chunk
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role,
+    replace(replace(coalesce(text, ''), '<|im_start|>', '<| im_start |>'), '<|im_end|>', '<| im_end |>') AS text, CAST(coalesce(floor(turn / 64), -1) AS BIGINT) AS chunk
   FROM conversations
 ), placed AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id, chunk ORDER BY turn NULLS FIRST, role, text) - 1 AS place FROM t
@@ -80,7 +81,8 @@ WITH t AS (
   SELECT DISTINCT conv_id AS c, role AS perspective FROM t
 ), shown AS (
   SELECT conv_id, perspective, chunk, place // 64 AS piece, place, role = perspective AS own,
-    CASE WHEN role = perspective THEN '<|im_start|>assistant' ELSE '<|im_start|>user name=' || role END || chr(10) AS head,
+    CASE WHEN role = perspective THEN '<|im_start|>assistant' ELSE '<|im_start|>user name=' ||
+      replace(replace(translate(role, chr(13) || chr(10), '  '), '<|im_start|>', '<| im_start |>'), '<|im_end|>', '<| im_end |>') END || chr(10) AS head,
     text || '<|im_end|>' AS body
   FROM placed JOIN people ON conv_id IS NOT DISTINCT FROM c
 ), spans AS (
