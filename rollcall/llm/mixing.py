@@ -1,25 +1,27 @@
 """Mixing sources to target weights by Pfair scheduling, with DataFrame functions only.
 
-The rows of each source are dealt into blocks of ``block_rows``. Time has one slot per block and
-is cut into periods of ``period`` slots. A source of weight w among weights of sum W has had, by
-the end of period k, floor or ceil of k * period * w / W blocks: earliest deadline first over whole
-periods, on one small row, where block j may not be counted before floor(j W / w) nor after
-ceil((j + 1) W / w). So what is rounded in one period is made up for in the next, and no
-error adds up. Within a period, where a source has c blocks of D slots, its block j may not run before
-its release floor(j D / c) and must end by its deadline ceil((j + 1) D / c), and in each slot the
-released block with the earliest deadline runs. As the shares add up to D, every deadline is met.
-In any prefix of the schedule a source has had its weight to less than two blocks (less than one
-at the end of a period, and less than one within it), however long the input. Periods are worked
-out beside one another, up to where the first source runs out and every source had a block; from
-there on the schedule repeats.
+The rows of each source are dealt into blocks of ``block_rows``. Time has one slot per block. Among
+weights of sum W, block j of a source of weight w may not run before its release floor(j W / w) and
+must have run by its deadline ceil((j + 1) W / w); in each slot the released block with the earliest
+deadline runs, ties to the earlier source. These windows come from the unrounded weights, so in any prefix of
+the schedule every source has had its weight to less than one block, however long the input.
+
+Time is cut into periods of ``period`` slots, worked out beside one another. What has run by the
+end of a period follows from its number alone: a warm-up schedules the period from the state in which the blocks
+that started earliest by deadline have run, and its last state is that of the one long schedule once the two
+meet, as they do within a few slots. Each period then runs from the state before it to the state at its end.
+Should a warm-up end elsewhere, a block may run a little off its window, but each still runs once.
+Periods go up to where the first source runs out and every source had a block; from there on the
+schedule repeats.
 
 No row is dropped or repeated. When a source runs out its slots stay empty, and the others go
 on in proportion to their weights.
 
 A source's rows are ranked by md5 of their id, which shuffles them, in two steps: by a prefix
 of the digest, long enough that a prefix has about ``bucket_rows`` rows of any source, and
-within it. So a source with a third of all rows is dealt over many tasks. Rows with one id (or
-none) that occurs often share a digest, so their text and then a spread number extend it.
+within it. So a source with a third of all rows is dealt over many tasks. Where an id (or none)
+occurs often, its prefix has over four times as many rows; these are cut further by a hash of
+their other columns and their place in the input, which says where equal rows go.
 
 Defined results: a null source is a source of its own; a weight of 0, a negative or missing
 weight, or one under a quarter of a block in the whole mix, counts as that quarter; an empty table gives an empty result; columns of the input
@@ -45,60 +47,6 @@ def whole(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
 
 
-def shares_of(weights: DataFrame, period: int) -> DataFrame:
-    """mix_source and w -> mix_source, n and its whole share of a period of about ``period`` slots, at least one.
-
-    The window runs over sources, one row each.
-    """
-    w = F.when(F.col("w") > 0, F.col("w")).otherwise(0.0)
-    part = weights.withColumn("w", w).withColumn("whole", F.sum("w").over(Window.partitionBy()))
-    share = F.when(F.col("whole") > 0, F.round(period * F.col("w") / F.col("whole"))).otherwise(0)
-    return part.select("mix_source", "n", F.greatest(share, F.lit(1)).cast("int").alias("share"))
-
-
-def period_slots(shares: DataFrame) -> DataFrame:
-    """One row: the earliest-deadline-first schedule of one period as arrays.
-
-    ``sources`` and ``shares`` are in source order; ``slots[k]`` is the place in them of the source that runs in slot k.
-    """
-    row = shares.agg(F.array_sort(F.collect_list(F.struct(F.col("mix_source").isNotNull().alias("named"), "mix_source", "share"))).alias("s"))
-    row = row.select(F.col("s.mix_source").alias("sources"), F.col("s.share").alias("shares"))
-    return with_slots(row.withColumn("d", F.aggregate("shares", F.lit(0), lambda a, x: a + x)))
-
-
-def with_slots(rows: DataFrame) -> DataFrame:
-    """Add ``slots``, the schedule of ``d`` slots by the shares in ``shares``, which add up to ``d``."""
-
-    def release(done: Column, share: Column) -> Column:
-        return F.floor(done * F.col("d") / share)
-
-    def deadline(done: Column, share: Column) -> Column:
-        return F.ceil((done + 1) * F.col("d") / share)
-
-    def pick(done: Column, slot: Column) -> Column:
-        ready = F.transform(
-            F.col("shares"),
-            lambda c, i: F.when(
-                (F.get(done, i) < c) & (release(F.get(done, i), c) <= slot),
-                F.struct(deadline(F.get(done, i), c).cast("long").alias("by"), i.alias("i")),
-            ),
-        )
-        return F.array_min(F.filter(ready, lambda x: x.isNotNull()))["i"]
-
-    def step(state: Column, slot: Column) -> Column:
-        return let(
-            pick(state["done"], slot),
-            lambda chosen: F.struct(
-                F.transform(state["done"], lambda x, i: x + F.when(i == chosen, 1).otherwise(0)).alias("done"),
-                F.concat(state["slots"], F.array(chosen)).alias("slots"),
-            ),
-        )
-
-    start = F.struct(F.transform("shares", lambda _: F.lit(0)).alias("done"), F.array().cast("array<int>").alias("slots"))
-    every = F.when(F.col("d") > 0, F.sequence(F.lit(0), F.col("d") - 1)).otherwise(F.array().cast("array<int>"))
-    return rows.withColumn("slots", F.aggregate(every, start, step, lambda s: s["slots"]))
-
-
 def whole_weights(counts: DataFrame, period: int, block_rows: int) -> DataFrame:
     """One row from mix_source, n and w: ``s``, the sources with whole weights v of about 2^30 in all, their sum ``v`` and ``periods``."""
     every = Window.partitionBy()  # over sources, one row each
@@ -116,65 +64,99 @@ def whole_weights(counts: DataFrame, period: int, block_rows: int) -> DataFrame:
     return row.where(F.size("s") > 0)
 
 
-def period_ends(row: DataFrame, period: int) -> DataFrame:
-    """Add ``ends``: for every period, how many blocks of each source have run by its end."""
+def started(slot: Column) -> Column:
+    """The blocks of each source that have run by ``slot`` if, of those begun, the earliest deadlines have: the warm-up's start."""
+
+    def chosen(full: Column) -> Column:
+        more = F.transform("s", lambda x, i: let(F.get(full, i), lambda n: F.when(
+            slot * x["v"] > n * F.col("v"), F.struct(whole((n + 1) * F.col("v") + x["v"] - 1, x["v"]).alias("by"), i.alias("i")),
+        )))
+        left = slot - F.aggregate(full, F.lit(0).cast("long"), lambda a, x: a + x)
+        last = F.when(left > 0, F.get(F.array_sort(F.filter(more, lambda x: x.isNotNull())), (left - 1).cast("int")))
+        return let(more, lambda m: let(last, lambda e: F.transform(full, lambda n, i: n + F.when(F.get(m, i) <= e, 1).otherwise(0))))
+
+    return let(F.transform("s", lambda x: whole(slot * x["v"], F.col("v"))), chosen)
+
+
+def scheduled(begin: Column, done: Column, period: int, until: Column | None = None) -> Column:
+    """``period`` slots from ``begin``, after the blocks in ``done``: ``done`` at their end, and what ran in each slot.
+
+    With ``until`` only the blocks before it run; then a block that is not released runs where no other can.
+    """
+
+    def pick(done: Column, slot: Column) -> Column:
+        def turn(x: Column, i: Column) -> Column:
+            def of(n: Column) -> Column:
+                ready = n * F.col("v") < (slot + 1) * x["v"]
+                by = whole(F.when(ready, (n + 1) * F.col("v") + x["v"] - 1).otherwise(n * F.col("v")), x["v"])
+                turn = F.struct((~ready).alias("early"), by.alias("by"), i.alias("i"), n.alias("block"))
+                return turn if until is None else F.when(n < F.get(until, i), turn)
+
+            return let(F.get(done, i), of)
+
+        return F.array_min(F.filter(F.transform("s", turn), lambda x: x.isNotNull()))
 
-    def step(state: Column, number: Column) -> Column:
-        slot = number * period
-        full = F.transform("s", lambda x: whole(slot * x["v"], F.col("v")))
+    def step(state: Column, at: Column) -> Column:
+        return let(
+            pick(state["done"], begin + at),
+            lambda chosen: F.struct(
+                F.transform(state["done"], lambda n, i: n + F.when(i == chosen["i"], 1).otherwise(0)).alias("done"),
+                F.concat(state["ran"], F.array(F.struct(chosen["i"].alias("i"), chosen["block"].alias("block")))).alias("ran"),
+            ),
+        )
 
-        def chosen(full: Column) -> Column:
-            base = F.transform(full, lambda n, i: F.greatest(n, F.get(state["done"], i)))
-            # A source's next block, released by now, by its deadline.
-            more = F.transform("s", lambda x, i: let(F.get(full, i), lambda n: F.when(
-                (F.get(state["done"], i) <= n) & (slot * x["v"] > n * F.col("v")),
-                F.struct(whole((n + 1) * F.col("v") + x["v"] - 1, x["v"]).alias("by"), i.alias("i")),
-            )))
-            left = slot - F.aggregate(base, F.lit(0).cast("long"), lambda a, x: a + x)
-            by_deadline = F.array_sort(F.filter(more, lambda x: x.isNotNull()))
-            last = let(by_deadline, lambda x: F.when(left > 0, F.get(x, (left - 1).cast("int"))))
-            return let(more, lambda m: let(last, lambda e: F.transform(base, lambda n, i: n + F.when(F.get(m, i) <= e, 1).otherwise(0))))
+    start = F.struct(done.alias("done"), F.array().cast("array<struct<i:int,block:bigint>>").alias("ran"))
+    return F.aggregate(F.sequence(F.lit(0).cast("long"), F.lit(period - 1).cast("long")), start, step)
 
-        return let(let(full, chosen), lambda done: F.struct(done.alias("done"), F.concat(state["ends"], F.array(done)).alias("ends")))
 
-    start = F.struct(F.transform("s", lambda _: F.lit(0).cast("long")).alias("done"), F.array().cast("array<array<bigint>>").alias("ends"))
-    return row.withColumn("ends", F.aggregate(F.sequence(F.lit(1).cast("long"), F.col("periods")), start, step, lambda x: x["ends"]))
+def end_of(number: Column, period: int) -> Column:
+    """How many blocks of each source have run by the end of period ``number``; none before the first."""
+    begin = number * period
+    nothing = F.transform("s", lambda _: F.lit(0).cast("long"))
+    return F.when(number < 0, nothing).otherwise(scheduled(begin, started(begin), period)["done"])
 
 
-def schedule_of(ends: DataFrame, period: int, parts: int) -> DataFrame:
+def schedule_of(row: DataFrame, period: int, parts: int, group: int = 500) -> DataFrame:
     """i, block, release, deadline and slot of every block of the periods; i is the source's place in ``s``."""
-    rows = ends.select(F.posexplode(F.transform("ends", lambda e, k: F.struct(e.alias("now"), F.get("ends", k - 1).alias("past")))).alias("k", "e"))
-    runs = F.transform("e.now", lambda n, i: let(F.coalesce(F.get(F.col("e.past"), i), F.lit(0)), lambda p: F.struct(i.alias("i"), p.alias("past"), (n - p).cast("int").alias("share"))))
-    rows = rows.select("k", F.filter(runs, lambda x: x["share"] > 0).alias("x")).repartition(parts, "k")
-    rows = with_slots(rows.select("k", "x", F.col("x.share").alias("shares"), F.lit(period).alias("d")))
-    rows = rows.select("k", "x", F.posexplode("slots").alias("at", "place")).select("k", "at", F.get("x", F.col("place")).alias("x"))
-    rows = rows.select(F.col("k").cast("long").alias("k"), "at", F.col("x.i").alias("i"), F.col("x.past").alias("past"), F.col("x.share").alias("share"))
-    turn = F.row_number().over(Window.partitionBy("k", "i").orderBy("at")) - 1
-    begin = F.col("k") * period
-    return rows.withColumn("turn", turn).select(
-        F.col("i").alias("t_i"), (F.col("past") + F.col("turn")).alias("t_block"), (begin + F.col("at")).alias("t_slot"),
-        (begin + F.floor(F.col("turn") * period / F.col("share"))).alias("t_release"), (begin + F.ceil((F.col("turn") + 1) * period / F.col("share"))).alias("t_deadline"),
+    groups = row.select("s", "v", "periods", F.explode(F.sequence(F.lit(0).cast("long"), whole(F.col("periods") - 1, F.lit(group)))).alias("g"))
+    inside = F.sequence(F.col("g") * group, F.least((F.col("g") + 1) * group, F.col("periods")) - 1)
+    rows = groups.repartition(parts, "g").select("s", "v", F.explode(inside).alias("k")).repartition(parts, "k")
+    rows = rows.withColumn("past", end_of(F.col("k") - 1, period)).withColumn("now", end_of(F.col("k"), period))
+    ran = scheduled(F.col("k") * period, F.col("past"), period, F.col("now"))["ran"]
+    rows = rows.select("s", "v", "k", F.posexplode(ran).alias("at", "x"))
+    weight = F.get("s", F.col("x.i"))["v"]
+    return rows.select(
+        F.col("x.i").alias("t_i"), F.col("x.block").alias("t_block"), (F.col("k") * period + F.col("at")).alias("t_slot"),
+        whole(F.col("x.block") * F.col("v"), weight).alias("t_release"), whole((F.col("x.block") + 1) * F.col("v") + weight - 1, weight).alias("t_deadline"),
     )
 
 
-def ranked(rows: DataFrame, digest: Column, tie: list[Column], total: int, bucket_rows: int) -> DataFrame:
-    """Add ``mix_rank``, 0, 1, ... within ``mix_source``, in order of the digest."""
+def ranked(rows: DataFrame, total: int, bucket_rows: int) -> DataFrame:
+    """Add ``mix_rank``, 0, 1, ... within ``mix_source``, in order of ``mix_digest`` and ``mix_tie``."""
     digits = 0
     while total > bucket_rows * 16**digits and digits < 24:
         digits += 1
-    rows = rows.withColumn("mix_digest", digest)
     rows = rows.withColumn("mix_bucket", F.substring("mix_digest", 1, digits) if digits else F.lit(""))
     sizes = rows.groupBy("mix_source", "mix_bucket").count()
+    hot = sizes.where(F.col("count") > 4 * bucket_rows).select(F.col("mix_source").alias("h_source"), F.col("mix_bucket").alias("h_bucket"), "count")
+    most = hot.agg(F.max("count")).first()[0]
+    if most is not None:
+        finer = 1
+        while most > bucket_rows * 16**finer:
+            finer += 1
+        here = rows["mix_source"].eqNullSafe(F.col("h_source")) & (rows["mix_bucket"] == F.col("h_bucket"))
+        spread = F.concat_ws(" ", "mix_digest", F.col("mix_tie").cast("string"), F.col("mix_row").cast("string"))
+        finely = F.when(F.col("h_bucket").isNotNull(), F.substring(F.md5(spread.cast("binary")), 1, finer)).otherwise("")
+        rows = rows.join(hot, here, "left").withColumn("mix_bucket", F.concat("mix_bucket", finely)).drop("h_source", "h_bucket", "count")
+        sizes = rows.groupBy("mix_source", "mix_bucket").count()
     before = sizes.select(
         F.col("mix_source").alias("s"), F.col("mix_bucket").alias("b"),
         (F.sum("count").over(Window.partitionBy("mix_source").orderBy("mix_bucket")) - F.col("count")).alias("before"),
     )
-    place = F.row_number().over(Window.partitionBy("mix_source", "mix_bucket").orderBy("mix_digest", *tie))
-    same = rows["mix_source"].eqNullSafe(F.col("s")) & (rows["mix_bucket"] == F.col("b"))
+    place = F.row_number().over(Window.partitionBy("mix_source", "mix_bucket").orderBy("mix_digest", "mix_tie"))
     placed = rows.withColumn("mix_place", place)
-    return placed.join(before, same).withColumn("mix_rank", F.col("before") + F.col("mix_place") - 1).drop(
-        "mix_digest", "mix_bucket", "mix_place", "s", "b", "before"
-    )
+    same = placed["mix_source"].eqNullSafe(F.col("s")) & (placed["mix_bucket"] == F.col("b"))
+    return placed.join(before, same).withColumn("mix_rank", F.col("before") + F.col("mix_place") - 1).select("document", "mix_source", "mix_rank")
 
 
 def mix_sources(
@@ -184,31 +166,32 @@ def mix_sources(
     """All rows of ``docs`` with block, release, deadline, slot and ``mix_position``.
 
     Sorting by ``mix_position`` gives the mixed order; it is unique. ``weights`` has the columns ``source`` and ``weight``;
-    without it, a source weighs its number of rows to ``power``.
+    without it, a source weighs its number of rows to ``power``. Rows travel as one column, so theirs may have any names.
     """
-    clash = [c for c in docs.columns if c.lower().startswith("mix_")]
-    rows = docs.drop(*[c for c in clash if c.lower() in ADDED]).withColumn("mix_source", F.col(source_col))
+    kept = [c for c in docs.columns if c.lower() not in ADDED]
+    hashed = [F.col(f"`{c}`") for c, kind in docs.dtypes if c in kept and "map<" not in kind and "variant" not in kind]
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in kept)).alias("document"), F.col(source_col).alias("mix_source"),
+        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("mix_digest"),
+        F.xxhash64(*hashed).alias("mix_tie"), F.monotonically_increasing_id().alias("mix_row"),
+    )
     counts = rows.groupBy("mix_source").agg(F.count("*").alias("n"))
     if weights is None:
         counts = counts.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(power)))
     else:
         given = weights.groupBy(F.col("source").alias("given")).agg(F.max("weight").cast("double").alias("w"))
         counts = counts.join(given, counts["mix_source"].eqNullSafe(given["given"]), "left").drop("given")
-    ends = period_ends(whole_weights(counts, period, block_rows), period)
+    row = whole_weights(counts, period, block_rows)
 
-    total = rows.count()
-    text_like = [F.col(c) for c, t in docs.dtypes if t in ("string", "bigint", "int") and c not in clash]
-    doc_key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    out = ranked(rows, F.concat(F.md5(doc_key.cast("binary"))), [F.xxhash64(*text_like)], total, bucket_rows)
-    out = out.withColumn("mix_block", F.floor(F.col("mix_rank") / block_rows).cast("long"))
+    total = docs.count()
+    out = ranked(rows, total, bucket_rows).withColumn("mix_block", F.floor(F.col("mix_rank") / block_rows).cast("long"))
     # What the schedule has of each source before it repeats.
-    held = ends.select("s", "periods", F.posexplode(F.get("ends", (F.col("periods") - 1).cast("int"))).alias("c_i", "c"))
+    held = row.select("s", "periods", F.posexplode(end_of(F.col("periods") - 1, period)).alias("c_i", "c"))
     held = held.select(F.get("s", F.col("c_i"))["mix_source"].alias("c_source"), "c_i", "c", (F.col("periods") * period).alias("length"))
     out = out.join(held, out["mix_source"].eqNullSafe(held["c_source"]))
     out = out.withColumn("mix_turn", F.col("mix_block") % F.col("c")).withColumn("begin", whole(F.col("mix_block"), F.col("c")) * F.col("length"))
     parts = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + total // (block_rows * period))
-    out = out.join(schedule_of(ends, period, parts), (F.col("c_i") == F.col("t_i")) & (F.col("mix_turn") == F.col("t_block")))
+    out = out.join(schedule_of(row, period, parts), (F.col("c_i") == F.col("t_i")) & (F.col("mix_turn") == F.col("t_block")))
     out = out.withColumns({f"mix_{c}": (F.col("begin") + F.col(f"t_{c}")).cast("long") for c in ("release", "deadline", "slot")})
     out = out.withColumn("mix_position", F.col("mix_slot") * block_rows + F.col("mix_rank") % block_rows)
-    kept = [c for c in docs.columns if c.lower() not in ADDED]
-    return out.select(*kept, *ADDED)
+    return out.select(*(F.col(f"document.`{c}`").alias(c) for c in kept), *ADDED)

@@ -40,34 +40,40 @@ FROM w LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS compone
 
 OP7 = r"""
 WITH RECURSIVE n AS (
-  SELECT source, power(CAST(count(*) AS DOUBLE), 0.5) AS w FROM documents GROUP BY source
+  SELECT source, CAST(count(*) AS BIGINT) AS n, CAST(ceil(count(*) / 8.0) AS BIGINT) AS blocks, power(CAST(count(*) AS DOUBLE), 0.5) AS w
+  FROM documents GROUP BY source
 ), c AS (
-  SELECT source, CAST(greatest(round(1000 * w / sum(w) OVER ()), 1) AS BIGINT) AS share,
+  SELECT source, blocks, CAST(greatest(round(greatest(w / sum(w) OVER (), 0.25 / greatest(sum(blocks) OVER (), 1000)) * 1073741824), 1) AS BIGINT) AS v,
     row_number() OVER (ORDER BY source NULLS FIRST) AS i
   FROM n
+), a AS (
+  SELECT list(v ORDER BY i) AS v, CAST(sum(v) AS BIGINT) AS d FROM c
 ), s AS (
-  SELECT list(share ORDER BY i) AS shares, CAST(sum(share) AS BIGINT) AS d FROM c
+  SELECT a.v, d, CAST(ceil(greatest(min(blocks * CAST(d AS DOUBLE) / c.v), max(CAST(d AS DOUBLE) / c.v)) / 1000) AS BIGINT) * 1000 AS slots FROM c, a GROUP BY a.v, d
 ), run AS (
-  SELECT CAST(-1 AS BIGINT) AS slot, list_transform(shares, lambda x: CAST(0 AS BIGINT)) AS done, CAST(0 AS BIGINT) AS chosen FROM s
+  SELECT CAST(-1 AS BIGINT) AS slot, list_transform(v, lambda x: CAST(0 AS BIGINT)) AS done, CAST(0 AS BIGINT) AS chosen FROM s
   UNION ALL
   SELECT slot + 1, list_transform(done, lambda x, i: x + CASE WHEN i = pick THEN 1 ELSE 0 END), pick
   FROM (
-    SELECT slot, done, CAST(list_min(list_transform(range(1, len(shares) + 1), lambda i:
-      CASE WHEN done[i] < shares[i] AND (done[i] * d) // shares[i] <= slot + 1
-      THEN ((done[i] + 1) * d + shares[i] - 1) // shares[i] * 1000000 + i END)) % 1000000 AS BIGINT) AS pick
-    FROM run, s WHERE slot + 1 < d
+    SELECT slot, done, CAST(list_min(list_transform(range(1, len(v) + 1), lambda i:
+      CASE WHEN (done[i] * d) // v[i] <= slot + 1
+      THEN ((done[i] + 1) * d + v[i] - 1) // v[i] * 1000000 + i END)) % 1000000 AS BIGINT) AS pick
+    FROM run, s WHERE slot + 1 < slots
   )
 ), turns AS (
   SELECT chosen AS i, slot AS spot, row_number() OVER (PARTITION BY chosen ORDER BY slot) - 1 AS turn FROM run WHERE slot >= 0
+), held AS (
+  SELECT i, count(*) AS held FROM turns GROUP BY i
 ), ranked AS (
   SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), ''))) - 1 AS r
   FROM documents
 ), placed AS (
-  SELECT doc_id, r.source, r, r // 8 AS j, share, i, d FROM ranked r JOIN c ON r.source IS NOT DISTINCT FROM c.source, s
+  SELECT doc_id, r.source, r, r // 8 AS j, (r // 8) % held AS turn, (r // 8) // held * slots AS start, c.v, c.i, d
+  FROM ranked r JOIN c ON r.source IS NOT DISTINCT FROM c.source JOIN held h ON c.i = h.i, s
 )
-SELECT doc_id, source, j AS mix_block, (j * d) // share AS mix_release, ((j + 1) * d + share - 1) // share AS mix_deadline,
-  (j // share) * d + spot AS mix_slot, ((j // share) * d + spot) * 8 + r % 8 AS mix_position
-FROM placed p JOIN turns t ON p.i = t.i AND t.turn = j % share
+SELECT doc_id, source, j AS mix_block, CAST(start + p.turn * d // v AS BIGINT) AS mix_release, CAST(start + ((p.turn + 1) * d + v - 1) // v AS BIGINT) AS mix_deadline,
+  CAST(start + spot AS BIGINT) AS mix_slot, CAST((start + spot) * 8 + r % 8 AS BIGINT) AS mix_position
+FROM placed p JOIN turns t ON p.i = t.i AND t.turn = p.turn
 """
 
 OP10 = r"""
