@@ -118,8 +118,8 @@ def expand(node: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray
     return np.concatenate([z, z * z / 3, np.ones((len(z), 1))], axis=1)
 
 
-def marginals(unary: np.ndarray, tie: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Probability that each line is good; expected counts of each transition; log of each row's sum over labellings.
+def marginals(unary: np.ndarray, tie: np.ndarray, first: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probability that each line is good; expected counts of each transition, a line's with its weight; log of each row's sum over labellings.
 
     ``unary`` is the score of good over bad. Rows are walked side by side, the longest first.
     """
@@ -147,11 +147,26 @@ def marginals(unary: np.ndarray, tie: np.ndarray, first: np.ndarray) -> tuple[np
         norm = np.logaddexp(ahead[at, 0] + back[at, 0], ahead[at, 1] + back[at, 1])
         for a in range(2):
             for b in range(2):
-                pairs[a, b] += np.exp(ahead[at, a] + tie[a, b] + then[:, b] - norm).sum()
+                chance = np.exp(ahead[at, a] + tie[a, b] + then[:, b] - norm)
+                pairs[a, b] += chance.sum() if weight is None else chance @ weight[at]
     both = ahead + back
     return 1 / (1 + np.exp(np.clip(both[:, 0] - both[:, 1], -500, 500))), pairs, total
 
 
+def slopes(x: np.ndarray, first: np.ndarray, label: np.ndarray, weight: np.ndarray, theta: np.ndarray, tie: np.ndarray, decay: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """What is minimised, and its gradients: each row's negative log likelihood by its lines' weight, and the decay.
+
+    All lines of a row have one weight and one label, its own.
+    """
+    unary = x @ theta
+    p, pairs, total = marginals(unary, tie, first, weight)
+    inner = np.ones(len(label), dtype=bool)
+    inner[first[:-1]] = False
+    kept = np.diag([(weight * (inner & (label == v))).sum() for v in (0, 1)])
+    value = weight[first[:-1]] @ total - (weight * label) @ unary - (kept * tie).sum() + decay / 2 * (theta @ theta + (tie * tie).sum())
+    return value, x.T @ (weight * (p - label)) + decay * theta, pairs - kept + decay * tie
+
+
 def fit(node: np.ndarray, first: np.ndarray, good: np.ndarray, steps_: int = 200, rate: float = 0.1, decay: float = 2e-3) -> dict:
     """Maximum likelihood by Adam over all rows of the sample, rows of either label with equal total weight."""
     mean, spread = node.mean(axis=0), node.std(axis=0) + 1e-6
@@ -160,20 +175,13 @@ def fit(node: np.ndarray, first: np.ndarray, good: np.ndarray, steps_: int = 200
     label = np.repeat(good, count)
     # A row counts once however many lines it has.
     weight = np.repeat(1 / np.maximum(count, 1), count)
-    kept = np.zeros((2, 2))
     share = 0.5 / max(good.sum(), 1), 0.5 / max((1 - good).sum(), 1)
     row_weight = np.where(good > 0, share[0], share[1])
     weight *= np.repeat(row_weight, count)
     theta, tie = np.zeros(x.shape[1]), np.zeros((2, 2))
     moments = [np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros((2, 2)), np.zeros((2, 2))]
-    inner = np.ones(len(label), dtype=bool)
-    inner[first[:-1]] = False
-    for v in (0, 1):
-        kept[v, v] = (inner & (label == v)).sum()
     for k in range(1, steps_ + 1):
-        p, pairs, _ = marginals(x @ theta, tie, first)
-        slope = x.T @ (weight * (p - label)) + decay * theta
-        slope_tie = (pairs - kept) / max(kept.sum(), 1) + decay * tie
+        _, slope, slope_tie = slopes(x, first, label, weight, theta, tie, decay)
         for value, g, m, v in ((theta, slope, *moments[:2]), (tie, slope_tie, *moments[2:])):
             m *= 0.9
             m += 0.1 * g

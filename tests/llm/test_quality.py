@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from rollcall.llm.common import table
-from rollcall.llm.quality import NODE, expand, keep_good, line_features, line_starts, marginals, quality_scores, score_texts
+from rollcall.llm.quality import NODE, expand, keep_good, line_features, line_starts, marginals, quality_scores, score_texts, slopes
 
 SF = "/root/testdata/sf0.01"
 
@@ -55,6 +55,23 @@ def test_marginals_are_sums_over_all_labellings():
     assert np.allclose(pairs, expected)
 
 
+def test_the_fit_follows_the_slope_of_its_likelihood():
+    r = np.random.default_rng(1)
+    first = np.array([0, 3, 4, 9, 11])
+    x, theta, tie = r.normal(size=(11, 4)), r.normal(size=4), r.normal(size=(2, 2))
+    label, weight = np.repeat([1.0, 0.0, 0.0, 1.0], np.diff(first)), np.repeat(r.random(4), np.diff(first))
+    at = lambda t, u: slopes(x, first, label, weight, t, u, 0.01)
+    _, by_theta, by_tie = at(theta, tie)
+    for place, slope in [*np.ndenumerate(by_theta)]:
+        step = np.zeros(4)
+        step[place] = 1e-5
+        assert np.isclose((at(theta + step, tie)[0] - at(theta - step, tie)[0]) / 2e-5, slope, atol=1e-7)
+    for place, slope in [*np.ndenumerate(by_tie)]:
+        step = np.zeros((2, 2))
+        step[place] = 1e-5
+        assert np.isclose((at(theta, tie + step)[0] - at(theta, tie - step)[0]) / 2e-5, slope, atol=1e-7)
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     labels = table(spark, SF, "labels")
