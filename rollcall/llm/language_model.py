@@ -6,8 +6,10 @@ put in classes: the most frequent ids have one of their own, the others share so
 The model predicts the next id's class from the ids before it, by one head of masked
 self-attention with a learned bias per distance, in two steps: a group of classes, then the
 class in the group; an id's chance within its class is its share of the corpus counts. Together
-they are a proper distribution over ids, and a document's score is the sum of log10 over its
-words' ids and the end mark.
+they are a proper distribution over ids; a word's chance is the product over its ids. The score of
+a word, or of the end mark, is log10 of a mix: ``blend`` of its smoothed share of all training
+words (only the ``top_words`` have one here) and the rest of the attention's chance. So the score of a
+text knows every frequent word and its context, and the chances of all words add up to 1 at most.
 
 Scoring cuts a document's ids into windows of ``2 * HALF`` that overlap by half. A window's
 second half is scored, its first half is context, so each id is scored once, with HALF to
@@ -15,10 +17,11 @@ second half is scored, its first half is context, so each id is scored once, wit
 with masks for the future, for padding and for what precedes a document.
 
 The attention weights are fitted in numpy on every window of every training row. They begin from
-weights fitted on a sample of ``sample_docs`` passages of ``sample_chars`` characters. Then each task
-goes on from them over all windows of its rows, and the tasks' weights are averaged, each by the
-ids it has seen; so the scores depend a little on how rows are dealt over tasks. Every count is
-over all training rows too. The driver receives the sample, sums of weights from ``SUMS`` tasks,
+weights fitted on a sample of ``sample_docs`` passages of ``sample_chars`` characters. Then rows are
+dealt by a hash of id and text into parts of about ``part_words`` words, sorted by it; each part's task
+goes on from these weights over all windows of its rows, and the parts' weights are averaged, each by the
+ids it has seen. Parts follow from the rows alone, so scores do not depend on files or machines. Rows that
+are equal in id and text are in one part. Every count is over all training rows too. The driver receives the sample, sums of weights from ``SUMS`` tasks,
 one row per subword id, and at most ``top_words`` of the most frequent words, which are broadcast;
 the counts of all other words stay in a table and are joined to the words of the documents.
 Word counts are added up per task before they are shuffled, so a frequent word is a few rows.
@@ -294,8 +297,8 @@ def class_log_probs(t: dict, hidden: np.ndarray, aim: np.ndarray) -> np.ndarray:
     return out
 
 
-def log_probs(t: dict, ids: np.ndarray, edges: np.ndarray, end: int, classes: Classes) -> np.ndarray:
-    """Natural log of the probability of every text of ids, each with the end mark after it."""
+def log_probs(t: dict, ids: np.ndarray, edges: np.ndarray, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log of the probability of every id, and of the end mark after every text of ids."""
     sizes = np.diff(edges) + 1  # with the end mark
     blocks = -(-sizes // HALF)
     first = np.concatenate([[0], np.cumsum(blocks)])
@@ -314,11 +317,14 @@ def log_probs(t: dict, ids: np.ndarray, edges: np.ndarray, end: int, classes: Cl
         high = min(n, low + 4096)
         hidden = np.concatenate([attend(t, told, begins, a, min(high, a + 128)) for a in range(low, high, 128)])
         out[low * HALF : high * HALF] += class_log_probs(t, hidden, aim[low * HALF : high * HALF])
-    real = np.zeros(n * HALF, bool)
-    real[to] = True
-    out[~real] = 0
-    sums = np.concatenate([[0], np.cumsum(out)])
-    return sums[first[1:] * HALF] - sums[first[:-1] * HALF]
+    out = out[to]
+    ends = edges[1:] + np.arange(len(sizes))
+    return np.delete(out, ends), out[ends]
+
+
+def blended(unigram: np.ndarray, attention: np.ndarray, blend: float) -> np.ndarray:
+    """Natural log of ``blend`` of the one chance and the rest of the other, from their logs."""
+    return np.logaddexp(np.log(blend) + unigram, np.log1p(-blend) + attention)
 
 
 def sample_windows(texts: list[str], tokenizer: str, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarray]:
@@ -413,7 +419,7 @@ def fit_on_all(texts: DataFrame, tokenizer: str, end: int, classes: Classes, mod
 
 def score_documents(
     docs: DataFrame, tokenizer: str, end_token: str = "<|endoftext|>", folds: int = 10, top_words: int = 100_000, sample_docs: int = 1000, sample_chars: int = 2000, rounds: int = 3,
-    id_col: str = "doc_id", text_col: str = "text",
+    blend: float = 0.35, part_words: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
     spark = docs.sparkSession
@@ -444,7 +450,9 @@ def score_documents(
     near = passages.where(F.pmod("h", F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * sample_docs / max(ends_, 1))))
     x, y = sample_windows([r["part"] for r in near.orderBy("h", "part").limit(sample_docs).collect()], tokenizer, end, classes)
     model.train(x, y, rounds)
-    fit_on_all(training.select("text"), tokenizer, end, classes, model)
+    parts = max(1, round(n_train / part_words))
+    hashed = training.select("text", F.xxhash64("id", "text").alias("h")).repartition(parts, "h").sortWithinPartitions("h", "text")
+    fit_on_all(hashed.select("text"), tokenizer, end, classes, model)
     fitted = spark.sparkContext.broadcast((model.tables(), classes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -464,7 +472,11 @@ def score_documents(
                 place = numbers[begin]
                 ids = np.delete(numbers, begin)
                 edges = np.concatenate([[0], np.cumsum(sizes - 1)])[first]
-                score = log_probs(tables, ids, edges, end, classes_) / np.log(10)
+                by_id, at_end = log_probs(tables, ids, edges, end, classes_)
+                by_word = np.add.reduceat(np.append(by_id, 0), begin - np.arange(len(begin)))[: len(begin)] if len(begin) else by_id
+                share = np.where(place >= 0, (logs[place] - rest) * np.log(10), -np.inf)
+                by_word = np.concatenate([[0], np.cumsum(blended(share, by_word, blend))])
+                score = np.diff(by_word[first]) + blended((logs[-1] - rest) * np.log(10), at_end, blend)
                 value = np.concatenate([[0], np.cumsum(np.where(place >= 0, logs[place], 0))])
                 seen = np.concatenate([[0], np.cumsum(place >= 0)])
                 rare = np.flatnonzero(place < 0)
@@ -473,7 +485,7 @@ def score_documents(
                 words = pa.Array.from_buffers(pa.binary(), len(rare), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.py_buffer(whole)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(batch.column(i).slice(low, high - low) for i in range(3)), pa.array(np.diff(first) + 1), pa.array(np.diff(seen[first]) + (ends_ > 0)), pa.array(np.diff(value[first]) + logs[-1]), pa.array(score),
+                        *(batch.column(i).slice(low, high - low) for i in range(3)), pa.array(np.diff(first) + 1), pa.array(np.diff(seen[first]) + (ends_ > 0)), pa.array(np.diff(value[first]) + logs[-1]), pa.array(score / np.log(10)),
                         pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, first), pa.int32()), words),
                     ],
                     names=["row", "id", "held_out", "n_tokens", "n_known", "base", "score", "rare"],

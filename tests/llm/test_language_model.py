@@ -93,12 +93,19 @@ def one_by_one(model, classes, ids, end):
     return total
 
 
+def whole_texts(model, texts, classes, end=2999):
+    """Log probability of every text: of its ids and its end mark."""
+    edges = np.cumsum([0, *map(len, texts)])
+    by_id, at_end = L.log_probs(model.tables(), np.concatenate(texts), edges, end, classes)
+    assert len(by_id) == edges[-1] and len(at_end) == len(texts)
+    return [by_id[a:b].sum() + e for a, b, e in zip(edges, edges[1:], at_end, strict=False)]
+
+
 def test_batches_score_like_single_windows(small):
     classes, model = small
     r = np.random.default_rng(3)
     texts = [r.integers(0, 2999, n) for n in (0, 1, 7, 8, 9, 15, 16, 17, 40, 3, 100)]
-    edges = np.cumsum([0, *map(len, texts)])
-    got = L.log_probs(model.tables(), np.concatenate(texts), edges, 2999, classes)
+    got = whole_texts(model, texts, classes)
     want = [one_by_one(model, classes, t.tolist(), 2999) for t in texts]
     assert np.allclose(got, want, rtol=1e-4)
 
@@ -106,8 +113,8 @@ def test_batches_score_like_single_windows(small):
 def test_many_blocks(small):
     classes, model = small
     ids = np.random.default_rng(4).integers(0, 2999, 5000)
-    both = L.log_probs(model.tables(), np.concatenate([ids, ids[:700]]), np.array([0, 5000, 5700]), 2999, classes)
-    alone = [L.log_probs(model.tables(), x, np.array([0, len(x)]), 2999, classes)[0] for x in (ids, ids[:700])]
+    both = whole_texts(model, [ids, ids[:700]], classes)
+    alone = [whole_texts(model, [x], classes)[0] for x in (ids, ids[:700])]
     assert np.allclose(both, alone, rtol=1e-6)
 
 
@@ -174,3 +181,18 @@ def test_context_reaches_more_ids(docs_of):
     told = r.integers(300, 400, (2000, 2 * L.HALF))
     losses = model.train(classes.inp[told], classes.out[told - 50], rounds=30, batch=100, rate=0.03)
     assert np.mean(losses[-5:]) < 0.5 * np.mean(losses[:5])
+
+
+def test_scores_do_not_depend_on_the_layout_and_beat_the_counts(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    runs = [{r["doc_id"]: r for r in L.score_documents(docs.repartition(n), PATH, part_words=180_000).collect()} for n in (2, 8)]
+    assert all(abs(a["score"] - runs[1][i]["score"]) <= 1e-6 * a["n_tokens"] for i, a in runs[0].items())
+    held = [r for r in runs[0].values() if r["held_out"]]
+    tokens = sum(r["n_tokens"] for r in held)
+    assert tokens > 10_000 and sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_the_blend_is_of_chances():
+    one, two = np.log([0.2, 0.0001, 0.5]), np.log([0.1, 0.3, 0.5])
+    assert np.allclose(np.exp(L.blended(one, two, 0.25)), 0.25 * np.exp(one) + 0.75 * np.exp(two))
+    assert np.isclose(L.blended(np.array([-np.inf]), np.log([0.3]), 0.5)[0], np.log(0.15))
