@@ -522,6 +522,7 @@ ORDER BY registration_month""",
         "SELECT * FROM engagement ORDER BY engagement_score DESC, voter_count DESC"
     ),
     "l1_stream_load_unseen": f"SELECT {AS_READ} FROM registry",
+    "l1_changed_files": f"SELECT {AS_READ} FROM registry",
 }
 
 

@@ -885,6 +885,18 @@ def _(r):
     return r.spark.table(wh.raw_table).select(*RAW_COLUMNS)
 
 
+@query("l1_changed_files")
+def _(r):
+    """A folder whose files are replaced by others, and then left as it is."""
+    wh = r.warehouse()
+    folder = new_scratch_path(r.spark, "drops")
+    for rows in (r.base, r.extract, None):
+        if rows is not None:
+            csv.write_extract(rows, folder, mode="overwrite")
+        drops.load_changed_files(r.spark, wh, folder, RUN_TS)
+    return r.spark.table(wh.raw_table).select(*RAW_COLUMNS)
+
+
 # --- whole tables in ranges -----------------------------------------------------------
 
 

@@ -103,7 +103,7 @@ def _create(
     )
 
 
-def _stored(spark: SparkSession, folder: str, schema: str) -> list:
+def stored_rows(spark: SparkSession, folder: str, schema: str) -> list:
     """Rows of a small table under the warehouse root; none where it is not written yet."""
     try:
         return spark.read.schema(schema).parquet(folder).collect()
@@ -119,7 +119,7 @@ def raw_buckets(spark: SparkSession, wh: Warehouse, wanted: int | None) -> int:
     Files of one count read with another would put keys in the wrong bucket, so a table
     found without its count, or wanted with another, is refused.
     """
-    stored = _stored(spark, wh.layout_folder, LAYOUT)
+    stored = stored_rows(spark, wh.layout_folder, LAYOUT)
     if stored:
         kept = stored[0]["buckets"]
         if wanted not in (None, kept):
@@ -223,7 +223,7 @@ class Merge:
 
 
 def last_merge(spark: SparkSession, wh: Warehouse) -> Merge:
-    rows = _stored(spark, wh.merges_folder, MERGES)
+    rows = stored_rows(spark, wh.merges_folder, MERGES)
     if not rows:
         return Merge()
     newest = max(r["number"] for r in rows)
@@ -303,7 +303,7 @@ class Run:
 def kept_runs(spark: SparkSession, wh: Warehouse) -> dict[int, Run]:
     """The recorded runs by number, oldest first."""
     found: dict[int, Run] = {}
-    for r in sorted(_stored(spark, wh.runs_folder, RUNS), key=lambda r: r["run"]):
+    for r in sorted(stored_rows(spark, wh.runs_folder, RUNS), key=lambda r: r["run"]):
         run = found.setdefault(r["run"], Run(r["run"], r["at"], r["settings"]))
         if r["batch"] is None:
             run.tables[r["namespace"], r["name"]] = r["folder"]
