@@ -403,6 +403,13 @@ SELECT CAST(sum(if(gender = 'M', 1, 0)) AS BIGINT) AS male_voters FROM cln WHERE
     "e7_approximate_median": "SELECT party, quantile_disc(age, 0.5) AS median_age FROM cln GROUP BY party",
     "e8_ordered_mode": """
 SELECT gender, mode() WITHIN GROUP (ORDER BY state_code) AS most_common_state
+FROM cln GROUP BY gender""",
+    "e6_count_distinct_merged": (
+        "SELECT o_orderpriority, count(DISTINCT o_custkey) AS n_customers FROM orders GROUP BY o_orderpriority"
+    ),
+    "e8_ordered_mode_merged": """
+SELECT gender, mode() WITHIN GROUP (ORDER BY state_code) AS most_common_state,
+ count(DISTINCT state_code) AS states_represented
 FROM cln GROUP BY gender""",
     "e9_avg": """
 SELECT gender, avg(age) AS avg_age, avg(if(is_valid_email, 1.0, 0.0)) AS email_quality_rate

@@ -6,13 +6,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall import fixture
 from rollcall import functions as R
 from rollcall.fixture import AS_OF, FIXTURE_HASH, RUN_TS
-from rollcall.operators import aggregates, keys, predicates, ranges, windows
+from rollcall.operators import aggregates, keys, predicates, ranges, states, windows
 from rollcall.plans import layers, marts, quality, refresh, reports
 from rollcall.schema import RAW_COLUMNS
 from rollcall.session import new_scratch_path
@@ -605,6 +605,32 @@ def _(r):
     return aggregates.ordered_mode(r.cleaned, ["gender"], "state_code", "most_common_state")
 
 
+def _in_thirds(rows: DataFrame, number: Column, make) -> list[DataFrame]:
+    """The state of each of three batches."""
+    return [make(rows.where(F.pmod(number, F.lit(3)) == n)) for n in range(3)]
+
+
+@query("e6_count_distinct_merged")
+def _(r):
+    """Customers of each priority, from bitmaps of three batches of orders."""
+    orders = r.spark.read.parquet(f"{r.sf_dir}/orders.parquet")
+    by = ["o_orderpriority"]
+    parts = _in_thirds(orders, F.col("o_orderkey"), lambda b: states.bitmap_state(b, by, "o_custkey"))
+    return states.distinct_of_bitmaps(states.merged_bitmaps(parts, by), by, "n_customers")
+
+
+@query("e8_ordered_mode_merged")
+def _(r):
+    """Results of each gender from the value counts of three batches."""
+    by, value = ["gender"], "state_code"
+    number = F.col("voter_id").cast("bigint")
+    parts = _in_thirds(r.cleaned, number, lambda b: states.counts_state(b, by, value))
+    counts = states.merged_counts(parts, by, value)
+    return states.of_counts(
+        counts, by, most_common_state=states.mode_of(value), states_represented=states.distinct_of(value)
+    )
+
+
 @query("e9_avg")
 def _(r):
     valid = F.when(F.col("is_valid_email"), 1.0).otherwise(0.0)
