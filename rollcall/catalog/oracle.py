@@ -470,6 +470,7 @@ SELECT * FROM (SELECT max(registration_month) AS most_recent,
 WHERE most_recent < threshold""",
     "j8_check_report": report(CHECKS),
     "j8_check_report_repeated": report(CHECKS_REPEATED),
+    "j8_check_report_by_batch": report(CHECKS_REPEATED),
     "j9_threshold_rules": """
 SELECT rule, level FROM (
  SELECT 'missing_data' AS rule,

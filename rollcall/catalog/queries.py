@@ -13,7 +13,7 @@ from rollcall import fixture
 from rollcall import functions as R
 from rollcall.fixture import AS_OF, FIXTURE_HASH, RUN_TS
 from rollcall.operators import aggregates, keys, predicates, ranges, states, windows
-from rollcall.plans import layers, marts, quality, refresh, reports
+from rollcall.plans import batch_checks, layers, marts, quality, refresh, reports
 from rollcall.schema import RAW_COLUMNS
 from rollcall.session import new_scratch_path
 from rollcall.sources import csv, fingerprint, ledger, merging, splits, warehouse
@@ -822,6 +822,17 @@ def _(r):
     return quality.check_report(r.doubled, again, r.mart("registration_trends"), AS_OF)
 
 
+@query("j8_check_report_by_batch")
+def _(r):
+    """After a second batch whose ids differ from known ones by a blank at the end only."""
+    wh = r.warehouse()
+    again = r.base.withColumn("id", F.concat("id", F.lit(" ")))
+    for rows, at in zip((r.extract, again), LATER_RUNS, strict=True):
+        refresh.run_refresh(r.spark, wh, r.csv_folder(rows), at)
+        report = batch_checks.run_checks_by_batch(r.spark, wh, AS_OF)
+    return report
+
+
 @query("j9_threshold_rules")
 def _(r):
     return quality.threshold_rules(r.dq)

@@ -104,7 +104,8 @@ def staged_checks() -> list[RowCheck]:
     ]
 
 
-def cleaned_checks(as_of: Column | str | dt.date) -> list[RowCheck]:
+def lasting_checks() -> list[RowCheck]:
+    """Checks of cleaned records whose outcome does not depend on the day they are made."""
     age_known = F.col("age").isNotNull()
     return [
         RowCheck("cleaned_not_null_voter_id", F.col("voter_id").isNull()),
@@ -114,10 +115,15 @@ def cleaned_checks(as_of: Column | str | dt.date) -> list[RowCheck]:
         RowCheck("cleaned_not_null_state_code", F.col("state_code").isNull()),
         RowCheck("cleaned_not_null_is_valid_email", F.col("is_valid_email").isNull()),
         RowCheck("cleaned_not_null_registered_date", F.col("registered_date").isNull()),
-        RowCheck("cleaned_not_future_registered_date", is_future("registered_date", as_of)),
     ]
 
 
+def cleaned_checks(as_of: Column | str | dt.date) -> list[RowCheck]:
+    """Those, and the one that does. It looks at the registration date alone."""
+    future = RowCheck("cleaned_not_future_registered_date", is_future("registered_date", as_of))
+    return [*lasting_checks(), future]
+
+
 def layer_totals(df: DataFrame, checks: Sequence[RowCheck], layer: str) -> DataFrame:
     """One row: failing rows of every check, repeated keys and all rows of a layer.
 
@@ -142,16 +148,28 @@ def check_report(
 
     Each layer is scanned once; its only shuffle carries counters per key.
     """
-    on_staged, on_cleaned = staged_checks(), cleaned_checks(as_of)
-    severity = {c.name: c.severity for c in on_staged + on_cleaned}
+    return report_of_totals(
+        [
+            layer_totals(staged, staged_checks(), "staged"),
+            layer_totals(cleaned, cleaned_checks(as_of), "cleaned"),
+        ],
+        trends,
+        as_of,
+    )
+
+
+def report_of_totals(
+    counted: Sequence[DataFrame], trends: DataFrame, as_of: Column | str | dt.date
+) -> DataFrame:
+    """The report from one-row frames that together hold the totals of both layers."""
+    severity = {c.name: c.severity for c in staged_checks() + cleaned_checks(as_of)}
     recency = "trends_recency_registration_month"
     keyed = ["staged_unique_voter_id", "cleaned_unique_voter_id", recency]
     severity |= dict.fromkeys([*keyed, "cleaned_equal_rowcount"], "warn")
-    totals = one_row(
-        layer_totals(staged, on_staged, "staged"),
-        layer_totals(cleaned, on_cleaned, "cleaned"),
-        recency_failures(trends, as_of).agg(F.count("*").alias(recency)),
-    ).withColumn("cleaned_equal_rowcount", F.abs(F.col("cleaned_rows") - F.col("staged_rows")))
+    newest = recency_failures(trends, as_of).agg(F.count("*").alias(recency))
+    totals = one_row(*counted, newest).withColumn(
+        "cleaned_equal_rowcount", F.abs(F.col("cleaned_rows") - F.col("staged_rows"))
+    )
     lines = totals.select(*severity).unpivot([], list(severity), "check_name", "failures")
     level = F.coalesce(
         *(F.when(F.col("check_name") == name, F.lit(s)) for name, s in severity.items())

@@ -213,6 +213,13 @@ def _segments(spark: SparkSession, wh: Warehouse) -> list[str]:
     return sorted(r["tableName"] for r in found)
 
 
+def attach_bucketed(spark: SparkSession, table: str, columns: str, folder: str, key: str, buckets: int) -> DataFrame:
+    """Register a bucketed table's files in this session, which may not be the one that wrote them."""
+    _create(spark, table, columns, folder, f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 @dataclass(frozen=True)
 class Merge:
     """What was merged of the raw table: {segment: (rows, batches)}."""
