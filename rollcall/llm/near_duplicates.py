@@ -35,8 +35,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rollcall.llm.common import gather_spans, gram_hashes, mix, ship_package, spans, steps, text_parts, use_checkpoints, word_hashes
 from rollcall.llm.components import connected_components, forest
@@ -48,16 +50,29 @@ MOST_FREQUENT = 1 << 22
 PORTION = 1 << 23
 
 
-def gram_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, its distinct n-word shingles in order of hash) of every row with words."""
+def gram_sets(column: pa.Array, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, signatures, shingles, edges) of the rows with words, a step at a time.
+
+    A row's set is its distinct n-word shingles in order of hash, between its two edges.
+    """
     for low, _, data, at in steps(column):
         words, first = word_hashes(data, at)
         grams = gram_hashes(words, n)
+        rows, sets = [], []
         for row, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
             if b - a >= n:
-                yield low + row, np.unique(grams[a : b - n + 1])
+                own = np.sort(grams[a : b - n + 1])
+                new = np.ones(len(own), dtype=bool)
+                np.not_equal(own[1:], own[:-1], out=new[1:])
+                sets.append(own[new])
             elif b > a:
-                yield low + row, gram_hashes(words[a:b], b - a)
+                sets.append(gram_hashes(words[a:b], b - a))
+            else:
+                continue
+            rows.append(low + row)
+        if rows:
+            whole, edges = np.concatenate(sets), np.cumsum([0, *map(len, sets)])
+            yield np.array(rows), signatures(whole, edges), whole, edges
 
 
 def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,10 +82,11 @@ def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(low, high - low)
 
 
-def signature(grams: np.ndarray) -> int:
+def signatures(grams: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """A hash of each set between two edges."""
     with np.errstate(over="ignore"):
-        total = mix(grams + np.uint64(7)).sum(dtype=np.uint64) + np.uint64(len(grams))
-    return int(mix(np.array([total])).view(np.int64)[0])
+        totals = np.add.reduceat(mix(grams + np.uint64(7)), edges[:-1], dtype=np.uint64) + np.diff(edges).astype(np.uint64)
+    return mix(totals).view(np.int64)
 
 
 def required(x: Column, y: Column, percent: int) -> Column:
@@ -99,12 +115,22 @@ class Order:
         self.n_blocks = np.uint64(n_blocks)
         self.frequent = np.zeros(0, np.uint64)
 
+    def know(self, frequent: np.ndarray) -> None:
+        """Take these names as those of the frequent columns, with a bitmap of their lowest bits that most others fail."""
+        self.frequent = frequent
+        self.bits = np.uint64(min(26, max(13, len(frequent).bit_length() + 4)))
+        low = frequent & ((np.uint64(1) << self.bits) - np.uint64(1))
+        self.bitmap = np.zeros(1 << int(self.bits) - 3, np.uint8)
+        np.bitwise_or.at(self.bitmap, (low >> np.uint64(3)).astype(np.int64), np.uint8(1) << (low & np.uint64(7)).astype(np.uint8))
+
     def keys(self, grams: np.ndarray) -> np.ndarray:
         key = (self.level[(grams & self.mask).astype(np.int64)] << np.uint64(58)) | (grams >> np.uint64(6))
         if len(self.frequent):
-            name = self.names(key)
+            low = (mix(key) >> np.uint64(32)) & ((np.uint64(1) << self.bits) - np.uint64(1))
+            maybe = np.flatnonzero((self.bitmap[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8)) & 1)
+            name = self.names(key[maybe])
             at = np.minimum(np.searchsorted(self.frequent, name), len(self.frequent) - 1)
-            key[self.frequent[at] == name] |= LAST
+            key[maybe[self.frequent[at] == name]] |= LAST
         return key
 
     def names(self, key: np.ndarray) -> np.ndarray:
@@ -113,16 +139,30 @@ class Order:
         return ((h & np.uint64(0xFFFFFFFF)) % self.n_blocks) << np.uint64(32) | h >> np.uint64(32)
 
 
-def frequency_sketch(docs: DataFrame, n: int, bits: int) -> np.ndarray:
-    """2^bits counters of shingles by hash over all documents; this is what reaches the driver."""
+def set_sizes(docs: DataFrame, n: int, bits: int) -> DataFrame:
+    """id, n_shingles and sig of every row, and from each task 2^bits counters of shingles by hash, in chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, dtype=np.int64)
+        names = ["id", "n_shingles", "sig", "chunk", "counts"]
         for batch in batches:
-            for _, grams in gram_sets(batch.column(0), n):
-                np.add.at(counts, (grams & np.uint64((1 << bits) - 1)).astype(np.int64), 1)
+            count, sig = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+            for rows, sigs, grams, edges in gram_sets(batch.column(1), n):
+                count[rows], sig[rows] = np.diff(edges), sigs
+                counts += np.bincount((grams & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
+            none = pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(sig), *none], names=names)
         parts = [counts[i : i + CHUNK].astype("<u4").tobytes() for i in range(0, len(counts), CHUNK)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=["chunk", "counts"])
+        none = pa.nulls(len(parts), id_kind), pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.int64())
+        yield pa.RecordBatch.from_arrays([*none, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=names)
+
+    kind = docs.schema["id"].dataType
+    id_kind = to_arrow_type(kind)
+    return docs.select("id", "text").mapInArrow(run, f"id {kind.simpleString()}, n_shingles long, sig long, chunk int, counts binary")
+
+
+def frequency_sketch(chunks: DataFrame, bits: int) -> np.ndarray:
+    """The counters of all tasks added up; this is what reaches the driver."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
@@ -131,8 +171,7 @@ def frequency_sketch(docs: DataFrame, n: int, bits: int) -> np.ndarray:
                 totals[chunk] = totals.get(chunk, 0) + np.frombuffer(counts, "<u4").astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array([t.astype("<i8").tobytes() for t in totals.values()], pa.binary())], names=["chunk", "counts"])
 
-    chunks = (1 << bits) // CHUNK
-    rows = docs.mapInArrow(run, "chunk int, counts binary").repartition(min(chunks, 32), "chunk").mapInArrow(add, "chunk int, counts binary")
+    rows = chunks.repartition(min((1 << bits) // CHUNK, 32), "chunk").mapInArrow(add, "chunk int, counts binary")
     totals = np.zeros(1 << bits, dtype=np.int64)
     for row in rows.collect():
         totals[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] += np.frombuffer(row["counts"], "<i8")
@@ -164,13 +203,14 @@ def prefix_blocks(docs: DataFrame, order, n: int, percent: int, n_blocks: int) -
         for batch in portions(batches):
             seen: set[int] = set()
             sigs, sizes, keys = [], [], []
-            for _, grams in gram_sets(batch.column(0), n):
-                sig = signature(grams)
-                if sig not in seen:
-                    seen.add(sig)
-                    sigs.append(sig)
-                    sizes.append(len(grams))
-                    keys.append(np.sort(rank.keys(grams))[: len(grams) - -(-percent * len(grams) // 100) + 1])
+            for _, names, grams, edges in gram_sets(batch.column(0), n):
+                every = rank.keys(grams)
+                for sig, a, z in zip(names.tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                    if sig not in seen:
+                        seen.add(sig)
+                        sigs.append(sig)
+                        sizes.append(z - a)
+                        keys.append(np.sort(every[a:z])[: z - a - -(-percent * (z - a) // 100) + 1])
             if not sigs:
                 continue
             lengths = np.array([len(k) for k in keys])
@@ -204,8 +244,7 @@ def frequent_columns(slices: DataFrame, n_blocks: int, wide: int) -> np.ndarray:
         blocks: dict[int, list] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                key, sig, _, _ = unpack_slice(row)
-                blocks.setdefault(row["block"], []).append((key, sig))
+                blocks.setdefault(row["block"], []).append(unpack_classes(row))
         for block, parts in blocks.items():
             key, sig = (np.concatenate(c) for c in zip(*parts, strict=True))
             by = np.lexsort((sig, key))
@@ -216,7 +255,7 @@ def frequent_columns(slices: DataFrame, n_blocks: int, wide: int) -> np.ndarray:
             many = count > wide
             yield pa.RecordBatch.from_arrays([pa.array((block << 32) + names[many]), pa.array(count[many])], names=["name", "classes"])
 
-    dealt = slices.where("not spread").repartitionById(n_blocks, "block")
+    dealt = slices.where("not spread").select("block", "spread", "few", "sigs", "keys", "docs").repartitionById(n_blocks, "block")
     found = dealt.mapInArrow(run, "name long, classes long").checkpoint()
     # Level by level of the number of classes, as many as the bound lets in.
     levels = found.groupBy(F.floor(F.log2("classes")).alias("level")).agg(F.count("*").alias("n")).collect()
@@ -230,13 +269,16 @@ def frequent_columns(slices: DataFrame, n_blocks: int, wide: int) -> np.ndarray:
     return np.sort(names).view(np.uint64)
 
 
+def unpack_classes(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(key, signature) of every entry of a packed row."""
+    doc = np.frombuffer(row["docs"], "<u2" if row["few"] else "<u4").astype(np.int64)
+    return np.frombuffer(row["keys"], "<u8" if row["spread"] else "<u4").astype(np.int64), np.frombuffer(row["sigs"], np.int64)[doc]
+
+
 def unpack_slice(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(key, signature, size, place) of every entry of a packed row."""
     doc = np.frombuffer(row["docs"], "<u2" if row["few"] else "<u4").astype(np.int64)
-    return (
-        np.frombuffer(row["keys"], "<u8" if row["spread"] else "<u4").astype(np.int64), np.frombuffer(row["sigs"], np.int64)[doc],
-        np.frombuffer(row["sizes"], "<u4").astype(np.int64)[doc], np.frombuffer(row["places"], "<u2" if row["near"] else "<u4").astype(np.int64),
-    )
+    return *unpack_classes(row), np.frombuffer(row["sizes"], "<u4").astype(np.int64)[doc], np.frombuffer(row["places"], "<u2" if row["near"] else "<u4").astype(np.int64)
 
 
 def multiply(key: np.ndarray, sig: np.ndarray, size: np.ndarray, place: np.ndarray, percent: int, wide: int) -> tuple[tuple, tuple]:
@@ -317,13 +359,14 @@ def class_sets(docs: DataFrame, classes: DataFrame, n: int, bits: int, width: in
         words = shared.value
         for batch in portions(batches):
             sigs, sets, seen = [], [], set()
-            for _, grams in gram_sets(batch.column(0), n):
-                sig = signature(grams)
-                low = sig & ((1 << bits) - 1)
-                if (int(words[low >> 6]) >> (low & 63)) & 1 and sig not in seen:
-                    seen.add(sig)
-                    sigs.append(sig)
-                    sets.append((grams if width == 8 else grams >> np.uint64(32)).astype(f"<u{width}").tobytes())
+            for _, names, grams, edges in gram_sets(batch.column(0), n):
+                low = names.view(np.uint64) & np.uint64((1 << bits) - 1)
+                for i in np.flatnonzero((words[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1)).tolist():
+                    sig, own = int(names[i]), grams[edges[i] : edges[i + 1]]
+                    if sig not in seen:
+                        seen.add(sig)
+                        sigs.append(sig)
+                        sets.append((own if width == 8 else own >> np.uint64(32)).astype(f"<u{width}").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(sets, pa.binary())], names=["sig", "grams"])
 
     # A class that several batches hold comes from each; one of its equal sets is kept.
@@ -336,10 +379,10 @@ def compared(docs: DataFrame, pairs: DataFrame, n: int, percent: int, bits: int,
     Shortened hashes of different shingles may be equal, so an overlap found is never too
     small; a pair is sure when it is above the bound by more than chance can add.
     """
-    kind, sides = f"<u{width}", {}
-    for side in ("a", "b"):
-        sets = class_sets(docs, pairs.select(F.col(side).alias("v")), n, bits, width)
-        sides[side] = sets.select(F.col("sig").alias(f"s{side}"), F.col("grams").alias(f"g{side}"))
+    kind = f"<u{width}"
+    # Both sides' sets are made in one pass over the texts.
+    sets = class_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("v")), n, bits, width).checkpoint()
+    sides = {side: sets.select(F.col("sig").alias(f"s{side}"), F.col("grams").alias(f"g{side}")) for side in ("a", "b")}
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -401,36 +444,57 @@ def in_parts(batches: Iterator[pa.RecordBatch], keys: int, meet) -> Iterator[pa.
         yield meet(held)
 
 
+def has_partner(size: np.ndarray, reach: np.ndarray, root: np.ndarray, sizes: np.ndarray, reaches: np.ndarray, roots: np.ndarray) -> np.ndarray:
+    """Which entries have one of another root among the second ones, each of a size within the other's reach.
+
+    The second ones are taken in order of size, keeping the farthest reach and the farthest one of another root.
+    """
+    by = np.argsort(sizes, kind="stable")
+    first, root_, second, steps_ = -1 << 62, 0, -1 << 62, []
+    for u, r in zip(reaches[by].tolist(), roots[by].tolist(), strict=True):
+        if r == root_ and steps_:
+            first = max(first, u)
+        elif u > first:
+            first, root_, second = u, r, first
+        else:
+            second = max(second, u)
+        steps_.append((first, root_, second))
+    far, whose, other = (np.array(c, np.int64) for c in zip(*steps_, strict=True))
+    at = np.searchsorted(sizes[by], reach, side="right") - 1
+    best = np.where(whose[at] != root, far[at], other[at])
+    return (at >= 0) & (best >= size)
+
+
 def open_groups(entries: DataFrame, roots: DataFrame, percent: int, part_rows: int) -> DataFrame:
     """p, b, root: the classes that may still link to one of another component in a column of pivot p.
 
     In a column two sets can reach the bound only if what follows their places, and the column
-    itself, is enough. A column is dealt into parts, and each pair of parts is a unit of work
-    that names the classes with such a partner, not the pairs.
+    itself, is enough. That sets how large the other one may be, the reach of an entry, so two
+    entries go together when each one's size is within the other's reach. Of all entries of one size only
+    the two of the farthest reach and different components matter as partners: a column is dealt into
+    parts, and each part is looked up in these, in order of size. No pairs are made.
     """
     named = entries.join(roots, F.col("b") == F.col("node"), "left").select("a", "p", "b", "x", "y", F.coalesce("root", "b").alias("root"))
     # The smaller set of a pair has the column early in its order.
     early = F.col("y") - 1 <= F.col("x") * F.lit((100 - percent) / (100 + percent))
     mixed = named.groupBy(F.col("a").alias("k")).agg(F.count("*").alias("m"), F.min("root").alias("r"), F.max("root").alias("s"), F.max(early).alias("early"))
-    mixed = mixed.where((F.col("r") != F.col("s")) & F.col("early")).select("k", F.ceil(F.col("m") / part_rows).cast("int").alias("parts"))
-    rows = named.join(mixed, F.col("a") == F.col("k")).withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("a", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "p", "b", "x", "y", "root").distinct()
+    mixed = mixed.where((F.col("r") != F.col("s")) & F.col("early")).select("k", F.ceil(F.col("m") / (part_rows << 8)).cast("int").alias("parts"))
+    reach = F.expr(f"(1 + x - y) * {100 + percent}L div {percent} - x").alias("u")
+    rows = named.join(mixed, F.col("a") == F.col("k")).select("a", "parts", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "p", "b", F.col("x").cast("long").alias("x"), reach, "root").checkpoint()
+    far = rows.groupBy("a", "x", "root").agg(F.max("u").alias("u"), F.first("parts").alias("parts"))
+    farthest = Window.partitionBy("a", "x").orderBy(F.desc("u"), "root")
+    far = far.withColumn("rank", F.row_number().over(farthest)).where("rank <= 2")
+    far = far.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("p"), F.lit(None).cast("long").alias("b"), "x", "u", "root", F.lit(True).alias("far"))
+    both = rows.select("a", "part", "p", "b", "x", "u", "root", F.lit(False).alias("far")).unionByName(far)
 
     def meet(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        low, high, part, pivot, sig, size, place, root = (np.concatenate([h.column(i).to_numpy().astype(np.int64) for h in held]) for i in range(1, 9))
-        found = np.zeros(len(sig), bool)
-        one, two = np.flatnonzero(part == low), np.flatnonzero(part == high)
-        for at in range(0, len(one), 256):
-            i, j = one[at : at + 256][:, None], two[None, :]
-            need = -(-percent * (size[i] + size[j]) // (100 + percent))
-            near = (1 + np.minimum(size[i] - place[i], size[j] - place[j]) >= need) & (root[i] != root[j])
-            found[i[near.any(axis=1), 0]] = True
-            found[j[0, near.any(axis=0)]] = True
-        return pa.RecordBatch.from_arrays([pa.array(pivot[found]), pa.array(sig[found]), pa.array(root[found])], names=["p", "b", "root"])
+        every = pa.Table.from_batches(held)
+        own, other = every.filter(pc.invert(every["far"])), every.filter(every["far"])
+        one, two = ([t[c].to_numpy() for c in ("x", "u", "root")] for t in (own, other))
+        return own.select(["p", "b", "root"]).filter(pa.array(has_partner(*one, *two))).combine_chunks()
 
-    dealt = rows.repartition("a", "low", "high").sortWithinPartitions("a", "low", "high")
-    return dealt.mapInArrow(lambda batches: in_parts(batches, 3, meet), "p long, b long, root long").distinct()
+    dealt = both.repartition("a", "part").sortWithinPartitions("a", "part")
+    return dealt.mapInArrow(lambda batches: (b for t in in_parts(batches, 2, meet) for b in t.to_batches()), "p long, b long, root long").distinct()
 
 
 def block_links(sets: list[np.ndarray], sigs: np.ndarray, roots: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -494,24 +558,17 @@ def near_duplicates(
     scratch = new_scratch_path(spark, "near-duplicates")
     texts = docs.select(F.col(text_col).alias("text"))
 
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            count, sig = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            for row, grams in gram_sets(batch.column(1), n):
-                count[row], sig[row] = len(grams), signature(grams)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(count), pa.array(sig)], names=["id", "n_shingles", "sig"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    slim.mapInArrow(sizes, f"id {kind}, n_shingles long, sig long").write.parquet(f"{scratch}/nodes")
-    nodes = spark.read.parquet(f"{scratch}/nodes")
+    set_sizes(slim, n, sketch_bits).write.parquet(f"{scratch}/nodes")
+    written = spark.read.parquet(f"{scratch}/nodes")
+    nodes = written.where("chunk is null").select("id", "n_shingles", "sig")
 
     n_blocks = max(8, -(-nodes.count() // block_docs))
-    rank = Order(frequency_sketch(texts, n, sketch_bits), n_blocks)
+    rank = Order(frequency_sketch(written.where("chunk is not null").select("chunk", "counts"), sketch_bits), n_blocks)
     for _ in range(frequent_rounds):
         order = spark.sparkContext.broadcast(rank)
         more = frequent_columns(prefix_blocks(texts, order, n, percent, n_blocks), n_blocks, wide)
-        rank.frequent = np.union1d(rank.frequent, more)
+        rank.know(np.union1d(rank.frequent, more))
         if not len(more):
             break
     order = spark.sparkContext.broadcast(rank)

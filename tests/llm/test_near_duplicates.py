@@ -7,8 +7,9 @@ import random
 import numpy as np
 import pytest
 
+from rollcall.llm import near_duplicates as module
 from rollcall.llm.components import connected_components, forest
-from rollcall.llm.near_duplicates import near_duplicates
+from rollcall.llm.near_duplicates import has_partner, near_duplicates, open_groups
 
 
 def shingles(text, n):
@@ -104,3 +105,47 @@ def test_components(spark, task_links):
 def test_forest():
     a, b = forest(np.array([5, 9, 7, 3, 8]), np.array([9, 7, 1, 3, 2]))
     assert dict(zip(a.tolist(), b.tolist(), strict=True)) == {5: 1, 7: 1, 9: 1, 8: 2}
+
+
+def partners(entries, percent):
+    """The entries (size, place, root) of a column that may link to one of another root, by all pairs."""
+    need = lambda i, j: -(-percent * (i[0] + j[0]) // (100 + percent))
+    return [any(i[2] != j[2] and 1 + min(i[0] - i[1], j[0] - j[1]) >= need(i, j) for j in entries) for i in entries]
+
+
+def some_entries(r, n, percent, roots):
+    sizes = [r.choice([1, 4, 7, r.randint(1, 60), r.randint(100, 140)]) for _ in range(n)]
+    return [(x, r.randint(1, x - -(-percent * x // 100) + 1), r.randrange(roots)) for x in sizes]
+
+
+@pytest.mark.parametrize("percent", [50, 75, 100])
+def test_partners_without_pairs(percent):
+    r = random.Random(percent)
+    for n, roots in ((1, 1), (5, 2), (40, 2), (60, 50)):
+        entries = some_entries(r, n, percent, roots)
+        size, place, root = (np.array(c) for c in zip(*entries, strict=True))
+        reach = (1 + size - place) * (100 + percent) // percent - size
+        assert has_partner(size, reach, root, size, reach, root).tolist() == partners(entries, percent)
+
+
+def test_rows_of_a_wide_column_do_not_grow_with_its_square(spark, monkeypatch):
+    r, dealt = random.Random(3), {}
+    entries = some_entries(r, 1200, 75, 300)
+    kind = type(spark.range(1))
+    plain = kind.repartition
+    monkeypatch.setattr(kind, "repartition", lambda df, *by: dealt.update(rows=df.count()) or plain(df, *by))
+    module.use_checkpoints(spark)
+    columns = spark.createDataFrame([(1, 7, b, x, y) for b, (x, y, _) in enumerate(entries)], "a long, p long, b long, x int, y int")
+    roots = spark.createDataFrame([(b, 10_000 + g) for b, (_, _, g) in enumerate(entries)], "node long, root long")
+    got = {row["b"] for row in open_groups(columns, roots, 75, 2).collect()}
+    assert got == {b for b, one in enumerate(partners(entries, 75)) if one} and 0 < len(got) < 1200
+    assert dealt["rows"] < 3 * 1200  # 600 parts met in pairs before
+
+
+def test_both_sides_sets_are_made_in_one_pass(docs_of, monkeypatch):
+    calls, plain = [], module.class_sets
+    monkeypatch.setattr(module, "class_sets", lambda *args: calls.append(args[-1]) or plain(*args))
+    r = random.Random(9)
+    base = prose(r, 60)
+    check(docs_of, [(i, " ".join(edited(r, base, 0.01))) for i in range(10)])
+    assert calls.count(4) == 1
