@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.schema import RAW_COLUMNS
-from rollcall.sources.splits import scan_spanning
+from rollcall.sources.splits import in_few_tasks, scan_spanning
 
 # Quotes are doubled inside quoted fields and a backslash is an ordinary character.
 CSV_OPTIONS = {
@@ -40,8 +40,8 @@ def files_spanning_lines(spark: SparkSession, path: str | list[str]) -> list[str
     does not open with one, such as 5' 6", do not count. Lines are matched in parallel, and
     each file is named once.
     """
-    lines = spark.read.text(path).where(F.col("value").rlike(OPEN_QUOTE))
-    return sorted(_plain(r[0]) for r in lines.select(F.col("_metadata.file_path")).distinct().collect())
+    lines = in_few_tasks(spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")))
+    return sorted(_plain(r[0]) for r in lines.where(F.col("value").rlike(OPEN_QUOTE)).select("file").distinct().collect())
 
 
 def csv_scan(

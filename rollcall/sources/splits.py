@@ -26,19 +26,32 @@ OPENS = r'(?:(?:"(?:[^"]|"")*+"|[^",][^,]*+)?+,)*+"(?:[^"]|"")*+\z'
 STAYS = r'(?:[^"]|"")*+\z'
 BOM = b"\xef\xbb\xbf"
 
+#: Tasks that read lines: as many as there are splits up to this, or up to so many for each core.
+TASKS, ROUNDS = 256, 32
+
 #: Bytes of a leaf of the hash tree, and children of a node.
 LEAF_BYTES = 1 << 20
 CHILDREN = 1024
 
 
+def in_few_tasks(lines: DataFrame) -> DataFrame:
+    """The same splits, several of them in a task one after another where they are many.
+
+    A split of some kilobytes costs less than the start of a task, so tasks are bounded by the
+    cores. Reading holds a line at a time, so a task's memory does not grow with its splits.
+    """
+    most = max(TASKS, ROUNDS * lines.sparkSession.sparkContext.defaultParallelism)
+    return lines.coalesce(most) if lines.rdd.getNumPartitions() > most else lines
+
+
 def split_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines with their file and where their split begins. Rows of a split are in order.
+    """Lines with their file and where their split begins. Rows of a split are in order and follow each other.
 
     Lines end at a line feed only; a carriage return stays at the end of the line.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
     file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
-    return lines.select(file.alias("file"), block.alias("block"), F.col("_metadata.file_size").alias("size"), "value")
+    return in_few_tasks(lines.select(file.alias("file"), block.alias("block"), F.col("_metadata.file_size").alias("size"), "value"))
 
 
 def runs_of(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, int]]:

@@ -49,6 +49,26 @@ def test_a_file_in_splits_equals_the_file_as_a_whole(spark, tmp_path, small_spli
     assert csv.source_row_count(csv.csv_scan(spark, path)).first()[0] == 150
 
 
+def test_many_splits_are_read_in_few_tasks(spark, tmp_path, monkeypatch):
+    for k, v in {"spark.sql.files.maxPartitionBytes": "500", "spark.sql.files.openCostInBytes": "100"}.items():
+        monkeypatch.setitem(SPLIT, k, v)
+    kept = {k: spark.conf.get(k) for k in SPLIT}
+    path = write_csv(tmp_path, some_csv(200, "\n", True, seed=4))
+    whole = sorted(map(tuple, csv.csv_scan(spark, path, multi_line=True).collect()), key=str)
+    try:
+        for k, v in SPLIT.items():
+            spark.conf.set(k, v)
+        lines = splits.split_lines(spark, path)
+        assert lines.select("block").distinct().count() > 300 and spark.read.text(path).rdd.getNumPartitions() > 300
+        assert lines.rdd.getNumPartitions() <= max(splits.TASKS, splits.ROUNDS * spark.sparkContext.defaultParallelism)
+        found = csv.csv_scan(spark, path)
+        assert sorted(map(tuple, found.collect()), key=str) == whole and len(whole) == 200
+        assert splits.byte_fingerprint(spark, path).first().n_bytes == (tmp_path / "x.csv").stat().st_size
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def test_several_files_and_blank_lines(spark, tmp_path, small_splits):
     folder = tmp_path / "drop"
     folder.mkdir()
