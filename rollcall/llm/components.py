@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import use_checkpoints
+from rollcall.llm.common import checkpoint_in, use_checkpoints
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,20 +69,24 @@ def star(links: DataFrame, small: bool) -> DataFrame:
 TASK_LINKS = 500_000
 
 
-def connected_components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
-    """node, root (the smallest node of the component) of all nodes but the roots; links are longs ``a``, ``b``."""
+def connected_components(links: DataFrame, task_links: int = TASK_LINKS, files: int | None = None) -> DataFrame:
+    """node, root (the smallest node of the component) of all nodes but the roots; links are longs ``a``, ``b``.
+
+    A checkpoint has a file per task, or ``files`` at the most.
+    """
     use_checkpoints(links.sparkSession)
-    links = reduce_links(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct().checkpoint()
+    kept = (lambda df: checkpoint_in(df, files, light=True)) if files else (lambda df: df.checkpoint())
+    links = kept(reduce_links(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct())
     while True:
         # Few links need few tasks, and what one task holds is contracted at once.
         tasks = -(-links.count() // task_links)
         if tasks <= 1:
             return reduce_links(links.repartition(1)).checkpoint().select(F.col("a").alias("node"), F.col("b").alias("root"))
         if 2 * tasks < links.rdd.getNumPartitions():
-            links = reduce_links(links.repartition(tasks)).distinct().checkpoint()
+            links = kept(reduce_links(links.repartition(tasks)).distinct())
         stars = links.groupBy("a").agg(F.count("*").alias("n"), F.max("b").alias("m"))
         # Done when every node has one link and no node that is linked to has a link itself.
         busy = stars.where("n > 1").limit(1).count() or links.join(links.select(F.col("a").alias("c")), F.col("b") == F.col("c"), "left_semi").limit(1).count()
         if not busy:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        links = star(star(links, small=False), small=True).checkpoint()
+        links = kept(star(star(links, small=False), small=True))

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from rollcall.llm.common import gather_spans, gram_hashes, mix, ship_package, spans, steps, text_parts, use_checkpoints, word_hashes
+from rollcall.llm.common import checkpoint_in, gather_spans, gram_hashes, mix, ship_package, spans, steps, text_parts, use_checkpoints, word_hashes
 from rollcall.llm.components import connected_components, forest
 from rollcall.session import new_scratch_path
 
@@ -233,7 +233,7 @@ def prefix_blocks(docs: DataFrame, order, n: int, percent: int, n_blocks: int) -
     return docs.mapInArrow(run, "block int, spread boolean, few boolean, near boolean, sigs binary, sizes binary, keys binary, docs binary, places binary")
 
 
-def frequent_columns(slices: DataFrame, n_blocks: int, wide: int) -> np.ndarray:
+def frequent_columns(slices: DataFrame, n_blocks: int, wide: int, files: int) -> np.ndarray:
     """Names of the columns with more than ``wide`` classes, in order.
 
     Their number is bounded by ``MOST_FREQUENT``: should there be more, those of the most classes.
@@ -256,7 +256,7 @@ def frequent_columns(slices: DataFrame, n_blocks: int, wide: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array((block << 32) + names[many]), pa.array(count[many])], names=["name", "classes"])
 
     dealt = slices.where("not spread").select("block", "spread", "few", "sigs", "keys", "docs").repartitionById(n_blocks, "block")
-    found = dealt.mapInArrow(run, "name long, classes long").checkpoint()
+    found = checkpoint_in(dealt.mapInArrow(run, "name long, classes long"), files, light=False)
     # Level by level of the number of classes, as many as the bound lets in.
     levels = found.groupBy(F.floor(F.log2("classes")).alias("level")).agg(F.count("*").alias("n")).collect()
     room, least = MOST_FREQUENT, 64
@@ -373,7 +373,7 @@ def class_sets(docs: DataFrame, classes: DataFrame, n: int, bits: int, width: in
     return docs.mapInArrow(run, "sig long, grams binary").dropDuplicates(["sig"])
 
 
-def compared(docs: DataFrame, pairs: DataFrame, n: int, percent: int, bits: int, width: int) -> DataFrame:
+def compared(docs: DataFrame, pairs: DataFrame, n: int, percent: int, bits: int, width: int, files: int) -> DataFrame:
     """The pairs a, b whose sets may link, by ``width`` bytes of each hash; ``sure`` where they do.
 
     Shortened hashes of different shingles may be equal, so an overlap found is never too
@@ -381,7 +381,7 @@ def compared(docs: DataFrame, pairs: DataFrame, n: int, percent: int, bits: int,
     """
     kind = f"<u{width}"
     # Both sides' sets are made in one pass over the texts.
-    sets = class_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("v")), n, bits, width).checkpoint()
+    sets = checkpoint_in(class_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("v")), n, bits, width), files, light=True)
     sides = {side: sets.select(F.col("sig").alias(f"s{side}"), F.col("grams").alias(f"g{side}")) for side in ("a", "b")}
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,12 +406,12 @@ def compared(docs: DataFrame, pairs: DataFrame, n: int, percent: int, bits: int,
     return joined.select("a", "b", "ga", "gb").mapInArrow(compare, "a long, b long, sure boolean")
 
 
-def exact_links(docs: DataFrame, pairs: DataFrame, n: int, percent: int, bits: int) -> DataFrame:
+def exact_links(docs: DataFrame, pairs: DataFrame, n: int, percent: int, bits: int, files: int) -> DataFrame:
     """The pairs a, b that link: by half of each hash, and the few left open by the whole of it."""
-    rough = compared(docs, pairs, n, percent, bits, 4).checkpoint()
+    rough = checkpoint_in(compared(docs, pairs, n, percent, bits, 4, files), files, light=False)
     left = rough.where("not sure").select("a", "b")
     links = rough.where("sure").select("a", "b")
-    return links if left.isEmpty() else links.unionByName(compared(docs, left, n, percent, bits, 8).select("a", "b")).checkpoint()
+    return links if left.isEmpty() else checkpoint_in(links.unionByName(compared(docs, left, n, percent, bits, 8, files).select("a", "b")), files, light=False)
 
 
 def with_pivots(columns: DataFrame) -> DataFrame:
@@ -465,7 +465,7 @@ def has_partner(size: np.ndarray, reach: np.ndarray, root: np.ndarray, sizes: np
     return (at >= 0) & (best >= size)
 
 
-def open_groups(entries: DataFrame, roots: DataFrame, percent: int, part_rows: int) -> DataFrame:
+def open_groups(entries: DataFrame, roots: DataFrame, percent: int, part_rows: int, files: int = 1) -> DataFrame:
     """p, b, root: the classes that may still link to one of another component in a column of pivot p.
 
     In a column two sets can reach the bound only if what follows their places, and the column
@@ -480,7 +480,8 @@ def open_groups(entries: DataFrame, roots: DataFrame, percent: int, part_rows: i
     mixed = named.groupBy(F.col("a").alias("k")).agg(F.count("*").alias("m"), F.min("root").alias("r"), F.max("root").alias("s"), F.max(early).alias("early"))
     mixed = mixed.where((F.col("r") != F.col("s")) & F.col("early")).select("k", F.ceil(F.col("m") / (part_rows << 8)).cast("int").alias("parts"))
     reach = F.expr(f"(1 + x - y) * {100 + percent}L div {percent} - x").alias("u")
-    rows = named.join(mixed, F.col("a") == F.col("k")).select("a", "parts", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "p", "b", F.col("x").cast("long").alias("x"), reach, "root").checkpoint()
+    rows = named.join(mixed, F.col("a") == F.col("k")).select("a", "parts", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "p", "b", F.col("x").cast("long").alias("x"), reach, "root")
+    rows = checkpoint_in(rows, files, light=True)
     far = rows.groupBy("a", "x", "root").agg(F.max("u").alias("u"), F.first("parts").alias("parts"))
     farthest = Window.partitionBy("a", "x").orderBy(F.desc("u"), "root")
     far = far.withColumn("rank", F.row_number().over(farthest)).where("rank <= 2")
@@ -519,7 +520,7 @@ def block_links(sets: list[np.ndarray], sigs: np.ndarray, roots: np.ndarray, lef
     return forest(sigs[left[i]], sigs[right[j]])
 
 
-def remaining_links(docs: DataFrame, named: DataFrame, n: int, percent: int, part_rows: int, bits: int) -> DataFrame:
+def remaining_links(docs: DataFrame, named: DataFrame, n: int, percent: int, part_rows: int, bits: int, files: int) -> DataFrame:
     """Links between classes of different components within the pivots' groups.
 
     A group's classes outside its largest component meet all others, part by part; parts hold
@@ -534,7 +535,7 @@ def remaining_links(docs: DataFrame, named: DataFrame, n: int, percent: int, par
     spread = F.xxhash64("b", "p")
     rows = rows.withColumn("part", F.when(F.col("in_main"), F.pmod(spread, F.col("g"))).otherwise(F.col("g") + F.pmod(spread, F.col("s"))).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.when(F.col("in_main"), F.col("g")).otherwise(F.lit(0)), F.col("g") + F.col("s") - 1)))
-    rows = rows.select("p", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "b", "root").checkpoint()
+    rows = checkpoint_in(rows.select("p", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "b", "root"), files, light=True)
     sets = class_sets(docs, rows.select(F.col("b").alias("v")), n, bits, 8)
     full = rows.join(sets, F.col("b") == F.col("sig")).select("p", "low", "high", "part", "b", "root", "grams")
 
@@ -548,7 +549,7 @@ def remaining_links(docs: DataFrame, named: DataFrame, n: int, percent: int, par
 
 
 def near_duplicates(
-    docs: DataFrame, n: int = 5, percent: int = 75, wide: int = 16, part_rows: int = 256, sketch_bits: int = 18, frequent_rounds: int = 2, bitmap_bits: int = 24, block_docs: int = 4096,
+    docs: DataFrame, n: int = 5, percent: int = 75, wide: int = 16, part_rows: int = 256, sketch_bits: int = 18, frequent_rounds: int = 2, bitmap_bits: int = 24, block_docs: int = 4096, file_docs: int = 16384,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """id, n_shingles and component_id of every row of ``docs``."""
@@ -563,11 +564,12 @@ def near_duplicates(
     written = spark.read.parquet(f"{scratch}/nodes")
     nodes = written.where("chunk is null").select("id", "n_shingles", "sig")
 
-    n_blocks = max(8, -(-nodes.count() // block_docs))
+    rows = nodes.count()
+    n_blocks, files = max(8, -(-rows // block_docs)), max(1, -(-rows // file_docs))  # what is kept between steps has a file per ``file_docs`` documents
     rank = Order(frequency_sketch(written.where("chunk is not null").select("chunk", "counts"), sketch_bits), n_blocks)
     for _ in range(frequent_rounds):
         order = spark.sparkContext.broadcast(rank)
-        more = frequent_columns(prefix_blocks(texts, order, n, percent, n_blocks), n_blocks, wide)
+        more = frequent_columns(prefix_blocks(texts, order, n, percent, n_blocks), n_blocks, wide, files)
         rank.know(np.union1d(rank.frequent, more))
         if not len(more):
             break
@@ -585,12 +587,12 @@ def near_duplicates(
 
     entries = with_pivots(columns)
     pivoted = entries.where("p != b").select(F.least("p", "b").alias("a"), F.greatest("p", "b").alias("b"))
-    links = exact_links(texts, pairs.unionByName(pivoted).distinct().checkpoint(), n, percent, bitmap_bits)
-    roots = connected_components(links)
-    left = open_groups(entries, roots, percent, part_rows).checkpoint()
+    links = exact_links(texts, checkpoint_in(pairs.unionByName(pivoted).distinct(), files, light=True), n, percent, bitmap_bits, files)
+    roots = connected_components(links, files=files)
+    left = checkpoint_in(open_groups(entries, roots, percent, part_rows, files), files, light=True)
     if not left.isEmpty():
-        more = remaining_links(texts, left, n, percent, part_rows, bitmap_bits).checkpoint()
-        roots = connected_components(links.unionByName(more))
+        more = checkpoint_in(remaining_links(texts, left, n, percent, part_rows, bitmap_bits, files), files, light=False)
+        roots = connected_components(links.unionByName(more), files=files)
 
     classes = nodes.where("n_shingles > 0").groupBy("sig").agg(F.min("id").alias("least"))
     rooted = classes.join(roots, F.col("sig") == F.col("node"), "left").select("sig", "least", F.coalesce("root", "sig").alias("root"))

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from rollcall.llm import near_duplicates as module
+from rollcall.llm.common import use_checkpoints
 from rollcall.llm.components import connected_components, forest
 from rollcall.llm.near_duplicates import has_partner, near_duplicates, open_groups
 
@@ -149,3 +151,22 @@ def test_both_sides_sets_are_made_in_one_pass(docs_of, monkeypatch):
     base = prose(r, 60)
     check(docs_of, [(i, " ".join(edited(r, base, 0.01))) for i in range(10)])
     assert calls.count(4) == 1
+
+
+def test_few_files_between_steps(spark, docs_of):
+    """Few documents leave few files, whatever the number of shuffle partitions."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    use_checkpoints(spark)
+    files = lambda: sum(1 for _ in Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")).rglob("part-*"))
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words[: 58 - i % 3], f"x{i}"])) for i in range(60)] + [(100, None), (101, "alone")]
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        before = files()
+        out = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs_of(rows), wide=4, part_rows=4).collect()}
+        assert files() - before < 40
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert out == {i: 0 for i in range(60)} | {100: 100, 101: 101}
