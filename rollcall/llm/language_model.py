@@ -52,6 +52,7 @@ GROUP = 32  # classes of a group, and groups
 SHAPES = 32
 HEAD, KNOWN = GROUP * GROUP - SHAPES, 4096
 SMOOTH = 0.1
+AT_ONCE, BLOCKS = 256, 1024  # windows of the fit, and blocks of the scoring, in one step of arrays
 SUMS = 16  # tasks that add up the weights of the others
 
 
@@ -169,50 +170,80 @@ class Attention:
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
     def slopes(self, x: np.ndarray, y: np.ndarray, real: np.ndarray | None = None) -> tuple[float, dict]:
-        """Mean loss over windows of inputs x and classes y (windows by 2 HALF), and its gradient; only places in ``real`` count."""
-        p, t = self.p, x.shape[1]
-        root = np.float32(WIDTH**-0.5)
+        """Mean loss over windows of inputs x and classes y (windows by 2 HALF), and its gradient; only places in ``real`` count.
+
+        Windows are taken ``AT_ONCE`` at a time, since larger arrays leave a core's cache, and the parts' slopes added up.
+        """
+        if len(x) > AT_ONCE:
+            cuts = [slice(low, low + AT_ONCE) for low in range(0, len(x), AT_ONCE)]
+            parts = [self.slopes(x[c], y[c], None if real is None else real[c]) for c in cuts]
+            sizes = np.array([x[c].size if real is None else np.count_nonzero(real[c]) for c in cuts])
+            share = [self.p["E"].dtype.type(s) for s in sizes / max(1, sizes.sum())]
+            return float(sum(s * loss for s, (loss, _) in zip(share, parts, strict=True))), {k: sum(s * g[k] for s, (_, g) in zip(share, parts, strict=True)) for k in self.p}
+        p, t, w = self.p, x.shape[1], WIDTH
+        kind = p["E"].dtype
         lag = np.arange(t)[:, None] - np.arange(t)[None, :]
-        X = p["E"][x]
-        Q, K, V = X @ p["Wq"], X @ p["Wk"], X @ p["Wv"]
-        A = softmax(Q @ K.transpose(0, 2, 1) * root + np.where(lag >= 0, p["R"][np.abs(lag)], np.float32(-1e9)))
-        Z = A @ V
-        H = np.tanh(X @ p["Wx"] + Z @ p["Wo"] + p["b"])
+        bias = np.where(lag >= 0, p["R"][np.abs(lag)], kind.type(-1e9))
+        # Queries, keys, values and what passes by the attention, side by side.
+        sides = np.concatenate([p["Wq"] * kind.type(w**-0.5), p["Wk"], p["Wv"], p["Wx"]], axis=1)
+        X = np.take(p["E"], x.ravel(), axis=0)
+        every = X @ sides
+        Q, K, V = (every[:, i * w : (i + 1) * w].reshape(-1, t, w) for i in range(3))
+        A = Q @ K.transpose(0, 2, 1)
+        A += bias
+        np.exp(np.minimum(A, 60, out=A), out=A)
+        A /= (A @ np.ones(t, kind))[:, :, None]
+        Z = flat(A @ V)
+        H = np.ones((x.size, w + 1), kind)  # the last column is for what is added to the scores
+        H[:, :w] = np.tanh(every[:, 3 * w :] + Z @ p["Wo"] + p["b"])
+        goals = y.ravel()
         places = np.arange(x.size) if real is None else np.flatnonzero(real)
-        places = places[np.argsort((y.ravel()[places] // GROUP).astype(np.int8), kind="stable")]  # group by group
-        h, goals, every, n = flat(H)[places], y.ravel()[places], np.arange(len(places)), max(1, len(places))
-        group, inner = goals // GROUP, goals % GROUP
+        places = places[np.argsort((goals[places] // GROUP).astype(np.int8), kind="stable")]  # group by group
+        h, goals, n = np.take(H, places, axis=0), goals[places], max(1, len(places))
+        group, inner, row = goals // GROUP, goals % GROUP, np.arange(len(places))
         edges = np.searchsorted(group, np.arange(GROUP + 1))
-        over = softmax(h @ p["G"] + p["g"])
-        loss = -float(np.log(over[every, group] + 1e-30).sum())
-        over[every, group] -= 1
-        dG = over / n
-        g = {"C": np.zeros_like(p["C"]), "c": np.zeros_like(p["c"]), "G": h.T @ dG, "g": dG.sum(axis=0)}
-        dh = dG @ p["G"].T
-        for k in np.flatnonzero(np.diff(edges)):
-            rows, here = slice(edges[k], edges[k + 1]), slice(k * GROUP, (k + 1) * GROUP)
-            within = softmax(h[rows] @ p["C"][:, here] + p["c"][here])
-            at = (np.arange(len(within)), inner[rows])
-            loss -= float(np.log(within[at] + 1e-30).sum())
-            within[at] -= 1
-            within /= n
-            g["C"][:, here], g["c"][here] = h[rows].T @ within, within.sum(axis=0)
-            dh[rows] += within @ p["C"][:, here].T
-        dU = np.zeros_like(flat(H))
-        dU[places] = dh * (1 - h * h)
-        dU = dU.reshape(H.shape)
-        g |= {"Wx": flat(X).T @ flat(dU), "Wo": flat(Z).T @ flat(dU), "b": flat(dU).sum(axis=0)}
+        here = [(k, slice(edges[k], edges[k + 1])) for k in np.flatnonzero(np.diff(edges)).tolist()]
+        outer, C = np.vstack([p["G"], p["g"]]), np.vstack([p["C"], p["c"]])
+        # Places lie along the rows, so that sums over classes run over whole rows.
+        over, within = outer.T @ h.T, np.empty((GROUP, len(places)), kind)
+        for k, at in here:
+            within[:, at] = C[:, k * GROUP : (k + 1) * GROUP].T @ h[at].T
+        loss = 0.0
+        for chance, aim in ((over, group), (within, inner)):
+            np.exp(np.minimum(chance, 60, out=chance), out=chance)
+            chance /= chance.sum(axis=0)
+            loss -= float(np.log(chance[aim, row] + 1e-30).sum())
+            chance[aim, row] -= 1
+            chance /= n
+        d_outer, d_C, dh = h.T @ over.T, np.zeros_like(C), over.T @ p["G"].T
+        for k, at in here:
+            own = slice(k * GROUP, (k + 1) * GROUP)
+            d_C[:, own] = h[at].T @ within[:, at].T
+            dh[at] += within[:, at].T @ p["C"][:, own].T
+        g = {"C": d_C[:-1], "c": d_C[-1], "G": d_outer[:-1], "g": d_outer[-1]}
+        h = h[:, :w]
+        slope = np.zeros_like(every)  # of the four sides
+        slope[places, 3 * w :] = dh * (1 - h * h)
+        dU = np.ascontiguousarray(slope[:, 3 * w :])
+        g |= {"Wo": Z.T @ dU, "b": np.ones(len(dU), kind) @ dU}
         dZ = dU @ p["Wo"].T
-        dA, dV = dZ @ V.transpose(0, 2, 1), A.transpose(0, 2, 1) @ dZ
-        dS = A * (dA - (dA * A).sum(axis=2, keepdims=True))
-        g["R"] = np.bincount(lag[lag >= 0], weights=dS.sum(axis=0)[lag >= 0], minlength=2 * HALF)
-        dQ, dK = dS @ K * root, dS.transpose(0, 2, 1) @ Q * root
-        g |= {"Wq": flat(X).T @ flat(dQ), "Wk": flat(X).T @ flat(dK), "Wv": flat(X).T @ flat(dV)}
-        dX = flat(dU @ p["Wx"].T + dQ @ p["Wq"].T + dK @ p["Wk"].T + dV @ p["Wv"].T)
+        mean = ((dZ * Z) @ np.ones(w, kind)).reshape(-1, t, 1)  # of an attention's slopes, by its weights
+        dZ = dZ.reshape(-1, t, w)
+        dS = dZ @ V.transpose(0, 2, 1)
+        dS -= mean
+        dS *= A
+        by_lag = (np.ones(len(dS), kind) @ dS.reshape(len(dS), t * t)).reshape(t, t)
+        g["R"] = np.bincount(lag[lag >= 0], weights=by_lag[lag >= 0], minlength=2 * HALF)
+        for i, d in enumerate((dS @ K, dS.transpose(0, 2, 1) @ Q, A.transpose(0, 2, 1) @ dZ)):
+            slope[:, i * w : (i + 1) * w] = flat(d)
+        g |= dict(zip(("Wq", "Wk", "Wv", "Wx"), np.split(X.T @ slope, 4, axis=1), strict=True))
+        g["Wq"] = g["Wq"] * kind.type(w**-0.5)
+        dX = slope @ sides.T
         order = np.argsort(x.ravel().astype(np.int16), kind="stable")
-        inputs, begins = np.unique(x.ravel()[order], return_index=True)
+        inputs = x.ravel()[order]
+        begins = np.flatnonzero(np.diff(inputs, prepend=-1))
         g["E"] = np.zeros_like(p["E"])
-        g["E"][inputs] = np.add.reduceat(dX[order], begins, axis=0)
+        g["E"][inputs[begins]] = np.add.reduceat(np.take(dX, order, axis=0), begins, axis=0)
         return loss / n, g
 
     def adam(self) -> Callable[[dict, float], None]:
@@ -225,8 +256,12 @@ class Attention:
             step += 1
             for k, a in self.p.items():
                 m[k] += 0.1 * (g[k] - m[k])
-                v[k] += 0.01 * (g[k] ** 2 - v[k])
-                a -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+                v[k] += 0.01 * (g[k] * g[k] - v[k])
+                far = np.sqrt(v[k] * (1 / (1 - 0.99**step)))
+                far += 1e-8
+                np.divide(m[k], far, out=far)
+                far *= rate / (1 - 0.9**step)
+                a -= far.astype(np.float32)
 
         return go
 
@@ -280,20 +315,21 @@ def class_log_probs(t: dict, hidden: np.ndarray, aim: np.ndarray) -> np.ndarray:
     group, inner = aim // GROUP, aim % GROUP
 
     def chosen(rows: np.ndarray, weights: np.ndarray, add: np.ndarray, at: np.ndarray) -> np.ndarray:
-        scores = rows @ weights
-        scores += add
-        picked = scores[np.arange(len(at)), at]
+        scores = weights.T @ rows.T  # places lie along the rows, so that sums over classes run over whole rows
+        scores += add[:, None]
+        picked = scores[at, np.arange(len(at))]
         np.exp(np.minimum(scores, 60, out=scores), out=scores)
-        return picked - np.log(scores @ np.ones(GROUP, np.float32))
+        return picked - np.log(scores.sum(axis=0))
 
-    out = chosen(hidden, t["G"], t["g"], group)
     order = np.argsort(group.astype(np.int8), kind="stable")
-    edges = np.searchsorted(group[order], np.arange(GROUP + 1))
-    for k in range(GROUP):
-        rows = order[edges[k] : edges[k + 1]]
-        if len(rows):
-            here = slice(k * GROUP, (k + 1) * GROUP)
-            out[rows] += chosen(hidden[rows], t["C"][:, here], t["c"][here], inner[rows])
+    hidden, group, inner = np.take(hidden, order, axis=0), group[order], inner[order]
+    edges = np.searchsorted(group, np.arange(GROUP + 1))
+    sums = chosen(hidden, t["G"], t["g"], group)
+    for k in np.flatnonzero(np.diff(edges)):
+        rows, here = slice(edges[k], edges[k + 1]), slice(k * GROUP, (k + 1) * GROUP)
+        sums[rows] += chosen(hidden[rows], t["C"][:, here], t["c"][here], inner[rows])
+    out = np.empty_like(sums)
+    out[order] = sums
     return out
 
 
@@ -313,8 +349,8 @@ def log_probs(t: dict, ids: np.ndarray, edges: np.ndarray, end: int, classes: Cl
     out = classes.log_share[goal].astype(np.float64)
     begins = np.zeros(n, bool)
     begins[first[:-1]] = True
-    for low in range(0, n, 4096):
-        high = min(n, low + 4096)
+    for low in range(0, n, BLOCKS):
+        high = min(n, low + BLOCKS)
         hidden = np.concatenate([attend(t, told, begins, a, min(high, a + 128)) for a in range(low, high, 128)])
         out[low * HALF : high * HALF] += class_log_probs(t, hidden, aim[low * HALF : high * HALF])
     out = out[to]
@@ -324,7 +360,13 @@ def log_probs(t: dict, ids: np.ndarray, edges: np.ndarray, end: int, classes: Cl
 
 def blended(unigram: np.ndarray, attention: np.ndarray, blend: float) -> np.ndarray:
     """Natural log of ``blend`` of the one chance and the rest of the other, from their logs."""
-    return np.logaddexp(np.log(blend) + unigram, np.log1p(-blend) + attention)
+    out = np.log1p(-blend) + attention
+    unigram = np.broadcast_to(unigram, out.shape)
+    known = np.flatnonzero(unigram > -300)  # their chances are far from 0, so that the sum has a log
+    out[known] = np.log(blend * np.exp(unigram[known]) + np.exp(out[known]))
+    rest = np.flatnonzero((unigram <= -300) & (unigram > -np.inf))
+    out[rest] = np.logaddexp(np.log(blend) + unigram[rest], out[rest])
+    return out
 
 
 def sample_windows(texts: list[str], tokenizer: str, end: int, classes: Classes) -> tuple[np.ndarray, np.ndarray]:

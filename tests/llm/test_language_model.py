@@ -199,3 +199,25 @@ def test_the_blend_is_of_chances():
     one, two = np.log([0.2, 0.0001, 0.5]), np.log([0.1, 0.3, 0.5])
     assert np.allclose(np.exp(L.blended(one, two, 0.25)), 0.25 * np.exp(one) + 0.75 * np.exp(two))
     assert np.isclose(L.blended(np.array([-np.inf]), np.log([0.3]), 0.5)[0], np.log(0.15))
+
+
+def test_slopes_of_parts_add_up(small, monkeypatch):
+    """A batch taken a few windows at a time, its last part short or all padding, gives the slopes of the whole."""
+    classes, model = small
+    r = np.random.default_rng(9)
+    x, y = r.integers(0, 1000, (11, 2 * L.HALF)), r.integers(0, 256, (11, 2 * L.HALF))
+    real = r.random(x.shape) < 0.8
+    real[8:] = False
+    for some in (None, real, np.zeros_like(real)):
+        loss, g = model.slopes(x, y, some)
+        with monkeypatch.context() as m:
+            m.setattr(L, "AT_ONCE", 4)
+            again, h = model.slopes(x, y, some)
+        assert np.isclose(loss, again, rtol=1e-5) and all(np.allclose(g[k], h[k], rtol=1e-4, atol=1e-6) for k in g)
+
+
+def test_blend_of_chances_near_nothing():
+    one, two = np.array([-1000.0, -1000.0, -5.0, -np.inf, -400.0]), np.array([-900.0, -2000.0, -2000.0, -900.0, -1.0])
+    want = np.logaddexp(np.log(0.35) + one, np.log(0.65) + two)
+    assert np.allclose(L.blended(one, two, 0.35), want, rtol=1e-12)
+    assert np.allclose(L.blended(-2.0, two, 0.35), np.logaddexp(np.log(0.35) - 2, np.log(0.65) + two), rtol=1e-12)
