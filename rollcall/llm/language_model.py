@@ -36,9 +36,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +55,7 @@ SHAPES = 32
 HEAD, KNOWN = GROUP * GROUP - SHAPES, 4096
 SMOOTH = 0.1
 AT_ONCE, BLOCKS = 256, 1024  # windows of the fit, and blocks of the scoring, in one step of arrays
+KEPT = 750_000  # words that a worker keeps the ids of
 SUMS = 16  # tasks that add up the weights of the others
 
 
@@ -71,6 +74,30 @@ def encode_words(path: str, words: list[bytes]) -> list:
     return [encode(b" " + w) for w in words]
 
 
+@lru_cache(maxsize=1)
+def kept_cache(path: str, run: str) -> tuple[SpanCache, list]:
+    """A word's place among the top words, or -1, then its ids: kept by a Python worker for all tasks of the run.
+
+    The list holds the top words' places, which a task puts there before it looks words up.
+    """
+    places: list[dict] = []
+
+    def make(words: list[bytes]) -> list:
+        words = [w.lower() for w in words]
+        return [(places[0].get(w, -1), *ids) for w, ids in zip(words, encode_words(path, words), strict=True)]
+
+    return SpanCache(make, LOWER_VALUE, max_spans=KEPT), places
+
+
+def word_ids(cache: SpanCache, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Starts and ends of words, each row's first word, and each word's place among the top words and first id; the ids."""
+    starts, ends, first = word_bounds(data, at)
+    numbers, sizes = cache.gather(cache.find(data, starts, ends))
+    begin = np.cumsum(sizes) - sizes
+    ids = np.delete(numbers, begin)
+    return starts, ends, first, numbers[begin], np.append(begin - np.arange(len(begin)), len(ids)), ids
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """word, c over all rows of the column ``text``."""
 
@@ -120,8 +147,8 @@ def id_counts(counts: DataFrame, tokenizer: str) -> np.ndarray:
             for low in range(0, batch.num_rows, 1 << 14):
                 part = batch.slice(low, 1 << 14)
                 ids = encode_words(tokenizer, part.column(0).to_pylist())
-                sizes = np.array([len(i) for i in ids])
-                np.add.at(total, np.concatenate([np.array(i, np.int64) for i in ids]), np.repeat(part.column(1).to_numpy(), sizes))
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                np.add.at(total, np.fromiter(chain.from_iterable(ids), np.int64), np.repeat(part.column(1).to_numpy(), sizes))
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], names=["id", "c"])
 
@@ -155,6 +182,49 @@ def flat(x: np.ndarray) -> np.ndarray:
     return x.reshape(-1, x.shape[-1])
 
 
+def pieces_of(x: np.ndarray) -> np.ndarray:
+    """Rows of whole windows in pieces, whose products are faster than those of long arrays."""
+    return x.reshape(-1, 128 if len(x) % 128 == 0 else 2 * HALF, x.shape[-1])
+
+
+def side_by_side(p: dict) -> np.ndarray:
+    """Of each group: the scores' weights of all groups and those of its own classes, with what is added to them as last row."""
+    outer, C = np.vstack([p["G"], p["g"]]), np.vstack([p["C"], p["c"]])
+    out = np.empty((GROUP, len(outer), 2 * GROUP), outer.dtype)
+    out[:, :, :GROUP], out[:, :, GROUP:] = outer, C.reshape(len(C), GROUP, GROUP).transpose(1, 0, 2)
+    return out
+
+
+def group_scores(h: np.ndarray, goals: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """Scores of groups and of the goal's group's classes, a row for each; the goals' places in it, two by two; rows by group.
+
+    ``goals`` are in order of their groups, and the last column of ``h`` is 1.
+    """
+    group = goals // GROUP
+    edges = np.searchsorted(group, np.arange(GROUP + 1))
+    here = [(k, slice(edges[k], edges[k + 1])) for k in np.flatnonzero(np.diff(edges)).tolist()]
+    scores = np.empty((len(goals), 2 * GROUP), h.dtype)
+    for k, at in here:
+        np.matmul(h[at], weights[k], out=scores[at])
+    at_goal = (np.arange(len(goals)) * (2 * GROUP))[:, None] + np.stack([group, GROUP + goals % GROUP], axis=1)
+    return scores.reshape(-1, GROUP), at_goal, here
+
+
+def sums_of_exp(scores: np.ndarray) -> np.ndarray:
+    """The sums over the rows of e to the power of the scores, which that replaces."""
+    if scores.size and scores.max() > 60:
+        np.minimum(scores, 60, out=scores)
+    np.exp(scores, out=scores)
+    return scores @ np.ones(GROUP, scores.dtype)
+
+
+def class_chances(h: np.ndarray, goals: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """``group_scores`` with chances for scores."""
+    scores, at_goal, here = group_scores(h, goals, weights)
+    scores *= (1 / sums_of_exp(scores))[:, None]
+    return scores.reshape(-1, 2 * GROUP), at_goal, here
+
+
 class Attention:
     """One head of causal self-attention over a window, then a softmax over groups and one over a group's classes."""
 
@@ -187,44 +257,40 @@ class Attention:
         # Queries, keys, values and what passes by the attention, side by side.
         sides = np.concatenate([p["Wq"] * kind.type(w**-0.5), p["Wk"], p["Wv"], p["Wx"]], axis=1)
         X = np.take(p["E"], x.ravel(), axis=0)
-        every = X @ sides
+        every = flat(pieces_of(X) @ sides)
         Q, K, V = (every[:, i * w : (i + 1) * w].reshape(-1, t, w) for i in range(3))
         A = Q @ K.transpose(0, 2, 1)
         A += bias
         np.exp(np.minimum(A, 60, out=A), out=A)
-        A /= (A @ np.ones(t, kind))[:, :, None]
+        A *= (1 / (flat(A) @ np.ones(t, kind))).reshape(-1, t, 1)
         Z = flat(A @ V)
-        H = np.ones((x.size, w + 1), kind)  # the last column is for what is added to the scores
-        H[:, :w] = np.tanh(every[:, 3 * w :] + Z @ p["Wo"] + p["b"])
+        U = flat(pieces_of(Z) @ p["Wo"])
+        U += every[:, 3 * w :]
+        U += p["b"]
+        np.tanh(U, out=U)
         goals = y.ravel()
         places = np.arange(x.size) if real is None else np.flatnonzero(real)
         places = places[np.argsort((goals[places] // GROUP).astype(np.int8), kind="stable")]  # group by group
-        h, goals, n = np.take(H, places, axis=0), goals[places], max(1, len(places))
-        group, inner, row = goals // GROUP, goals % GROUP, np.arange(len(places))
-        edges = np.searchsorted(group, np.arange(GROUP + 1))
-        here = [(k, slice(edges[k], edges[k + 1])) for k in np.flatnonzero(np.diff(edges)).tolist()]
-        outer, C = np.vstack([p["G"], p["g"]]), np.vstack([p["C"], p["c"]])
-        # Places lie along the rows, so that sums over classes run over whole rows.
-        over, within = outer.T @ h.T, np.empty((GROUP, len(places)), kind)
-        for k, at in here:
-            within[:, at] = C[:, k * GROUP : (k + 1) * GROUP].T @ h[at].T
-        loss = 0.0
-        for chance, aim in ((over, group), (within, inner)):
-            np.exp(np.minimum(chance, 60, out=chance), out=chance)
-            chance /= chance.sum(axis=0)
-            loss -= float(np.log(chance[aim, row] + 1e-30).sum())
-            chance[aim, row] -= 1
-            chance /= n
-        d_outer, d_C, dh = h.T @ over.T, np.zeros_like(C), over.T @ p["G"].T
+        h = np.ones((len(places), w + 1), kind)  # the last column is for what is added to the scores
+        U = np.take(U, places, axis=0)
+        h[:, :w] = U
+        weights = side_by_side(p)
+        chances, at_goal, here = class_chances(h, goals[places], weights)
+        loss = -float(np.log(np.take(chances, at_goal) + 1e-30).sum())
+        share = kind.type(1 / max(1, len(places)))
+        chances *= share
+        chances.ravel()[at_goal] -= share
+        d_weights, dh = np.zeros_like(weights), np.empty((len(places), w), kind)
         for k, at in here:
-            own = slice(k * GROUP, (k + 1) * GROUP)
-            d_C[:, own] = h[at].T @ within[:, at].T
-            dh[at] += within[:, at].T @ p["C"][:, own].T
+            np.matmul(h[at].T, chances[at], out=d_weights[k])
+            np.matmul(chances[at], weights[k, :w].T, out=dh[at])
+        d_outer, d_C = d_weights[:, :, :GROUP].sum(axis=0), d_weights[:, :, GROUP:].transpose(1, 0, 2).reshape(w + 1, -1)
         g = {"C": d_C[:-1], "c": d_C[-1], "G": d_outer[:-1], "g": d_outer[-1]}
-        h = h[:, :w]
-        slope = np.zeros_like(every)  # of the four sides
-        slope[places, 3 * w :] = dh * (1 - h * h)
-        dU = np.ascontiguousarray(slope[:, 3 * w :])
+        dh *= np.subtract(1, np.multiply(U, U, out=U), out=U)
+        dU = np.zeros_like(X)
+        dU[places] = dh
+        slope = np.empty_like(every)  # of the four sides
+        slope[:, 3 * w :] = dU
         g |= {"Wo": Z.T @ dU, "b": np.ones(len(dU), kind) @ dU}
         dZ = dU @ p["Wo"].T
         mean = ((dZ * Z) @ np.ones(w, kind)).reshape(-1, t, 1)  # of an attention's slopes, by its weights
@@ -234,9 +300,10 @@ class Attention:
         dS *= A
         by_lag = (np.ones(len(dS), kind) @ dS.reshape(len(dS), t * t)).reshape(t, t)
         g["R"] = np.bincount(lag[lag >= 0], weights=by_lag[lag >= 0], minlength=2 * HALF)
-        for i, d in enumerate((dS @ K, dS.transpose(0, 2, 1) @ Q, A.transpose(0, 2, 1) @ dZ)):
-            slope[:, i * w : (i + 1) * w] = flat(d)
-        g |= dict(zip(("Wq", "Wk", "Wv", "Wx"), np.split(X.T @ slope, 4, axis=1), strict=True))
+        by_side = slope.reshape(-1, t, 4 * w)
+        for i, (left, right) in enumerate(((dS, K), (dS.transpose(0, 2, 1), Q), (A.transpose(0, 2, 1), dZ))):
+            np.matmul(left, right, out=by_side[:, :, i * w : (i + 1) * w])
+        g |= dict(zip(("Wq", "Wk", "Wv", "Wx"), np.split((pieces_of(X).transpose(0, 2, 1) @ pieces_of(slope)).sum(axis=0), 4, axis=1), strict=True))
         g["Wq"] = g["Wq"] * kind.type(w**-0.5)
         dX = slope @ sides.T
         order = np.argsort(x.ravel().astype(np.int16), kind="stable")
@@ -244,24 +311,33 @@ class Attention:
         begins = np.flatnonzero(np.diff(inputs, prepend=-1))
         g["E"] = np.zeros_like(p["E"])
         g["E"][inputs[begins]] = np.add.reduceat(np.take(dX, order, axis=0), begins, axis=0)
-        return loss / n, g
+        return loss * float(share), g
 
     def adam(self) -> Callable[[dict, float], None]:
         """A function that takes a step against a gradient at a rate."""
-        m, v = ({k: np.zeros_like(a) for k, a in self.p.items()} for _ in range(2))
+        # All weights in one row, so that a step is a few passes over it.
+        ends = np.cumsum([0, *(a.size for a in self.p.values())])
+        own = {k: slice(low, high) for k, low, high in zip(self.p, ends, ends[1:], strict=False)}
+        m, v, slope, far = (np.zeros(ends[-1], np.float32) for _ in range(4))
         step = 0
 
         def go(g: dict, rate: float) -> None:
             nonlocal step
             step += 1
+            for k, at in own.items():
+                slope[at] = g[k].ravel()
+            for mean, part in ((m, 0.1), (v, 0.01)):
+                np.subtract(slope, mean, out=far)
+                np.multiply(far, part, out=far)
+                np.add(mean, far, out=mean)
+                np.multiply(slope, slope, out=slope)
+            np.multiply(v, 1 / (1 - 0.99**step), out=far)
+            np.sqrt(far, out=far)
+            np.add(far, 1e-8, out=far)
+            np.divide(m, far, out=far)
+            np.multiply(far, rate / (1 - 0.9**step), out=far)
             for k, a in self.p.items():
-                m[k] += 0.1 * (g[k] - m[k])
-                v[k] += 0.01 * (g[k] * g[k] - v[k])
-                far = np.sqrt(v[k] * (1 / (1 - 0.99**step)))
-                far += 1e-8
-                np.divide(m[k], far, out=far)
-                far *= rate / (1 - 0.9**step)
-                a -= far.astype(np.float32)
+                a -= far[own[k]].reshape(a.shape)
 
         return go
 
@@ -286,7 +362,7 @@ class Attention:
         bias = np.where(late >= 0, p["R"][np.maximum(late, 0)] - p["R"].max(), np.float32(-1e9)).astype(np.float32)
         E = p["E"]
         look = np.concatenate([E @ p["Wk"], E @ p["Wv"] @ p["Wo"], E @ p["Wq"] * root, E @ p["Wx"] + p["b"]], axis=1)
-        return {"look": look.astype(np.float32), "bias": bias, "C": p["C"], "c": p["c"], "G": p["G"], "g": p["g"]}
+        return {"look": look.astype(np.float32), "bias": bias, "weights": side_by_side(p)}
 
 
 def attend(t: dict, told: np.ndarray, begins: np.ndarray, low: int, high: int) -> np.ndarray:
@@ -306,30 +382,20 @@ def attend(t: dict, told: np.ndarray, begins: np.ndarray, low: int, high: int) -
     np.exp(np.minimum(s, 60, out=s), out=s)
     s[begins[low:high], :, :HALF] = 0
     z = s @ both[:, :, w:]
-    z /= s.sum(axis=2, keepdims=True)
+    z *= (1 / (flat(s) @ np.ones(2 * HALF, s.dtype))).reshape(-1, HALF, 1)
     return np.tanh(z.reshape(-1, w) + look[:, 3 * w :])
 
 
 def class_log_probs(t: dict, hidden: np.ndarray, aim: np.ndarray) -> np.ndarray:
     """Natural log of each class's probability: of its group, and within it, group by group."""
-    group, inner = aim // GROUP, aim % GROUP
-
-    def chosen(rows: np.ndarray, weights: np.ndarray, add: np.ndarray, at: np.ndarray) -> np.ndarray:
-        scores = weights.T @ rows.T  # places lie along the rows, so that sums over classes run over whole rows
-        scores += add[:, None]
-        picked = scores[at, np.arange(len(at))]
-        np.exp(np.minimum(scores, 60, out=scores), out=scores)
-        return picked - np.log(scores.sum(axis=0))
-
-    order = np.argsort(group.astype(np.int8), kind="stable")
-    hidden, group, inner = np.take(hidden, order, axis=0), group[order], inner[order]
-    edges = np.searchsorted(group, np.arange(GROUP + 1))
-    sums = chosen(hidden, t["G"], t["g"], group)
-    for k in np.flatnonzero(np.diff(edges)):
-        rows, here = slice(edges[k], edges[k + 1]), slice(k * GROUP, (k + 1) * GROUP)
-        sums[rows] += chosen(hidden[rows], t["C"][:, here], t["c"][here], inner[rows])
-    out = np.empty_like(sums)
-    out[order] = sums
+    order = np.argsort((aim // GROUP).astype(np.int8), kind="stable")
+    h = np.ones((len(aim), WIDTH + 1), np.float32)
+    h[:, :WIDTH] = np.take(hidden, order, axis=0)
+    scores, at_goal, _ = group_scores(h, aim[order], t["weights"])
+    picked = np.take(scores, at_goal)
+    picked -= np.log(sums_of_exp(scores)).reshape(-1, 2)
+    out = np.empty(len(aim), np.float32)
+    out[order] = picked[:, 0] + picked[:, 1]
     return out
 
 
@@ -399,10 +465,15 @@ def windows_of(ids: np.ndarray, edges: np.ndarray, end: int, classes: Classes) -
     return classes.inp[told].reshape(-1, 2 * HALF), classes.out[goal].reshape(-1, 2 * HALF), real.reshape(-1, 2 * HALF)
 
 
-def fit_on_all(texts: DataFrame, tokenizer: str, end: int, classes: Classes, model: Attention, batch: int = 512, rate: float = 0.005) -> int:
-    """Go on with the fit over every window of the column ``text``, each task by itself, and average; the number of ids seen."""
+def fit_on_all(
+    texts: DataFrame, tokenizer: str, end: int, classes: Classes, model: Attention, batch: int = 512, rate: float = 0.005, known: Broadcast | None = None, name: str = ""
+) -> int:
+    """Go on with the fit over every window of the column ``text``, each task by itself, and average; the number of ids seen.
+
+    ``known`` begins with the places of the top words; with the ``name`` of the run, workers keep these and the ids for the scoring.
+    """
     start = texts.sparkSession.sparkContext.broadcast((model.p, classes))
-    names, shapes = list(model.p), [a.shape for a in model.p.values()]
+    keys, shapes = list(model.p), [a.shape for a in model.p.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, classes_ = start.value
@@ -421,24 +492,20 @@ def fit_on_all(texts: DataFrame, tokenizer: str, end: int, classes: Classes, mod
                 done += 1
             seen += int(real.sum())
 
-        def make(words: list[bytes]) -> list:
-            return [(len(i), *i) for i in encode_words(tokenizer, [w.lower() for w in words])]
-
-        cache, parts, held = SpanCache(make, LOWER_VALUE), [], 0
+        cache, places = kept_cache(tokenizer, name)
+        places[:] = [known.value[0] if known else {}]
+        parts, held = [], 0
         for rows in batches:
             for _, _, data, at in steps(rows.column(0), 1 << 19):
-                starts, ends, first = word_bounds(data, at)
-                numbers, sizes = cache.gather(cache.find(data, starts, ends))
-                ids = np.delete(numbers, np.cumsum(sizes) - sizes)
-                edges = np.concatenate([[0], np.cumsum(sizes - 1)])[first]
-                parts.append(windows_of(ids, edges, end, classes_))
+                _, _, first, _, begin, ids = word_ids(cache, data, at)
+                parts.append(windows_of(ids, begin[first], end, classes_))
                 held += len(parts[-1][0])
                 if held >= 16 * batch:
                     learn(parts)
                     parts, held = [], 0
         if held:
             learn(parts)
-        whole = np.concatenate([own.p[k].ravel() for k in names]).astype(np.float64) * seen
+        whole = np.concatenate([own.p[k].ravel() for k in keys]).astype(np.float64) * seen
         yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([whole.tobytes()], pa.binary())], names=["n", "sum"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -454,7 +521,7 @@ def fit_on_all(texts: DataFrame, tokenizer: str, end: int, classes: Classes, mod
     if seen:
         whole = np.add.reduce([np.frombuffer(bytes(r["sum"])) for r in rows]) / seen
         at = np.cumsum([0, *(int(np.prod(s)) for s in shapes)])
-        model.p = {k: whole[at[i] : at[i + 1]].reshape(shapes[i]).astype(np.float32) for i, k in enumerate(names)}
+        model.p = {k: whole[at[i] : at[i + 1]].reshape(shapes[i]).astype(np.float32) for i, k in enumerate(keys)}
     start.unpersist()
     return seen
 
@@ -494,28 +561,19 @@ def score_documents(
     model.train(x, y, rounds)
     parts = max(1, round(n_train / part_words))
     hashed = training.select("text", F.xxhash64("id", "text").alias("h")).repartition(parts, "h").sortWithinPartitions("h", "text")
-    fit_on_all(hashed.select("text"), tokenizer, end, classes, model)
+    fit_on_all(hashed.select("text"), tokenizer, end, classes, model, known=known, name=scratch)
     fitted = spark.sparkContext.broadcast((model.tables(), classes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (places, logs), (tables, classes_) = known.value, fitted.value
 
-        def make(words: list[bytes]) -> list:
-            """A word's place among the top words, or -1, then its ids."""
-            words = [w.lower() for w in words]
-            return [(places.get(w, -1), *ids) for w, ids in zip(words, encode_words(tokenizer, words), strict=True)]
-
-        cache = SpanCache(make, LOWER_VALUE)
+        cache, kept = kept_cache(tokenizer, scratch)
+        kept[:] = [places]
         for batch in batches:
             for low, high, data, at in steps(batch.column(3), 1 << 19):
-                starts, ends, first = word_bounds(data, at)
-                numbers, sizes = cache.gather(cache.find(data, starts, ends))
-                begin = np.cumsum(sizes) - sizes
-                place = numbers[begin]
-                ids = np.delete(numbers, begin)
-                edges = np.concatenate([[0], np.cumsum(sizes - 1)])[first]
-                by_id, at_end = log_probs(tables, ids, edges, end, classes_)
-                by_word = np.add.reduceat(np.append(by_id, 0), begin - np.arange(len(begin)))[: len(begin)] if len(begin) else by_id
+                starts, ends, first, place, begin, ids = word_ids(cache, data, at)
+                by_id, at_end = log_probs(tables, ids, begin[first], end, classes_)
+                by_word = np.add.reduceat(np.append(by_id, 0), begin[:-1]) if len(place) else by_id
                 share = np.where(place >= 0, (logs[place] - rest) * np.log(10), -np.inf)
                 by_word = np.concatenate([[0], np.cumsum(blended(share, by_word, blend))])
                 score = np.diff(by_word[first]) + blended((logs[-1] - rest) * np.log(10), at_end, blend)

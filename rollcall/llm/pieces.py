@@ -94,66 +94,101 @@ class SpanCache:
         self.make, self.values, self.max_spans = make, values, max_spans
         self.n = 0  # places in use
         self.starts, self.hits, self.numbers = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.int32)
-        self.heads, self.sizes = np.zeros(1024, np.uint64), np.zeros(1024, np.int64)
-        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # in order of hash
+        self.names, self.heads, self.sizes = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64), np.zeros(1024, np.int64)
+        self.owner = np.zeros(1024, np.int64)  # of a place: a span of the batch that has it
+        # A place by the hash's upper bits, or the next free slot after these; at least half of the slots are free.
+        self.slots, self.used = np.full(1 << 12, -1, np.int32), 0
+
+    def slot(self, names: np.ndarray) -> np.ndarray:
+        return (names >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
+
+    def look(self, names: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        at = self.slot(names)
+        place = self.slots[at]
+        left = np.flatnonzero((place >= 0) & (self.names[place] != names))
+        while len(left):
+            at[left] = (at[left] + 1) & (len(self.slots) - 1)
+            place[left] = self.slots[at[left]]
+            left = left[(place[left] >= 0) & (self.names[place[left]] != names[left])]
+        return place.astype(np.int64)
+
+    def enter(self, places: np.ndarray) -> None:
+        """Let places be found, whose hashes differ from each other and from those known."""
+        self.used += len(places)
+        if 2 * self.used > len(self.slots):
+            places = np.concatenate([self.slots[self.slots >= 0], places])
+            self.slots = np.full(1 << (4 * self.used - 1).bit_length(), -1, np.int32)
+        at = self.slot(self.names[places])
+        while len(places):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = places[free]
+            left = self.slots[at] != places
+            places, at = places[left], (at[left] + 1) & (len(self.slots) - 1)
 
     def thin(self) -> None:
-        kept = self.places[self.hits[self.places] > 1]
+        known = self.slots[self.slots >= 0].astype(np.int64)
+        kept = known[self.hits[known] > 1]
         if len(kept) > self.max_spans // 2:
             kept = kept[np.argsort(-self.hits[kept], kind="stable")[: self.max_spans // 2]]
         kept = np.sort(kept)
-        new = np.full(self.n, -1)
-        new[kept] = np.arange(len(kept))
         sizes = np.diff(self.starts[: self.n + 1])[kept]
         self.numbers = self.numbers[gather_spans(self.starts[kept], sizes)]
         self.starts = np.concatenate([[0], np.cumsum(sizes)])
-        self.heads, self.sizes, self.hits, self.n = self.heads[kept], self.sizes[kept], np.zeros(len(kept), np.int64), len(kept)
-        stay = new[self.places] >= 0
-        self.hashes, self.places = self.hashes[stay], new[self.places[stay]]
+        self.names, self.heads, self.sizes, self.hits, self.n = self.names[kept], self.heads[kept], self.sizes[kept], np.zeros(len(kept), np.int64), len(kept)
+        self.owner, self.slots, self.used = np.zeros(len(kept), np.int64), np.full(1 << 12, -1, np.int32), 0
+        self.enter(np.arange(self.n))
 
-    def add(self, spans: list[bytes], heads: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    def add(self, spans: list[bytes], names: np.ndarray, heads: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The new places of spans."""
         made, n, end = self.make(spans), self.n, int(self.starts[self.n])
         counts = np.fromiter(map(len, made), np.int64, len(made))
         total, self.n = int(counts.sum()), n + len(spans)
         self.starts, self.numbers = room(self.starts, self.n + 1), room(self.numbers, end + total)
-        self.hits, self.heads, self.sizes = room(self.hits, self.n), room(self.heads, self.n), room(self.sizes, self.n)
+        self.hits, self.names, self.heads, self.sizes, self.owner = (room(x, self.n) for x in (self.hits, self.names, self.heads, self.sizes, self.owner))
         self.starts[n + 1 : self.n + 1] = end + np.cumsum(counts)
         self.numbers[end : end + total] = np.fromiter(chain.from_iterable(made), np.int32, total)
-        self.heads[n : self.n], self.sizes[n : self.n], self.hits[n : self.n] = heads, sizes, 0
+        self.names[n : self.n], self.heads[n : self.n], self.sizes[n : self.n], self.hits[n : self.n] = names, heads, sizes, 0
         return np.arange(n, self.n)
 
+    def head(self, data: np.ndarray, low: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The first 8 bytes of spans, by their values."""
+        head = np.zeros(len(low), np.uint64)
+        for k in range(8):
+            here = np.flatnonzero(size > k)
+            byte = self.values[data[low[here] + k]] & np.uint64(0xFF)
+            head[here] |= byte << np.uint64(8 * k)
+        return head
+
     def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The place of each span; valid until the next call."""
         if self.n > self.max_spans:
             self.thin()
         if not len(starts):
             return np.zeros(0, np.int64)
-        names, first, back, count = np.unique(
-            span_hashes(data, starts, ends, self.values), return_index=True, return_inverse=True, return_counts=True
-        )
-        low, size = starts[first], (ends - starts)[first]
-        head = np.zeros(len(names), np.uint64)
-        for k in range(8):
-            here = np.flatnonzero(size > k)
-            byte = self.values[data[low[here] + k]] & np.uint64(0xFF)
-            head[here] |= byte << np.uint64(8 * k)
-        at = np.searchsorted(self.hashes, names)
-        at[at == len(self.hashes)] = 0
-        place = self.places[at] if len(self.places) else np.zeros(len(names), np.int64)
-        same = self.hashes[at] == names if len(self.hashes) else np.zeros(len(names), bool)
-        hit = same & (self.sizes[place] == size) & (self.heads[place] == head)
-        new = np.flatnonzero(~hit)
+        hashes = span_hashes(data, starts, ends, self.values)
+        place = self.look(hashes)
+        known = np.flatnonzero(place >= 0)
+        # Of the spans at a place, one is compared in length and first bytes.
+        at = place[known]
+        self.owner[at] = known
+        one = known[self.owner[at] == known]
+        at, size = place[one], (ends - starts)[one]
+        other = at[(self.sizes[at] != size) | (self.heads[at] != self.head(data, starts[one], size))]
+        if len(other):
+            place[np.isin(place, other)] = -1
+        new = np.flatnonzero(place < 0)
         if len(new):
+            names, first, back = np.unique(hashes[new], return_index=True, return_inverse=True)
+            low, size = starts[new[first]], (ends - starts)[new[first]]
             whole = data.tobytes()
-            spans = [whole[a:b] for a, b in zip(low[new].tolist(), (low + size)[new].tolist(), strict=True)]
-            place[new] = self.add(spans, head[new], size[new])
+            spans = [whole[a:b] for a, b in zip(low.tolist(), (low + size).tolist(), strict=True)]
+            added = self.add(spans, names, self.head(data, low, size), size)
             # Long ones, and one whose hash another has, serve this batch only.
-            kept = new[~same[new] & (size[new] <= self.LONG)]
-            where = np.searchsorted(self.hashes, names[kept])
-            self.hashes, self.places = np.insert(self.hashes, where, names[kept]), np.insert(self.places, where, place[kept])
-        self.hits[place] += count
-        return place[back]
+            self.enter(added[~np.isin(names, self.names[other]) & (size <= self.LONG)])
+            place[new] = added[back]
+        np.add.at(self.hits, place, 1)
+        return place
 
     def gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the spans at ``places``, one after another, and how many each has."""

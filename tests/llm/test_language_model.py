@@ -221,3 +221,25 @@ def test_blend_of_chances_near_nothing():
     want = np.logaddexp(np.log(0.35) + one, np.log(0.65) + two)
     assert np.allclose(L.blended(one, two, 0.35), want, rtol=1e-12)
     assert np.allclose(L.blended(-2.0, two, 0.35), np.logaddexp(np.log(0.35) - 2, np.log(0.65) + two), rtol=1e-12)
+
+
+def test_a_worker_encodes_a_word_once_in_a_run(monkeypatch):
+    """Also in a later task, and in the scoring after the fit; another run begins anew."""
+    made, encode = [], L.encode_words
+    monkeypatch.setattr(L, "encode_words", lambda path, words: made.extend(words) or encode(path, words))
+
+    def task(run, texts, known):
+        cache, places = L.kept_cache(PATH, run)
+        places[:] = [known]
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        _, _, first, place, begin, ids = L.word_ids(cache, data, np.cumsum([0, *map(len, texts)]))
+        return place.tolist(), [ids[a:b].tolist() for a, b in zip(begin[first], begin[first[1:]], strict=False)]
+
+    whole = lambda text: [i for ids in encode(PATH, L.words_of(text)) for i in ids]
+    texts, more = ["The cat's", "", "CAT'S the unheardofword "], ["a the cat's"]
+    assert task("one", texts, {b"the": 5}) == ([5, -1, -1, 5, -1], [whole(t) for t in texts])
+    assert task("one", more, {b"the": 5}) == ([-1, 5, -1], [whole(t) for t in more])
+    assert sorted(made) == [b"a", b"cat's", b"the", b"unheardofword"]
+    assert task("two", more, {b"a": 0}) == ([0, -1, -1], [whole(t) for t in more])
+    assert len(made) == 7
+    L.kept_cache.cache_clear()

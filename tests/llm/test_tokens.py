@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -114,3 +115,25 @@ def test_files(spark, docs_of, library, tmp_path):
 def test_files_of_nothing(spark, docs_of, tmp_path):
     write_token_files(docs_of([], 1), PATH, str(tmp_path / "t"))
     assert read_token_files(spark, str(tmp_path / "t")).count() == 0
+
+
+@pytest.mark.parametrize("max_spans", [200, 1_000_000])
+def test_cache_finds_what_a_dictionary_finds(max_spans):
+    """Over many batches, while the index grows and while what is rare goes."""
+    r = np.random.default_rng(1)
+    made = []
+    cache = SpanCache(lambda new: made.extend(new) or [[len(p), *p] for p in new], BYTE_VALUE, max_spans=max_spans)
+    hits = Counter()
+    for _ in range(30):
+        spans = [b"%d" % i for i in np.minimum(r.zipf(1.3, 2000), 10**9)] + [b"x" * 300]
+        data, ends = np.frombuffer(b"".join(spans), np.uint8), np.cumsum([len(p) for p in spans])
+        places = cache.find(data, ends - [len(p) for p in spans], ends)
+        numbers, sizes = cache.gather(places)
+        assert [bytes(x[1:].astype(np.uint8)) for x in np.split(numbers, np.cumsum(sizes)[:-1])] == spans
+        hits.update(spans)
+    if max_spans > 200:
+        del hits[b"x" * 300]  # too long to be kept
+        assert Counter(made) == dict.fromkeys(hits, 1) | {b"x" * 300: 30}
+        assert sorted(cache.hits[: cache.n].tolist()) == sorted([*hits.values(), *[1] * 30])
+    else:
+        assert len(made) > len(set(made)) and cache.n < 2500
