@@ -361,8 +361,8 @@ class Attention:
         late = np.arange(HALF, 2 * HALF)[:, None] - np.arange(2 * HALF)[None, :]
         bias = np.where(late >= 0, p["R"][np.maximum(late, 0)] - p["R"].max(), np.float32(-1e9)).astype(np.float32)
         E = p["E"]
-        look = np.concatenate([E @ p["Wk"], E @ p["Wv"] @ p["Wo"], E @ p["Wq"] * root, E @ p["Wx"] + p["b"]], axis=1)
-        return {"look": look.astype(np.float32), "bias": bias, "weights": side_by_side(p)}
+        context, look = np.concatenate([E @ p["Wk"], E @ p["Wv"] @ p["Wo"]], axis=1), np.concatenate([E @ p["Wq"] * root, E @ p["Wx"] + p["b"]], axis=1)
+        return {"context": context.astype(np.float32), "look": look.astype(np.float32), "bias": bias, "weights": side_by_side(p)}
 
 
 def attend(t: dict, told: np.ndarray, begins: np.ndarray, low: int, high: int) -> np.ndarray:
@@ -370,20 +370,20 @@ def attend(t: dict, told: np.ndarray, begins: np.ndarray, low: int, high: int) -
 
     A window is a block and the one before it, whose keys and values are context only.
     """
-    w, reach = WIDTH, max(low - 1, 0)
-    look = np.take(t["look"], told[reach * HALF : high * HALF], axis=0, mode="clip")
-    pair = look[:, : 2 * w].reshape(-1, HALF, 2 * w)
-    now = pair[low - reach :]
-    past = pair[:-1] if reach < low else np.concatenate([pair[:1], pair[:-1]])
-    both = np.concatenate([past, now], axis=1)
-    look = look[(low - reach) * HALF :]
-    s = look[:, 2 * w : 3 * w].reshape(-1, HALF, w) @ both[:, :, :w].transpose(0, 2, 1)
+    w, now = WIDTH, told[low * HALF : high * HALF]
+    past = told[(low - 1) * HALF : low * HALF] if low else told[:HALF]  # the first block begins a text
+    pair = np.take(t["context"], np.concatenate([past, now]), axis=0, mode="clip")
+    # Windows overlap, so they are a view of the blocks.
+    both = np.lib.stride_tricks.as_strided(pair, (high - low, 2 * HALF, 2 * w), (HALF * pair.strides[0], *pair.strides), writeable=False)
+    look = np.take(t["look"], now, axis=0, mode="clip")
+    s = look[:, :w].reshape(-1, HALF, w) @ both[:, :, :w].transpose(0, 2, 1)
     s += t["bias"]
     np.exp(np.minimum(s, 60, out=s), out=s)
     s[begins[low:high], :, :HALF] = 0
-    z = s @ both[:, :, w:]
-    z *= (1 / (flat(s) @ np.ones(2 * HALF, s.dtype))).reshape(-1, HALF, 1)
-    return np.tanh(z.reshape(-1, w) + look[:, 3 * w :])
+    z = flat(s @ both[:, :, w:])
+    z *= (1 / (flat(s) @ np.ones(2 * HALF, s.dtype)))[:, None]
+    z += look[:, w:]
+    return np.tanh(z, out=z)
 
 
 def class_log_probs(t: dict, hidden: np.ndarray, aim: np.ndarray) -> np.ndarray:

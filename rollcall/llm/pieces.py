@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from codecs import charmap_decode
 from collections.abc import Callable
 from itertools import chain
 
@@ -226,7 +227,7 @@ class PieceEncoder:
         self.simple = self.plain and not any(SIMPLE.fullmatch(t["content"].encode("utf-8")) for t in spec["added_tokens"])
         self.tokenizer.encode_special_tokens = added_as_text
         self.added = re.compile("|".join(added)) if added else None
-        self.model, self.symbols = self.tokenizer.model, dict(enumerate(byte_symbols()))
+        self.model, self.symbols = self.tokenizer.model, "".join(byte_symbols())
         self.space = self.symbols[0x20]
         self.parts: dict[str, tuple[int, ...]] = {}
         self.max_parts = max_parts
@@ -243,6 +244,8 @@ class PieceEncoder:
         return ids
 
     def encode(self, piece: bytes) -> tuple[int, ...] | list[int]:
+        if self.simple and piece[1:].isalpha() and piece[0] == 0x20:  # ASCII letters
+            return self.part(self.space + piece[1:].decode("ascii"))
         if self.simple and (found := SIMPLE.fullmatch(piece)):
             space, word, marks = (g.decode("ascii") for g in found.groups())
             space = self.space if space else ""
@@ -252,4 +255,4 @@ class PieceEncoder:
         text = piece.decode("utf-8")
         if not self.plain or (self.added and self.added.search(text)):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
-        return [i for part in parts_of(text) for i in self.part(part.encode("utf-8").decode("latin-1").translate(self.symbols))]
+        return [i for part in parts_of(text) for i in self.part(charmap_decode(part.encode("utf-8"), "strict", self.symbols)[0])]
